@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from stackroom.functions.numbers import round_exact
+
 
 def dot(a: Column, b: Column) -> Column:
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
@@ -28,7 +30,7 @@ def positional_similarity(left: Column, right: Column) -> Column:
     )
     longer = F.greatest(F.length(left), F.length(right))
     empty = F.coalesce(F.length(left) == 0, F.lit(True)) | F.coalesce(F.length(right) == 0, F.lit(True))
-    return F.when(empty, F.lit(0.0)).otherwise(F.round(equal / longer, 6))
+    return F.when(empty, F.lit(0.0)).otherwise(round_exact(equal / longer, 6))
 
 
 def flags(*tests: tuple[Column, str]) -> Column:

@@ -26,7 +26,7 @@ def decade(year: Column) -> Column:
 
 def caption_time(seconds: Column, separator: str = ",") -> Column:
     """``HH:MM:SS,mmm`` with half-even rounding to milliseconds; negative times become zero."""
-    millis = F.greatest(F.lit(0), F.bround(seconds * 1000)).cast("bigint")
+    millis = F.greatest(F.lit(0), F.rint(seconds * 1000)).cast("bigint")
     whole = F.floor(millis / 1000).cast("bigint")
     return F.format_string(
         f"%02d:%02d:%02d{separator}%03d",

@@ -9,6 +9,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Unicode white space plus the four ASCII separators.
 SPACE = r"[\s\x1c-\x1f]"
@@ -74,7 +75,7 @@ def phonetic_terms(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(_keys_of_words(letters), lambda k: k != "")))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Matching-block ratio of two strings; null when either is null."""
 

@@ -22,6 +22,7 @@ from stackroom.fixed_values import (
     SUMMARY_CHARS,
 )
 from stackroom.functions.arrays import flags
+from stackroom.functions.numbers import round_exact
 from stackroom.functions.text import (
     SPACE,
     any_term,
@@ -141,7 +142,7 @@ def fuzzy_matches(entries: DataFrame, query: str) -> DataFrame:
         .withColumn("match", F.when(F.col("_exact"), "exact").when(F.col("_sound"), "phonetic").otherwise("fuzzy"))
         .withColumn(
             "score",
-            F.when(F.col("_exact"), 1.0).when(F.col("_sound"), PHONETIC_SCORE).otherwise(F.round("_ratio", 6)),
+            F.when(F.col("_exact"), 1.0).when(F.col("_sound"), PHONETIC_SCORE).otherwise(round_exact(F.col("_ratio"), 6)),
         )
         .select(KEY, "segment", "start", "end", "text", "match", "score")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stackroom.functions.numbers import round_exact
 from stackroom.functions.text import folded, sequence_ratio
 from stackroom.plans.intervals import points_near
 
@@ -22,14 +23,14 @@ def word_error_rate(pairs: DataFrame) -> DataFrame:
         F.slice("_ref", F.lit(1), shared), F.slice("_pred", F.lit(1), shared), lambda a, b: (a != b).cast("int")
     )
     distance = F.abs(F.size("_ref") - F.size("_pred")) + F.aggregate(wrong, F.lit(0), lambda acc, x: acc + x)
-    rate = F.round(distance / F.greatest(F.lit(1), F.size("_ref")), 6)
+    rate = round_exact(distance / F.greatest(F.lit(1), F.size("_ref")), 6)
     return words.withColumn("word_error_rate", rate).drop("_ref", "_pred")
 
 
 def sequence_similarity(pairs: DataFrame) -> DataFrame:
     """Matching-block ratio of the folded texts."""
     ratio = sequence_ratio(folded(F.col("reference")), folded(F.col("predicted")))
-    return pairs.withColumn("sequence_similarity", F.round(ratio, 6))
+    return pairs.withColumn("sequence_similarity", round_exact(ratio, 6))
 
 
 def boundary_score(reference: DataFrame, predicted: DataFrame, tolerance: float = 2.0) -> DataFrame:
@@ -49,9 +50,9 @@ def boundary_score(reference: DataFrame, predicted: DataFrame, tolerance: float
     f1 = 2 * precision * recall / F.greatest(F.lit(1e-9), precision + recall)
     return both.select(
         "id",
-        F.round(precision, 6).alias("precision"),
-        F.round(recall, 6).alias("recall"),
-        F.round(f1, 6).alias("f1"),
+        round_exact(precision, 6).alias("precision"),
+        round_exact(recall, 6).alias("recall"),
+        round_exact(f1, 6).alias("f1"),
     )
 
 
@@ -61,7 +62,7 @@ def pilot_coverage(header: DataFrame) -> DataFrame:
     return header.select(
         "processed_count",
         "target_count",
-        F.round(F.least(F.lit(1.0), done / F.greatest(F.lit(1), target)), 6).alias("coverage_ratio"),
+        round_exact(F.least(F.lit(1.0), done / F.greatest(F.lit(1), target)), 6).alias("coverage_ratio"),
         (done >= target).alias("manual_review_required"),
         (done < target).alias("blocked"),
     )

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stackroom.fixed_values import CLIPPED_LEVEL, FULL_SCALE, MAX_DURATION_SECONDS, SAMPLE_RATE, SILENCE_RMS
+from stackroom.functions.numbers import fixed, round_exact
 
 KEY = "recording_id"
 
 
 def _dbfs(rms: Column) -> Column:
-    return F.when(rms > 0, F.round(20 * F.log10(F.when(rms > 0, rms) / FULL_SCALE), 3))
+    return round_exact(20 * F.log10(F.when(rms > 0, rms) / FULL_SCALE), 3)
 
 
 def _squares() -> Column:
@@ -27,8 +28,8 @@ def activity_segments(samples: DataFrame, window: int = SAMPLE_RATE) -> DataFram
     return cells.select(
         KEY,
         "window",
-        F.round(F.col("window").cast("double"), 3).alias("start"),
-        F.round(F.col("window") + F.col("_samples") / window, 3).alias("end"),
+        F.col("window").cast("double").alias("start"),
+        round_exact(F.col("window") + F.col("_samples") / window, 3).alias("end"),
         F.when(rms <= SILENCE_RMS, "silence").otherwise("activity").alias("label"),
         _dbfs(rms).alias("rms_dbfs"),
     )
@@ -52,16 +53,16 @@ def audio_quality(samples: DataFrame, recordings: DataFrame) -> DataFrame:
             KEY,
             F.coalesce(n, F.lit(0).cast("bigint")).alias("sample_count"),
             _dbfs(F.sqrt(F.col("_squares") / n)).alias("rms_dbfs"),
-            F.coalesce(F.round(F.col("_clipped") / n, 8), F.lit(0.0)).alias("clipped_sample_ratio"),
-            F.coalesce(F.round(F.col("_silent") / n, 8), F.lit(1.0)).alias("near_silence_ratio"),
+            F.coalesce(round_exact(F.col("_clipped") / n, 8), F.lit(0.0)).alias("clipped_sample_ratio"),
+            F.coalesce(round_exact(F.col("_silent") / n, 8), F.lit(1.0)).alias("near_silence_ratio"),
         )
     )
 
 
 def _token(label: Column, dbfs: Column) -> Column:
     """``label:level`` with one decimal; a missing or zero level counts as -99."""
-    level = F.round(F.when(F.coalesce(dbfs, F.lit(0.0)) == 0, F.lit(-99.0)).otherwise(dbfs), 1)
-    return F.format_string("%s:%.1f", label, F.when(level == 0, F.lit(0.0)).otherwise(level))
+    level = F.when(F.coalesce(dbfs, F.lit(0.0)) == 0, F.lit(-99.0)).otherwise(dbfs)
+    return F.concat(label, F.lit(":"), fixed(level, 1))
 
 
 def activity_fingerprint(activity: DataFrame, max_windows: int = MAX_DURATION_SECONDS) -> DataFrame:

@@ -20,6 +20,7 @@ from stackroom.fixed_values import (
     TOPIC_TERMS,
 )
 from stackroom.functions.arrays import flags
+from stackroom.functions.numbers import round_exact
 from stackroom.functions.text import any_term, stripped, word_text
 from stackroom.plans.blocks import with_peak_before, with_position, with_previous
 
@@ -111,7 +112,7 @@ def speech_coverage(segments: DataFrame, durations: DataFrame) -> DataFrame:
     seconds = spoken.groupBy(KEY).agg(
         F.sum(F.greatest(F.col("end_s") - F.col("start_s"), F.lit(0.0))).alias("speech_seconds")
     )
-    return durations.join(seconds, KEY, "left").select(KEY, F.round(_coverage(), 6).alias("speech_coverage"))
+    return durations.join(seconds, KEY, "left").select(KEY, round_exact(_coverage(), 6).alias("speech_coverage"))
 
 
 def word_confidence(segments: DataFrame) -> DataFrame:
@@ -119,7 +120,7 @@ def word_confidence(segments: DataFrame) -> DataFrame:
     words = segments.filter(stripped(F.col("text")) != "").groupBy(KEY).agg(
         F.sum(_score_sum(F.col("words"))).alias("score_sum"), F.sum(_score_count(F.col("words"))).alias("score_count")
     )
-    return words.select(KEY, F.round(_confidence(), 6).alias("average_word_confidence"))
+    return words.select(KEY, round_exact(_confidence(), 6).alias("average_word_confidence"))
 
 
 def adjacent_repeats(segments: DataFrame) -> DataFrame:
@@ -138,7 +139,7 @@ def overlap_seconds(diarization: DataFrame) -> DataFrame:
     before = F.greatest(F.lit(0.0), F.col("peak"))
     first = F.greatest(F.lit(0.0), F.least(before, F.col("end_s")) - F.col("start_s"))
     again = (F.col("copies") - 1) * F.greatest(F.lit(0.0), F.col("end_s") - F.col("start_s"))
-    return peaked.groupBy(KEY).agg(F.round(F.sum(first + again), 3).alias("overlap_seconds"))
+    return peaked.groupBy(KEY).agg(round_exact(F.sum(first + again), 3).alias("overlap_seconds"))
 
 
 def _labels(prefix: str, names: dict) -> Column:
@@ -216,8 +217,8 @@ def analysis_report(
     filled = per_recording.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast("bigint")) for c in counts})
     return filled.withColumn("coverage", _coverage()).withColumn("confidence", _confidence()).select(
         KEY,
-        F.round("coverage", 6).alias("speech_coverage"),
-        F.round("confidence", 6).alias("average_word_confidence"),
+        round_exact(F.col("coverage"), 6).alias("speech_coverage"),
+        round_exact(F.col("confidence"), 6).alias("average_word_confidence"),
         "adjacent_repeated_segments",
         "speaker_count",
         F.coalesce("overlap_seconds", F.lit(0.0)).alias("overlap_seconds"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stackroom.functions.dates import caption_time
+from stackroom.functions.numbers import fixed
 from stackroom.functions.text import stripped
 
 KEY = "recording_id"
@@ -34,10 +35,10 @@ def captions(segments: DataFrame) -> DataFrame:
 def rttm(diarization: DataFrame) -> DataFrame:
     """Speaker-turn line per diarization row."""
     line = F.format_string(
-        "SPEAKER %s 1 %.3f %.3f <NA> <NA> %s <NA> <NA>",
+        "SPEAKER %s 1 %s %s <NA> <NA> %s <NA> <NA>",
         F.col(KEY).cast("string"),
-        "start_s",
-        F.col("end_s") - F.col("start_s"),
+        fixed(F.col("start_s"), 3),
+        fixed(F.col("end_s") - F.col("start_s"), 3),
         "speaker",
     )
     return diarization.select(KEY, "segment", line.alias("line"))

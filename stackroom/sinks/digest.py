@@ -60,9 +60,8 @@ def timeline(records: DataFrame) -> DataFrame:
     return dated.select("date", "pos", line.alias("line")).orderBy("date", "pos")
 
 
-def citations(records: DataFrame, fallback_source: str) -> DataFrame:
-    """Reference line per record; ``fallback_source`` names the provider of records without a source."""
-    line = F.concat(
+def _citation(fallback_source: str) -> Column:
+    return F.concat(
         F.lit('- "'),
         "title",
         F.lit('" ('),
@@ -73,13 +72,18 @@ def citations(records: DataFrame, fallback_source: str) -> DataFrame:
         F.coalesce("source_url", F.lit(fallback_source)),
         F.lit(">"),
     )
-    return records.select("pos", "id", line.alias("line"))
+
+
+def citations(records: DataFrame, fallback_source: str) -> DataFrame:
+    """Reference line per record; ``fallback_source`` names the provider of records without a source."""
+    return records.select("pos", "id", _citation(fallback_source).alias("line"))
 
 
 def citation_rows(records: DataFrame, fallback_source: str) -> DataFrame:
     """Citations table: key (digest of the text), record, text, source."""
-    return citations(records, fallback_source).join(records.select("id", "source_url"), "id").select(
-        F.sha2("line", 256).alias("citation_key"), F.col("id").alias("record_id"), F.col("line").alias("citation_text"), "source_url"
+    line = _citation(fallback_source)
+    return records.select(
+        F.sha2(line, 256).alias("citation_key"), F.col("id").alias("record_id"), line.alias("citation_text"), "source_url"
     )
 
 
