@@ -1,6 +1,6 @@
 """Registered queries over the given tables, each with its SQL equivalent where SQL can state it."""
 
-from workload import search_queries  # noqa: F401
+from workload import archive_queries, identity_queries, search_queries  # noqa: F401
 from workload.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
