@@ -6,29 +6,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPLIT = float((1 << 27) + 1)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def round_exact(value: Column, digits: int) -> Column:
     """Nearest multiple of ``10**-digits``, ties to even; keeps the sign of zero."""
     scale = float(10**digits)
-    size = F.abs(value.cast("double"))
-    below = F.floor(size * scale).cast("double")
-    middle = (below + 0.5) / scale
-    # Sign of (middle * 2 * scale - (2 * below + 1)), with the product split so that no bit is lost.
-    spread = middle * SPLIT
-    high = spread - (spread - middle)
-    excess = (high * (2 * scale) - (2 * below + 1)) + (middle - high) * (2 * scale)
-    up = (
-        (size > middle)
-        | ((size == middle) & (excess > 0))
-        | ((size == middle) & (excess == 0) & (F.pmod(below, F.lit(2.0)) == 1))
+
+    def rounded(x: Column, below: Column) -> Column:
+        size, middle = F.abs(x), (below + 0.5) / scale
+        # Sign of (middle * 2 * scale - (2 * below + 1)), with the product split so that no bit is lost.
+        spread = middle * SPLIT
+        high = spread - (spread - middle)
+        excess = (high * (2 * scale) - (2 * below + 1)) + (middle - high) * (2 * scale)
+        up = (size > middle) | (
+            (size == middle) & ((excess > 0) | ((excess == 0) & (F.pmod(below, F.lit(2.0)) == 1)))
+        )
+        nearest = F.when(up, below + 1).otherwise(below) / scale
+        return F.when(x < 0, -nearest).when(x.isNotNull(), nearest)
+
+    return let(
+        value.cast("double"),
+        lambda x: let(F.floor(F.abs(x) * scale).cast("double"), lambda below: rounded(x, below)),
     )
-    rounded = F.when(up, below + 1).otherwise(below) / scale
-    return F.when(value < 0, -rounded).when(value.isNotNull(), rounded)
 
 
 def fixed(value: Column, digits: int) -> Column:

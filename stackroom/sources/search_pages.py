@@ -9,21 +9,22 @@ from pyspark.sql import functions as F
 
 from stackroom.model import FACETS, RECORD_FIELDS
 
-RAW_PAGE = "search STRUCT<result_count: BIGINT, results: ARRAY<STRING>, facets: MAP<STRING, MAP<STRING, BIGINT>>>"
+RAW_PAGE = "name STRING, search STRUCT<result_count: BIGINT, results: ARRAY<STRING>, facets: MAP<STRING, MAP<STRING, BIGINT>>>"
 QUARANTINE = "missing id or title"
 
 
-def _page_number(path: Column) -> Column:
-    return F.regexp_extract(path, r"(\d+)\.json$", 1).try_cast("bigint")
+def _page_number(name: Column) -> Column:
+    return F.regexp_extract(name, r"(\d+)(?:\.json)?$", 1).try_cast("bigint")
 
 
-def _raw_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """One row per page file; results stay JSON text so that unknown keys survive."""
-    return (
-        spark.read.schema(RAW_PAGE)
-        .json(path if isinstance(path, str) else list(path), multiLine=True)
-        .select("search.*", F.col("_metadata.file_path").alias("page_file"))
-        .withColumn("page", _page_number(F.col("page_file")))
+def _raw_pages(spark: SparkSession, path: str | Sequence[str], one_per_file: bool) -> DataFrame:
+    """One row per page; results stay JSON text so that unknown keys survive.
+
+    A page is a whole file (``page-000001.json``) or a line with its ``name``.
+    """
+    raw = spark.read.schema(RAW_PAGE).json(path if isinstance(path, str) else list(path), multiLine=one_per_file)
+    return raw.select("name", "search.*", F.col("_metadata.file_path").alias("page_file")).withColumn(
+        "page", F.coalesce(_page_number(F.col("name")), _page_number(F.col("page_file")))
     )
 
 
@@ -49,12 +50,12 @@ def _is_text(raw: Column, key: str) -> Column:
     )
 
 
-def read_search_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_search_pages(spark: SparkSession, path: str | Sequence[str], one_per_file: bool = True) -> DataFrame:
     """One row per result: page, position in the page, modelled columns and the open tail.
 
     Rows whose ``id`` or ``title`` is missing or not a string carry a reason in ``rejected``.
     """
-    rows = _raw_pages(spark, path).select("page_file", "page", F.posexplode("results").alias("page_pos", "raw"))
+    rows = _raw_pages(spark, path, one_per_file).select("page_file", "page", F.posexplode("results").alias("page_pos", "raw"))
     fit = _is_text(F.col("raw"), "id") & _is_text(F.col("raw"), "title")
     return rows.select(
         "page_file",
@@ -67,8 +68,8 @@ def read_search_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFra
     )
 
 
-def read_result_counts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return _raw_pages(spark, path).select("page_file", "page", "result_count")
+def read_result_counts(spark: SparkSession, path: str | Sequence[str], one_per_file: bool = True) -> DataFrame:
+    return _raw_pages(spark, path, one_per_file).select("page_file", "page", "result_count")
 
 
 def facet_rows(facets: DataFrame, column: str = "facets") -> DataFrame:
@@ -78,13 +79,13 @@ def facet_rows(facets: DataFrame, column: str = "facets") -> DataFrame:
     return fields.select(*kept, "field", F.explode("_terms").alias("term", "count"))
 
 
-def read_facet_map(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return facet_rows(_raw_pages(spark, path).select("page_file", "page", "facets"))
+def read_facet_map(spark: SparkSession, path: str | Sequence[str], one_per_file: bool = True) -> DataFrame:
+    return facet_rows(_raw_pages(spark, path, one_per_file).select("page_file", "page", "facets"))
 
 
-def read_detail_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_detail_records(spark: SparkSession, path: str | Sequence[str], one_per_file: bool = True) -> DataFrame:
     """``record`` envelopes; numeric ids become text."""
-    raw = spark.read.schema("record STRING").json(path if isinstance(path, str) else list(path), multiLine=True)
+    raw = spark.read.schema("record STRING").json(path if isinstance(path, str) else list(path), multiLine=one_per_file)
     values = _open_map(F.col("record"))
     return raw.select(
         F.trim(values["id"]).alias("id"),

@@ -1,6 +1,13 @@
 """Registered queries over the given tables, each with its SQL equivalent where SQL can state it."""
 
-from workload import archive_queries, identity_queries, search_queries  # noqa: F401
+from workload import (  # noqa: F401
+    archive_queries,
+    identity_queries,
+    media_queries,
+    search_queries,
+    sink_queries,
+    transcript_queries,
+)
 from workload.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

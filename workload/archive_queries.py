@@ -130,14 +130,9 @@ def child_record_id(spark, sf):
     )
 
 
-QUOTAS = {"src0": 7, "src1": 7, "src2": 6, "src3": 6}
-DISCOVERED = """quotas AS (SELECT * FROM (VALUES ('src0', 7), ('src1', 7), ('src2', 6), ('src3', 6)) q(name, quota)),
-known AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS id FROM events WHERE user_id % 2 = 0)"""
-
-
-def known_events(spark, sf):
-    """Events of the even-numbered users stand for the known log."""
-    return manifest_events(spark, sf).filter(F.col("record_id").cast("bigint") % 2 == 0)
+QUOTAS = {"src0": 41, "src1": 41, "src2": 40, "src3": 40}
+DISCOVERED = """quotas AS (SELECT * FROM (VALUES ('src0', 41), ('src1', 41), ('src2', 40), ('src3', 40)) q(name, quota)),
+known AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS id FROM events)"""
 
 
 @query(
@@ -149,7 +144,7 @@ def known_events(spark, sf):
 )
 def discover_new(spark, sf):
     quotas = archive.balanced_quotas(sum(QUOTAS.values()), list(QUOTAS))
-    return archive.discover_new(records(spark, sf), known_events(spark, sf), quotas, DOMAINS, url_columns=["object_url"])
+    return archive.discover_new(records(spark, sf), manifest_events(spark, sf), quotas, DOMAINS, url_columns=["object_url"])
 
 
 @query(
@@ -160,7 +155,7 @@ def discover_new(spark, sf):
         "SELECT id AS record_id, pos, primary_collection AS collection FROM ranked WHERE rank <= quota"),
 )
 def discover_new_refill(spark, sf):
-    found = archive.discover_new(records(spark, sf), known_events(spark, sf), QUOTAS, DOMAINS, refill=True, url_columns=["object_url"])
+    found = archive.discover_new(records(spark, sf), manifest_events(spark, sf), QUOTAS, DOMAINS, refill=True, url_columns=["object_url"])
     return found.select("record_id", "pos", "collection")
 
 

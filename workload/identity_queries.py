@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stackroom.functions.arrays import positional_similarity
 from stackroom.functions.dates import metadata_year, year_from_digits
 from stackroom.functions.urls import host_allowed, https_host
-from stackroom.operators import archive, dedup, enrichment
+from stackroom.operators import archive, dedup
 from stackroom.sources.tables import file_checksum, read_pages
 from workload.catalog import exact, query
 from workload.views import (
@@ -17,7 +17,6 @@ from workload.views import (
     RECORDS,
     manifest_events,
     records,
-    segments,
     sql,
     table,
 )
@@ -139,11 +138,6 @@ def distinct_entities(spark, sf):
     return dedup.distinct_entities(rows)
 
 
-@query("entity_candidates")
-def entity_candidates(spark, sf):
-    return enrichment.entity_candidates(segments(spark, sf))
-
-
 @query("file_checksum")
 def checksum(spark, sf):
     return file_checksum(spark, sf, "*.parquet").select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "length", "sha256")

@@ -212,10 +212,10 @@ def media_pages(spark: SparkSession, sf: str) -> DataFrame:
     url = F.when(n % 4 < 2, base).when(n % 4 == 2, F.col("url")).otherwise(
         F.concat(F.lit("https://media.example.org/story/"), text)
     )
-    own = F.concat(F.lit("<div media='{\"id\":"), text, F.lit(',"audioSrc":"https:\\/\\/cdn.example.com\\/'), text, F.lit(".mp3\"}'></div>"))
+    own = F.concat(F.lit("<div media='{\"id\":"), text, F.lit(',"audioSrc":"https://cdn.example.com/'), text, F.lit(".mp3\"}'></div>"))
     item = F.concat(
-        F.lit("<rnz-queue-media media='{\"id\":"), (n + 1000000).cast("string"),
-        F.lit(',"title":"Part","audioSrc":"https://cdn.example.org/'), text, F.lit(".mp3\"}'></rnz-queue-media>"),
+        F.lit("<rnz-queue-media media='{\"id\":\"m"), text,
+        F.lit('","title":"Part","audioSrc":"https://cdn.example.org/'), text, F.lit(".mp3\"}'></rnz-queue-media>"),
     )
     audio = F.concat(F.lit('<audio src="/files/'), text, F.lit('.ogg?x=1"></audio>'))
     extra = F.when(n % 4 == 0, own).when(n % 4 == 1, F.concat(item, item)).when(n % 4 == 3, audio).otherwise(F.lit(""))
