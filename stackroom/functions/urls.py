@@ -9,30 +9,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stackroom.fixed_values import MEDIA_EXTENSIONS
+from stackroom.functions.numbers import let
 
 HTTPS_HOST = r"^(?i:https)://(?:[^/?#@]*@)?([^/:?#]+)"
 
 
 def https_host(url: Column) -> Column:
     """Lower-case host without trailing dots; null unless the URL is https with a host."""
-    host = F.regexp_replace(F.lower(F.regexp_extract(F.trim(url), HTTPS_HOST, 1)), r"\.+$", "")
-    return F.when(host != "", host)
+    return F.nullif(F.regexp_replace(F.lower(F.regexp_extract(F.trim(url), HTTPS_HOST, 1)), r"\.+$", ""), F.lit(""))
 
 
 def host_allowed(url: Column, domains: Iterable[str]) -> Column:
     """Host equals or lies under an allowed domain; null when the URL is not usable."""
-    host = https_host(url)
     names = sorted({d.rstrip(".").lower() for d in domains})
-    return reduce(
-        lambda a, b: a | b,
-        [(host == d) | F.endswith(host, F.lit("." + d)) for d in names],
-        host.isNull() & F.lit(False),
-    )
+
+    def under(host: Column) -> Column:
+        tests = [(host == d) | F.endswith(host, F.lit("." + d)) for d in names]
+        return F.when(host.isNotNull(), reduce(lambda a, b: a | b, tests, F.lit(False)))
+
+    return let(https_host(url), under)
 
 
 def has_media_extension(path: Column) -> Column:
-    lower = F.lower(path)
-    return reduce(lambda a, b: a | b, [F.endswith(lower, F.lit(x)) for x in MEDIA_EXTENSIONS])
+    return path.rlike(rf"(?i)(?:{'|'.join(x.replace('.', '[.]') for x in MEDIA_EXTENSIONS)})$")
 
 
 def url_path(url: Column) -> Column:
@@ -64,6 +63,10 @@ def _without_dot_segments(path: Column) -> Column:
 
 def joined_url(base: Column, link: Column) -> Column:
     """Absolute form of a link found on the page ``base``."""
+    return let(link, lambda x: _joined(base, x))
+
+
+def _joined(base: Column, link: Column) -> Column:
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     path = url_path(base)
@@ -83,14 +86,16 @@ def joined_url(base: Column, link: Column) -> Column:
     )
 
 
-ATTRIBUTE = r"""([^\s=>"'/]+)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+ATTRIBUTE = r"""[^\s=>"'/]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+)"""
 
 
-def attribute(tag: Column, name: str) -> Column:
-    """Decoded value of an attribute of one tag; the last one wins; null when absent."""
-    pairs = F.arrays_zip(
-        F.transform(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(1)), F.lower).alias("name"),
-        F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(2)).alias("value"),
-    )
-    found = F.try_element_at(F.filter(pairs, lambda p: p["name"] == name), F.lit(-1))["value"]
-    return unescaped(F.regexp_replace(found, r"""(?s)^(["'])(.*)\1$""", "$2"))
+def attributes(tag: Column) -> Column:
+    """``name=value`` parts of one tag."""
+    return F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(0))
+
+
+def attribute(parts: Column, name: str) -> Column:
+    """Decoded value of a named attribute out of :func:`attributes`; the last one wins; null when absent."""
+    named = F.filter(parts, lambda p: p.rlike(rf"^(?i:{name})\s*="))
+    value = F.regexp_replace(F.try_element_at(named, F.lit(-1)), r"^[^=]*=\s*", "")
+    return unescaped(F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2"))

@@ -58,10 +58,8 @@ def search_entries(segments: DataFrame) -> DataFrame:
 def language_signals(segments: DataFrame) -> DataFrame:
     """Segments with words that ask for a language review."""
     lower = F.lower(stripped(F.col("text")))
-    words = F.split(F.regexp_replace(lower, r"[^\p{L}\p{N}_']+", " "), " ")
-    signals = flags(
-        (F.arrays_overlap(words, F.lit(list(MAORI_TERMS))), MAORI_SIGNAL), (any_term(lower, PACIFIC_TERMS), PACIFIC_SIGNAL)
-    )
+    maori = lower.rlike(rf"(?<!{WORD}|')(?:{'|'.join(MAORI_TERMS)})(?!{WORD}|')")
+    signals = flags((maori, MAORI_SIGNAL), (any_term(lower, PACIFIC_TERMS), PACIFIC_SIGNAL))
     found = segments.select(KEY, "segment", F.col("start_s").alias("start"), signals.alias("signals"))
     return found.filter(F.size("signals") > 0)
 
@@ -81,17 +79,13 @@ def chapter_summaries(segments: DataFrame) -> DataFrame:
         KEY, "chapter", "start", F.col("next.start").alias("end")
     )
     cited = first_in_spans(spans, entries, KEY, "chapter", "start", "end", "at", "segment")
-    return (
-        cited.join(entries, [KEY, "segment"])
-        .join(spans.select(KEY, "chapter", "start"), [KEY, "chapter"])
-        .select(
-            KEY,
-            "chapter",
-            "start",
-            F.substring("text", 1, SUMMARY_CHARS).alias("text"),
-            F.array("segment").alias("cited_segments"),
-            F.lit("first_transcript_segment_v1").alias("method"),
-        )
+    return cited.join(entries, [KEY, "segment"]).select(
+        KEY,
+        "chapter",
+        "start",
+        F.substring("text", 1, SUMMARY_CHARS).alias("text"),
+        F.array("segment").alias("cited_segments"),
+        F.lit("first_transcript_segment_v1").alias("method"),
     )
 
 

@@ -58,7 +58,7 @@ def _repeat(norm: Column, before: Column) -> Column:
 
 
 def _marker_count(norm: Column) -> Column:
-    return F.size(F.filter(F.split(norm, " "), lambda w: w.isin(*MAORI_TERMS)))
+    return F.regexp_count(norm, F.lit(rf"(?<!\S)(?:{'|'.join(MAORI_TERMS)})(?!\S)"))
 
 
 def _opens_chapter() -> Column:

@@ -28,7 +28,7 @@ def first_in_spans(
     spans: DataFrame, points: DataFrame, key: str, span: str, start: str, end: str, at: str, value: str,
     cell: float = 300.0,
 ) -> DataFrame:
-    """Smallest ``value`` among the points of the key with ``start <= at < end``, per span.
+    """Smallest ``value`` among the points of the key with ``start <= at < end``, per (key, span, start).
 
     ``spans`` has finite or null (open) ends. Points are pre-aggregated per position, so repeated
     positions and long recordings stay spread over (key, cell).
@@ -44,4 +44,4 @@ def first_in_spans(
         .withColumn("_cell", F.explode(F.sequence(first, last)))
     )
     inside = (F.col(at) >= F.col(start)) & (F.col(end).isNull() | (F.col(at) < F.col(end)))
-    return cells.join(lowest, [key, "_cell"]).filter(inside).groupBy(key, span).agg(F.min(value).alias(value))
+    return cells.join(lowest, [key, "_cell"]).filter(inside).groupBy(key, span, start).agg(F.min(value).alias(value))
