@@ -35,6 +35,7 @@ from stackroom.functions.text import (
 from stackroom.operators.transcript import chapters
 from stackroom.plans.blocks import with_next
 from stackroom.plans.intervals import first_in_spans
+from stackroom.runtime import materialised
 
 KEY = "recording_id"
 WORD = r"[\p{L}\p{N}_]"
@@ -72,10 +73,14 @@ def entity_candidates(segments: DataFrame) -> DataFrame:
 
 
 def chapter_summaries(segments: DataFrame) -> DataFrame:
-    """First segment with text, in list order, that starts inside each chapter."""
+    """First segment with text, in list order, that starts inside each chapter.
+
+    The short chapter table is checkpointed, so that the pass along the recordings runs once.
+    """
     entries = segments.select(KEY, "segment", F.col("start_s").alias("at"), stripped(F.col("text")).alias("text"))
     entries = entries.filter(F.col("text") != "")
-    spans = with_next(chapters(segments), KEY, "chapter", [F.col("start")]).select(
+    starts = materialised(chapters(segments).select(KEY, "chapter", "start"))
+    spans = with_next(starts, KEY, "chapter", {"start": F.col("start")}).select(
         KEY, "chapter", "start", F.col("next.start").alias("end")
     )
     cited = first_in_spans(spans, entries, KEY, "chapter", "start", "end", "at", "segment")

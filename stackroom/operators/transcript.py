@@ -21,22 +21,16 @@ from stackroom.fixed_values import (
 )
 from stackroom.functions.arrays import flags
 from stackroom.functions.numbers import round_exact
-from stackroom.functions.text import any_term, stripped, word_text
-from stackroom.plans.blocks import with_peak_before, with_position, with_previous
+from stackroom.functions.text import SPACE, any_term, stripped, word_text
+from stackroom.plans.blocks import long_keys, with_peak_before, with_position, with_previous
 
 KEY = "recording_id"
 # Every term has at most one separator inside, so a match touches at most two neighbouring segments.
 BORDER_CHARS = max(len(t) for group in (TOPIC_TERMS, SENSITIVE_TERMS) for terms in group.values() for t in terms)
 
 
-def spoken_segments(segments: DataFrame) -> DataFrame:
-    """Segments with text, their word form, and the word form and end of the spoken segment before."""
-    spoken = (
-        segments.withColumn("clean", stripped(F.col("text")))
-        .filter(F.col("clean") != "")
-        .withColumn("norm", word_text(F.col("text")))
-    )
-    return with_previous(spoken, KEY, "segment", [F.col("norm"), F.col("end_s")])
+def _spoken(segments: DataFrame) -> DataFrame:
+    return segments.filter(F.col("text").rlike(rf"(?U)[^{SPACE[1:-1]}]"))
 
 
 def _border(spoken_norm: Column, before: Column) -> Column:
@@ -62,7 +56,7 @@ def _marker_count(norm: Column) -> Column:
 
 
 def _opens_chapter() -> Column:
-    return F.col("prev").isNull() | (F.col("start_s") - F.col("prev.end_s") >= CHAPTER_GAP_SECONDS)
+    return F.col("prev").isNull() | (F.col("start_s") - F.col("prev.ended") >= CHAPTER_GAP_SECONDS)
 
 
 def _score_sum(words: Column) -> Column:
@@ -74,21 +68,32 @@ def _score_count(words: Column) -> Column:
 
 
 def spoken_metrics(segments: DataFrame) -> DataFrame:
-    """All per-recording measures of the spoken segments in one aggregation."""
-    spoken = spoken_segments(segments)
-    norm, before = F.col("norm"), F.col("prev.norm")
-    spoken = spoken.withColumn("_topic_text", _border(norm, before)).withColumn(
-        "_signal_text", _padded_border(norm, before)
-    )
+    """All per-recording measures of the spoken segments, from one pass along each recording.
+
+    Word lists are reduced to sums before the rows are shuffled.
+    """
     words = F.coalesce("words", F.expr("array()").cast("array<struct<word:string,score:double>>"))
-    topics = [F.bool_or(any_term(F.col("_topic_text"), t)).alias(f"topic_{name}") for name, t in TOPIC_TERMS.items()]
+    rows = _spoken(segments).select(
+        KEY,
+        "segment",
+        "start_s",
+        "end_s",
+        "text",
+        F.greatest(F.col("end_s") - F.col("start_s"), F.lit(0.0)).alias("speech"),
+        _score_sum(words).alias("score_sum"),
+        _score_count(words).alias("score_count"),
+    )
+    spoken = with_previous(rows, KEY, "segment", {"norm": word_text(F.col("text")), "ended": F.col("end_s")})
+    norm, before = F.col("norm"), F.col("prev.norm")
+    spoken = spoken.withColumns({"topic_text": _border(norm, before), "signal_text": _padded_border(norm, before)})
+    topics = [F.bool_or(any_term(F.col("topic_text"), t)).alias(f"topic_{name}") for name, t in TOPIC_TERMS.items()]
     signals = [
-        F.bool_or(any_term(F.col("_signal_text"), t)).alias(f"signal_{name}") for name, t in SENSITIVE_TERMS.items()
+        F.bool_or(any_term(F.col("signal_text"), t)).alias(f"signal_{name}") for name, t in SENSITIVE_TERMS.items()
     ]
     return spoken.groupBy(KEY).agg(
-        F.sum(F.greatest(F.col("end_s") - F.col("start_s"), F.lit(0.0))).alias("speech_seconds"),
-        F.sum(_score_sum(words)).alias("score_sum"),
-        F.sum(_score_count(words)).alias("score_count"),
+        F.sum("speech").alias("speech_seconds"),
+        F.sum("score_sum").alias("score_sum"),
+        F.sum("score_count").alias("score_count"),
         F.count_if(_repeat(norm, before)).alias("adjacent_repeated_segments"),
         F.count_if(_opens_chapter()).alias("chapter_count"),
         F.sum(_marker_count(norm)).alias("maori_marker_count"),
@@ -108,8 +113,7 @@ def _confidence() -> Column:
 
 def speech_coverage(segments: DataFrame, durations: DataFrame) -> DataFrame:
     """Share of the duration covered by spoken segments, at most 1."""
-    spoken = segments.filter(stripped(F.col("text")) != "")
-    seconds = spoken.groupBy(KEY).agg(
+    seconds = _spoken(segments).groupBy(KEY).agg(
         F.sum(F.greatest(F.col("end_s") - F.col("start_s"), F.lit(0.0))).alias("speech_seconds")
     )
     return durations.join(seconds, KEY, "left").select(KEY, round_exact(_coverage(), 6).alias("speech_coverage"))
@@ -117,15 +121,16 @@ def speech_coverage(segments: DataFrame, durations: DataFrame) -> DataFrame:
 
 def word_confidence(segments: DataFrame) -> DataFrame:
     """Mean word score per recording; null without scores."""
-    words = segments.filter(stripped(F.col("text")) != "").groupBy(KEY).agg(
+    words = _spoken(segments).groupBy(KEY).agg(
         F.sum(_score_sum(F.col("words"))).alias("score_sum"), F.sum(_score_count(F.col("words"))).alias("score_count")
     )
     return words.select(KEY, round_exact(_confidence(), 6).alias("average_word_confidence"))
 
 
 def adjacent_repeats(segments: DataFrame) -> DataFrame:
+    spoken = with_previous(_spoken(segments), KEY, "segment", {"norm": word_text(F.col("text"))})
     repeat = _repeat(F.col("norm"), F.col("prev.norm"))
-    return spoken_segments(segments).groupBy(KEY).agg(F.count_if(repeat).alias("adjacent_repeated_segments"))
+    return spoken.groupBy(KEY).agg(F.count_if(repeat).alias("adjacent_repeated_segments"))
 
 
 def speaker_count(diarization: DataFrame) -> DataFrame:
@@ -175,14 +180,17 @@ def section_hints(segments: DataFrame) -> DataFrame:
 
 def chapters(segments: DataFrame) -> DataFrame:
     """Chapter starts: the first spoken segment and every one after a long pause, numbered from 0."""
-    found = spoken_segments(segments).filter(_opens_chapter()).select(
+    rows = _spoken(segments).select(
+        KEY, "segment", "start_s", "end_s", F.substring(stripped(F.col("text")), 1, CHAPTER_TITLE_CHARS).alias("title")
+    )
+    found = with_previous(rows, KEY, "segment", {"ended": F.col("end_s")}).filter(_opens_chapter()).select(
         KEY,
         "segment",
         F.col("start_s").alias("start"),
-        F.substring("clean", 1, CHAPTER_TITLE_CHARS).alias("title"),
+        "title",
         F.when(F.col("prev").isNull(), "recording_start").otherwise("speech_after_pause").alias("basis"),
     )
-    return with_position(found, KEY, "segment", "chapter")
+    return with_position(found, KEY, "segment", "chapter", long_keys(segments, KEY, "segment"))
 
 
 def _quality_flags() -> Column:

@@ -166,7 +166,7 @@ def source_url_pick(spark, sf):
     return records(spark, sf).select("id", archive.allowlisted_source(urls, DOMAINS).alias("source"))
 
 
-@query("read_pages", "SELECT page_id, url, length(html) AS chars, md5(html) AS digest FROM pages")
+@query("read_pages", "SELECT page_id, url, CAST(length(html) AS INT) AS chars, md5(html) AS digest FROM pages")
 def pages_scan(spark, sf):
     return read_pages(spark, f"{sf}/pages.parquet").select("page_id", "url", F.length("html").alias("chars"), F.md5("html").alias("digest"))
 

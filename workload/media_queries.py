@@ -205,7 +205,7 @@ def avg_similarity(spark, sf):
     return found.withColumn("average_similarity", F.round("average_similarity", 6))
 
 
-@query("read_star_csv", sql(RECORDS, STAR, "SELECT s.id, s.title, length(r.description) AS chars, s.content_partner, s.category, s.year FROM star s JOIN records r USING (id)"))
+@query("read_star_csv", sql(RECORDS, STAR, "SELECT s.id, s.title, CAST(length(r.description) AS INT) AS chars, s.content_partner, s.category, s.year FROM star s JOIN records r USING (id)"))
 def star_round_trip(spark, sf):
     """The Records table written as CSV parts and read back with its types."""
     path = scratch_path(spark, "star")

@@ -113,7 +113,7 @@ def facet_sql(source: str) -> str:
 
 
 FACETS = ("category", "content_partner", "year", "usage")
-RANKED = "ranked AS (SELECT *, row_number() OVER (PARTITION BY field ORDER BY count DESC, term) AS rank FROM facets)"
+RANKED = "ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY field ORDER BY count DESC, term) AS INT) AS rank FROM facets)"
 
 
 @query("facet_counts", sql(RECORDS, facet_sql("records"), "SELECT * FROM facets"))

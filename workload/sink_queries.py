@@ -163,7 +163,7 @@ def saved_pages(spark, sf) -> str:
     return path
 
 
-@query("read_search_pages", sql(RECORDS, "SELECT pos // 100 + 1 AS page, pos % 100 AS page_pos, id, title, length(description) AS chars, array_to_string(category, '|') AS category, len(date) AS dates FROM records"))
+@query("read_search_pages", sql(RECORDS, "SELECT pos // 100 + 1 AS page, pos % 100 AS page_pos, id, title, CAST(length(description) AS INT) AS chars, array_to_string(category, '|') AS category, len(date) AS dates FROM records"))
 def pages_round_trip(spark, sf):
     rows = search_pages.read_search_pages(spark, saved_pages(spark, sf), one_per_file=False)
     return rows.filter(F.col("rejected").isNull()).select(
