@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from stackroom.functions.numbers import let
+
 # Unicode white space plus the four ASCII separators.
 SPACE = r"[\s\x1c-\x1f]"
 
@@ -37,13 +39,14 @@ def title_key(title: Column) -> Column:
 
 def any_term(text: Column, terms: Iterable[str]) -> Column:
     """True when one of the fixed terms occurs as a substring."""
-    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(term)) for term in terms])
+    wanted = [F.lit(term) for term in terms]
+    return let(text, lambda t: reduce(lambda a, b: a | b, [F.contains(t, term) for term in wanted]))
 
 
 def token_text_match(haystack: Column, query: str) -> Column:
     """Every white-space token of the query occurs; an empty query or ``*`` matches all."""
-    tokens = [] if query.strip() in ("", "*") else query.lower().split()
-    return reduce(lambda a, b: a & b, [F.contains(haystack, F.lit(t)) for t in tokens], F.lit(True))
+    tokens = [] if query.strip() in ("", "*") else [F.lit(t) for t in query.lower().split()]
+    return let(haystack, lambda h: reduce(lambda a, b: a & b, [F.contains(h, t) for t in tokens])) if tokens else F.lit(True)
 
 
 # Sound group of each letter A-Z; 0 separates equal neighbours.
@@ -85,6 +88,10 @@ def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([ratio(a, b) for a, b in zip(left, right)], dtype="float64")
 
 
+# Keeps the optimizer from copying the call into pushed-down filters.
+sequence_ratio = sequence_ratio.asNondeterministic()
+
+
 def ratio_bound(left: Column, right: Column) -> Column:
     """Upper bound of :func:`sequence_ratio`: the shorter text can match in full at most."""
     a, b = F.length(left), F.length(right)

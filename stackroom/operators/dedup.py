@@ -12,6 +12,7 @@ from stackroom.functions.text import title_key
 from stackroom.plans.bands import similar_codes
 from stackroom.plans.order import top_per_key
 from stackroom.plans.skew import join_per_key
+from stackroom.runtime import materialised
 
 
 def dedup_by_title(df: DataFrame, title: str = "title", pos: str = "pos") -> DataFrame:
@@ -79,8 +80,10 @@ def similarity_candidates(
     """Per item (latest processed row of a record): the earliest similar item before it, and the review flag.
 
     Only the first record of each similar group matters: if it precedes the item, the item has a
-    candidate. Identical copies are never paired with each other.
+    candidate. Identical copies are never paired with each other. The items are checkpointed, as they
+    are a log state that several steps read.
     """
+    items = materialised(items)
     groups = fingerprint_groups(items, code, record, pos)
     heads = groups.select(F.col(code).alias("similar"), "first_pos", "first_record")
     earliest = (

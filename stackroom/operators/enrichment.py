@@ -59,7 +59,8 @@ def search_entries(segments: DataFrame) -> DataFrame:
 def language_signals(segments: DataFrame) -> DataFrame:
     """Segments with words that ask for a language review."""
     lower = F.lower(stripped(F.col("text")))
-    maori = lower.rlike(rf"(?<!{WORD}|')(?:{'|'.join(MAORI_TERMS)})(?!{WORD}|')")
+    words = F.concat(F.lit(" "), F.regexp_replace(lower, r"[^\p{L}\p{N}_']+", " "), F.lit(" "))
+    maori = any_term(words, [f" {term} " for term in MAORI_TERMS])
     signals = flags((maori, MAORI_SIGNAL), (any_term(lower, PACIFIC_TERMS), PACIFIC_SIGNAL))
     found = segments.select(KEY, "segment", F.col("start_s").alias("start"), signals.alias("signals"))
     return found.filter(F.size("signals") > 0)
@@ -115,9 +116,10 @@ def corrections(
     )
     if not dictionary:
         return rows.limit(0).withColumns({"corrected": F.col("original"), "corrections": F.array()})
-    any_source = "|".join(_whole_word(s) for s in dictionary)
+    # A plain substring test, in folded case, leaves few rows for the patterns.
+    mentioned = any_term(F.lower(F.upper("original")), dict.fromkeys(s.lower() for s in dictionary))
     return (
-        rows.filter(F.col("original").rlike(any_source))
+        rows.filter(mentioned)
         .withColumns({"corrected": state, "corrections": F.array_compact(F.array(*applied))})
         .filter(F.col("corrected") != F.col("original"))
         .withColumn("confidence", F.lit("review_required"))

@@ -158,12 +158,13 @@ class SearchQuery:
 
     def matching(self, df: DataFrame) -> DataFrame:
         """All matching rows, unsorted."""
-        found = filter_or(search_text(df, self.text), self.or_filters)
+        found = geo_bbox(df, *self.bbox) if self.bbox else df
         for name, values in self.and_filters.items():
             found = filter_and(found, name, values)
         for name, values in self.without_filters.items():
             found = filter_without(found, name, values)
-        return geo_bbox(found, *self.bbox) if self.bbox else found
+        # The text test is the dearest and comes last.
+        return search_text(filter_or(found, self.or_filters), self.text)
 
     def count(self, df: DataFrame) -> DataFrame:
         return self.matching(df).agg(F.count(F.lit(1)).alias("result_count"))

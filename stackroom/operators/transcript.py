@@ -20,7 +20,7 @@ from stackroom.fixed_values import (
     TOPIC_TERMS,
 )
 from stackroom.functions.arrays import flags
-from stackroom.functions.numbers import round_exact
+from stackroom.functions.numbers import let, round_exact
 from stackroom.functions.text import SPACE, any_term, stripped, word_text
 from stackroom.plans.blocks import long_keys, with_peak_before, with_position, with_previous
 
@@ -33,26 +33,32 @@ def _spoken(segments: DataFrame) -> DataFrame:
     return segments.filter(F.col("text").rlike(rf"(?U)[^{SPACE[1:-1]}]"))
 
 
-def _border(spoken_norm: Column, before: Column) -> Column:
-    """The words of a segment behind the tail of the segment before it.
+def _digest(norm: Column) -> Column:
+    return F.when(norm != "", F.sha2(norm, 256))
 
-    The joined text of a recording is never built; a term that crosses a segment border shows up here.
+
+def _border_parts(norm: Column) -> dict[str, Column]:
+    """What the neighbours and the repeat test need of a segment, instead of its whole words.
+
+    A term that crosses a segment border lies in the tail of one segment and the head of the next.
     """
-    tail = F.substr(before, F.greatest(F.length(before) - (BORDER_CHARS - 1), F.lit(1)))
-    return F.coalesce(F.concat(tail, F.lit(" "), spoken_norm), spoken_norm)
+    return {
+        "digest": _digest(norm),
+        "head": F.substring(norm, 1, BORDER_CHARS),
+        "tail": F.substring(norm, -BORDER_CHARS, BORDER_CHARS),
+    }
 
 
-def _padded_border(norm: Column, before: Column) -> Column:
-    lead = F.when(F.length(before) > BORDER_CHARS, F.lit("")).otherwise(F.lit(" "))
-    return F.concat(lead, _border(norm, before), F.lit(" "))
+def _repeated() -> Column:
+    return F.coalesce(F.col("digest") == F.col("prev.digest"), F.lit(False))
 
 
-def _repeat(norm: Column, before: Column) -> Column:
-    return (norm != "") & (norm == before)
+def _crossing(tests: Column) -> Column:
+    return F.coalesce(tests, F.lit(False))
 
 
 def _marker_count(norm: Column) -> Column:
-    return F.regexp_count(norm, F.lit(rf"(?<!\S)(?:{'|'.join(MAORI_TERMS)})(?!\S)"))
+    return F.size(F.filter(F.split(norm, " "), lambda word: word.isin(*MAORI_TERMS)))
 
 
 def _opens_chapter() -> Column:
@@ -70,7 +76,7 @@ def _score_count(words: Column) -> Column:
 def spoken_metrics(segments: DataFrame) -> DataFrame:
     """All per-recording measures of the spoken segments, from one pass along each recording.
 
-    Word lists are reduced to sums before the rows are shuffled.
+    Texts and word lists are reduced to label tests, border parts and sums before the rows are shuffled.
     """
     words = F.coalesce("words", F.expr("array()").cast("array<struct<word:string,score:double>>"))
     rows = _spoken(segments).select(
@@ -83,20 +89,39 @@ def spoken_metrics(segments: DataFrame) -> DataFrame:
         _score_sum(words).alias("score_sum"),
         _score_count(words).alias("score_count"),
     )
-    spoken = with_previous(rows, KEY, "segment", {"norm": word_text(F.col("text")), "ended": F.col("end_s")})
-    norm, before = F.col("norm"), F.col("prev.norm")
-    spoken = spoken.withColumns({"topic_text": _border(norm, before), "signal_text": _padded_border(norm, before)})
-    topics = [F.bool_or(any_term(F.col("topic_text"), t)).alias(f"topic_{name}") for name, t in TOPIC_TERMS.items()]
+    own = rows.withColumn("norm", word_text(F.col("text"))).withColumn("padded", F.concat(F.lit(" "), "norm", F.lit(" ")))
+    own = own.withColumns(
+        {
+            "markers": _marker_count(F.col("norm")),
+            **{f"topic_{name}": any_term(F.col("norm"), terms) for name, terms in TOPIC_TERMS.items()},
+            **{f"signal_{name}": any_term(F.col("padded"), terms) for name, terms in SENSITIVE_TERMS.items()},
+            **_border_parts(F.col("norm")),
+            "ended": F.col("end_s"),
+        }
+    )
+    at_border = {**_border_parts(word_text(F.col("text"))), "ended": F.col("end_s")}
+    spoken = with_previous(own, KEY, "segment", at_border, source=rows)
+    # A cut-off part continues beyond its edge, so no separator may stand there.
+    lead = F.when(F.length("prev.tail") < BORDER_CHARS, F.lit(" ")).otherwise(F.lit(""))
+    close = F.when(F.length("head") < BORDER_CHARS, F.lit(" ")).otherwise(F.lit(""))
+    spoken = spoken.withColumn("border", F.concat("prev.tail", F.lit(" "), "head")).withColumn(
+        "padded_border", F.concat(lead, "border", close)
+    )
+    topics = [
+        F.bool_or(F.col(f"topic_{n}") | _crossing(any_term(F.col("border"), t))).alias(f"topic_{n}")
+        for n, t in TOPIC_TERMS.items()
+    ]
     signals = [
-        F.bool_or(any_term(F.col("signal_text"), t)).alias(f"signal_{name}") for name, t in SENSITIVE_TERMS.items()
+        F.bool_or(F.col(f"signal_{n}") | _crossing(any_term(F.col("padded_border"), t))).alias(f"signal_{n}")
+        for n, t in SENSITIVE_TERMS.items()
     ]
     return spoken.groupBy(KEY).agg(
         F.sum("speech").alias("speech_seconds"),
         F.sum("score_sum").alias("score_sum"),
         F.sum("score_count").alias("score_count"),
-        F.count_if(_repeat(norm, before)).alias("adjacent_repeated_segments"),
+        F.count_if(_repeated()).alias("adjacent_repeated_segments"),
         F.count_if(_opens_chapter()).alias("chapter_count"),
-        F.sum(_marker_count(norm)).alias("maori_marker_count"),
+        F.sum("markers").alias("maori_marker_count"),
         *topics,
         *signals,
     )
@@ -128,9 +153,9 @@ def word_confidence(segments: DataFrame) -> DataFrame:
 
 
 def adjacent_repeats(segments: DataFrame) -> DataFrame:
-    spoken = with_previous(_spoken(segments), KEY, "segment", {"norm": word_text(F.col("text"))})
-    repeat = _repeat(F.col("norm"), F.col("prev.norm"))
-    return spoken.groupBy(KEY).agg(F.count_if(repeat).alias("adjacent_repeated_segments"))
+    rows = _spoken(segments).select(KEY, "segment", "text")
+    spoken = with_previous(rows, KEY, "segment", {"digest": let(word_text(F.col("text")), _digest)})
+    return spoken.groupBy(KEY).agg(F.count_if(_repeated()).alias("adjacent_repeated_segments"))
 
 
 def speaker_count(diarization: DataFrame) -> DataFrame:

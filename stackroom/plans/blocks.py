@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 1_000_000
+BLOCK_ROWS = 200_000
 EARLIER = (Window.unboundedPreceding, -1)
 
 
@@ -27,22 +27,25 @@ def with_previous(
     values: Mapping[str, Column],
     name: str = "prev",
     block_rows: int = BLOCK_ROWS,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add the ``values`` as columns, and those of the preceding row of the key as a struct (null on the first).
 
     ``order`` is a position, unique per key; gaps are allowed. The values at block borders are computed
     for the border rows only; there is at most one border per ``block_rows`` positions, which bounds the
-    broadcast.
+    broadcast. When ``df`` holds the values already, ``source`` is the table to compute them from there.
     """
+    source = df if source is None else source
     blocked = df.withColumn("_block", _block(order, block_rows))
-    ends = blocked.groupBy(key, "_block").agg(F.max(order).alias(order))
+    ends = source.groupBy(key, _block(order, block_rows).alias("_block")).agg(F.max(order).alias(order))
     following = F.lead("_block").over(Window.partitionBy(key).orderBy("_block"))
     borders = ends.select(key, order, following.alias("_block")).filter(F.col("_block").isNotNull())
-    carry = df.join(F.broadcast(borders), [key, order]).select(
+    carry = source.join(F.broadcast(borders), [key, order]).select(
         key, "_block", F.struct(*[v.alias(n) for n, v in values.items()]).alias("_carry")
     )
     inside = Window.partitionBy(key, "_block").orderBy(order)
-    local = blocked.withColumns(dict(values)).withColumn("_lag", F.lag(F.struct(*values)).over(inside))
+    missing = {n: v for n, v in values.items() if n not in df.columns}
+    local = blocked.withColumns(missing).withColumn("_lag", F.lag(F.struct(*values)).over(inside))
     return (
         local.join(carry, [key, "_block"], "left")
         .withColumn(name, F.coalesce("_lag", "_carry"))

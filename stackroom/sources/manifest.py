@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stackroom.model import MANIFEST_EVENT
 
@@ -32,7 +33,8 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.coalesce(F.sum("_lines").over(overall), F.lit(0)).alias("_offset"),
     )
     place = F.col("_mark") - F.col("_first")
-    return lines.join(placed, ["file", "_start"]).select(
+    # One row per split of the log: bounded by its size over spark.sql.files.maxPartitionBytes.
+    return lines.join(F.broadcast(placed), ["file", "_start"]).select(
         "file",
         (F.col("_before") + place + 1).alias("line"),
         (F.col("_offset") + place).alias("pos"),
@@ -41,19 +43,21 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def parse_events(lines: DataFrame) -> DataFrame:
-    """Typed events per non-blank line; lines that are no JSON object have ``malformed`` set."""
-    schema = MANIFEST_EVENT.simpleString()[len("struct<") : -1] + ",_corrupt_record:string"
+    """Typed events per non-blank line; ``malformed`` marks lines that are not exactly one JSON object.
+
+    The line is read as the only element of a list, as a plain read would accept text after an object.
+    """
     kept = lines.filter(F.regexp_replace("value", r"(?U)\s+", "") != "")
-    parsed = kept.withColumn(
-        "_event", F.from_json("value", f"struct<{schema}>", {"columnNameOfCorruptRecord": "_corrupt_record"})
-    )
+    listed = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), T.ArrayType(MANIFEST_EVENT), {"allowSingleQuotes": "false"})
+    parsed = kept.withColumn("_events", listed).withColumn("_event", F.get("_events", F.lit(0)))
+    single = F.coalesce(F.size("_events") == 1, F.lit(False)) & F.col("_event").isNotNull()
     return parsed.select(
         "file",
         "line",
         "pos",
         *[F.col(f"_event.{name}").alias(name) for name in MANIFEST_EVENT.names],
         F.col("value").alias("raw"),
-        (F.col("_event").isNull() | F.try_parse_json("value").isNull()).alias("malformed"),
+        (~single).alias("malformed"),
     )
 
 

@@ -73,7 +73,7 @@ def reference_labels(texts):
 
 def random_segments(seed, recordings=40):
     rng = random.Random(seed)
-    pool = ["te", "tiriti", "mp", "xmp", "foreign", "affairs", "call", "us", "school", "student", "family", "violence", "...", "caller", "xcaller", "political", "party", "x" * 30, "", " ", "child", "Te", "TIRITI", "unchild"]
+    pool = ["te", "tiriti", "mp", "xmp", "foreign", "affairs", "call", "us", "school", "student", "family", "violence", "...", "caller", "xcaller", "political", "party", "x" * 30, "", " ", "child", "Te", "TIRITI", "unchild", "callers", "aaaaaaaaaa callers x", "violences", "aaaaaaaaa call", "us aaaaaaaaaaaaaaaaaa", "aaaaaaaaaaaaaaaaaaaaaa family"]
     rows = []
     for r in range(recordings):
         for p in range(rng.randrange(0, 9)):
@@ -88,7 +88,7 @@ def test_labels_across_borders_equal_the_joined_text(spark, monkeypatch, block_r
         plain = getattr(blocks, name)
         monkeypatch.setattr(transcript, name, lambda *a, _f=plain, **k: _f(*a, **{**k, "block_rows": block_rows}))
     monkeypatch.setattr(transcript, "long_keys", lambda d, k, o: blocks.long_keys(d, k, o, block_rows))
-    rows = random_segments(8)
+    rows = random_segments(8, 120)
     df = spark.createDataFrame(rows, SCHEMA)
     topics = {r["recording_id"]: r["topics"] for r in transcript.topic_tags(df).collect()}
     signals = {r["recording_id"]: r["sensitive_review_signals"] for r in transcript.sensitive_signals(df).collect()}

@@ -30,7 +30,7 @@ STATE = ("record_id", "pos", "event_id", "event", "retry_count", "review_require
 
 @query("latest_by_record", sql(EVENTS, LATEST, f"SELECT {', '.join(STATE)} FROM latest"))
 def latest_by_record(spark, sf):
-    return archive.latest_by_record(manifest_events(spark, sf)).select(*STATE)
+    return archive.latest_by_record(manifest_events(spark, sf).select(*STATE))
 
 
 @query(
@@ -39,7 +39,7 @@ def latest_by_record(spark, sf):
         "SELECT record_id, first_pos, event, pos FROM latest JOIN firsts USING (record_id) WHERE event IN ('discovered', 'retry') ORDER BY first_pos LIMIT 5"),
 )
 def pending_work(spark, sf):
-    return archive.pending_work(manifest_events(spark, sf)).select("record_id", "first_pos", "event", "pos")
+    return archive.pending_work(manifest_events(spark, sf).select("record_id", "event", "pos"))
 
 
 @query(
@@ -96,7 +96,7 @@ ASSETS = """assets AS (
 
 
 def items_with_assets(spark, sf):
-    latest = archive.latest_by_record(manifest_events(spark, sf)).select("record_id", "pos", "event", "retry_count")
+    latest = archive.latest_by_record(manifest_events(spark, sf).select("record_id", "pos", "event", "retry_count"))
     asset = lambda i: F.struct(
         i.cast("string").alias("media_id"),
         F.concat(F.lit("https://cdn.example.com/"), "record_id", F.lit("/"), i.cast("string")).alias("media_url"),
@@ -286,7 +286,7 @@ def pilot_coverage(spark, sf):
 def package_shard(spark, sf):
     """Customers with a positive balance stand for the packaged records."""
     packaged = table(spark, sf, "customer").filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").cast("string").alias("record_id"))
-    state, history = archive.package_shard(manifest_events(spark, sf), packaged)
+    state, history = archive.package_shard(manifest_events(spark, sf).select("record_id", "pos", "event"), packaged)
     part = lambda df, name: df.select(F.lit(name).alias("part"), "record_id", "pos")
     return part(state, "state").unionByName(part(history, "history"))
 

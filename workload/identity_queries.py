@@ -76,7 +76,8 @@ def score(a: str, b: str) -> str:
 
 
 def processed_items(spark, sf):
-    return archive.latest_by_record(manifest_events(spark, sf)).filter(F.col("event") == "processed")
+    events = manifest_events(spark, sf).select("record_id", "pos", "event", "fingerprint")
+    return archive.latest_by_record(events).filter(F.col("event") == "processed")
 
 
 @query(
