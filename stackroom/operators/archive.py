@@ -291,10 +291,13 @@ def pilot_header(events: DataFrame, target: int = PILOT_SIZE) -> DataFrame:
 
 
 def package_shard(events: DataFrame, packaged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(latest processed events, all events) of the packaged record ids."""
+    """(latest processed events, all events) of the packaged record ids.
+
+    The latest events are aggregated before the join, so that a record with many events is reduced first.
+    """
     ids = packaged.select("record_id").distinct()
-    chosen = events.join(ids, "record_id", "left_semi")
-    return latest_by_record(chosen).filter(F.col("event") == "processed"), chosen
+    state = latest_by_record(events).filter(F.col("event") == "processed")
+    return state.join(ids, "record_id", "left_semi"), events.join(ids, "record_id", "left_semi")
 
 
 def write_shard(events: DataFrame, packaged: DataFrame, out: str, shard: str) -> None:

@@ -58,7 +58,7 @@ def search_entries(segments: DataFrame) -> DataFrame:
 
 def language_signals(segments: DataFrame) -> DataFrame:
     """Segments with words that ask for a language review."""
-    lower = F.lower(stripped(F.col("text")))
+    lower = F.lower("text")
     words = F.concat(F.lit(" "), F.regexp_replace(lower, r"[^\p{L}\p{N}_']+", " "), F.lit(" "))
     maori = any_term(words, [f" {term} " for term in MAORI_TERMS])
     signals = flags((maori, MAORI_SIGNAL), (any_term(lower, PACIFIC_TERMS), PACIFIC_SIGNAL))

@@ -12,13 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stackroom.functions.arrays import cosine_similarity
-from stackroom.plans.order import top_per_key
+from stackroom.plans.order import row_index, top_per_key
 from stackroom.plans.skew import join_per_key
 
 # Queries held by every task at once: 64 MB of doubles.
 QUERY_BYTES = 64 << 20
 # Scores are compared at this precision, so that equal vectors tie and the id decides.
 SCORE_DIGITS = 9
+# Vectors scored by one task against one block of queries when the queries are too many to ship.
+SLICE_ROWS = 100_000
+BEST_SCHEMA = "query_id string, record_id string, score double"
 
 
 def vector_get(vectors: DataFrame, record: str, pos: str = "pos") -> DataFrame:
@@ -68,58 +71,86 @@ def _best(scores: np.ndarray, ids: np.ndarray, limit: int) -> tuple[np.ndarray,
 
 
 def vector_top_k_batch(vectors: DataFrame, queries: DataFrame, limit: int) -> DataFrame:
-    """Exact best scores per query: ``query_id, record_id, score, rank``.
+    """Exact best scores per query: ``query_id, record_id, score``.
 
-    Queries are taken in chunks of at most ``QUERY_BYTES``, each shipped once to the tasks that scan the
-    vectors. A task multiplies Arrow batches with the chunk and passes on its best ``limit`` rows per query,
-    so no pair table arises.
+    A task multiplies Arrow batches of vectors with the queries and passes on its best ``limit`` rows per
+    query, so no pair table arises. Queries of at most ``QUERY_BYTES`` are shipped to the tasks that scan the
+    vectors; larger sets are cut into blocks that meet slices of the vectors in a shuffle.
     """
+    wanted = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("embedding").cast("array<double>"))
+    found = vectors.select(F.col("record_id").cast("string").alias("record_id"), "embedding")
+    size = wanted.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("width")).first()
+    row_bytes = 8 * max(size["width"], 1)
     if limit <= 0:
-        return vectors.sparkSession.createDataFrame([], "query_id string, record_id string, score double")
-    columns = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("embedding").cast("array<double>"))
-    width = columns.agg(F.max(F.size("embedding"))).first()[0] or 0
-    per_chunk = max(1, QUERY_BYTES // (8 * max(width, 1)))
-    parts: list[DataFrame] = []
-    chunk: list[tuple[str, list[float]]] = []
-    for row in columns.toLocalIterator():
-        chunk.append((row["query_id"], list(row["embedding"] or [])))
-        if len(chunk) == per_chunk:
-            parts.append(_chunk_top_k(vectors, chunk, limit))
-            chunk = []
-    parts.append(_chunk_top_k(vectors, chunk, limit))
-    best = parts[0]
-    for part in parts[1:]:
-        best = best.unionByName(part)
-    return best
-
-
-def _chunk_top_k(vectors: DataFrame, chunk: list[tuple[str, list[float]]], limit: int) -> DataFrame:
-    schema = "query_id string, record_id string, score double"
-    spark = vectors.sparkSession
-    by_width: dict[int, list[tuple[str, list[float]]]] = {}
-    for name, values in chunk:
-        by_width.setdefault(len(values), []).append((name, values))
-    groups = [
-        ([n for n, _ in members], np.array([v for _, v in members], dtype="float64").reshape(len(members), width))
-        for width, members in by_width.items()
-    ]
-    shared = spark.sparkContext.broadcast(groups)
+        return vectors.sparkSession.createDataFrame([], BEST_SCHEMA)
+    if size["rows"] * row_bytes <= QUERY_BYTES:
+        scored = _scored_by_broadcast(found, wanted, limit)
+    else:
+        scored = _scored_by_blocks(found, wanted, limit, max(1, QUERY_BYTES // row_bytes))
+    return top_per_key(scored, ["query_id"], [F.desc("score"), F.col("record_id")], limit)
+
+
+def _by_width(names: list[str], lists: list[list[float] | None]) -> list[tuple[list[str], np.ndarray]]:
+    """Query names and matrix per embedding length."""
+    groups: dict[int, tuple[list[str], list[list[float]]]] = {}
+    for name, values in zip(names, lists):
+        members = groups.setdefault(len(values or []), ([], []))
+        members[0].append(name)
+        members[1].append(values or [])
+    return [(n, np.array(v, dtype="float64").reshape(len(n), width)) for width, (n, v) in groups.items()]
+
+
+def _best_table(best: dict[str, tuple[np.ndarray, np.ndarray]]) -> pa.Table:
+    names = [name for name, (_, ids) in best.items() for _ in ids]
+    ids = [i for _, kept in best.values() for i in kept.tolist()]
+    scores = np.concatenate([s for s, _ in best.values()]) if best else np.zeros(0)
+    return pa.table({"query_id": pa.array(names, pa.string()), "record_id": pa.array(ids, pa.string()), "score": scores})
+
+
+def _merge(best: dict, groups: list, ids: np.ndarray, lists: pa.Array, limit: int) -> None:
+    for names, matrix in groups:
+        for name, row in zip(names, _scores(matrix, lists)):
+            scores, kept = best.get(name, (np.zeros(0), np.array([], dtype=str)))
+            best[name] = _best(np.concatenate([scores, row]), np.concatenate([kept, ids]), limit)
+
+
+def _scored_by_broadcast(vectors: DataFrame, queries: DataFrame, limit: int) -> DataFrame:
+    """Best rows per query and partition; the queries are within ``QUERY_BYTES``."""
+    rows = queries.collect()
+    groups = _by_width([r["query_id"] for r in rows], [r["embedding"] for r in rows])
+    shared = vectors.sparkSession.sparkContext.broadcast(groups)
 
     def best_of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            ids = np.array(batch.column(0).to_pylist(), dtype=str)
-            for names, matrix in shared.value:
-                for name, row in zip(names, _scores(matrix, batch.column(1))):
-                    scores, kept = best.get(name, (np.zeros(0), np.array([], dtype=str)))
-                    best[name] = _best(np.concatenate([scores, row]), np.concatenate([kept, ids]), limit)
-        for name, (scores, kept) in best.items():
-            columns = [pa.array([name] * len(kept), pa.string()), pa.array(kept.tolist(), pa.string()), pa.array(scores)]
-            yield pa.record_batch(columns, names=["query_id", "record_id", "score"])
-
-    scored = vectors.select(F.col("record_id").cast("string"), "embedding").mapInArrow(best_of_partition, schema)
-    order = [F.desc("score"), F.col("record_id")]
-    return top_per_key(scored, ["query_id"], order, limit)
+            _merge(best, shared.value, np.array(batch.column(0).to_pylist(), dtype=str), batch.column(1), limit)
+        yield from _best_table(best).to_batches()
+
+    return vectors.mapInArrow(best_of_partition, BEST_SCHEMA)
+
+
+def _scored_by_blocks(vectors: DataFrame, queries: DataFrame, limit: int, block_rows: int) -> DataFrame:
+    """Best rows per query and vector slice; every query block meets every slice once."""
+    placed = row_index(queries, ["query_id"], "_place").withColumn("block", F.floor(F.col("_place") / block_rows))
+    blocks = placed.agg(F.coalesce(F.max("block"), F.lit(-1))).first()[0] + 1
+    slices = max(1, -(-vectors.count() // SLICE_ROWS))
+    spread = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slices - 1).cast("bigint"))).alias("slice")
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block")
+    left = placed.select("block", "query_id", "embedding", spread)
+    # The running number inside each task, so that slices are even whatever the rows hold.
+    slice_no = F.pmod(F.monotonically_increasing_id(), F.lit(slices))
+    right = vectors.withColumn("slice", slice_no).select("slice", "record_id", "embedding", copies)
+
+    def best_of_pair(block: pa.Table, part: pa.Table) -> pa.Table:
+        best: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        if block.num_rows and part.num_rows:
+            groups = _by_width(block.column("query_id").to_pylist(), block.column("embedding").to_pylist())
+            ids = np.array(part.column("record_id").to_pylist(), dtype=str)
+            _merge(best, groups, ids, part.column("embedding").combine_chunks(), limit)
+        return _best_table(best)
+
+    keys = ["block", "slice"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(best_of_pair, BEST_SCHEMA)
 
 
 def embed_column(embed: Callable[[str], Sequence[float]]) -> Callable[[Column], Column]:

@@ -9,19 +9,18 @@ from pyspark.sql import functions as F
 def points_near(points: DataFrame, targets: DataFrame, key: str, at: str, tolerance: float) -> DataFrame:
     """Distinct (key, at) of ``points`` with a target of the key at most ``tolerance`` away.
 
-    Both sides are reduced to distinct points first; cells are as wide as the tolerance, so a match
-    lies in the same or a neighbouring cell.
+    Cells are as wide as the tolerance. The lowest and highest target of a cell decide every point in and
+    around it, so a crowded cell costs one row and points and targets are never paired. Two cells to each
+    side are probed, as the division may round over a cell edge.
     """
     if not tolerance > 0:
         exact = targets.select(key, at).distinct()
         return points.select(key, at).distinct().join(exact, [key, at], "left_semi")
-    home = F.floor(F.col(at) / tolerance)
-    wanted = targets.select(key, F.col(at).alias("_target"), F.floor(F.col(at) / tolerance).alias("_cell")).distinct()
-    probes = (
-        points.select(key, at).distinct().withColumn("_cell", F.explode(F.array(home - 1, home, home + 1)))
-    )
-    near = F.abs(F.col(at) - F.col("_target")) <= tolerance
-    return probes.join(wanted, [key, "_cell"]).filter(near).select(key, at).distinct()
+    cell = F.floor(F.col(at) / tolerance)
+    edges = targets.groupBy(key, cell.alias("_cell")).agg(F.min(at).alias("_low"), F.max(at).alias("_high"))
+    probes = points.select(key, at).distinct().withColumn("_cell", F.explode(F.sequence(cell - 2, cell + 2)))
+    near = (F.abs(F.col(at) - F.col("_low")) <= tolerance) | (F.abs(F.col(at) - F.col("_high")) <= tolerance)
+    return probes.join(edges, [key, "_cell"]).filter(near).select(key, at).distinct()
 
 
 def first_in_spans(

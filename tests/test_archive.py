@@ -6,7 +6,7 @@ from stackroom.operators import archive, contract, evaluate
 from stackroom.operators.contract import MANIFEST_RULES, REVIEW_RULES, Rule
 from stackroom.sources.manifest import read_lines, read_manifest
 
-DOMAINS = ["rnz.co.nz"]
+DOMAINS = ["radio.example"]
 
 
 def log(spark, *rows):
@@ -92,13 +92,13 @@ def test_retry_becomes_rejected(spark):
 def test_children(spark):
     assets = "array<struct<media_id: string, media_url: string, title: string>>"
     df = spark.createDataFrame(
-        [("41680624", "discovered", 2, [("2018696729", "https://a/1", "One"), ("5", "https://a/2", "Two")]), ("9", "discovered", 0, [("1", "u", "t")])],
+        [("5550124", "discovered", 2, [("9001", "https://a/1", "One"), ("5", "https://a/2", "Two")]), ("9", "discovered", 0, [("1", "u", "t")])],
         f"record_id string, event string, retry_count bigint, assets {assets}",
     )
     rows = archive.expand_children(df).orderBy("step").collect()
-    assert [r["record_id"] for r in rows] == ["41680624", "41680624--rnz-2018696729", "41680624--rnz-5"]
+    assert [r["record_id"] for r in rows] == ["5550124", "5550124--rnz-9001", "5550124--rnz-5"]
     assert rows[0]["child_count"] == 2 and rows[0]["event"] == "expanded" and rows[0]["retry_count"] == 2
-    assert rows[1]["parent_record_id"] == "41680624" and rows[1]["retry_count"] == 0 and rows[1]["source_url"] == "https://a/1"
+    assert rows[1]["parent_record_id"] == "5550124" and rows[1]["retry_count"] == 0 and rows[1]["source_url"] == "https://a/1"
 
 
 def test_quotas(spark):
@@ -112,7 +112,7 @@ def test_quotas(spark):
 
 
 def discovery(spark):
-    rows = [(i, str(i), "A" if i < 6 else "B", f"t{i}", ["https://rnz.co.nz/x" if i != 2 else "https://other.org/x"]) for i in range(9)]
+    rows = [(i, str(i), "A" if i < 6 else "B", f"t{i}", ["https://radio.example/x" if i != 2 else "https://other.org/x"]) for i in range(9)]
     records = spark.createDataFrame(rows, "pos bigint, id string, primary_collection string, title string, object_url array<string>")
     return records, log(spark, ("0", "processed", 0, False), ("1", "retry", 1, False))
 
@@ -212,7 +212,7 @@ def test_audit_rejects_named_speakers(spark):
 
 def test_evaluation_goldens(spark):
     pairs = spark.createDataFrame(
-        [("clear", "Kia ora from Wellington", "Kia ora from Wellington"), ("noisy", "The caller discussed housing", "The caller discussed housing policy"), ("empty", "", "a b")],
+        [("clear", "Tena koutou katoa", "tena  koutou KATOA"), ("noisy", "The caller discussed housing", "The caller discussed housing policy"), ("empty", "", "a b")],
         "id string, reference string, predicted string",
     )
     assert {r["id"]: r["word_error_rate"] for r in evaluate.word_error_rate(pairs).collect()} == {"clear": 0.0, "noisy": 0.25, "empty": 2.0}

@@ -8,23 +8,23 @@ from pyspark.sql import functions as F
 from stackroom.functions.text import joined_or_empty
 from stackroom.operators import measures, media, signal, vectors
 
-DOMAINS = ["rnz.co.nz", "radionz.co.nz"]
+DOMAINS = ["radio.example", "waves.example"]
 
 
 def pages(spark, *rows):
     return spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id bigint, url string, html string")
 
 
-LATEST = """
-latest-bulletin='{"id":999,"audioSrc":"https://podcast.radionz.co.nz/news/latest.mp3"}'
-media='{"id":2018696673,"audioSrc":"https://podcast.radionz.co.nz/tagata/item.mp3"}'
+BULLETIN = """
+<x-player data-now='{"id":77,"audioSrc":"https://pod.waves.example/bulletin.mp3"}'></x-player>
+<x-player data-item='{"id":5550123,"audioSrc":"https://pod.waves.example/island/one.mp3"}'></x-player>
 """
 QUEUE = """
-<rnz-queue-media media='{"id":201,"title":"First","audioSrc":"https://podcast.radionz.co.nz/a.mp3","canDownload":true}'></rnz-queue-media>
-<rnz-queue-media media='{"id":202,"title":"Blocked","audioSrc":"https://podcast.radionz.co.nz/b.mp3","canDownload":false}'></rnz-queue-media>
-<rnz-queue-media media='{"id":203,"title":"External","audioSrc":"https://example.org/c.mp3","canDownload":true}'></rnz-queue-media>
-<rnz-queue-media media='{"id":204,"title":"","audioSrc":"https://podcast.radionz.co.nz/d.mp3"}'></rnz-queue-media>
-<rnz-queue-media media="{&quot;id&quot;:201,&quot;audioSrc&quot;:&quot;https://podcast.radionz.co.nz/e.mp3&quot;}"></rnz-queue-media>
+<rnz-queue-media media='{"id":11,"title":"Opening","audioSrc":"https://pod.waves.example/a.mp3","canDownload":true}'></rnz-queue-media>
+<rnz-queue-media media='{"id":12,"title":"Closed","audioSrc":"https://pod.waves.example/b.mp3","canDownload":false}'></rnz-queue-media>
+<rnz-queue-media media='{"id":13,"title":"Elsewhere","audioSrc":"https://other.example/c.mp3","canDownload":true}'></rnz-queue-media>
+<rnz-queue-media media='{"id":14,"title":"","audioSrc":"https://pod.waves.example/d.mp3"}'></rnz-queue-media>
+<rnz-queue-media media="{&quot;id&quot;:11,&quot;audioSrc&quot;:&quot;https://pod.waves.example/e.mp3&quot;}"></rnz-queue-media>
 <rnz-queue-media media='not json'></rnz-queue-media><rnz-queue-media></rnz-queue-media>
 """
 
@@ -32,58 +32,58 @@ QUEUE = """
 def test_audio_of_the_requested_id_only(spark):
     df = pages(
         spark,
-        ("https://www.rnz.co.nz/programme/audio/2018696673/example", LATEST),
-        ("https://www.rnz.co.nz/programme/audio/1234/example", LATEST),
-        ("https://www.rnz.co.nz/news", LATEST),
-        ("https://www.rnz.co.nz/audio/999", LATEST.replace('"', "&quot;")),
+        ("https://www.radio.example/programme/audio/5550123/example", BULLETIN),
+        ("https://www.radio.example/programme/audio/1234/example", BULLETIN),
+        ("https://www.radio.example/news", BULLETIN),
+        ("https://www.radio.example/audio/77", BULLETIN.replace('"', "&quot;")),
     )
     rows = df.select("page_id", media.matching_audio_url(F.col("url"), F.col("html")).alias("u")).orderBy("page_id").collect()
-    assert [r["u"] for r in rows] == ["https://podcast.radionz.co.nz/tagata/item.mp3", None, None, "https://podcast.radionz.co.nz/news/latest.mp3"]
+    assert [r["u"] for r in rows] == ["https://pod.waves.example/island/one.mp3", None, None, "https://pod.waves.example/bulletin.mp3"]
 
 
 def test_downloadable_allowed_children_only(spark):
-    rows = media.embedded_media(pages(spark, ("https://rnz.co.nz/x", QUEUE)), ["radionz.co.nz"]).orderBy("item_no").collect()
+    rows = media.embedded_media(pages(spark, ("https://radio.example/x", QUEUE)), ["waves.example"]).orderBy("item_no").collect()
     assert [(r["media_id"], r["media_url"], r["title"]) for r in rows] == [
-        ("201", "https://podcast.radionz.co.nz/a.mp3", "First"),
-        ("204", "https://podcast.radionz.co.nz/d.mp3", "204"),
+        ("11", "https://pod.waves.example/a.mp3", "Opening"),
+        ("14", "https://pod.waves.example/d.mp3", "14"),
     ]
 
 
 def test_links_in_document_order(spark):
     html = """<script>var x = '<a href="/no.mp3">';</script><!-- <audio src="/no.ogg"> -->
     <meta property="og:title" content="/t.mp3"><A class=x HREF=/first.html title='a > b'>x</A><audio><source src='media/one.mp3?a=1&amp;b=2'></audio>
-    <meta property="og:audio" content="https://media.rnz.co.nz/two.m4a"><img src="/no.wav"><a data-href="/no.flac" href="">y</a>"""
-    rows = media.page_links(pages(spark, ("https://www.rnz.co.nz/dir/page", html))).orderBy("link_no").collect()
+    <meta property="og:audio" content="https://media.radio.example/two.m4a"><img src="/no.wav"><a data-href="/no.flac" href="">y</a>"""
+    rows = media.page_links(pages(spark, ("https://www.radio.example/dir/page", html))).orderBy("link_no").collect()
     assert [r["link"] for r in rows] == [
-        "https://www.rnz.co.nz/first.html",
-        "https://www.rnz.co.nz/dir/media/one.mp3?a=1&b=2",
-        "https://media.rnz.co.nz/two.m4a",
+        "https://www.radio.example/first.html",
+        "https://www.radio.example/dir/media/one.mp3?a=1&b=2",
+        "https://media.radio.example/two.m4a",
     ]
-    first = media.page_media_links(pages(spark, ("https://www.rnz.co.nz/dir/page", html), ("https://www.rnz.co.nz/", "<p>")), DOMAINS)
-    assert [tuple(r) for r in first.collect()] == [(0, "https://www.rnz.co.nz/dir/media/one.mp3?a=1&b=2")]
+    first = media.page_media_links(pages(spark, ("https://www.radio.example/dir/page", html), ("https://www.radio.example/", "<p>")), DOMAINS)
+    assert [tuple(r) for r in first.collect()] == [(0, "https://www.radio.example/dir/media/one.mp3?a=1&b=2")]
 
 
 def test_asset_rules(spark):
-    stray = '<audio src="https://podcast.radionz.co.nz/news/latest.mp3">'
+    stray = '<audio src="https://pod.waves.example/bulletin.mp3">'
     df = pages(
         spark,
         ("https://example.org/a.mp3", ""),
-        ("https://rnz.co.nz/a.MP3", ""),
-        ("https://rnz.co.nz/audio/2018696673", LATEST),
-        ("https://rnz.co.nz/audio/1234/x", QUEUE),
-        ("https://rnz.co.nz/audio/1234/example", stray),
-        ("https://rnz.co.nz/story", stray),
-        ("https://rnz.co.nz/story", "<p>nothing</p>"),
+        ("https://radio.example/a.MP3", ""),
+        ("https://radio.example/audio/5550123", BULLETIN),
+        ("https://radio.example/audio/1234/x", QUEUE),
+        ("https://radio.example/audio/1234/example", stray),
+        ("https://radio.example/story", stray),
+        ("https://radio.example/story", "<p>nothing</p>"),
     ).withColumn("content_type", F.lit("text/html"))
     rows = media.resolve_assets(df, DOMAINS).orderBy("page_id", "item_no").collect()
     assert [(r["page_id"], r["resolution"], r["media_id"], r["media_url"]) for r in rows] == [
         (0, "not_allowed", None, None),
-        (1, "direct", "direct", "https://rnz.co.nz/a.MP3"),
-        (2, "matching", "2018696673", "https://podcast.radionz.co.nz/tagata/item.mp3"),
-        (3, "embedded_list", "201", "https://podcast.radionz.co.nz/a.mp3"),
-        (3, "embedded_list", "204", "https://podcast.radionz.co.nz/d.mp3"),
+        (1, "direct", "direct", "https://radio.example/a.MP3"),
+        (2, "matching", "5550123", "https://pod.waves.example/island/one.mp3"),
+        (3, "embedded_list", "11", "https://pod.waves.example/a.mp3"),
+        (3, "embedded_list", "14", "https://pod.waves.example/d.mp3"),
         (4, "embedded_list", None, None),
-        (5, "first_link", "embedded", "https://podcast.radionz.co.nz/news/latest.mp3"),
+        (5, "first_link", "embedded", "https://pod.waves.example/bulletin.mp3"),
         (6, "first_link", None, None),
     ]
     assert [r["error"] for r in rows] == [
@@ -115,8 +115,9 @@ def test_batch_top_k_equals_single(spark, monkeypatch):
     df = vector_table(spark, rows).repartition(5)
     wanted = [("q0", rows[0][1]), ("q1", rows[5][1]), ("q2", [0.0] * 8), ("q3", [1.0])]
     queries = spark.createDataFrame(wanted, "query_id string, embedding array<double>")
-    for size in (vectors.QUERY_BYTES, 64):
-        monkeypatch.setattr(vectors, "QUERY_BYTES", size)
+    for query_bytes, slice_rows in ((vectors.QUERY_BYTES, 100), (64, 1000), (128, 40)):
+        monkeypatch.setattr(vectors, "QUERY_BYTES", query_bytes)
+        monkeypatch.setattr(vectors, "SLICE_ROWS", slice_rows)
         got = vectors.vector_top_k_batch(df, queries, 7).collect()
         for name, values in wanted:
             single = [tuple(r) for r in vectors.vector_top_k(df, values, 7).collect()]

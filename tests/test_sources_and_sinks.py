@@ -48,11 +48,11 @@ def test_search_pages(spark, tmp_path):
 
 
 def test_detail_records(spark, tmp_path):
-    body = {"record": {"id": 41680626, "title": "Tagata o te moana", "primary_collection": ["Radio"], "landing_url": "https://www.rnz.co.nz/x", "object_url": ["https://a", "https://b"]}}
-    (tmp_path / "41680626.json").write_text(json.dumps(body, indent=2))
+    body = {"record": {"id": 5550123, "title": "Island voices", "primary_collection": ["Radio"], "landing_url": "https://www.radio.example/x", "object_url": ["https://a", "https://b"]}}
+    (tmp_path / "5550123.json").write_text(json.dumps(body, indent=2))
     row = search_pages.read_detail_records(spark, str(tmp_path)).first()
-    assert (row["id"], row["title"], row["primary_collection"]) == ("41680626", "Tagata o te moana", ["Radio"])
-    assert row["landing_urls"] == ["https://www.rnz.co.nz/x"] and row["object_urls"] == ["https://a", "https://b"] and row["urls"] is None
+    assert (row["id"], row["title"], row["primary_collection"]) == ("5550123", "Island voices", ["Radio"])
+    assert row["landing_urls"] == ["https://www.radio.example/x"] and row["object_urls"] == ["https://a", "https://b"] and row["urls"] is None
 
 
 def test_csv_tables(spark, tmp_path):

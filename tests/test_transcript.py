@@ -29,8 +29,8 @@ def dur(spark, seconds, recording="r"):
 def broadcast(spark):
     return seg(
         spark,
-        (0, 4, "Headlines from Parliament and Te Tiriti negotiations", [("Headlines", 0.9)]),
-        (10, 14, "Joining us to discuss iwi and housing", [("housing", 0.8)]),
+        (0, 4, "The headlines: Parliament sits, Te Tiriti talks go on", [("headlines", 0.9)]),
+        (10, 14, "Joining us on iwi land and housing", [("land", 0.8)]),
     )
 
 
@@ -57,7 +57,7 @@ def test_empty_transcript(spark):
 
 
 def test_sensitive_text(spark):
-    row = transcript.sensitive_signals(seg(spark, (0, 2, "A caller discussed family violence", []))).first()
+    row = transcript.sensitive_signals(seg(spark, (0, 2, "One caller spoke of family violence", []))).first()
     assert row["sensitive_review_signals"] == ["callers_or_public_contributors", "distressing_subject_matter"]
 
 
@@ -121,9 +121,9 @@ def test_overlap_counts_equal_rows(spark):
 
 
 def test_enrichment(spark):
-    df = seg(spark, (0, 3, "Kia ora from Te Pāti Māori in Wellington.", []), (8, 11, "Talofa to Pacific listeners.", []))
+    df = seg(spark, (0, 3, "Kia ora, says Te Pāti Māori from Wellington.", []), (8, 11, "Talofa, Pacific friends.", []))
     entries = enrichment.search_entries(df).orderBy("segment").collect()
-    assert entries[0]["normalized"] == "kia ora from te pāti māori in wellington." and "W452" in entries[0]["phonetic_terms"]
+    assert entries[0]["normalized"] == "kia ora, says te pāti māori from wellington." and "W452" in entries[0]["phonetic_terms"]
     signals = {r["segment"]: r["signals"] for r in enrichment.language_signals(df).collect()}
     assert signals == {0: ["possible_te_reo_maori_or_names"], 1: ["possible_pacific_language"]}
     names = {(r["text"], r["start"]) for r in enrichment.entity_candidates(df).collect()}

@@ -8,7 +8,7 @@ from stackroom.operators import facets, search
 from stackroom.operators.search import SearchQuery
 from stackroom.runtime import scratch_path
 from stackroom.sinks.digest import collections_page, facet_table
-from stackroom.sources.tables import read_usage_export
+from stackroom.sources.tables import read_collections_export, read_usage_export
 from workload.catalog import query
 from workload.views import RECORDS, records, sql, table
 
@@ -211,6 +211,14 @@ def inventory_lines(spark, sf):
     return collections_page(thousands, "usage.csv").select("content_partner", "primary_collection", "usage", "line")
 
 
+@query("read_collections_export", "SELECT source AS value, count(*) AS count FROM documents GROUP BY 1")
+def collections_export(spark, sf):
+    path = scratch_path(spark, "collections")
+    counts = table(spark, sf, "documents").groupBy(F.col("source").alias("value")).agg(F.count(F.lit(1)).alias("count"))
+    counts.write.csv(path, header=True)
+    return read_collections_export(spark, path)
+
+
 @query("collections_by_count", "SELECT source AS value, count(*) AS count FROM documents GROUP BY 1")
 def collections_by_count(spark, sf):
     counts = table(spark, sf, "documents").groupBy(F.col("source").alias("value")).agg(F.count(F.lit(1)).alias("count"))
