@@ -41,6 +41,11 @@ def round_exact(value: Column, digits: int) -> Column:
     )
 
 
+def steady_sum(value: Column, digits: int = 12) -> Column:
+    """Sum of doubles that does not depend on the order of the rows: added up as decimals."""
+    return F.sum(value.cast(f"decimal(28,{digits})")).cast("double")
+
+
 def fixed(value: Column, digits: int) -> Column:
     """Text with exactly ``digits`` decimals of :func:`round_exact`."""
     return F.format_string(f"%.{digits}f", round_exact(value, digits))

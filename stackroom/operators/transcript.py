@@ -20,7 +20,7 @@ from stackroom.fixed_values import (
     TOPIC_TERMS,
 )
 from stackroom.functions.arrays import flags
-from stackroom.functions.numbers import let, round_exact
+from stackroom.functions.numbers import let, round_exact, steady_sum
 from stackroom.functions.text import SPACE, any_term, stripped, word_text
 from stackroom.plans.blocks import long_keys, with_peak_before, with_position, with_previous
 
@@ -116,8 +116,8 @@ def spoken_metrics(segments: DataFrame) -> DataFrame:
         for n, t in SENSITIVE_TERMS.items()
     ]
     return spoken.groupBy(KEY).agg(
-        F.sum("speech").alias("speech_seconds"),
-        F.sum("score_sum").alias("score_sum"),
+        steady_sum(F.col("speech")).alias("speech_seconds"),
+        steady_sum(F.col("score_sum")).alias("score_sum"),
         F.sum("score_count").alias("score_count"),
         F.count_if(_repeated()).alias("adjacent_repeated_segments"),
         F.count_if(_opens_chapter()).alias("chapter_count"),
@@ -139,7 +139,7 @@ def _confidence() -> Column:
 def speech_coverage(segments: DataFrame, durations: DataFrame) -> DataFrame:
     """Share of the duration covered by spoken segments, at most 1."""
     seconds = _spoken(segments).groupBy(KEY).agg(
-        F.sum(F.greatest(F.col("end_s") - F.col("start_s"), F.lit(0.0))).alias("speech_seconds")
+        steady_sum(F.greatest(F.col("end_s") - F.col("start_s"), F.lit(0.0))).alias("speech_seconds")
     )
     return durations.join(seconds, KEY, "left").select(KEY, round_exact(_coverage(), 6).alias("speech_coverage"))
 
@@ -147,7 +147,7 @@ def speech_coverage(segments: DataFrame, durations: DataFrame) -> DataFrame:
 def word_confidence(segments: DataFrame) -> DataFrame:
     """Mean word score per recording; null without scores."""
     words = _spoken(segments).groupBy(KEY).agg(
-        F.sum(_score_sum(F.col("words"))).alias("score_sum"), F.sum(_score_count(F.col("words"))).alias("score_count")
+        steady_sum(_score_sum(F.col("words"))).alias("score_sum"), F.sum(_score_count(F.col("words"))).alias("score_count")
     )
     return words.select(KEY, round_exact(_confidence(), 6).alias("average_word_confidence"))
 
@@ -169,7 +169,7 @@ def overlap_seconds(diarization: DataFrame) -> DataFrame:
     before = F.greatest(F.lit(0.0), F.col("peak"))
     first = F.greatest(F.lit(0.0), F.least(before, F.col("end_s")) - F.col("start_s"))
     again = (F.col("copies") - 1) * F.greatest(F.lit(0.0), F.col("end_s") - F.col("start_s"))
-    return peaked.groupBy(KEY).agg(round_exact(F.sum(first + again), 3).alias("overlap_seconds"))
+    return peaked.groupBy(KEY).agg(round_exact(steady_sum(first + again), 3).alias("overlap_seconds"))
 
 
 def _labels(prefix: str, names: dict) -> Column:

@@ -57,7 +57,7 @@ COVERAGE = """coverage AS (
   SELECT d.recording_id, CASE WHEN duration > 0 THEN least(1.0, coalesce(s.seconds, 0.0) / duration) ELSE 0.0 END AS coverage
   FROM durations d LEFT JOIN (SELECT recording_id, sum(greatest(end_s - start_s, 0.0)) AS seconds FROM spoken GROUP BY 1) s USING (recording_id))"""
 CONFIDENCE = """confidence AS (
-  SELECT recording_id, avg(score) AS confidence FROM (SELECT recording_id, unnest(scores) AS score FROM spoken) s GROUP BY 1)"""
+  SELECT recording_id, CAST(sum(CAST(score AS DECIMAL(18, 12))) AS DOUBLE) / count(*) AS confidence FROM (SELECT recording_id, unnest(scores) AS score FROM spoken) s GROUP BY 1)"""
 REPEATS = """repeats AS (
   SELECT recording_id, count(*) FILTER (WHERE norm <> '' AND norm = before) AS adjacent_repeated_segments FROM lagged GROUP BY 1)"""
 OVERLAPS = """peaks AS (
