@@ -43,6 +43,8 @@ HEADLINE = (
     "resolve_assets",
     "measure_records_per_year",
     "rag_xml",
+    "flat_frame",
+    "read_search_pages",
     "collection_export",
     "stream_latest_state",
 )

@@ -20,7 +20,7 @@ from stackroom.fixed_values import (
 )
 from stackroom.functions.urls import host_allowed
 from stackroom.operators.dedup import media_candidates
-from stackroom.plans.order import latest_per_key, top_per_key
+from stackroom.plans.order import latest_per_key, ranked_per_key
 
 EVENT_KEYS = ("record_id", "event", "rights_basis")
 
@@ -161,8 +161,7 @@ def discover_new(
     quota = F.element_at(
         F.create_map(*[x for name, n in quotas.items() for x in (F.lit(name), F.lit(n))]), F.col("primary_collection")
     )
-    rank = F.row_number().over(Window.partitionBy("primary_collection").orderBy("pos"))
-    chosen = usable.withColumn("_rank", rank).filter(F.col("_rank") <= max(quotas.values(), default=0))
+    chosen = ranked_per_key(usable, "primary_collection", ["pos"], "_rank", max(quotas.values(), default=0))
     chosen = chosen.filter(F.col("_rank") <= quota).drop("_rank")
     source = allowlisted_source(media_candidates(*[F.col(c) for c in url_columns]), domains)
     return (

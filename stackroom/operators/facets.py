@@ -16,7 +16,7 @@ from stackroom.fixed_values import (
     PERMITTED_USAGES,
     REPORT_ROWS,
 )
-from stackroom.plans.order import top_per_key
+from stackroom.plans.order import ranked_per_key, top_per_key
 
 
 def _terms(df: DataFrame, name: str) -> Column:
@@ -42,9 +42,8 @@ def facet_page(counts: DataFrame, page: int = 1, per_page: int = FACET_PAGE_SIZE
     if page < 1 or per_page < 0:
         raise ValueError("facet page starts at 1 and its size at 0")
     size = min(per_page, MAX_FACET_PAGE_SIZE)
-    rank = F.row_number().over(Window.partitionBy("field").orderBy(F.desc("count"), "term"))
-    ranked = counts.withColumn("rank", rank)
-    return ranked.filter((F.col("rank") <= page * size) & (F.col("rank") > (page - 1) * size))
+    ranked = ranked_per_key(counts, "field", [F.desc("count"), F.col("term")], "rank", page * size)
+    return ranked.filter(F.col("rank") > (page - 1) * size)
 
 
 def year_density(df: DataFrame, name: str = "year", limit: int = HARVEST_YEARS) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from stackroom.runtime import materialised
 
+# Ranks up to here become a group limit below the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
+
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int = 1) -> DataFrame:
     """First ``n`` rows per key.
@@ -43,3 +46,20 @@ def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_ind
         .withColumn(name, F.col("_before") + F.col("_mark").bitwiseAND(F.lit((1 << 33) - 1)))
         .drop("_part", "_mark", "_before")
     )
+
+
+def ranked_per_key(
+    df: DataFrame, key: str, order: Sequence[Column | str], name: str, last: int, group_limit: int = GROUP_LIMIT
+) -> DataFrame:
+    """Rows ranked 1 to ``last`` per key, for the few keys that a request names.
+
+    Small ranks use a group limit. Larger ones come from the distributed row index and one offset per key, as
+    a plain rank would sort each key in one task.
+    """
+    if last <= group_limit:
+        rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+        return df.withColumn(name, rank).filter(F.col(name) <= last)
+    indexed = row_index(df, [key, *order], "_at")
+    starts = F.broadcast(indexed.groupBy(key).agg(F.min("_at").alias("_start")))
+    rank = (F.col("_at") - F.col("_start") + 1).cast("int")
+    return indexed.join(starts, key).withColumn(name, rank).filter(F.col(name) <= last).drop("_at", "_start")

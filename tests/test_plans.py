@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stackroom.plans.bands import similar_codes
 from stackroom.plans.blocks import long_keys, with_next, with_peak_before, with_position, with_previous
 from stackroom.plans.intervals import first_in_spans, points_near
-from stackroom.plans.order import latest_per_key, row_index, top_per_key
+from stackroom.plans.order import latest_per_key, ranked_per_key, row_index, top_per_key
 from stackroom.plans.skew import join_per_key
 
 
@@ -122,6 +122,16 @@ def test_join_per_key_keeps_all_rows(spark):
     assert sorted(map(repr, got.select("k", "i", "top").collect())) == sorted(map(repr, plain.select("k", "i", "top").collect()))
 
 
+def test_deep_ranks_equal_group_limits(spark):
+    rng = random.Random(11)
+    rows = [(rng.choice(["hot", "hot", "x", "y"]), rng.randrange(50), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, c int, i int")
+    order = [F.desc("c"), F.col("i")]
+    near = ranked_per_key(df, "k", order, "n", 30)
+    deep = ranked_per_key(df, "k", order, "n", 30, group_limit=0).select(near.columns)
+    assert sorted(map(tuple, near.collect())) == sorted(map(tuple, deep.collect()))
+
+
 def test_first_and_latest_rows(spark):
     df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 3, "z")], "k string, p int, v string")
     assert sorted(map(tuple, top_per_key(df, ["k"], ["p"]).collect())) == [("a", 1, "y"), ("b", 3, "z")]

@@ -1,6 +1,13 @@
 """Registered queries over the given tables, each with its SQL equivalent where SQL can state it."""
 
-from workload import (  # noqa: F401
+import sys
+
+from pyspark import cloudpickle
+
+# The stand-in embedder travels with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+from workload import (  # noqa: E402, F401
     archive_queries,
     identity_queries,
     media_queries,
@@ -8,6 +15,6 @@ from workload import (  # noqa: F401
     sink_queries,
     transcript_queries,
 )
-from workload.catalog import ORACLES, QUERIES
+from workload.catalog import ORACLES, QUERIES  # noqa: E402
 
 __all__ = ["ORACLES", "QUERIES"]
