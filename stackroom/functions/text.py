@@ -15,6 +15,8 @@ from stackroom.functions.numbers import let
 
 # Unicode white space plus the four ASCII separators.
 SPACE = r"[\s\x1c-\x1f]"
+# Stands for the dotless i while case is changed.
+DOTLESS = "\ue000"
 
 
 def stripped(text: Column) -> Column:
@@ -22,10 +24,18 @@ def stripped(text: Column) -> Column:
     return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+$", "")
 
 
+def caseless(text: Column) -> Column:
+    """Lower of upper, by way of the capital sharp s, without which it would be simplified to lower."""
+    return F.lower(F.replace(F.upper(text), F.lit("ẞ"), F.lit("SS")))
+
+
 def folded(text: Column) -> Column:
-    """Case-folded, white space collapsed, stripped."""
-    lower = F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
-    return F.trim(F.regexp_replace(lower, rf"(?U){SPACE}+", " "))
+    """Case-folded, white space collapsed, stripped.
+
+    Lower of upper is the full case folding but for the dotless i, which stays, and the final sigma.
+    """
+    folds = F.translate(caseless(F.translate(text, "ı", DOTLESS)), "ς" + DOTLESS, "σı")
+    return F.trim(F.regexp_replace(folds, rf"(?U){SPACE}+", " "))
 
 
 def word_text(text: Column) -> Column:

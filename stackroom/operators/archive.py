@@ -154,6 +154,7 @@ def discover_new(
 
     Known records use up quota, as they do in a page of search results; ``refill`` drops them first.
     """
+    quotas = quotas or {"": 0}
     known = events.select(F.col("record_id").cast("string").alias("id")).distinct()
     usable = records.filter(F.col("primary_collection").isin(*quotas))
     if refill:

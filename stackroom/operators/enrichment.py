@@ -26,6 +26,7 @@ from stackroom.functions.numbers import round_exact
 from stackroom.functions.text import (
     SPACE,
     any_term,
+    caseless,
     folded,
     phonetic_terms,
     ratio_bound,
@@ -117,7 +118,7 @@ def corrections(
     if not dictionary:
         return rows.limit(0).withColumns({"corrected": F.col("original"), "corrections": F.array()})
     # A plain substring test, in folded case, leaves few rows for the patterns.
-    mentioned = any_term(F.lower(F.upper("original")), dict.fromkeys(s.lower() for s in dictionary))
+    mentioned = any_term(caseless(F.col("original")), dict.fromkeys(s.lower() for s in dictionary))
     return (
         rows.filter(mentioned)
         .withColumns({"corrected": state, "corrections": F.array_compact(F.array(*applied))})

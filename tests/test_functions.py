@@ -70,6 +70,13 @@ def test_white_space_and_words(spark):
     assert results(df, word_text(F.col("v"))) == [re.sub(r"\W+", " ", t.lower()).strip() for t in texts]
 
 
+def test_folding_and_words_follow_python_letter_by_letter(spark):
+    letters = [f"a{chr(c)}b {chr(c)}" for c in [*range(1, 0x600), *range(0x1E00, 0x2000), 0x212A, 0xFB01, 0x2028] if chr(c).isprintable() or chr(c).isspace()]
+    df = column_of(spark, letters)
+    assert results(df, folded(F.col("v"))) == [re.sub(r"\s+", " ", t.casefold()).strip() for t in letters]
+    assert results(df, word_text(F.col("v"))) == [re.sub(r"\W+", " ", t.lower()).strip() for t in letters]
+
+
 def test_sequence_ratio_is_exact_and_bounded(spark):
     rng = random.Random(1)
     pairs = [("".join(rng.choices("abc ", k=rng.randrange(0, 260))), "".join(rng.choices("abc ", k=rng.randrange(0, 260)))) for _ in range(60)]

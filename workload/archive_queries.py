@@ -291,6 +291,23 @@ def package_shard(spark, sf):
     return part(state, "state").unionByName(part(history, "history"))
 
 
+@query(
+    "shard_files",
+    sql(EVENTS, LATEST, "packaged AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS record_id FROM customer WHERE c_acctbal > 0)", """
+      SELECT 'state' AS part, record_id, event, pos FROM latest WHERE event = 'processed' AND record_id IN (SELECT record_id FROM packaged)
+      UNION ALL SELECT 'history', record_id, event, pos FROM manifest_events WHERE record_id IN (SELECT record_id FROM packaged)"""),
+)
+def shard_files(spark, sf):
+    """The state and history of a written shard, read back."""
+    path = scratch_path(spark, "shard")
+    packaged = table(spark, sf, "customer").filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").cast("string").alias("record_id"))
+    archive.write_shard(manifest_events(spark, sf).select("record_id", "event", "pos"), packaged, path, "one")
+    state = spark.read.parquet(f"{path}/manifest-one.parquet")
+    history = spark.read.schema("event string, pos bigint, record_id string").json(f"{path}/manifest-one.jsonl")
+    part = lambda df, name: df.select(F.lit(name).alias("part"), "record_id", "event", "pos")
+    return part(state, "state").unionByName(part(history, "history"))
+
+
 RULES = (
     Rule("event_id", "min_length", 8),
     Rule("record_id", "pattern", "^[0-9]{1,2}$"),

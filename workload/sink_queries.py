@@ -9,6 +9,7 @@ from stackroom.operators import transcript
 from stackroom.runtime import scratch_path
 from stackroom.sinks import digest, export
 from stackroom.sources import search_pages
+from stackroom.sources.manifest import read_lines
 from stackroom.streaming import log
 from workload.catalog import query
 from workload.media_queries import CITED
@@ -60,6 +61,20 @@ def rag_xml_plain(spark, sf):
     return digest.rag_xml(records(spark, sf), escape=False)
 
 
+@query(
+    "rag_xml_file",
+    sql(RECORDS, f"documents_xml AS (SELECT pos, {fragment(ESCAPED)} AS fragment FROM records)", """whole AS (
+      SELECT string_split('<context_documents>' || chr(10) || string_agg(fragment, chr(10) ORDER BY pos) || chr(10) || '</context_documents>', chr(10)) AS lines
+      FROM documents_xml)""",
+        "SELECT CAST(n - 1 AS BIGINT) AS pos, lines[n] AS value FROM (SELECT lines, unnest(generate_series(1, len(lines))) AS n FROM whole) w"),
+)
+def rag_xml_file(spark, sf):
+    """The lines of the written context document, numbered over its part files."""
+    path = scratch_path(spark, "xml")
+    digest.write_rag_xml(records(spark, sf), path)
+    return read_lines(spark, path).select("pos", "value")
+
+
 @query("timeline", sql(RECORDS, "SELECT date[1] AS date, pos, '- **' || date[1] || '**: ' || title AS line FROM records WHERE date IS NOT NULL"))
 def timeline(spark, sf):
     return digest.timeline(records(spark, sf))

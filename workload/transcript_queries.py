@@ -14,6 +14,7 @@ from stackroom.fixed_values import (
 )
 from stackroom.functions.text import phonetic_key
 from stackroom.operators import enrichment, signal, transcript
+from stackroom.runtime import scratch_path
 from stackroom.sinks import captions
 from workload.catalog import exact, query
 from workload.views import (
@@ -305,10 +306,27 @@ def caption(ms: str, separator: str) -> str:
     return TIME.replace("ms", f"({ms})") + f" || '{separator}' || lpad(CAST(({ms}) % 1000 AS VARCHAR), 3, '0')"
 
 
+TIMED = """timed AS (SELECT recording_id, segment, '[' || speaker || '] ' || trim(text) AS plain,
+  CAST(round_even(start_s * 1000, 0) AS BIGINT) AS a, CAST(round_even(end_s * 1000, 0) AS BIGINT) AS b FROM segments)"""
+
+
+@query(
+    "caption_files",
+    sql(SEGMENTS, TIMED, f"""blocks AS (SELECT recording_id, {caption('a', '.')} || ' --> ' || {caption('b', '.')} || chr(10) || plain || chr(10) AS vtt FROM timed
+      UNION ALL SELECT DISTINCT recording_id, 'WEBVTT' || chr(10) FROM timed)""",
+        "SELECT recording_id, line, count(*) AS times FROM (SELECT recording_id, unnest(string_split(vtt, chr(10))) AS line FROM blocks) l GROUP BY 1, 2"),
+)
+def caption_files(spark, sf):
+    """The lines of all written caption files."""
+    path = scratch_path(spark, "captions")
+    captions.write_captions(segments(spark, sf), path, "vtt")
+    lines = spark.read.schema("value string, recording_id bigint").text(path)
+    return lines.groupBy("recording_id", F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("times"))
+
+
 @query(
     "captions",
-    sql(SEGMENTS, """timed AS (SELECT recording_id, segment, '[' || speaker || '] ' || trim(text) AS plain,
-      CAST(round_even(start_s * 1000, 0) AS BIGINT) AS a, CAST(round_even(end_s * 1000, 0) AS BIGINT) AS b FROM segments)""",
+    sql(SEGMENTS, TIMED,
         f"""SELECT recording_id, segment, plain, CAST(segment + 1 AS VARCHAR) || chr(10) || {caption('a', ',')} || ' --> ' || {caption('b', ',')} || chr(10) || plain || chr(10) AS srt,
               {caption('a', '.')} || ' --> ' || {caption('b', '.')} || chr(10) || plain || chr(10) AS vtt FROM timed"""),
 )
