@@ -15,8 +15,8 @@ from stackroom.functions.numbers import let
 
 # Unicode white space plus the four ASCII separators.
 SPACE = r"[\s\x1c-\x1f]"
-# Stands for the dotless i while case is changed.
-DOTLESS = "\ue000"
+# Stands for the dotless i while case is changed; a code point that no text holds.
+DOTLESS = "\ufdd0"
 
 
 def stripped(text: Column) -> Column:
@@ -34,7 +34,9 @@ def folded(text: Column) -> Column:
 
     Lower of upper is the full case folding but for the dotless i, which stays, and the final sigma.
     """
-    folds = F.translate(caseless(F.translate(text, "ı", DOTLESS)), "ς" + DOTLESS, "σı")
+    folds = caseless(F.replace(text, F.lit("ı"), F.lit(DOTLESS)))
+    for folded_to, letter in (("ς", "σ"), (DOTLESS, "ı")):
+        folds = F.replace(folds, F.lit(folded_to), F.lit(letter))
     return F.trim(F.regexp_replace(folds, rf"(?U){SPACE}+", " "))
 
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.model import FACETS, RECORD_FIELDS
+from stackroom.functions.numbers import let
+from stackroom.model import FACETS, RECORD, RECORD_FIELDS
 
 RAW_PAGE = "name STRING, search STRUCT<result_count: BIGINT, results: ARRAY<STRING>, facets: MAP<STRING, MAP<STRING, BIGINT>>>"
 QUARANTINE = "missing id or title"
@@ -35,19 +36,17 @@ def _open_map(raw: Column) -> Column:
 def split_extra_fields(raw: Column, modelled: Sequence[str] = tuple(RECORD_FIELDS)) -> Column:
     """Keys of a JSON object outside the model, values as JSON text; null when there are none."""
     extra = F.map_filter(_open_map(raw), lambda key, _: ~key.isin(*modelled))
-    return F.when(F.size(extra) > 0, extra)
+    return let(extra, lambda tail: F.when(F.size(tail) > 0, tail))
 
 
-def _typed(raw: Column) -> list[Column]:
-    record = F.from_json(raw, ", ".join(f"{n} {t.simpleString()}" for n, t in RECORD_FIELDS.items()))
-    return [record[name].alias(name) for name in RECORD_FIELDS]
+def _typed(raw: Column) -> Column:
+    """The modelled columns as one struct, so that a record is parsed once."""
+    return F.from_json(raw, RECORD)
 
 
-def _is_text(raw: Column, key: str) -> Column:
-    """The JSON value of a top-level key is a string."""
-    return F.try_variant_get(F.try_parse_json(raw), f"$.{key}", "string").isNotNull() & F.coalesce(
-        F.schema_of_variant(F.variant_get(F.try_parse_json(raw), f"$.{key}", "variant")) == "STRING", F.lit(False)
-    )
+def _is_text(body: Column, key: str) -> Column:
+    """The value of a top-level key of a JSON variant is a string."""
+    return F.coalesce(F.schema_of_variant(F.variant_get(body, f"$.{key}", "variant")) == "STRING", F.lit(False))
 
 
 def read_search_pages(spark: SparkSession, path: str | Sequence[str], one_per_file: bool = True) -> DataFrame:
@@ -56,13 +55,14 @@ def read_search_pages(spark: SparkSession, path: str | Sequence[str], one_per_fi
     Rows whose ``id`` or ``title`` is missing or not a string carry a reason in ``rejected``.
     """
     rows = _raw_pages(spark, path, one_per_file).select("page_file", "page", F.posexplode("results").alias("page_pos", "raw"))
-    fit = _is_text(F.col("raw"), "id") & _is_text(F.col("raw"), "title")
+    rows = rows.withColumns({"body": F.try_parse_json("raw"), "record": _typed(F.col("raw"))})
+    fit = _is_text(F.col("body"), "id") & _is_text(F.col("body"), "title")
     return rows.select(
         "page_file",
         "page",
         F.struct("page", "page_file", "page_pos").alias("pos"),
         "page_pos",
-        *_typed(F.col("raw")),
+        "record.*",
         split_extra_fields(F.col("raw")).alias("extra_fields"),
         F.when(~fit, F.lit(QUARANTINE)).alias("rejected"),
     )
@@ -86,10 +86,11 @@ def read_facet_map(spark: SparkSession, path: str | Sequence[str], one_per_file:
 def read_detail_records(spark: SparkSession, path: str | Sequence[str], one_per_file: bool = True) -> DataFrame:
     """``record`` envelopes; numeric ids become text."""
     raw = spark.read.schema("record STRING").json(path if isinstance(path, str) else list(path), multiLine=one_per_file)
-    values = _open_map(F.col("record"))
-    return raw.select(
+    values = F.col("values")
+    typed = raw.withColumns({"values": _open_map(F.col("record")), "typed": _typed(F.col("record"))})
+    return typed.select(
         F.trim(values["id"]).alias("id"),
-        *[c for c, n in zip(_typed(F.col("record")), RECORD_FIELDS) if n != "id"],
+        *[F.col(f"typed.{n}").alias(n) for n in RECORD_FIELDS if n != "id"],
         F.coalesce(
             F.from_json(values["primary_collection"], "array<string>"), F.array(values["primary_collection"])
         ).alias("primary_collection"),
