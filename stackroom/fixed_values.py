@@ -51,6 +51,13 @@ ENRICHMENT_LIMITATIONS = (
     "Summaries are extractive transcript citations and may reproduce transcription errors.",
 )
 
+EVALUATION_LIMITATIONS = (
+    "Synthetic fixture scores do not estimate production accuracy.",
+    "Pilot promotion remains blocked until the target is processed and manually reviewed.",
+    "Acoustic, language, entity and duplicate-model claims require domain-specific reviewed labels.",
+)
+ENRICHMENT_GATE = "manual_review_required"
+
 EVENT_STATES = ("discovered", "expanded", "downloaded", "processed", "archived", "rejected", "retry")
 PENDING_STATES = ("discovered", "retry")
 DISPOSITIONS = ("approved", "needs_correction", "rights_review", "no_action")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stackroom.fixed_values import ENRICHMENT_GATE, EVALUATION_LIMITATIONS
 from stackroom.functions.numbers import round_exact
 from stackroom.functions.text import folded, sequence_ratio
 from stackroom.plans.intervals import points_near
@@ -69,3 +70,17 @@ def pilot_coverage(header: DataFrame) -> DataFrame:
         (done >= target).alias("manual_review_required"),
         (done < target).alias("blocked"),
     )
+
+
+def evaluation_report(header: DataFrame) -> DataFrame:
+    """One row: pilot coverage, the promotion gate and the fixed limitations.
+
+    The fixture scores are the tables of :func:`word_error_rate`, :func:`sequence_similarity` and
+    :func:`boundary_score`.
+    """
+    return pilot_coverage(header).select(
+        "*",
+        F.lit(True).alias("canonical_output_unchanged"),
+        F.lit(ENRICHMENT_GATE).alias("production_enrichment_gate"),
+        F.lit(list(EVALUATION_LIMITATIONS)).alias("limitations"),
+    )

@@ -42,3 +42,9 @@ def file_checksum(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """SHA-256, length and path per file (files below 2 GB)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
     return files.load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
+
+
+def checksum_lines(files: DataFrame) -> DataFrame:
+    """``digest  name`` lines in path order."""
+    name = F.regexp_extract("path", "([^/]+)$", 1)
+    return files.select("path", F.concat_ws("  ", "sha256", name).alias("line")).orderBy("path")

@@ -23,11 +23,14 @@ def read_event_stream(
     return reader.load(path)
 
 
-def write_latest_state(events: DataFrame, state: str, checkpoint: str, key: str = "record_id", pos: str = "pos") -> StreamingQuery:
+def write_latest_state(
+    events: DataFrame, state: str, checkpoint: str, key: str = "record_id", pos: str = "pos", **trigger
+) -> StreamingQuery:
     """Keep the latest event per record in the table ``state``.
 
     Each micro-batch writes only its own latest rows, to the folder of its batch id; a replayed batch
-    overwrites the same folder. Readers merge the folders, so nothing is rewritten per batch.
+    overwrites the same folder. Readers merge the folders, so nothing is rewritten per batch. Without a
+    ``trigger`` (such as ``processingTime="1 minute"``) it takes what is there and stops.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -36,7 +39,7 @@ def write_latest_state(events: DataFrame, state: str, checkpoint: str, key: str
     return (
         events.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
@@ -47,7 +50,7 @@ def read_latest_state(spark: SparkSession, state: str, key: str = "record_id", p
 
 
 def compact_state(spark: SparkSession, state: str, target: str, key: str = "record_id", pos: str = "pos") -> None:
-    """Write the merged state as the first batch folder of a new state table."""
+    """Write the merged state as the first batch folder of a new state table; the stream then goes on there."""
     read_latest_state(spark, state, key, pos).write.mode("errorifexists").parquet(f"{target}/{VERSION}=-1")
 
 

@@ -226,6 +226,8 @@ def test_evaluation_goldens(spark):
     header = spark.createDataFrame([(1, 100)], "processed_count bigint, target_count bigint")
     row = evaluate.pilot_coverage(header).first()
     assert row["coverage_ratio"] == 0.01 and row["blocked"] and not row["manual_review_required"]
+    report = evaluate.evaluation_report(header).first()
+    assert report["production_enrichment_gate"] == "manual_review_required" and len(report["limitations"]) == 3
 
 
 def test_pilot_report(spark):

@@ -69,6 +69,7 @@ def test_checksums(spark, tmp_path):
     (tmp_path / "sub" / "x.bin").write_bytes(b"abc")
     row = tables.file_checksum(spark, str(tmp_path)).first()
     assert row["sha256"] == hashlib.sha256(b"abc").hexdigest() and row["length"] == 3
+    assert tables.checksum_lines(tables.file_checksum(spark, str(tmp_path))).first()["line"] == f"{row['sha256']}  x.bin"
 
 
 def lines(df, *order, column="line"):
