@@ -33,12 +33,14 @@ from stackroom.functions.text import (
     sequence_ratio,
     stripped,
 )
-from stackroom.operators.transcript import chapters
+from stackroom.operators.transcript import chapters, chapters_with_text, disordered_recordings
 from stackroom.plans.blocks import with_next
 from stackroom.plans.intervals import first_in_spans
 from stackroom.runtime import materialised
 
 KEY = "recording_id"
+# Recording ids that may be shipped to every task; more of them meet the segments in a shuffle.
+SHIPPED_KEYS = 100_000
 WORD = r"[\p{L}\p{N}_]"
 NAME = rf"[A-ZĀĒĪŌŪ](?:{WORD}|['-])+"
 ENTITY = rf"(?U)(?<!{WORD}){NAME}(?:{SPACE}+{NAME}){{0,3}}"
@@ -74,11 +76,34 @@ def entity_candidates(segments: DataFrame) -> DataFrame:
     return rows.withColumn("status", F.lit("unresolved_candidate"))
 
 
+def _summary(start: str, text: Column, segment: str) -> list[Column]:
+    return [
+        F.col(start).alias("start"),
+        F.substring(text, 1, SUMMARY_CHARS).alias("text"),
+        F.array(segment).alias("cited_segments"),
+        F.lit("first_transcript_segment_v1").alias("method"),
+    ]
+
+
 def chapter_summaries(segments: DataFrame) -> DataFrame:
     """First segment with text, in list order, that starts inside each chapter.
 
-    The short chapter table is checkpointed, so that the pass along the recordings runs once.
+    Where segments start in list order, that is the chapter's own first segment. The recordings where they
+    do not are found first; only those are searched by time.
     """
+    disordered = materialised(disordered_recordings(segments))
+    count = disordered.count()
+    own = chapters_with_text(segments, SUMMARY_CHARS).select(
+        KEY, "chapter", *_summary("start", F.col("text"), "segment")
+    )
+    if count == 0:
+        return own
+    keys = F.broadcast(disordered) if count <= SHIPPED_KEYS else disordered
+    searched = _summaries_by_time(segments.join(keys, KEY, "left_semi"))
+    return own.join(keys, KEY, "left_anti").unionByName(searched)
+
+
+def _summaries_by_time(segments: DataFrame) -> DataFrame:
     entries = segments.select(KEY, "segment", F.col("start_s").alias("at"), stripped(F.col("text")).alias("text"))
     entries = entries.filter(F.col("text") != "")
     starts = materialised(chapters(segments).select(KEY, "chapter", "start"))
@@ -87,12 +112,7 @@ def chapter_summaries(segments: DataFrame) -> DataFrame:
     )
     cited = first_in_spans(spans, entries, KEY, "chapter", "start", "end", "at", "segment")
     return cited.join(entries, [KEY, "segment"]).select(
-        KEY,
-        "chapter",
-        "start",
-        F.substring("text", 1, SUMMARY_CHARS).alias("text"),
-        F.array("segment").alias("cited_segments"),
-        F.lit("first_transcript_segment_v1").alias("method"),
+        KEY, "chapter", *_summary("start", F.col("text"), "segment")
     )
 
 

@@ -31,9 +31,9 @@ def word_error_rate(pairs: DataFrame) -> DataFrame:
 def sequence_similarity(pairs: DataFrame) -> DataFrame:
     """Matching-block ratio of the folded texts."""
     ratio = sequence_ratio(folded(F.col("reference")), folded(F.col("predicted")))
-    # Comparing costs the product of the lengths, far more than moving the texts: spread the pairs evenly.
+    # Comparing costs the product of the lengths, far more than moving the texts: spread the pairs evenly, copies included.
     tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = pairs.repartition(tasks, F.xxhash64("reference", "predicted"))
+    pairs = pairs.repartition(tasks)
     return pairs.withColumn("sequence_similarity", round_exact(ratio, 6))
 
 

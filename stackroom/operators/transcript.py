@@ -205,19 +205,30 @@ def section_hints(segments: DataFrame) -> DataFrame:
 
 def chapters(segments: DataFrame) -> DataFrame:
     """Chapter starts: the first spoken segment and every one after a long pause, numbered from 0."""
-    rows = _spoken(segments).select(
-        KEY, "segment", "start_s", "end_s", F.substring(stripped(F.col("text")), 1, CHAPTER_TITLE_CHARS).alias("title")
-    )
+    return chapters_with_text(segments, CHAPTER_TITLE_CHARS).withColumnRenamed("text", "title")
+
+
+def chapters_with_text(segments: DataFrame, chars: int) -> DataFrame:
+    """Chapter starts with the first ``chars`` characters of their opening segment."""
+    opening = F.substring(stripped(F.col("text")), 1, chars).alias("text")
+    rows = _spoken(segments).select(KEY, "segment", "start_s", "end_s", opening)
     found = with_previous(rows, KEY, "segment", {"ended": F.col("end_s")}).filter(_opens_chapter()).select(
         KEY,
         "segment",
         F.col("start_s").alias("start"),
-        "title",
+        "text",
         F.when(F.col("prev").isNull(), "recording_start").otherwise("speech_after_pause").alias("basis"),
     )
     return with_position(found, KEY, "segment", "chapter", long_keys(segments, KEY, "segment"))
 
 
+def disordered_recordings(segments: DataFrame) -> DataFrame:
+    """Recordings in which a spoken segment does not start after the one listed before it."""
+    rows = _spoken(segments).select(KEY, "segment", "start_s")
+    listed = with_previous(rows, KEY, "segment", {"started": F.col("start_s")})
+    return listed.filter(F.col("start_s") <= F.col("prev.started")).select(KEY).distinct()
+
+
 def _quality_flags() -> Column:
     return flags(
         (F.col("coverage") < 0.1, "possible_music_or_non_speech"),

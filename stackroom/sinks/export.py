@@ -166,7 +166,8 @@ def nested_documents(
     large = sizes[0].filter(F.col("_rows") > limit).select(key)
     for more in sizes[1:]:
         large = large.unionByName(more.filter(F.col("_rows") > limit).select(key))
-    large = large.distinct()
+    # At most one key per ``limit`` rows.
+    large = F.broadcast(large.distinct())
     documents = report.join(large, key, "left_anti")
     for name, (rows, order) in children.items():
         body = F.struct(*[F.col(c) for c in rows.columns if c not in (key, order)])

@@ -134,6 +134,29 @@ def test_enrichment(spark):
     assert (report["search_entries"], report["entity_candidates"], report["chapter_summaries"]) == (2, 5, 2)
 
 
+@pytest.mark.parametrize("shipped", [0, 100])
+def test_summaries_of_disordered_recordings(spark, monkeypatch, shipped):
+    monkeypatch.setattr(enrichment, "SHIPPED_KEYS", shipped)
+    rng = random.Random(12)
+    rows = []
+    for r in range(30):
+        starts = [float(rng.randrange(0, 300, 10)) for _ in range(rng.randrange(1, 8))]
+        starts = sorted(starts) if r % 3 == 0 else starts
+        rows += [(f"r{r}", i, s, s + rng.randrange(1, 12), rng.choice(["a b", "x" * 400, " ", "ok"]), None, []) for i, s in enumerate(starts)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = []
+    for recording in {r[0] for r in rows}:
+        spoken = [r for r in rows if r[0] == recording and r[4].strip()]
+        opens = [s for i, s in enumerate(spoken) if i == 0 or s[2] - spoken[i - 1][3] >= 5.0]
+        for n, c in enumerate(opens):
+            end = opens[n + 1][2] if n + 1 < len(opens) else float("inf")
+            cited = [s for s in spoken if c[2] <= s[2] < end]
+            if cited:
+                want.append((recording, n, c[2], cited[0][4].strip()[:280], cited[0][1]))
+    got = [(r["recording_id"], r["chapter"], r["start"], r["text"], r["cited_segments"][0]) for r in enrichment.chapter_summaries(df).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_language_words_are_whole(spark):
     df = seg(spark, (0, 1, "te'x latte", []), (1, 2, "(Te) x", []), (2, 3, "aTE whānau2", []), (3, 4, "NGĀ!", []))
     assert sorted(r["segment"] for r in enrichment.language_signals(df).collect()) == [1, 3]
