@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stackroom.functions.numbers import round_exact
+from stackroom.functions.numbers import let, round_exact
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -15,9 +15,9 @@ def dot(a: Column, b: Column) -> Column:
 
 def cosine_similarity(a: Column, b: Column) -> Column:
     """Cosine in double precision; 0 for empty, unequal-length or zero vectors."""
-    norms = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
     usable = (F.size(a) == F.size(b)) & (F.size(a) > 0)
-    return F.coalesce(F.when(usable & (norms > 0), dot(a, b) / norms), F.lit(0.0))
+    norms = F.when(usable, F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+    return let(norms, lambda n: F.coalesce(F.when(n > 0, dot(a, b) / n), F.lit(0.0)))
 
 
 def positional_similarity(left: Column, right: Column) -> Column:

@@ -19,6 +19,8 @@ from stackroom.plans.skew import join_per_key
 QUERY_BYTES = 64 << 20
 # Scores are compared at this precision, so that equal vectors tie and the id decides.
 SCORE_DIGITS = 9
+# Longest result list that every task keeps for itself.
+HEAP_ROWS = 10_000
 # Vectors scored by one task against one block of queries when the queries are too many to ship.
 SLICE_ROWS = 100_000
 BEST_SCHEMA = "query_id string, record_id string, score double"
@@ -36,14 +38,21 @@ def vector_insert(vectors: DataFrame, new: DataFrame, pos: str = "pos") -> DataF
     return vectors.unionByName(new.withColumn(pos, F.col(pos) + top))
 
 
-def vector_top_k(vectors: DataFrame, query: Sequence[float] | Column, limit: int) -> DataFrame:
+def vector_top_k(vectors: DataFrame, query: Sequence[float], limit: int) -> DataFrame:
     """Best cosine scores over the whole table, ties by record id.
 
-    ``query`` is a list of numbers or an array column, such as a scalar subquery on a vector table.
+    The scan multiplies Arrow batches and keeps ``limit`` rows per task; a very long list is scored and
+    sorted by the engine instead.
     """
-    wanted = query if isinstance(query, Column) else F.array(*[F.lit(float(x)) for x in query])
-    score = F.round(cosine_similarity(wanted, F.col("embedding")), SCORE_DIGITS)
-    return vectors.select("record_id", score.alias("score")).orderBy(F.desc("score"), "record_id").limit(limit)
+    found = vectors.select(F.col("record_id").cast("string").alias("record_id"), "embedding")
+    order = [F.desc("score"), F.col("record_id")]
+    if 0 < limit <= HEAP_ROWS:
+        scored = _scored(found, _by_width([""], [list(query)]), limit).select("record_id", "score")
+    else:
+        wanted = F.array(*[F.lit(float(x)) for x in query])
+        score = F.round(cosine_similarity(wanted, F.col("embedding")), SCORE_DIGITS)
+        scored = found.select("record_id", score.alias("score"))
+    return scored.orderBy(*order).limit(max(limit, 0))
 
 
 def _scores(queries: np.ndarray, lists: pa.Array) -> np.ndarray:
@@ -117,7 +126,11 @@ def _merge(best: dict, groups: list, ids: np.ndarray, lists: pa.Array, limit: in
 def _scored_by_broadcast(vectors: DataFrame, queries: DataFrame, limit: int) -> DataFrame:
     """Best rows per query and partition; the queries are within ``QUERY_BYTES``."""
     rows = queries.collect()
-    groups = _by_width([r["query_id"] for r in rows], [r["embedding"] for r in rows])
+    return _scored(vectors, _by_width([r["query_id"] for r in rows], [r["embedding"] for r in rows]), limit)
+
+
+def _scored(vectors: DataFrame, groups: list[tuple[list[str], np.ndarray]], limit: int) -> DataFrame:
+    """Best rows per query and partition."""
     shared = vectors.sparkSession.sparkContext.broadcast(groups)
 
     def best_of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

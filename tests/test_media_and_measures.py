@@ -115,12 +115,16 @@ def test_batch_top_k_equals_single(spark, monkeypatch):
     df = vector_table(spark, rows).repartition(5)
     wanted = [("q0", rows[0][1]), ("q1", rows[5][1]), ("q2", [0.0] * 8), ("q3", [1.0])]
     queries = spark.createDataFrame(wanted, "query_id string, embedding array<double>")
+    heap = vectors.HEAP_ROWS
     for query_bytes, slice_rows in ((vectors.QUERY_BYTES, 100), (64, 1000), (128, 40)):
         monkeypatch.setattr(vectors, "QUERY_BYTES", query_bytes)
         monkeypatch.setattr(vectors, "SLICE_ROWS", slice_rows)
         got = vectors.vector_top_k_batch(df, queries, 7).collect()
         for name, values in wanted:
+            monkeypatch.setattr(vectors, "HEAP_ROWS", 0)
             single = [tuple(r) for r in vectors.vector_top_k(df, values, 7).collect()]
+            monkeypatch.setattr(vectors, "HEAP_ROWS", heap)
+            assert [r["record_id"] for r in vectors.vector_top_k(df, values, 7).collect()] == [r for r, _ in single]
             batch = sorted(((r["record_id"], r["score"]) for r in got if r["query_id"] == name), key=lambda r: (-r[1], r[0]))
             assert [r for r, _ in batch] == [r for r, _ in single]
             assert np.allclose([s for _, s in batch], [s for _, s in single], atol=1e-8)

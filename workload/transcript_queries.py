@@ -31,7 +31,6 @@ from workload.views import (
     segments,
     sql,
     table,
-    vectors,
 )
 
 
