@@ -80,7 +80,7 @@ def similarity_candidates(
     """Per item (latest processed row of a record): the earliest similar item before it, and the review flag.
 
     Only the first record of each similar group matters: if it precedes the item, the item has a
-    candidate. Identical copies are never paired with each other. The items are checkpointed, as they
+    candidate. Identical copies are never paired with each other. The items are written once, as they
     are a log state that several steps read.
     """
     items = materialised(items)

@@ -32,7 +32,7 @@ def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_ind
     """Add a 0-based global position in the given order without a single-task window.
 
     The sort is a range partitioning, so a hot leading value is split by the following sort columns.
-    The checkpoint fixes the sampled range bounds; only one row per partition is then ranked.
+    Writing the sorted rows fixes the sampled range bounds; only one row per partition is then ranked.
     """
     marked = materialised(df.orderBy(*order).withColumn("_mark", F.monotonically_increasing_id()))
     part = F.shiftright(F.col("_mark"), 33)

@@ -15,7 +15,7 @@ def join_per_key(facts: DataFrame, per_key: DataFrame, key: str, rows: str, how:
 
     Keys with more than 1/``HOT_KEYS`` of all counted facts are joined by broadcast and never shuffled;
     there are fewer than ``HOT_KEYS`` of them whatever the data. All other keys take a shuffle join.
-    The table per key is checkpointed, as both parts and the total read it.
+    The table per key is written once, as both parts and the total read it.
     """
     per_key = materialised(per_key)
     total = per_key.agg(F.sum(rows)).scalar()

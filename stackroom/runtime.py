@@ -30,7 +30,7 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and intermediate tables.
+    """Shared folder for intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local master may go without one.
     """
@@ -51,6 +51,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialised(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: fixes nondeterministic columns and survives executor loss."""
-    work_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows as a table in the shared folder.
+
+    They are computed once, keep their values when an executor is lost, and have a known size for the plans
+    that read them.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,19 +7,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stackroom.model import MANIFEST_EVENT
+from stackroom.runtime import materialised
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text lines with file, 1-based line number and a global position.
 
     Splits are read in parallel; a line's place is its place in the split plus the lines of the splits
-    before it. Only one row per split (a file block) is ordered in one task.
+    before it. Only one row per split (a file block) is ordered in one task. The lines are written once,
+    as a second read could cut the files differently.
     """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_mark"),
+    lines = materialised(
+        spark.read.text(path).select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("_start"),
+            F.monotonically_increasing_id().alias("_mark"),
+        )
     )
     splits = lines.groupBy("file", "_start").agg(F.count(F.lit(1)).alias("_lines"), F.min("_mark").alias("_first"))
     earlier = Window.unboundedPreceding, -1
