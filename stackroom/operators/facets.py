@@ -28,6 +28,8 @@ def _terms(df: DataFrame, name: str) -> Column:
 
 def facet_counts(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Records per (field, term), all fields in one pass over the data."""
+    if not fields:
+        return df.sparkSession.createDataFrame([], "field string, term string, count bigint")
     per_field = F.array(*[F.struct(F.lit(f).alias("field"), _terms(df, f).alias("terms")) for f in fields])
     return (
         df.select(F.inline(per_field))

@@ -60,6 +60,8 @@ def similar_codes(
     """
     mismatches = length - math.ceil((threshold - 5e-7) * length)
     bands = mismatches + 1
+    if not 0 < bands <= length:
+        raise ValueError(f"threshold {threshold} leaves no common band of codes of length {length}")
     distinct = codes.select(code).filter(F.length(code) == length).distinct()
     banded = distinct.select(code, F.inline(_bands(F.col(code), length, bands)))
     sizes = banded.groupBy("no", "part").agg(F.count(F.lit(1)).alias("_codes")).filter(F.col("_codes") > 1)

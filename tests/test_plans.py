@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -113,6 +114,13 @@ def test_similar_codes_equals_all_pairs(spark):
         assert {tuple(r) for r in similar_codes(df, "c", 64, 0.92, band_rows=crowd).collect()} == want
 
 
+def test_similar_codes_needs_a_common_band(spark):
+    df = spark.createDataFrame([("ab",)], "c string")
+    assert similar_codes(df, "c", 2, 1.0).collect() == []
+    with pytest.raises(ValueError):
+        similar_codes(df, "c", 2, 0.0)
+
+
 def test_join_per_key_keeps_all_rows(spark):
     facts = [("hot", i) for i in range(500)] + [(f"k{i % 700}", i) for i in range(1000)] + [(None, -1)]
     df = spark.createDataFrame(facts, "k string, i int")

@@ -81,6 +81,9 @@ def test_facets(records):
     free = SearchQuery().where_all("place", "B").facet("place", unfiltered=True)
     assert len(free.facets(records).collect()) == 2
     assert SearchQuery().facet("place", size=1000).facet_page_size == 350
+    assert SearchQuery().facets(records).collect() == []
+    assert SearchQuery().facet("place", size=0).facets(records).collect() == []
+    assert ids(SearchQuery().where_all("place").where_any("place").where_none("place").matching(records)) == ["1", "2", "3", "4"]
 
 
 def test_harvest(spark, records):
