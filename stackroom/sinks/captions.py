@@ -44,12 +44,26 @@ def rttm(diarization: DataFrame) -> DataFrame:
     return diarization.select(KEY, "segment", line.alias("line"))
 
 
-def write_captions(segments: DataFrame, path: str, form: str) -> None:
-    """One folder per recording; part files in name order, so that a long recording is written by many tasks."""
+def caption_blocks(segments: DataFrame, form: str) -> DataFrame:
+    """Blocks of the caption file of each recording, in ``segment`` order; the head of a VTT file is block -1."""
     if form not in ("srt", "vtt", "plain"):
         raise ValueError(f"unknown caption form: {form}")
-    rows = captions(segments).select(KEY, F.col("segment"), F.col(form).alias("value"))
-    if form == "vtt":
-        head = segments.select(KEY).distinct().select(KEY, F.lit(-1).alias("segment"), F.lit("WEBVTT\n").alias("value"))
-        rows = rows.unionByName(head)
+    rows = captions(segments).select(KEY, "segment", F.col(form).alias("value"))
+    if form != "vtt":
+        return rows
+    head = segments.select(KEY).distinct().select(KEY, F.lit(-1).alias("segment"), F.lit("WEBVTT\n").alias("value"))
+    return rows.unionByName(head)
+
+
+def write_caption_table(segments: DataFrame, path: str, form: str) -> None:
+    """All caption blocks as one Parquet table sorted by recording and segment, for any number of recordings."""
+    caption_blocks(segments, form).orderBy(KEY, "segment").write.mode("errorifexists").parquet(path)
+
+
+def write_captions(segments: DataFrame, path: str, form: str) -> None:
+    """One folder of text per recording, for the recordings of a release.
+
+    Part files are in name order, so that a long recording is written by many tasks.
+    """
+    rows = caption_blocks(segments, form)
     rows.orderBy(KEY, "segment").select(KEY, "value").write.partitionBy(KEY).mode("errorifexists").text(path)

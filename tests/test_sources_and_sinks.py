@@ -118,6 +118,11 @@ def test_captions(spark, tmp_path):
     captions.write_captions(df, str(tmp_path / "vtt"), "vtt")
     text = "".join(p.read_text() for p in sorted((tmp_path / "vtt" / "recording_id=r").glob("part-*")))
     assert text == "WEBVTT\n\n00:00:01.000 --> 00:00:02.500\n[SPEAKER_00] Kia ora\n\n00:00:03.000 --> 00:00:04.000\n[SPEAKER_UNKNOWN] ok\n\n"
+    captions.write_caption_table(df, str(tmp_path / "table"), "srt")
+    blocks = spark.read.parquet(str(tmp_path / "table")).orderBy("recording_id", "segment").collect()
+    assert [b["value"].split("\n")[0] for b in blocks] == ["1", "2", "1"]
+    with pytest.raises(ValueError):
+        captions.caption_blocks(df, "ass")
     turn = spark.createDataFrame([("recording", 0, 1.25, 3.75, "SPEAKER_00")], "recording_id string, segment bigint, start_s double, end_s double, speaker string")
     assert captions.rttm(turn).first()["line"] == "SPEAKER recording 1 1.250 2.500 <NA> <NA> SPEAKER_00 <NA> <NA>"
 

@@ -310,17 +310,17 @@ TIMED = """timed AS (SELECT recording_id, segment, '[' || speaker || '] ' || tri
 
 
 @query(
-    "caption_files",
+    "caption_table",
     sql(SEGMENTS, TIMED, f"""blocks AS (SELECT recording_id, {caption('a', '.')} || ' --> ' || {caption('b', '.')} || chr(10) || plain || chr(10) AS vtt FROM timed
       UNION ALL SELECT DISTINCT recording_id, 'WEBVTT' || chr(10) FROM timed)""",
         "SELECT recording_id, line, count(*) AS times FROM (SELECT recording_id, unnest(string_split(vtt, chr(10))) AS line FROM blocks) l GROUP BY 1, 2"),
 )
-def caption_files(spark, sf):
-    """The lines of all written caption files."""
+def caption_table(spark, sf):
+    """The lines of all written captions."""
     path = scratch_path(spark, "captions")
-    captions.write_captions(segments(spark, sf), path, "vtt")
-    lines = spark.read.schema("value string, recording_id bigint").text(path)
-    return lines.groupBy("recording_id", F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("times"))
+    captions.write_caption_table(segments(spark, sf), path, "vtt")
+    lines = spark.read.parquet(path).select("recording_id", F.explode(F.split("value", "\n")).alias("line"))
+    return lines.groupBy("recording_id", "line").agg(F.count(F.lit(1)).alias("times"))
 
 
 @query(
