@@ -34,15 +34,15 @@ def work_dir(spark: SparkSession) -> str:
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local master may go without one.
     """
+    named = spark.conf.get(CHECKPOINT_SETTING, None)
+    if named:
+        return named.rstrip("/")
     context = spark.sparkContext
-    named = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
-    if not named:
+    if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="stackroom-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
-    return named.rstrip("/")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="stackroom-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
