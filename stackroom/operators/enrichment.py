@@ -22,7 +22,7 @@ from stackroom.fixed_values import (
     SUMMARY_CHARS,
 )
 from stackroom.functions.arrays import flags
-from stackroom.functions.numbers import round_exact
+from stackroom.functions.numbers import let, round_exact
 from stackroom.functions.text import (
     SPACE,
     any_term,
@@ -150,21 +150,32 @@ def corrections(
 def fuzzy_matches(entries: DataFrame, query: str) -> DataFrame:
     """All entries that match exactly, by sound, or by sequence ratio, with kind and score.
 
-    The ratio reaches Python only for rows that could still pass, by the length bound.
+    Entries that cannot match, by the length bound of the ratio, are dropped first; of the others only those
+    that neither match exactly nor by sound reach Python.
     """
     wanted = folded(F.lit(query))
+    # The sound keys of the query are computed once, as a subquery.
+    sounds = entries.sparkSession.range(1).select(phonetic_terms(F.lit(query))).scalar()
     usable = wanted != ""
-    exact = usable & F.contains("normalized", wanted)
-    by_sound = F.arrays_overlap("phonetic_terms", phonetic_terms(F.lit(query)))
-    open_case = usable & ~exact & ~by_sound & (ratio_bound(wanted, F.col("normalized")) >= FUZZY_THRESHOLD)
+    near = let(
+        F.col("normalized"),
+        lambda n: F.contains(n, wanted) | (ratio_bound(wanted, n) >= FUZZY_THRESHOLD),
+    )
+    by_sound = F.arrays_overlap("phonetic_terms", sounds)
+    judged = entries.filter((usable & near) | by_sound).withColumns(
+        {"_exact": usable & F.contains("normalized", wanted), "_sound": by_sound}
+    )
+    open_case = usable & ~F.col("_exact") & ~F.col("_sound")
     ratio = sequence_ratio(F.when(open_case, wanted), F.when(open_case, F.col("normalized")))
-    scored = entries.withColumns({"_exact": exact, "_sound": by_sound, "_ratio": ratio})
+    scored = judged.withColumn("_ratio", ratio)
     return (
         scored.filter(F.col("_exact") | F.col("_sound") | (F.col("_ratio") >= FUZZY_THRESHOLD))
         .withColumn("match", F.when(F.col("_exact"), "exact").when(F.col("_sound"), "phonetic").otherwise("fuzzy"))
         .withColumn(
             "score",
-            F.when(F.col("_exact"), 1.0).when(F.col("_sound"), PHONETIC_SCORE).otherwise(round_exact(F.col("_ratio"), 6)),
+            F.when(F.col("_exact"), 1.0)
+            .when(F.col("_sound"), PHONETIC_SCORE)
+            .otherwise(round_exact(F.col("_ratio"), 6)),
         )
         .select(KEY, "segment", "start", "end", "text", "match", "score")
     )
