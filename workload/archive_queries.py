@@ -348,27 +348,35 @@ def contract_extra_keys(spark, sf):
 
 
 FILES = ", ".join(f"'{name}'" for name in REQUIRED_ITEM_FILES)
-AUDIT = f"""items AS (SELECT CAST(doc_id AS VARCHAR) AS record_id, n_chars FROM documents),
-expected AS (SELECT record_id, n_chars, f.name, f.no FROM items CROSS JOIN (SELECT unnest([{FILES}]) AS name, unnest(range({len(REQUIRED_ITEM_FILES)})) AS no) f)"""
+AUDIT = f"""talks AS (
+  SELECT conv_id, count(*) AS turns, CAST(sum(length(text)) AS DOUBLE) AS chars, bool_or(role = 'user') AS named FROM conversations GROUP BY 1),
+items AS (SELECT CAST(c_custkey AS VARCHAR) AS record_id, turns, named FROM customer LEFT JOIN talks ON conv_id = c_custkey),
+required AS (SELECT record_id, turns, unnest([{FILES}]) AS name, unnest(range(1, {len(REQUIRED_ITEM_FILES) + 1})) AS no FROM items)"""
 
 
 @query(
     "asset_audit",
-    sql(AUDIT, """SELECT record_id, 'missing_or_empty' AS problem, name AS detail FROM expected WHERE n_chars % 13 = no OR n_chars % 17 = no
-      UNION ALL SELECT record_id, 'duration_differs', NULL FROM items WHERE n_chars % 5 > 2
-      UNION ALL SELECT record_id, 'no_segment_list', NULL FROM items WHERE n_chars % 7 = 0
-      UNION ALL SELECT record_id, 'non_anonymous_speaker', 'KNOWN_PERSON' FROM items WHERE n_chars % 7 = 1"""),
+    sql(AUDIT, """SELECT record_id, 'missing_or_empty' AS problem, name AS detail FROM required WHERE turns IS NULL OR no > turns + 4 OR no = turns
+      UNION ALL SELECT record_id, 'duration_differs', NULL FROM items WHERE turns IS NULL OR turns > 4
+      UNION ALL SELECT record_id, 'no_segment_list', NULL FROM items WHERE turns IS NULL
+      UNION ALL SELECT record_id, 'non_anonymous_speaker', 'KNOWN_PERSON' FROM items WHERE named"""),
 )
 def asset_audit(spark, sf):
-    """An item per document, its files and speakers derived from the text length."""
-    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("record_id"), F.col("n_chars").alias("n"))
-    names = F.lit(list(REQUIRED_ITEM_FILES))
-    files = docs.select("record_id", "n", F.posexplode(names).alias("no", "name")).filter(F.col("n") % 13 != F.col("no"))
-    files = files.select("record_id", "name", F.when(F.col("n") % 17 == F.col("no"), 0).otherwise(100).alias("length"))
-    items = docs.select("record_id", F.lit(60.0).alias("expected_duration"), (F.lit(60.0) + F.col("n") % 5 / 2 - F.when(F.col("n") % 5 > 2, 0.0).otherwise(0.0)).alias("actual_duration"))
-    speaker = F.when(F.col("n") % 7 == 1, "KNOWN_PERSON").when(F.col("n") % 7 == 2, "SPEAKER_UNKNOWN").otherwise("SPEAKER_03")
-    speakers = docs.filter(F.col("n") % 7 != 0).select("record_id", speaker.alias("speaker"))
-    return contract.asset_audit(items, files, speakers)
+    """An item per customer; the conversation of the same number gives its files, durations and speakers."""
+    turns = table(spark, sf, "conversations").withColumn("record_id", F.col("conv_id").cast("string"))
+    talks = turns.groupBy("record_id").agg(F.count(F.lit(1)).alias("turns"), F.sum(F.length("text")).alias("chars"))
+    names = F.slice(F.lit(list(REQUIRED_ITEM_FILES)), F.lit(1), F.col("turns").cast("int") + 4)
+    listed = talks.select("record_id", "turns", "chars", F.posexplode(names).alias("no", "name"))
+    files = listed.select("record_id", "name", F.when(F.col("no") + 1 == F.col("turns"), 0).otherwise(F.col("chars")).alias("length"))
+    seconds = F.col("chars") / 16
+    items = (
+        table(spark, sf, "customer")
+        .select(F.col("c_custkey").cast("string").alias("record_id"))
+        .join(talks, "record_id", "left")
+        .select("record_id", seconds.alias("expected_duration"), (seconds + F.col("turns") / 4).alias("actual_duration"))
+    )
+    speaker = F.when(F.col("role") == "user", "KNOWN_PERSON").otherwise("SPEAKER_03")
+    return contract.asset_audit(items, files, turns.select("record_id", speaker.alias("speaker")))
 
 
 def folded_words(text: str) -> str:

@@ -58,10 +58,10 @@ def vector_top_k_batch(spark, sf):
     return vec.vector_top_k_batch(rows, queries, 20).withColumn("score", F.round("score", 6))
 
 
-@query("vector_insert", sql(VECTORS, "SELECT record_id, pos FROM vectors UNION ALL SELECT record_id, pos + (SELECT max(pos) FROM vectors) + 1 FROM vectors WHERE label = 3"))
+@query("vector_insert", sql(VECTORS, "SELECT record_id, pos FROM vectors UNION ALL SELECT record_id, pos + (SELECT max(pos) FROM vectors) + 1 FROM vectors"))
 def vector_insert(spark, sf):
     rows = vectors(spark, sf)
-    return vec.vector_insert(rows, rows.filter(F.col("label") == 3)).select("record_id", "pos")
+    return vec.vector_insert(rows, rows).select("record_id", "pos")
 
 
 def letter_shares(text: str) -> list[float]:

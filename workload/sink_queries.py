@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stackroom.operators import transcript
+from stackroom.fixed_values import MAX_FACET_PAGE_SIZE
+from stackroom.operators import facets, transcript
 from stackroom.runtime import scratch_path
 from stackroom.sinks import digest, export
 from stackroom.sources import search_pages
@@ -13,7 +14,7 @@ from stackroom.sources.manifest import read_lines
 from stackroom.streaming import log
 from workload.catalog import query
 from workload.media_queries import CITED
-from workload.search_queries import facet_sql
+from workload.search_queries import FACETS, RANKED, facet_sql
 from workload.transcript_queries import LAGGED, OPENINGS
 from workload.views import (
     EVENTS,
@@ -260,11 +261,9 @@ def stream_event_dedup(spark, sf):
     return taken(spark, log.without_repeats(twice, "ts").select("event_id", "event_type"), "once")
 
 
-@query("facet_rows", sql(RECORDS, facet_sql("records"), "SELECT field, term, count FROM facets"))
+@query("facet_rows", sql(RECORDS, facet_sql("records"), RANKED, "SELECT field, term, count FROM ranked WHERE rank <= 350"))
 def facet_rows(spark, sf):
-    """Facet maps, as an answer holds them, back to rows."""
-    from stackroom.operators.facets import facet_counts
-
-    counts = facet_counts(records(spark, sf), ("category", "content_partner", "year", "usage"))
-    maps = counts.groupBy("field").agg(F.map_from_entries(F.collect_list(F.struct("term", "count"))).alias("terms"))
+    """Facet maps, as an answer holds them (one page of terms), back to rows."""
+    counts = facets.facet_counts(records(spark, sf), FACETS)
+    maps = facets.facet_page(counts, 1, MAX_FACET_PAGE_SIZE).groupBy("field").agg(F.map_from_entries(F.collect_list(F.struct("term", "count"))).alias("terms"))
     return search_pages.facet_rows(maps.select(F.create_map("field", "terms").alias("facets")))
