@@ -11,7 +11,8 @@ YEAR = r"(?U)\b(?:18|19|20)\d{2}\b"
 def metadata_year(*dates: Column) -> Column:
     """First plausible year over the date lists, in list order; null entries and lists are skipped."""
     values = F.concat(*[F.coalesce(d, F.array().cast("array<string>")) for d in dates])
-    years = F.filter(F.transform(values, lambda v: F.regexp_extract(F.coalesce(v, F.lit("")), YEAR, 0)), lambda y: y != "")
+    found = F.transform(values, lambda v: F.regexp_extract(F.coalesce(v, F.lit("")), YEAR, 0))
+    years = F.filter(found, lambda y: y != "")
     return F.try_element_at(years, F.lit(1)).try_cast("int")
 
 

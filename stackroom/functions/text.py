@@ -58,7 +58,9 @@ def any_term(text: Column, terms: Iterable[str]) -> Column:
 def token_text_match(haystack: Column, query: str) -> Column:
     """Every white-space token of the query occurs; an empty query or ``*`` matches all."""
     tokens = [] if query.strip() in ("", "*") else [F.lit(t) for t in query.lower().split()]
-    return let(haystack, lambda h: reduce(lambda a, b: a & b, [F.contains(h, t) for t in tokens])) if tokens else F.lit(True)
+    if not tokens:
+        return F.lit(True)
+    return let(haystack, lambda h: reduce(lambda a, b: a & b, [F.contains(h, t) for t in tokens]))
 
 
 # Sound group of each letter A-Z; 0 separates equal neighbours.

@@ -226,7 +226,8 @@ def review_queue(
 
 def record_review(requests: DataFrame, events: DataFrame) -> DataFrame:
     """Ledger rows for review requests; ``rejected`` says why a request is not accepted."""
-    latest = latest_by_record(events.select("record_id", "event", "pos")).select("record_id", F.col("event").alias("_state"))
+    states = latest_by_record(events.select("record_id", "event", "pos"))
+    latest = states.select("record_id", F.col("event").alias("_state"))
     blank = (F.coalesce(F.trim("actor"), F.lit("")) == "") | (F.coalesce(F.trim("github_run_id"), F.lit("")) == "")
     reason = (
         F.when(~F.coalesce(F.col("disposition").isin(*DISPOSITIONS), F.lit(False)), "unknown disposition")
@@ -270,7 +271,7 @@ def pilot_report(events: DataFrame) -> DataFrame:
         "language", "speaker_count", "overlap_seconds", "speech_coverage", "average_word_confidence", "rms_dbfs",
         "clipped_sample_ratio",
     )
-    stratum = F.coalesce(F.when(F.col("pilot_stratum.collection") != "", F.col("pilot_stratum.collection")), "collection")
+    stratum = F.coalesce(F.nullif("pilot_stratum.collection", F.lit("")), "collection")
     return item.select(
         "record_id",
         "title",

@@ -41,7 +41,8 @@ class Rule:
             "minimum": lambda: value < self.arg,
             "maximum": lambda: value > self.arg,
             "unique_items": lambda: F.size(F.array_distinct(value)) < F.size(value),
-            "iso_date": lambda: ~value.cast("string").rlike(ISO_DATE) | F.try_to_date(value.cast("string"), "yyyy-MM-dd").isNull(),
+            "iso_date": lambda: ~value.cast("string").rlike(ISO_DATE)
+            | F.try_to_date(value.cast("string"), "yyyy-MM-dd").isNull(),
             "date_time": lambda: ~value.cast("string").rlike(ISO_TIMESTAMP)
             | F.try_to_timestamp(value.cast("string")).isNull(),
             "uri": lambda: ~value.rlike(URI),

@@ -49,7 +49,9 @@ def exact_duplicates(
     return joined.withColumn("duplicate_of", earlier).drop("_first", "_second", "_second_pos")
 
 
-def fingerprint_groups(items: DataFrame, code: str = "fingerprint", record: str = "record_id", pos: str = "pos") -> DataFrame:
+def fingerprint_groups(
+    items: DataFrame, code: str = "fingerprint", record: str = "record_id", pos: str = "pos"
+) -> DataFrame:
     """One row per distinct fingerprint: records, first position and first record."""
     return items.groupBy(code).agg(
         F.count(F.lit(1)).alias("records"), F.min(pos).alias("first_pos"), F.min_by(record, pos).alias("first_record")

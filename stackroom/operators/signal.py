@@ -73,9 +73,9 @@ def activity_fingerprint(activity: DataFrame, max_windows: int = MAX_DURATION_SE
     """
     lengths = activity.groupBy(KEY).agg(F.max("window").alias("_last"))
     within = lengths.filter(F.col("_last") < max_windows).select(KEY)
-    tokens = activity.join(within, KEY, "left_semi").groupBy(KEY).agg(
-        F.array_sort(F.collect_list(F.struct("window", _token(F.col("label"), F.col("rms_dbfs")).alias("token")))).alias("_t")
-    )
+    entry = F.struct("window", _token(F.col("label"), F.col("rms_dbfs")).alias("token"))
+    kept = activity.join(within, KEY, "left_semi")
+    tokens = kept.groupBy(KEY).agg(F.array_sort(F.collect_list(entry)).alias("_t"))
     joined = F.array_join(F.transform("_t", lambda t: t["token"]), "|")
     return lengths.join(tokens, KEY, "left").select(
         KEY,

@@ -89,7 +89,8 @@ def spoken_metrics(segments: DataFrame) -> DataFrame:
         _score_sum(words).alias("score_sum"),
         _score_count(words).alias("score_count"),
     )
-    own = rows.withColumn("norm", word_text(F.col("text"))).withColumn("padded", F.concat(F.lit(" "), "norm", F.lit(" ")))
+    own = rows.withColumn("norm", word_text(F.col("text")))
+    own = own.withColumn("padded", F.concat(F.lit(" "), "norm", F.lit(" ")))
     own = own.withColumns(
         {
             "markers": _marker_count(F.col("norm")),

@@ -88,7 +88,8 @@ def vector_top_k_batch(vectors: DataFrame, queries: DataFrame, limit: int) -> Da
     """
     wanted = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("embedding").cast("array<double>"))
     found = vectors.select(F.col("record_id").cast("string").alias("record_id"), "embedding")
-    size = wanted.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("width")).first()
+    width = F.coalesce(F.max(F.size("embedding")), F.lit(0))
+    size = wanted.agg(F.count(F.lit(1)).alias("rows"), width.alias("width")).first()
     row_bytes = 8 * max(size["width"], 1)
     if limit <= 0:
         return vectors.sparkSession.createDataFrame([], BEST_SCHEMA)

@@ -52,7 +52,8 @@ def parse_events(lines: DataFrame) -> DataFrame:
     The line is read as the only element of a list, as a plain read would accept text after an object.
     """
     kept = lines.filter(F.regexp_replace("value", r"(?U)\s+", "") != "")
-    listed = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), T.ArrayType(MANIFEST_EVENT), {"allowSingleQuotes": "false"})
+    as_list = F.concat(F.lit("["), "value", F.lit("]"))
+    listed = F.from_json(as_list, T.ArrayType(MANIFEST_EVENT), {"allowSingleQuotes": "false"})
     parsed = kept.withColumn("_events", listed).withColumn("_event", F.get("_events", F.lit(0)))
     single = F.coalesce(F.size("_events") == 1, F.lit(False)) & F.col("_event").isNotNull()
     return parsed.select(
