@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stackroom.llm import licenses, line_chunks, mixing
+from stackroom.llm import licenses, line_chunks, minhash, mixing
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def op1_near_copies(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_copies(documents(spark, sf))
+
+
 def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.digest(licenses.license_scan(documents(spark, sf)))
 
@@ -26,6 +30,7 @@ def op6_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_copies": op1_near_copies,
     "op3_license_scan": op3_license_scan,
     "op5_line_dedup": op5_line_dedup,
     "op6_source_mixing": op6_source_mixing,
