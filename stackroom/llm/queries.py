@@ -6,17 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stackroom.llm import licenses, line_chunks, minhash, mixing
+from stackroom.llm import licenses, line_chunks, minhash, mixing, quality, toxicity
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/labels.parquet")
+
+
 def op1_near_copies(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_copies(documents(spark, sf))
 
 
+def op2_quality_network(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    return quality.digest(docs, quality.train(docs, labels(spark, sf), quality.not_held_out()))
+
+
 def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.digest(licenses.license_scan(documents(spark, sf)))
 
@@ -29,11 +38,18 @@ def op6_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.taken_words(*mixing.mix_plan(documents(spark, sf)))
 
 
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    return toxicity.digest(docs, toxicity.train(docs, labels(spark, sf), toxicity.not_held_out()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_copies": op1_near_copies,
+    "op2_quality_network": op2_quality_network,
     "op3_license_scan": op3_license_scan,
     "op5_line_dedup": op5_line_dedup,
     "op6_source_mixing": op6_source_mixing,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLES: dict[str, str] = {
