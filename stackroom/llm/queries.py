@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stackroom.llm import licenses, line_chunks, minhash, mixing, quality, toxicity
+from stackroom.llm import licenses, line_chunks, minhash, mixing, projected, quality, toxicity, vector_file
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -17,6 +18,10 @@ def labels(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/labels.parquet")
 
 
+def embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/embeddings.parquet")
+
+
 def op1_near_copies(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_copies(documents(spark, sf))
 
@@ -38,22 +43,33 @@ def op6_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.taken_words(*mixing.mix_plan(documents(spark, sf)))
 
 
+def op7_vector_file(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_file.exact_top_k(embeddings(spark, sf), F.col("vec_id") % 50 == 0)
+
+
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     return toxicity.digest(docs, toxicity.train(docs, labels(spark, sf), toxicity.not_held_out()))
 
 
+def op10_projected_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return projected.nearest(embeddings(spark, sf), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_copies": op1_near_copies,
     "op2_quality_network": op2_quality_network,
     "op3_license_scan": op3_license_scan,
     "op5_line_dedup": op5_line_dedup,
     "op6_source_mixing": op6_source_mixing,
+    "op7_vector_file": op7_vector_file,
     "op9_toxicity": op9_toxicity,
+    "op10_projected_neighbours": op10_projected_neighbours,
 }
 
 ORACLES: dict[str, str] = {
     "op3_license_scan": licenses.license_sql(),
     "op5_line_dedup": line_chunks.line_sql(),
     "op6_source_mixing": mixing.mix_sql(),
+    "op7_vector_file": vector_file.top_k_sql(),
 }
