@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.llm import licenses, line_chunks, minhash, mixing, projected, quality, toxicity, vector_file
+from stackroom.llm import licenses, line_chunks, minhash, mixing, packing, projected, quality, toxicity, vector_file
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,6 +47,12 @@ def op7_vector_file(spark: SparkSession, sf: str) -> DataFrame:
     return vector_file.exact_top_k(embeddings(spark, sf), F.col("vec_id") % 50 == 0)
 
 
+def op8_retrieval_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.packed(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     return toxicity.digest(docs, toxicity.train(docs, labels(spark, sf), toxicity.not_held_out()))
@@ -63,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_vector_file": op7_vector_file,
+    "op8_retrieval_packing": op8_retrieval_packing,
     "op9_toxicity": op9_toxicity,
     "op10_projected_neighbours": op10_projected_neighbours,
 }
