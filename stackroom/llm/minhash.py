@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from hashlib import blake2b
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,8 @@ from stackroom.runtime import materialised
 
 # Texts are handled in parts of about this many characters.
 PART_CHARS = 2_000_000
+# Registers of the sketches of crowded buckets, one bit each.
+SKETCH = 2048
 # Profiles kept by a verifying task.
 PROFILES = 64
 
@@ -39,10 +43,10 @@ class NearCopies:
         return self.bands * self.rows
 
     @property
-    def least_agreement(self) -> int:
-        """Equal registers that a similar pair misses with probability below one in a million (five deviations)."""
-        s, m = self.similarity, self.registers
-        return int(m * s - 5 * (m * s * (1 - s)) ** 0.5)
+    def most_bits_apart(self) -> int:
+        """Differing bits of two sketches that a similar pair exceeds with probability below one in a million (five deviations)."""
+        p = (1 - self.similarity) / 2
+        return int(SKETCH * p + 5 * (SKETCH * p * (1 - p)) ** 0.5)
 
 
 def normal(text: str | None) -> str:
@@ -133,10 +137,23 @@ def _sign(params: NearCopies):
                 keys = band_keys(signature, params.bands, params.rows)
                 keys = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), params.bands).cast(pa.list_(pa.int64()))
                 digests = pa.array([blake2b(t.encode(), digest_size=16).digest() for t in texts], pa.binary())
-                low = (signature & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes()
-                width = 4 * params.registers
-                registers = pa.array([low[i * width : (i + 1) * width] if t else None for i, t in enumerate(texts)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), digests, registers, keys], ["doc_id", "digest", "registers", "bands"])
+                blank = pa.array([not t for t in texts])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), digests, blank, keys], ["doc_id", "digest", "blank", "bands"])
+
+    return run
+
+
+def _sketch(words: int):
+    """A bit of each of ``SKETCH`` registers, as 64-bit numbers: similar texts differ in few bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in parts_of(whole, "text"):
+                texts = [normal(t) for t in batch.column("text").to_pylist()]
+                signature = signatures(*shingles(texts, words), len(texts), SKETCH)
+                bits = np.packbits((signature >> np.uint64(40) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(bits.ravel()), SKETCH // 64).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["text_id", "bits"])
 
     return run
 
@@ -199,7 +216,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", par
 
     Every distinct text is verified against the first text of each of its buckets. Buckets whose texts then
     belong to one class are done. In the others, texts outside the largest class meet all texts of other classes,
-    unless their similarities to the first text (the distance is a metric) or their registers rule them out. So no
+    unless their similarities to the first text (the distance is a metric) or their sketches rule them out. So no
     bucket has a cap, and a bucket of one class costs one pair per text. Buckets are counted by partial
     aggregates and joined by shuffles that may be split.
 
@@ -209,11 +226,11 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", par
     """
     read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
     ided = read.filter(F.col("doc_id").isNotNull())
-    signed = materialised(ided.mapInArrow(_sign(params), "doc_id long, digest binary, registers binary, bands array<long>"))
+    signed = materialised(ided.mapInArrow(_sign(params), "doc_id long, digest binary, blank boolean, bands array<long>"))
     owners = signed.groupBy("digest").agg(F.min("doc_id").alias("text_id"))
     distinct = materialised(signed.join(owners.withColumnRenamed("digest", "_digest"), (F.col("digest") == F.col("_digest")) & (F.col("doc_id") == F.col("text_id"))))
     # Rows that share an id may hold several texts; the id then stands for each of them.
-    members = distinct.filter(F.col("registers").isNotNull()).select(F.explode("bands").alias("bucket"), "text_id").distinct()
+    members = distinct.filter(~F.col("blank")).select(F.explode("bands").alias("bucket"), "text_id").distinct()
     shared = members.groupBy("bucket").agg(F.min("text_id").alias("pivot"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("bucket", "pivot")
     crowded = materialised(members.join(shared, "bucket"))
     stars = materialised(crowded.filter(F.col("text_id") != F.col("pivot")).select(F.col("text_id").alias("a"), F.col("pivot").alias("b")).distinct())
@@ -223,7 +240,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", par
     similar = F.col("similarity") >= params.similarity - 1e-12
     links = tested.filter(similar).select("a", "b")
     classes = components(links)
-    rest = _other_pairs(crowded, tested, classes, distinct, params)
+    rest = _other_pairs(crowded, tested, classes, texts, params)
     more = materialised(verified(rest, texts, params.words)).filter(similar).select("a", "b")
     if more.limit(1).count():
         classes = components(links.unionByName(more))
@@ -233,7 +250,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", par
     return grouped.unionByName(left_alone)
 
 
-def _other_pairs(crowded: DataFrame, tested: DataFrame, classes: DataFrame, distinct: DataFrame, params: NearCopies) -> DataFrame:
+def _other_pairs(crowded: DataFrame, tested: DataFrame, classes: DataFrame, texts: DataFrame, params: NearCopies) -> DataFrame:
     """Pairs that share a bucket and may be similar, but were neither tested nor found in one class."""
     near = tested.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "similarity")
     labelled = crowded.join(classes, F.col("text_id") == F.col("id"), "left").select("bucket", "pivot", "text_id", F.coalesce("component", "text_id").alias("class"))
@@ -242,16 +259,13 @@ def _other_pairs(crowded: DataFrame, tested: DataFrame, classes: DataFrame, dist
     # The first text has met all others already.
     open_rows = labelled.join(largest.select("bucket", F.col("_most.class").alias("main")), "bucket").filter(F.col("text_id") != F.col("pivot"))
     open_rows = open_rows.join(near, (F.col("text_id") == F.col("_a")) & (F.col("pivot") == F.col("_b")))
-    signs = distinct.groupBy("text_id").agg(F.min("registers").alias("registers"))
-    open_rows = materialised(open_rows.select("bucket", "text_id", "class", "main", "similarity").join(signs, "text_id"))
+    open_rows = materialised(open_rows.select("bucket", "text_id", "class", "main", "similarity"))
+    wanted = texts.join(open_rows.select(F.col("text_id").alias("doc_id")).distinct(), "doc_id")
+    sketches = materialised(wanted.mapInArrow(_sketch(params.words), "text_id long, bits array<long>"))
+    open_rows = materialised(open_rows.join(sketches, "text_id"))
     x, y = open_rows.filter(F.col("class") != F.col("main")).alias("x"), open_rows.alias("y")
     once = (F.col("y.class") == F.col("y.main")) | (F.col("x.text_id") < F.col("y.text_id"))
     close = F.abs(F.col("x.similarity") - F.col("y.similarity")) <= 1 - params.similarity + 1e-9
-    width = 4
-
-    def register(side: str, i):
-        return F.substring(F.col(f"{side}.registers"), i * width + 1, width)
-
-    equal = F.size(F.filter(F.sequence(F.lit(0), F.lit(params.registers - 1)), lambda i: register("x", i) == register("y", i)))
-    met = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.class") != F.col("y.class")) & once & close & (equal >= params.least_agreement))
+    apart = reduce(add, [F.bit_count(F.get("x.bits", F.lit(i)).bitwiseXOR(F.get("y.bits", F.lit(i)))) for i in range(SKETCH // 64)])
+    met = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.class") != F.col("y.class")) & once & close & (apart <= params.most_bits_apart))
     return materialised(met.select(F.greatest("x.text_id", "y.text_id").alias("a"), F.least("x.text_id", "y.text_id").alias("b")).distinct())
