@@ -19,6 +19,8 @@ ROLL = 0x9E3779B97F4A7C15
 LAST = 0xD6E8FEB86659FD93
 # Least deviation of an n-gram's class counts from chance, in standard deviations.
 LEAST_Z = 4.0
+# Texts whose n-grams are held at once while learning.
+PART_TEXTS = 50
 # Documents that learn from per class.
 PER_CLASS = 2000
 
@@ -67,23 +69,21 @@ def fit(texts: list[str], labels: np.ndarray, share: float, penalty: float = 1.0
     positive, negative = labels.sum(), len(labels) - labels.sum()
     if not positive or not negative:
         return Ngrams(np.zeros(0, np.int64), np.zeros(0), prior)
-    rows, buckets = [], []
-    for start in range(0, len(texts), 200):
-        r, b = ngram_hits(texts[start : start + 200])
-        rows.append(r + start)
-        buckets.append(b)
-    row, bucket = np.concatenate(rows), np.concatenate(buckets)
-    with_one = np.bincount(bucket, weights=labels[row], minlength=1 << BITS)
-    held = np.bincount(bucket, minlength=1 << BITS).astype(float)
+    # One pass counts documents per n-gram and class, a second lists the chosen n-grams: memory is that of a part.
+    parts = [slice(start, start + PART_TEXTS) for start in range(0, len(texts), PART_TEXTS)]
+    with_one, held = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for part in parts:
+        row, bucket = ngram_hits(texts[part])
+        held += np.bincount(bucket, minlength=1 << BITS)
+        with_one += np.bincount(bucket, weights=labels[part][row], minlength=1 << BITS)
     expected = held * positive / (positive + negative)
     z = (with_one - expected) / np.sqrt(expected * negative / (positive + negative) + 0.25)
-    chosen = np.flatnonzero(np.abs(z) >= LEAST_Z)
+    wanted = np.abs(z) >= LEAST_Z
+    chosen = np.flatnonzero(wanted)
     in_one, in_zero = with_one[chosen] + 1.0, (held - with_one)[chosen] + 1.0
     ratio = np.log((in_one / (positive + 1.0)) / (in_zero / (negative + 1.0)))
-    number = np.full(1 << BITS, -1)
-    number[chosen] = np.arange(len(chosen))
-    seen = number[bucket] >= 0
-    row, column = row[seen], number[bucket[seen]]
+    hits = [(row + part.start, np.searchsorted(chosen, bucket)) for part in parts for row, bucket in [ngram_hits(texts[part], wanted)]]
+    row, column = np.concatenate([h[0] for h in hits]), np.concatenate([h[1] for h in hits])
     weight, intercept = np.zeros(len(chosen)), log_odds(positive / len(labels))
     first, second, moves = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1), 0.05
     for step in range(1, steps + 1):
