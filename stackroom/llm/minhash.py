@@ -227,11 +227,13 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", par
     read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
     ided = read.filter(F.col("doc_id").isNotNull())
     signed = materialised(ided.mapInArrow(_sign(params), "doc_id long, digest binary, blank boolean, bands array<long>"))
-    owners = signed.groupBy("digest").agg(F.min("doc_id").alias("text_id"))
+    # Tables, so that the joins by digest below may be split where many documents are copies of one.
+    owners = materialised(signed.groupBy("digest").agg(F.min("doc_id").alias("text_id")))
     distinct = materialised(signed.join(owners.withColumnRenamed("digest", "_digest"), (F.col("digest") == F.col("_digest")) & (F.col("doc_id") == F.col("text_id"))))
     # Rows that share an id may hold several texts; the id then stands for each of them.
     members = distinct.filter(~F.col("blank")).select(F.explode("bands").alias("bucket"), "text_id").distinct()
-    shared = members.groupBy("bucket").agg(F.min("text_id").alias("pivot"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("bucket", "pivot")
+    shared = members.groupBy("bucket").agg(F.min("text_id").alias("pivot"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    shared = materialised(shared.select("bucket", "pivot"))
     crowded = materialised(members.join(shared, "bucket"))
     stars = materialised(crowded.filter(F.col("text_id") != F.col("pivot")).select(F.col("text_id").alias("a"), F.col("pivot").alias("b")).distinct())
     wanted = crowded.select(F.col("text_id").alias("doc_id")).distinct()
@@ -244,7 +246,8 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", par
     more = materialised(verified(rest, texts, params.words)).filter(similar).select("a", "b")
     if more.limit(1).count():
         classes = components(links.unionByName(more))
-    named = owners.join(classes, F.col("text_id") == F.col("id"), "left").select("digest", "text_id", F.coalesce("component", "text_id").alias("class_id"))
+    named = owners.join(classes, F.col("text_id") == F.col("id"), "left")
+    named = materialised(named.select("digest", "text_id", F.coalesce("component", "text_id").alias("class_id")))
     grouped = signed.select("doc_id", "digest").join(named, "digest").select("doc_id", "text_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
     left_alone = read.filter(F.col("doc_id").isNull()).select("doc_id", F.col("doc_id").alias("text_id"), F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"))
     return grouped.unionByName(left_alone)
