@@ -72,7 +72,8 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     ided = docs.filter(F.col(doc_id).isNotNull())
     chunks = with_chunks(ided, doc_id, text).select("doc_id", F.explode(F.filter("_chunks", _of_several_lines)).alias("chunk")).select("doc_id", "chunk.*")
     chunks = materialised(chunks)
-    again = chunks.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("key")
+    # Tables, so that the joins by key and text may be split where one chunk is very common.
+    again = materialised(chunks.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("key"))
     # Rows that share an id hold the same chunk in the same place; it counts once.
     wanted = chunks.join(again, "key").groupBy("doc_id").agg(F.collect_set(F.struct("first", "last", "key")).alias("_wanted"))
     held = with_chunks(ided, doc_id, text).join(wanted, "doc_id")
@@ -80,7 +81,7 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "doc_id", "chunk.*", chunk_text(F.col("chunk")).alias("text")
     )
     texts = materialised(texts)
-    firsts = texts.groupBy("key", "text").agg(F.min(F.struct("doc_id", "first")).alias("kept"))
+    firsts = materialised(texts.groupBy("key", "text").agg(F.min(F.struct("doc_id", "first")).alias("kept")))
     later = texts.join(firsts, ["key", "text"]).filter(F.struct("doc_id", "first") != F.col("kept"))
     return later.groupBy("doc_id").agg(F.collect_set(F.struct("first", "last", "key")).alias("removed"))
 
