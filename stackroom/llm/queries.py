@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.llm import licenses, line_chunks, minhash, mixing, packing, projected, quality, toxicity, vector_file
+from stackroom.llm import licenses, line_chunks, minhash, mixing, packing, projected, quality, suffix_dedup, toxicity, vector_file
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.digest(licenses.license_scan(documents(spark, sf)))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(documents(spark, sf)))
+
+
 def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_chunks.digest(line_chunks.line_dedup(documents(spark, sf)))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_copies": op1_near_copies,
     "op2_quality_network": op2_quality_network,
     "op3_license_scan": op3_license_scan,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_vector_file": op7_vector_file,
