@@ -121,13 +121,19 @@ def digest(cleaned: DataFrame) -> DataFrame:
 
 
 def cleaned_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with their remaining text, in the input's columns."""
-    gone = repeated_chunks(docs, doc_id, text).select(F.col("doc_id").alias("_doc_id"), F.col("removed").alias("_removed"))
-    joined = docs.join(gone, F.col(doc_id) == F.col("_doc_id"), "left").withColumn("_lines", lines_of(F.col(text)))
-    # A line goes when it lies in a removed chunk; the chunks of a row without any are not cut again.
-    ids = F.transform("_removed", lambda c: F.sequence(c["first"], c["last"]))
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.flatten(ids)), lambda i: F.get("_lines", i))
-    return joined.withColumn(text, F.when(F.col("_removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))).select(*docs.columns)
+    """The documents with their remaining text, in the input's columns.
+
+    Rows that share an id but not their text lose only the chunks that they hold.
+    """
+    gone = repeated_chunks(docs, doc_id, text).select(F.col("doc_id").alias("__chunk_id"), F.col("removed").alias("__removed"))
+    joined = docs.join(gone, F.col(doc_id) == F.col("__chunk_id"), "left").withColumn("__lines", lines_of(F.col(text)))
+    held = F.filter(
+        "__removed", lambda c: F.unhex(F.md5(F.array_join(F.slice(F.col("__lines"), c["first"] + 1, c["last"] - c["first"] + 1), "\n").cast("binary"))) == c["key"]
+    )
+    places = F.flatten(F.transform(held, lambda c: F.sequence(c["first"], c["last"])))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), places), lambda i: F.get("__lines", i))
+    rest = F.when(F.col("__removed").isNull() | F.col(text).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    return joined.withColumn(text, rest).select(*docs.columns)
 
 
 def line_sql() -> str:

@@ -103,18 +103,17 @@ def mix_plan(
     return sized, materialised(plan)
 
 
-def fraction(size: Column, at: Column) -> Column:
+def fraction(size: Column, at: Column, cut: Column, part: Column) -> Column:
     """Words of a document in the fractional repetition."""
-    return F.when(at < F.col("cut"), size).when(at == F.col("cut"), F.least(size, F.col("part"))).otherwise(F.lit(0)).cast("long")
+    return F.when(at < cut, size).when(at == cut, F.least(size, part)).otherwise(F.lit(0)).cast("long")
 
 
 def taken_words(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """Words that the mix takes of every document, repetitions counted."""
     per_source = plan.withColumnRenamed("source", "_source")
     joined = sized.join(per_source, F.col("source").eqNullSafe(F.col("_source")))
-    return joined.select(
-        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("whole") * F.col("size") + fraction(F.col("size"), F.col("place"))).alias("taken")
-    )
+    partly = fraction(F.col("size"), F.col("place"), F.col("cut"), F.col("part"))
+    return joined.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("whole") * F.col("size") + partly).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, plan: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 7) -> DataFrame:
@@ -122,13 +121,13 @@ def mixed_documents(docs: DataFrame, plan: DataFrame, doc_id: str = "doc_id", te
 
     Columns are those of the input. The test is local to a row but for the one row per source.
     """
-    per_source = plan.select(F.col("source").alias("_source"), "whole", "cut", "part")
-    at = place(doc_id, seed)
-    first_words = F.array_join(F.slice(F.filter(F.split(whole_text(text), BLANKS), lambda w: w != ""), F.lit(1), F.col("part").cast("int")), " ")
-    last = F.when(at < F.col("cut"), F.array(F.col(text))).when((at == F.col("cut")) & (F.col("part") > 0), F.array(first_words)).otherwise(F.array().cast("array<string>"))
-    copies = F.concat(F.array_repeat(F.col(text), F.col("whole").cast("int")), last)
-    joined = docs.join(per_source, F.col(source).eqNullSafe(F.col("_source")))
-    return joined.withColumn(text, F.explode(copies)).select(*docs.columns)
+    per_source = plan.select(F.col("source").alias("__mix_source"), F.struct("whole", "cut", "part").alias("__mix"))
+    at, cut, part = place(doc_id, seed), F.col("__mix.cut"), F.col("__mix.part")
+    first_words = F.array_join(F.slice(F.filter(F.split(whole_text(text), BLANKS), lambda w: w != ""), F.lit(1), part.cast("int")), " ")
+    last = F.when(at < cut, F.array(F.col(text))).when((at == cut) & (part > 0), F.array(F.when(part < word_count(whole_text(text)), first_words).otherwise(F.col(text))))
+    copies = F.concat(F.array_repeat(F.col(text), F.col("__mix.whole").cast("int")), F.coalesce(last, F.array().cast("array<string>")))
+    joined = docs.join(per_source, F.col(source).eqNullSafe(F.col("__mix_source")))
+    return joined.withColumn("__mix_text", F.explode(copies)).withColumn(text, F.col("__mix_text")).select(*docs.columns)
 
 
 def mix_sql(seed: int = 7) -> str:
