@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,34 +22,64 @@ LENGTH, END = 2048, 1
 K1, B, QUERY_TERMS = 1.2, 0.75, 16
 # Tokens of one index shard and of one partition.
 SHARD_TOKENS, PART_TOKENS = 1_000_000, 4_000_000
-# Words whose ids a task remembers.
-REMEMBERED = 400_000
+# Words whose ids a task remembers, and new ones that are encoded in one run.
+REMEMBERED, PLAIN_RUN = 400_000, 4096
+# Letters that are their own normal form, with any marks behind them; and what ends the last token of a word.
+LETTERS_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+WORD_END = "</w>"
 
 
 class Tokens:
     """Ids of whole texts by way of a memory of words.
 
     The tokenizer drops white space before it splits and merges nothing across it, so a text's ids are those of
-    its parts between spaces and line ends in order.
+    its parts between spaces and line ends in order. Likewise letters and the marks behind them are split before
+    any merge. Most new words are such letters, which need no normal form but lower case: they are encoded in one
+    run without the regular expressions, and cut where an id ends a word. All else takes the whole tokenizer.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.flat, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def learn(self, words: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for one in ids for i in one), np.uint32, int(sizes.sum()))])
+    def _add(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
+
+    def _gather(self, rows: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[rows]
+        after = np.cumsum(sizes)
+        return self.flat[np.arange(sizes.sum()) + np.repeat(self.starts[rows] - (after - sizes), sizes)]
+
+    def learn(self, words: list[str]) -> None:
+        """Remember new words; first the letters and the marks they are made of."""
+        made = {w: (m[1].lower(), m[2]) for w in words if (m := LETTERS_AND_MARKS.fullmatch(w))}
+        letters = sorted({base for base, _ in made.values()} - self.known.keys())
+        for start in range(0, len(letters), PLAIN_RUN):
+            part = letters[start : start + PLAIN_RUN]
+            flat = np.array(self.plain.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            ends = np.flatnonzero(self.ends_word[flat]) + 1
+            self._add(part, flat, np.diff(ends, prepend=0))
+        others = sorted(({w for w in words if w not in made} | {marks for _, marks in made.values()} | {""}) - self.known.keys())
+        if others:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+            self._add(others, np.array([i for one in ids for i in one], np.uint32), np.array(list(map(len, ids)), np.int64))
+        joined = [w for w in made if w not in self.known]
+        if joined:
+            rows = np.array([self.known[part] for w in joined for part in made[w]])
+            self._add(joined, self._gather(rows), self.sizes[rows].reshape(-1, 2).sum(axis=1))
 
     def of(self, texts: list[str], end: int) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
@@ -57,14 +88,8 @@ class Tokens:
         new = set().union(*split).difference(self.known) if split else set()
         if new:
             self.learn(sorted(new))
-        out = []
-        for words in split:
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-            sizes = self.sizes[at]
-            after = np.cumsum(sizes)
-            places = np.arange(after[-1]) + np.repeat(self.starts[at] - (after - sizes), sizes)
-            out.append(np.append(self.flat[places], np.uint32(end)))
-        return out
+        words = [np.fromiter(map(self.known.__getitem__, w), np.int64, len(w)) for w in split]
+        return [np.append(self._gather(rows), np.uint32(end)) for rows in words]
 
 
 def tokenized(docs: DataFrame, doc_id: str, text: str, path: str, end: int = END) -> DataFrame:
