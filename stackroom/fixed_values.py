@@ -100,3 +100,14 @@ SAMPLE_RATE = 16_000
 SILENCE_RMS = 32
 CLIPPED_LEVEL = 32_760
 FULL_SCALE = 32_768
+
+# Path part before the number of an audio page, and the entry of its URL.
+AUDIO_PART = "audio"
+AUDIO_ENTRY = "audioSrc"
+
+# Outcomes of pages without media, by the rule that applied.
+ASSET_FAILURES = {
+    "not_allowed": "source host is not allowlisted",
+    "embedded_list": "landing page does not contain media for the requested audio ID",
+    "first_link": "no allowlisted media URL found",
+}

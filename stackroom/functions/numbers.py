@@ -42,8 +42,11 @@ def round_exact(value: Column, digits: int) -> Column:
 
 
 def steady_sum(value: Column, digits: int = 12) -> Column:
-    """Sum of doubles that does not depend on the order of the rows: added up as decimals."""
-    return F.sum(value.cast(f"decimal(28,{digits})")).cast("double")
+    """Sum of doubles that does not depend on the order of the rows: added up as decimals.
+
+    Values that are no finite number of this size (NaN, infinities, 1e16 and more) are left out, as nulls are.
+    """
+    return F.sum(value.try_cast(f"decimal(28,{digits})")).cast("double")
 
 
 def fixed(value: Column, digits: int) -> Column:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
-from functools import reduce
+from functools import cache, reduce
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from stackroom.fixed_values import MEDIA_EXTENSIONS
 from stackroom.functions.numbers import let
 
+REFERENCE = r"^(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]{1,40});"
 HTTPS_HOST = r"^(?i:https)://(?:[^/?#@]*@)?([^/:?#]+)"
 
 
@@ -39,12 +42,39 @@ def url_path(url: Column) -> Column:
 
 
 def unescaped(text: Column) -> Column:
-    """Decode the entities used in page attributes; the ampersand last."""
-    pairs = (
-        ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"),
-        ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"),
-    )
-    return reduce(lambda c, p: F.replace(c, F.lit(p[0]), F.lit(p[1])), pairs, text)
+    """Decode named, decimal and hexadecimal character references that end with a semicolon, each once.
+
+    Unknown names stay. Numbers that are no character give the replacement character, and those of the Windows
+    control block give that block's characters.
+    """
+    # A constant for the optimizer: it is parsed once per query.
+    known = F.from_json(F.lit(json.dumps(_references())), "map<string,string>")
+
+    def character(code: Column) -> Column:
+        valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+    def decoded(piece: Column) -> Column:
+        reference = F.regexp_extract(piece, REFERENCE, 1)
+        digits = F.regexp_extract(reference, "^#[xX]?(.*)$", 1)
+        code = F.when(reference.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
+        name = F.when(F.startswith(reference, F.lit("#")), F.concat(F.lit("#"), code.cast("string"))).otherwise(reference)
+        stated = F.coalesce(F.try_element_at(known, name), F.when(code.isNotNull() & F.startswith(reference, F.lit("#")), character(code)))
+        return F.when((reference == "") | stated.isNull(), F.concat(F.lit("&"), piece)).otherwise(
+            F.concat(stated, F.substr(piece, F.length(reference) + 2))
+        )
+
+    pieces = F.split(text, "&")
+    rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decoded)
+    return F.when(F.contains(text, F.lit("&")), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(text)
+
+
+@cache
+def _references() -> dict[str, str]:
+    """Values by name, and by ``#number`` for the Windows control block."""
+    named = {name[:-1]: value for name, value in html5.items() if name.endswith(";")}
+    control = {f"#{code}": bytes([code]).decode("cp1252", "ignore") for code in range(128, 160)}
+    return named | {number: value for number, value in control.items() if value}
 
 
 def _without_dot_segments(path: Column) -> Column:

@@ -59,16 +59,17 @@ def latest_by_record(events: DataFrame) -> DataFrame:
     return latest_per_key(events, "record_id", "pos")
 
 
-def pending_work(
-    events: DataFrame, limit: int = MAX_ITEMS_PER_RUN, record: str | None = None, cap: int = MAX_ITEMS_PER_RUN
-) -> DataFrame:
-    """Records waiting for work, in order of their first appearance in the log."""
+def pending_work(events: DataFrame, limit: int = MAX_ITEMS_PER_RUN, record: str | None = None) -> DataFrame:
+    """The first ``limit`` records waiting for work, in order of their first appearance in the log.
+
+    The default is the policy's number of items per run; a caller may ask for any other.
+    """
     row = F.struct(*[F.col(c) for c in events.columns if c != "record_id"])
     state = events.groupBy("record_id").agg(F.min("pos").alias("first_pos"), F.max_by(row, "pos").alias("_row"))
     waiting = state.select("record_id", "first_pos", "_row.*").filter(F.col("event").isin(*PENDING_STATES))
     if record is not None:
         waiting = waiting.filter(F.col("record_id") == record)
-    return waiting.orderBy("first_pos").limit(min(limit, cap))
+    return waiting.orderBy("first_pos").limit(limit)
 
 
 def retry_transition(failures: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:

@@ -42,7 +42,8 @@ KEY = "recording_id"
 # Recording ids that may be shipped to every task; more of them meet the segments in a shuffle.
 SHIPPED_KEYS = 100_000
 WORD = r"[\p{L}\p{N}_]"
-NAME = rf"[A-ZĀĒĪŌŪ](?:{WORD}|['-])+"
+# One possessive class: a repeated group of alternatives would take a stack frame per character of a long word.
+NAME = r"[A-ZĀĒĪŌŪ][\p{L}\p{N}_'-]++"
 ENTITY = rf"(?U)(?<!{WORD}){NAME}(?:{SPACE}+{NAME}){{0,3}}"
 
 

@@ -41,31 +41,39 @@ def facet_counts(df: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 def facet_page(counts: DataFrame, page: int = 1, per_page: int = FACET_PAGE_SIZE) -> DataFrame:
     """One page of terms per field, most frequent first."""
-    if page < 1 or per_page < 0:
-        raise ValueError("facet page starts at 1 and its size at 0")
-    size = min(per_page, MAX_FACET_PAGE_SIZE)
-    ranked = ranked_per_key(counts, "field", [F.desc("count"), F.col("term")], "rank", page * size)
-    return ranked.filter(F.col("rank") > (page - 1) * size)
+    if page < 1 or not 0 <= per_page <= MAX_FACET_PAGE_SIZE:
+        raise ValueError(f"facet page starts at 1 and holds 0 to {MAX_FACET_PAGE_SIZE} terms")
+    ranked = ranked_per_key(counts, "field", [F.desc("count"), F.col("term")], "rank", page * per_page)
+    return ranked.filter(F.col("rank") > (page - 1) * per_page)
 
 
-def year_density(df: DataFrame, name: str = "year", limit: int = HARVEST_YEARS) -> DataFrame:
-    """Records per year term: the most frequent terms, in year-text order."""
+def year_density(df: DataFrame, name: str = "year", limit: int | None = HARVEST_YEARS) -> DataFrame:
+    """Records per year term in year-text order: the ``limit`` most frequent terms, or all of them for None."""
     counts = facet_counts(df, [name]).select(F.col("term").alias("year"), "count")
-    return counts.orderBy(F.desc("count"), "year").limit(limit).orderBy("year")
+    if limit is not None:
+        counts = counts.orderBy(F.desc("count"), "year").limit(limit)
+    return counts.orderBy("year")
 
 
 def partition_plan(density: DataFrame, page_size: int = MAX_PAGE_SIZE) -> DataFrame:
     return density.withColumn("pages", F.ceil(F.col("count") / page_size).cast("bigint"))
 
 
-def deep_harvest(df: DataFrame, key: str = "id", pos: str = "pos", name: str = "year") -> DataFrame:
+def deep_harvest(
+    df: DataFrame, key: str = "id", pos: str = "pos", name: str = "year", years: int | None = None
+) -> DataFrame:
     """All records of the planned years, first record per id in year-then-position order.
 
-    Records without a planned year are not returned, as each year is fetched on its own.
+    All years are planned, or the ``years`` most frequent ones. Records without a planned year are not returned, as
+    each year is fetched on its own.
     """
-    # At most HARVEST_YEARS rows.
-    planned = F.broadcast(year_density(df, name).select(F.col("year").alias("harvest_year")))
-    hits = df.withColumn("harvest_year", F.explode(_terms(df, name))).join(planned, "harvest_year")
+    hits = df.withColumn("harvest_year", F.explode(_terms(df, name)))
+    if years is not None:
+        # At most ``years`` rows, which the caller bounds.
+        planned = year_density(df, name, years).select(F.col("year").alias("harvest_year"))
+        hits = hits.join(F.broadcast(planned), "harvest_year")
+    else:
+        hits = hits.filter(F.col("harvest_year").isNotNull())
     return top_per_key(hits, [key], ["harvest_year", pos])
 
 

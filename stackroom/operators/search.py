@@ -85,10 +85,10 @@ def sort_by(df: DataFrame, name: str, direction: str = "asc", tie: str = "id") -
 def page_of(
     df: DataFrame, page: int, per_page: int, sort: str | None = None, direction: str = "asc", tie: str = "pos"
 ) -> DataFrame:
-    """One page of the sorted rows; at most 100 rows, 0 for none."""
-    if page < 1 or per_page < 0:
-        raise ValueError("page starts at 1 and per_page at 0")
-    size = min(per_page, MAX_PAGE_SIZE)
+    """One page of the sorted rows: 0 to 100 of them."""
+    if page < 1 or not 0 <= per_page <= MAX_PAGE_SIZE:
+        raise ValueError(f"page starts at 1 and holds 0 to {MAX_PAGE_SIZE} rows")
+    size = per_page
     first, order = (page - 1) * size, _sort_columns(sort, direction, tie)
     if size == 0:
         return df.limit(0)
@@ -145,14 +145,14 @@ class SearchQuery:
         return replace(self, order=(name, direction))
 
     def page(self, number: int, size: int = PAGE_SIZE) -> SearchQuery:
-        return replace(self, page_number=number, page_size=min(size, MAX_PAGE_SIZE))
+        return replace(self, page_number=number, page_size=size)
 
     def facet(self, *fields: str, page: int = 1, size: int = FACET_PAGE_SIZE, unfiltered: bool = False) -> SearchQuery:
         return replace(
             self,
             facet_fields=(*self.facet_fields, *fields),
             facet_page_number=page,
-            facet_page_size=min(size, MAX_FACET_PAGE_SIZE),
+            facet_page_size=size,
             unfiltered_facets=unfiltered,
         )
 

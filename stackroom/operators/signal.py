@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,20 +69,40 @@ def _token(label: Column, dbfs: Column) -> Column:
     return F.concat(label, F.lit(":"), fixed(level, 1))
 
 
-def activity_fingerprint(activity: DataFrame, max_windows: int = MAX_DURATION_SECONDS) -> DataFrame:
-    """SHA-256 over the window tokens of a recording.
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SHA-256 over the tokens of each recording, from rows in the order of recording and window."""
+    name, last, running = None, 0, None
+
+    def out() -> pa.RecordBatch:
+        columns = [pa.array([name], pa.string()), pa.array([running.hexdigest()]), pa.array([last], pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["_name", "activity_fingerprint", "_last"])
+
+    for batch in batches:
+        for recording, window, token in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if running is not None and recording == name:
+                running.update(b"|")
+            else:
+                if running is not None:
+                    yield out()
+                name, running = recording, hashlib.sha256()
+            running.update(token.encode())
+            last = window
+    if running is not None:
+        yield out()
+
 
-    A digest needs its input in one place; recordings longer than the duration limit are not processed
-    (``rejected``), which bounds the windows gathered per recording.
+def activity_fingerprint(
+    activity: DataFrame, window_seconds: float = 1.0, max_seconds: float = MAX_DURATION_SECONDS
+) -> DataFrame:
+    """SHA-256 over the window tokens of a recording, of any length.
+
+    Tokens are sorted within their partition and hashed as a stream, so a long recording needs no memory. ``rejected``
+    marks recordings above the duration limit, whose length is their windows times ``window_seconds``.
     """
-    lengths = activity.groupBy(KEY).agg(F.max("window").alias("_last"))
-    within = lengths.filter(F.col("_last") < max_windows).select(KEY)
-    entry = F.struct("window", _token(F.col("label"), F.col("rms_dbfs")).alias("token"))
-    kept = activity.join(within, KEY, "left_semi")
-    tokens = kept.groupBy(KEY).agg(F.array_sort(F.collect_list(entry)).alias("_t"))
-    joined = F.array_join(F.transform("_t", lambda t: t["token"]), "|")
-    return lengths.join(tokens, KEY, "left").select(
-        KEY,
-        F.sha2(joined, 256).alias("activity_fingerprint"),
-        F.when(F.col("_last") >= max_windows, "media exceeds maximum duration").alias("rejected"),
-    )
+    kind = activity.schema[KEY].dataType
+    token = _token(F.col("label"), F.col("rms_dbfs"))
+    tokens = activity.select(F.col(KEY).cast("string").alias("_name"), F.col("window").cast("bigint"), token.alias("token"))
+    hashed = tokens.repartition("_name").sortWithinPartitions("_name", "window")
+    found = hashed.mapInArrow(_digests, "_name string, activity_fingerprint string, _last long")
+    too_long = (F.col("_last") + 1) * window_seconds > max_seconds
+    return found.select(F.col("_name").cast(kind).alias(KEY), "activity_fingerprint", F.when(too_long, "duration limit").alias("rejected"))

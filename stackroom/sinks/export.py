@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stackroom.fixed_values import MAX_PAGE_SIZE
 from stackroom.operators.search import SearchQuery
 from stackroom.plans.order import row_index
+from stackroom.runtime import materialised
 
 FIELD_NOTES = {
     "id": "Unique record identifier",
@@ -85,12 +86,12 @@ class ExportPlan:
     direction: str = "asc"
 
     def __post_init__(self) -> None:
-        if self.start_page < 1 or self.per_page < 1:
-            raise ValueError("start_page and per_page start at 1")
+        if self.start_page < 1 or not 1 <= self.per_page <= MAX_PAGE_SIZE:
+            raise ValueError(f"start_page starts at 1, and a page holds 1 to {MAX_PAGE_SIZE} rows")
 
     @property
     def size(self) -> int:
-        return min(self.per_page, MAX_PAGE_SIZE)
+        return self.per_page
 
 
 def exported_rows(records: DataFrame, plan: ExportPlan) -> DataFrame:
@@ -155,25 +156,36 @@ def write_flat_csv(records: DataFrame, path: str) -> None:
 
 
 def nested_documents(
-    report: DataFrame, children: Mapping[str, tuple[DataFrame, str]], key: str = "recording_id", limit: int = 50_000
-) -> tuple[DataFrame, DataFrame]:
-    """(documents with child tables nested in order, keys that stay flat).
-
-    Only keys with at most ``limit`` rows in every child table are nested; the others are returned by
-    key, and their child tables are complete as they are.
+    report: DataFrame, children: Mapping[str, tuple[DataFrame, str]], key: str = "recording_id", part_rows: int = 50_000
+) -> DataFrame:
+    """Documents with their child tables nested in order, in parts of at most ``part_rows`` rows per child.
+
+    Every row of every child is in exactly one part. Nearly all keys have one part, ``part`` 0; a key with more
+    children has further parts, in which the rows of a child go on where the part before ended. The report's
+    columns are repeated in each part. Places come from one rank per key, and only keys of one part are ranked
+    by a sort of the whole key; larger ones are numbered by a range sort.
     """
-    sizes = [rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")) for rows, _ in children.values()]
-    large = sizes[0].filter(F.col("_rows") > limit).select(key)
-    for more in sizes[1:]:
-        large = large.unionByName(more.filter(F.col("_rows") > limit).select(key))
-    # At most one key per ``limit`` rows.
-    large = F.broadcast(large.distinct())
-    documents = report.join(large, key, "left_anti")
+    parts, nested = [report.select(key, F.lit(0).cast("bigint").alias("part"))], {}
     for name, (rows, order) in children.items():
         body = F.struct(*[F.col(c) for c in rows.columns if c not in (key, order)])
-        small = rows.join(large, key, "left_anti")
-        items = F.array_sort(F.collect_list(F.struct(F.col(order).alias("_at"), body.alias("item"))))
-        nested = small.groupBy(key).agg(F.transform(items, lambda x: x["item"]).alias(name))
-        empty = F.array().cast(nested.schema[name].dataType)
-        documents = documents.join(nested, key, "left").withColumn(name, F.coalesce(name, empty))
-    return documents, large
+        sizes = materialised(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")))
+        long = sizes.filter(F.col("_rows") > part_rows).select(key)
+        items = rows.select(key, F.col(order).alias("_at"), body.alias("item"))
+        few = items.join(long, key, "left_anti").withColumn("part", F.lit(0).cast("bigint"))
+        many = items.join(long, key, "left_semi")
+        placed = row_index(many, [F.col(key), F.col("_at")], "_place")
+        starts = placed.groupBy(key).agg(F.min("_place").alias("_start"))
+        cut = F.floor((F.col("_place") - F.col("_start")) / part_rows).cast("bigint")
+        cut_up = placed.join(starts, key).select(key, "_at", "item", cut.alias("part"))
+        listed = F.array_sort(F.collect_list(F.struct("_at", "item")))
+        nested[name] = few.unionByName(cut_up).groupBy(key, "part").agg(F.transform(listed, lambda x: x["item"]).alias(name))
+        last = sizes.select(key, F.floor((F.col("_rows") - 1) / part_rows).cast("bigint").alias("_last")).filter(F.col("_last") > 0)
+        parts.append(last.select(key, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_last"))).alias("part")))
+    wanted = parts[0]
+    for more in parts[1:]:
+        wanted = wanted.unionByName(more)
+    documents = report.join(wanted.distinct(), key)
+    for name, rows in nested.items():
+        empty = F.array().cast(rows.schema[name].dataType)
+        documents = documents.join(rows, [key, "part"], "left").withColumn(name, F.coalesce(name, empty))
+    return documents

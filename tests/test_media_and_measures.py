@@ -163,8 +163,14 @@ def test_windows_and_fingerprint(spark):
     tokens = [f"{r['label']}:{round(float(r['rms_dbfs'] or -99), 1)}" for r in rows]
     got = signal.activity_fingerprint(signal.activity_segments(samples(spark, a=values), window=4)).first()
     assert got["activity_fingerprint"] == hashlib.sha256("|".join(tokens).encode()).hexdigest()
-    long = signal.activity_fingerprint(signal.activity_segments(samples(spark, a=values), window=4), max_windows=3).first()
-    assert long["activity_fingerprint"] is None and long["rejected"] == "media exceeds maximum duration"
+    long = signal.activity_fingerprint(signal.activity_segments(samples(spark, a=values), window=4), max_seconds=3).first()
+    assert long["activity_fingerprint"] == got["activity_fingerprint"] and got["rejected"] is None and long["rejected"] == "duration limit"
+
+
+def test_fingerprint_of_any_length(spark):
+    rows = spark.range(30_000).selectExpr("'a' AS recording_id", "id AS window", "'activity' AS label", "double(-id % 40) AS rms_dbfs")
+    tokens = "|".join(f"activity:{-float(i % 40) or -99.0:.1f}" for i in range(30_000))
+    assert signal.activity_fingerprint(rows).first()["activity_fingerprint"] == hashlib.sha256(tokens.encode()).hexdigest()
 
 
 def test_measures(spark):

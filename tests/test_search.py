@@ -55,7 +55,8 @@ def test_paging(records):
     assert [r["id"] for r in search.page_of(records, 1, 2, "title").collect()] == ["2", "4"]
     assert [r["id"] for r in search.page_of(records, 2, 2, "title").collect()] == ["1", "3"]
     assert search.page_of(records, 1, 0).collect() == []
-    assert SearchQuery().page(1, 500).page_size == 100
+    with pytest.raises(ValueError):
+        SearchQuery().page(1, 500).records(records)
     with pytest.raises(ValueError):
         search.page_of(records, 0, 10)
     with pytest.raises(ValueError):
@@ -80,7 +81,8 @@ def test_facets(records):
     assert [(r["term"], r["count"]) for r in page.facets(records).collect()] == [("Images", 1)]
     free = SearchQuery().where_all("place", "B").facet("place", unfiltered=True)
     assert len(free.facets(records).collect()) == 2
-    assert SearchQuery().facet("place", size=1000).facet_page_size == 350
+    with pytest.raises(ValueError):
+        SearchQuery().facet("place", size=1000).facets(records)
     assert SearchQuery().facets(records).collect() == []
     assert SearchQuery().facet("place", size=0).facets(records).collect() == []
     assert ids(SearchQuery().where_all("place").where_any("place").where_none("place").matching(records)) == ["1", "2", "3", "4"]
@@ -92,6 +94,8 @@ def test_harvest(spark, records):
     got = {r["id"]: (r["harvest_year"], r["pos"]) for r in facets.deep_harvest(again).collect()}
     assert got == {"1": ("1899", 10), "2": ("1899", 11), "3": ("1899", 12), "4": ("1899", 13)}
     assert sorted(r["id"] for r in facets.deep_harvest(records).collect()) == ["1", "2", "4"]
+    few = facets.deep_harvest(records, years=1)
+    assert {r["harvest_year"] for r in few.collect()} == {"1900"}
     plan = facets.partition_plan(spark.createDataFrame([("1900", 100), ("1901", 101)], "year string, count bigint"))
     assert [r["pages"] for r in plan.orderBy("year").collect()] == [1, 2]
 

@@ -141,7 +141,7 @@ def test_descriptors(records):
         ({"per_page": 2, "max_pages": 1}, 1, 2, False),
         ({"per_page": 2, "start_page": 2}, 1, 1, True),
         ({"per_page": 2, "start_page": 5, "max_pages": 1}, 1, 0, True),
-        ({"per_page": 500}, 1, 3, True),
+        ({"per_page": 100}, 1, 3, True),
         ({"per_page": 2, "max_pages": 0}, 0, 0, False),
     ],
 )
@@ -159,6 +159,8 @@ def test_export_files(spark, records, tmp_path):
     assert [(p["name"], [x["id"] for x in p["results"]]) for p in pages] == [("page-000001", ["1", "2"]), ("page-000002", ["4"])]
     with pytest.raises(ValueError):
         export.ExportPlan("G", start_page=0)
+    with pytest.raises(ValueError):
+        export.ExportPlan("G", per_page=500)
 
 
 def test_nested_documents(spark):
@@ -166,9 +168,14 @@ def test_nested_documents(spark):
     segments = spark.createDataFrame(rows, "recording_id string, segment bigint, start_s double, end_s double, text string, speaker string, words array<struct<word: string, score: double>>")
     report = segments.select("recording_id").distinct()
     children = {"chapters": (transcript.chapters(segments), "chapter")}
-    documents, large = export.nested_documents(report, children)
+    documents = export.nested_documents(report, children)
     assert {r["recording_id"]: [c["segment"] for c in r["chapters"]] for r in documents.collect()} == {"a": [0, 1, 2, 3], "b": [0]}
-    assert large.count() == 0
-    documents, large = export.nested_documents(report, children, limit=2)
-    assert [r["recording_id"] for r in documents.collect()] == ["b"] and [r["recording_id"] for r in large.collect()] == ["a"]
-    assert documents.select(F.size("chapters")).first()[0] == 1
+    parts = export.nested_documents(report, children, part_rows=3).orderBy("recording_id", "part").collect()
+    assert [(r["recording_id"], r["part"], [c["segment"] for c in r["chapters"]]) for r in parts] == [("a", 0, [0, 1, 2]), ("a", 1, [3]), ("b", 0, [0])]
+
+
+def test_nested_documents_of_a_long_recording(spark):
+    rows = spark.range(60_000).select(F.lit("a").alias("recording_id"), F.col("id").alias("chapter"), (F.col("id") * 2).alias("start"))
+    parts = export.nested_documents(spark.createDataFrame([("a",), ("b",)], "recording_id string"), {"chapters": (rows, "chapter")})
+    found = {(r["recording_id"], r["part"]): [c["start"] for c in r["chapters"]] for r in parts.collect()}
+    assert found[("a", 0)] + found[("a", 1)] == list(range(0, 120_000, 2)) and found[("b", 0)] == [] and len(found) == 3

@@ -162,6 +162,17 @@ def partition_plan(spark, sf):
         "SELECT content_id, pos, harvest_year FROM hits QUALIFY row_number() OVER (PARTITION BY content_id ORDER BY harvest_year, pos) = 1"),
 )
 def deep_harvest(spark, sf):
+    by_content = records(spark, sf).withColumn("content_id", F.sha2("description", 256))
+    return facets.deep_harvest(by_content, key="content_id", years=150).select("content_id", "pos", "harvest_year")
+
+
+@query(
+    "deep_harvest_all_years",
+    sql(RECORDS, "hits AS (SELECT sha256(description) AS content_id, pos, unnest(year) AS harvest_year FROM records)",
+        """SELECT content_id, pos, harvest_year FROM hits WHERE harvest_year IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY content_id ORDER BY harvest_year, pos) = 1"""),
+)
+def deep_harvest_all_years(spark, sf):
     by_content = records(spark, sf).withColumn("content_id", F.sha2("description", 256))
     return facets.deep_harvest(by_content, key="content_id").select("content_id", "pos", "harvest_year")
 

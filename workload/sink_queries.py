@@ -156,7 +156,7 @@ def analysis_documents(spark, sf):
     hints = transcript.section_hints(rows).withColumn("at", F.struct("segment", "kind_no"))
     children = {"chapters": (transcript.chapters(rows), "chapter"), "section_hints": (hints, "at")}
     report = transcript.analysis_report(rows, durations(spark, sf), diarization(spark, sf))
-    documents, _ = export.nested_documents(report, children)
+    documents = export.nested_documents(report, children)
     places = F.transform("chapters", lambda c: F.concat_ws("/", c["start"].cast("string"), c["segment"].cast("string")))
     return documents.select("recording_id", F.array_join(places, " ").alias("chapters"))
 
@@ -261,9 +261,10 @@ def stream_event_dedup(spark, sf):
     return taken(spark, log.without_repeats(twice, "ts").select("event_id", "event_type"), "once")
 
 
-@query("facet_rows", sql(RECORDS, facet_sql("records"), RANKED, "SELECT field, term, count FROM ranked WHERE rank <= 350"))
+@query("facet_rows", sql(RECORDS, facet_sql("records"), RANKED, "SELECT field, term, count FROM ranked"))
 def facet_rows(spark, sf):
-    """Facet maps, as an answer holds them (one page of terms), back to rows."""
+    """Facet maps of all terms, as answers of several pages hold them, back to rows."""
     counts = facets.facet_counts(records(spark, sf), FACETS)
-    maps = facets.facet_page(counts, 1, MAX_FACET_PAGE_SIZE).groupBy("field").agg(F.map_from_entries(F.collect_list(F.struct("term", "count"))).alias("terms"))
+    page = F.pmod(F.xxhash64("term"), F.lit(1024))
+    maps = counts.withColumn("page", page).groupBy("field", "page").agg(F.map_from_entries(F.collect_list(F.struct("term", "count"))).alias("terms"))
     return search_pages.facet_rows(maps.select(F.create_map("field", "terms").alias("facets")))
