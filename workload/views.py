@@ -67,17 +67,22 @@ PHRASES = [
 
 
 def segments(spark: SparkSession, sf: str) -> DataFrame:
-    """A transcript segment per turn: starts every 30 s, speech as long as the text, a score per word."""
+    """A transcript segment per turn and some between turns: starts every 15 s, speech as long as the text, a score per word.
+
+    Every turn keeps its whole text with a phrase behind it. Further segments hold a repeated greeting, dots or
+    blanks only.
+    """
     turns = table(spark, sf, "conversations")
-    start = F.col("turn").cast("double") * 30
+    start = F.col("turn").cast("double") * 15
     kind, phrase = F.col("conv_id") % 6, F.element_at(F.lit(PHRASES), (F.col("turn") % len(PHRASES) + 1).cast("int"))
-    text = (
+    between = (
         F.when(kind == 5, "Kia ora koutou!")
         .when((kind == 4) & (F.col("turn") % 3 == 1), " ... ")
         .when((kind == 3) & (F.col("turn") % 2 == 1), "  ")
-        .otherwise(F.concat("text", F.lit(" "), phrase))
     )
-    turns = turns.withColumn("text", text)
+    spoken = F.struct((F.col("turn") * 2).alias("turn"), F.concat("text", F.lit(" "), phrase).alias("text"))
+    further = F.when(between.isNotNull(), F.struct((F.col("turn") * 2 + 1).alias("turn"), between.alias("text")))
+    turns = turns.select("conv_id", "role", F.inline(F.array_compact(F.array(spoken, further))))
     words = F.transform(
         F.split("text", " "),
         lambda w: F.struct(w.alias("word"), ((F.length(w) * 37 % 101) / 100.0).cast("double").alias("score")),
@@ -88,19 +93,20 @@ def segments(spark: SparkSession, sf: str) -> DataFrame:
         F.col("role").alias("speaker"),
         "text",
         start.alias("start_s"),
-        ((F.col("turn") * 30000 + F.length("text") * 60).cast("double") / 1000).alias("end_s"),
+        ((F.col("turn") * 15000 + F.length("text") * 60).cast("double") / 1000).alias("end_s"),
         words.alias("words"),
     )
 
 
 SEGMENTS = f"""turns AS (
-  SELECT conv_id, turn, role, CASE WHEN conv_id % 6 = 5 THEN 'Kia ora koutou!'
-    WHEN conv_id % 6 = 4 AND turn % 3 = 1 THEN ' ... ' WHEN conv_id % 6 = 3 AND turn % 2 = 1 THEN '  '
-    ELSE text || ' ' || ({PHRASES!r})[CAST(turn % {len(PHRASES)} + 1 AS INT)] END AS text
-  FROM conversations),
+  SELECT conv_id, turn * 2 AS turn, role, text || ' ' || ({PHRASES!r})[CAST(turn % {len(PHRASES)} + 1 AS INT)] AS text
+  FROM conversations
+  UNION ALL SELECT * FROM (SELECT conv_id, turn * 2 + 1 AS turn, role, CASE WHEN conv_id % 6 = 5 THEN 'Kia ora koutou!'
+    WHEN conv_id % 6 = 4 AND turn % 3 = 1 THEN ' ... ' WHEN conv_id % 6 = 3 AND turn % 2 = 1 THEN '  ' END AS text
+    FROM conversations) WHERE text IS NOT NULL),
 segments AS (
-  SELECT conv_id AS recording_id, turn AS segment, role AS speaker, text, CAST(turn AS DOUBLE) * 30 AS start_s,
-    CAST(turn * 30000 + length(text) * 60 AS DOUBLE) / 1000 AS end_s,
+  SELECT conv_id AS recording_id, turn AS segment, role AS speaker, text, CAST(turn AS DOUBLE) * 15 AS start_s,
+    CAST(turn * 15000 + length(text) * 60 AS DOUBLE) / 1000 AS end_s,
     list_transform(string_split(text, ' '), lambda w: (length(w) * 37 % 101) / 100.0) AS scores
   FROM turns)"""
 
