@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stackroom.llm.common import whole_text
-from stackroom.llm.hashing import mixed, run_hashes
+from stackroom.llm.hashing import mixed
 from stackroom.llm.suffix_array import common_prefixes, merge_runs, present, suffix_array
 from stackroom.runtime import materialised, scratch_path
 
@@ -28,9 +28,8 @@ SHARD_BYTES, ARRAY_BYTES, BUCKET_BYTES = 6_000_000, 2_000_000, 4_000_000
 HOT = 200
 # Positions whose marks are found at once.
 SLICE = 1 << 16
-# Odd multipliers of the gram hash, and a second base for wider keys.
+# Odd multipliers of the hashes.
 GRAM_KEYS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
-SECOND_BASE = 0x2545F4914F6CDD1D
 
 
 def gram_hashes(data: np.ndarray, at: np.ndarray | slice) -> np.ndarray:
@@ -95,16 +94,22 @@ def opened(row: dict) -> Shard:
     padded = np.concatenate([data, np.zeros(2 * STRING, np.uint8)])
     value = gram_hashes(padded, marks)
     low, high = np.maximum(marks - WINDOW + 1, 0), marks.copy()
+    # The nearest mark to the left that is as small ends the reach, and so does the nearest smaller one to the right.
+    # Only marks that are not stopped yet and have a further neighbour in reach go on.
+    from_left, from_right = np.arange(len(marks)), np.arange(len(marks))
     for step in range(1, WINDOW):
-        # The nearest mark to the left that is as small ends the reach, and so does the nearest smaller one to the right.
-        left = marks[:-step] >= low[step:]
-        right = marks[step:] - WINDOW < high[:-step]
-        if not left.any() and not right.any():
+        from_left = from_left[from_left >= step]
+        from_left = from_left[marks[from_left - step] >= low[from_left]]
+        stop = value[from_left - step] <= value[from_left]
+        low[from_left[stop]] = marks[from_left[stop] - step] + 1
+        from_left = from_left[~stop]
+        from_right = from_right[from_right + step < len(marks)]
+        from_right = from_right[marks[from_right + step] - WINDOW < high[from_right]]
+        stop = value[from_right + step] < value[from_right]
+        high[from_right[stop]] = marks[from_right[stop] + step] - WINDOW
+        from_right = from_right[~stop]
+        if not len(from_left) and not len(from_right):
             break
-        stop = left & (value[:-step] <= value[step:])
-        low[step:] = np.where(stop, np.maximum(low[step:], marks[:-step] + 1), low[step:])
-        stop = right & (value[step:] < value[:-step])
-        high[:-step] = np.where(stop, np.minimum(high[:-step], marks[step:] - WINDOW), high[:-step])
     doc = np.searchsorted(ends, marks, side="right")
     doc = np.minimum(doc, max(len(ids) - 1, 0))
     first = (ends - sizes)[doc] if len(ids) else doc
@@ -132,6 +137,8 @@ class Contexts:
     key: np.ndarray
     start: np.ndarray
     strings: np.ndarray
+    # Place of the mark in the context.
+    mark: np.ndarray
     least_id: np.ndarray
     # For every occurrence its context, first string and document.
     of: np.ndarray
@@ -140,12 +147,39 @@ class Contexts:
     doc: np.ndarray
 
 
-def contexts(shard: Shard, shared: np.ndarray, hot: np.ndarray) -> Contexts:
+def context_hashes(data: np.ndarray, start: np.ndarray, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the bytes of each context, eight bytes at a time; ``data`` has eight bytes to spare."""
+    word = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    size = strings + STRING - 1
+    keys = [np.uint64(k) for k in GRAM_KEYS]
+    first, second = size.astype(np.uint64) * keys[2], size.astype(np.uint64) * keys[3]
+    for place in range(0, int(size.max(initial=0)), 8):
+        left = np.clip(size - place, 0, 8)
+        at = word[np.minimum(start + place, len(word) - 1)]
+        mask = np.where(left == 8, np.uint64(0xFFFFFFFFFFFFFFFF), (np.uint64(1) << (8 * np.minimum(left, 7)).astype(np.uint64)) - np.uint64(1))
+        part = at & mask
+        first = (first ^ part) * keys[0]
+        first ^= first >> np.uint64(29)
+        second = (second + part) * keys[1]
+        second ^= second >> np.uint64(32)
+    return mixed(first), mixed(second)
+
+
+def grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, start of a group in that order) of rows with equal keys, the first key first."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in keys:
+        new[1:] |= key[order[1:]] != key[order[:-1]]
+    return order, new
+
+
+def contexts(shard: Shard, keys: np.ndarray, counts: np.ndarray, shared: np.ndarray, hot: np.ndarray) -> Contexts:
     """Contexts of the marks that occur elsewhere too; those of hot marks are cut into single strings.
 
     ``shared`` and ``hot`` are flags of the shard's distinct keys in order. A context's key is its mark's, or its string's.
     """
-    keys, counts = key_runs(shard)
     at = np.searchsorted(keys, shard.key)
     wanted = (shared | (counts > 1))[at]
     burst = hot[at] & wanted
@@ -154,26 +188,50 @@ def contexts(shard: Shard, shared: np.ndarray, hot: np.ndarray) -> Contexts:
     single = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(shard.low[burst], sizes)
     low = np.concatenate([shard.low[whole], single])
     count = np.concatenate([(shard.high - shard.low + 1)[whole], np.ones(len(single), np.int64)])
+    mark = np.concatenate([shard.marks[whole], np.repeat(shard.marks[burst], sizes)]) - low
     doc = np.concatenate([shard.doc[whole], np.repeat(shard.doc[burst], sizes)])
     if not len(low):
         none = np.zeros(0, np.int64)
-        return Contexts(np.zeros(0, np.uint64), none, none, none, none, none, none, none)
-    end = low + count + STRING - 1
-    first, second = run_hashes(shard.data, low, end), run_hashes(shard.data, low, end, SECOND_BASE)
+        return Contexts(np.zeros(0, np.uint64), none, none, none, none, none, none, none, none)
+    first, second = context_hashes(np.concatenate([shard.data, np.zeros(16, np.uint8)]), low, count)
     key = np.concatenate([shard.key[whole], first[whole.sum() :]])
     names = shard.ids[doc]
-    order = np.lexsort((names, second, first, key))
-    a, b, c = key[order], first[order], second[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])
+    order, new = grouped(key, first, second)
+    of = np.empty(len(order), np.int64)
+    of[order] = np.cumsum(new) - 1
     lead = order[new]
+    return Contexts(key[lead], low[lead], count[lead], mark[lead], np.minimum.reduceat(names[order], np.flatnonzero(new)), of, low, count, doc)
+
+
+def decided(strings: np.ndarray, marks: np.ndarray, ids: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """For contexts from all shards, one after another in ``data``, a bit per string: does a document with a smaller id hold it?
+
+    Equal contexts hold equal strings, so all but the first document's lose them all. A mark with one distinct context
+    is decided by that, as other marks stand for other strings. What is left, one copy of each context of a contested
+    mark, goes to the suffix arrays.
+    """
+    sizes = strings + STRING - 1
+    start = np.cumsum(sizes) - sizes
+    padded = np.concatenate([data, np.zeros(2 * STRING, np.uint8)])
+    first, second = context_hashes(padded, start, strings)
+    gram = gram_hashes(padded, start + marks)
+    order, new = grouped(gram, first, second)
     of = np.empty(len(order), np.int64)
     of[order] = np.cumsum(new) - 1
-    return Contexts(key[lead], low[lead], count[lead], names[lead], of, low, count, doc)
+    lead = order[new]
+    least = np.minimum.reduceat(ids[order], np.flatnonzero(new))
+    _, mark_of, contexts_of_mark = np.unique(gram[lead], return_inverse=True, return_counts=True)
+    longest = np.zeros(len(contexts_of_mark), np.int64)
+    np.maximum.at(longest, mark_of, strings[lead])
+    contested = np.flatnonzero((contexts_of_mark > 1)[mark_of] & (longest > 1)[mark_of])
+    bits = np.zeros(len(lead), np.uint32)
+    texts = [data[a:b] for a, b in zip(start[lead[contested]], (start + sizes)[lead[contested]])]
+    bits[contested] = earliest(texts, strings[lead[contested]], least[contested])
+    return np.where(ids > least[of], np.uint32(0xFFFFFFFF), bits[of])
 
 
 def earliest(texts: list[np.ndarray], strings: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For contexts from all shards, a bit per string: does a document with a smaller id hold it?
+    """For distinct contexts, a bit per string: does a document with a smaller id hold it?
 
     Suffix arrays are built per part of ``ARRAY_BYTES``; neighbours with a common prefix of a whole string are one group. Each
     part gives a sorted run of distinct strings with their smallest ids, and the runs are merged by binary search.
@@ -220,17 +278,16 @@ def earliest(texts: list[np.ndarray], strings: np.ndarray, ids: np.ndarray) -> n
 def packed_contexts(shard: Shard, c: Contexts, a: int, b: int) -> bytes:
     sizes = c.strings[a:b] + STRING - 1
     at = np.repeat(c.start[a:b] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-    blob = c.strings[a:b].astype(np.uint8).tobytes() + c.least_id[a:b].astype(np.int64).tobytes() + shard.data[at].tobytes()
+    heads = c.strings[a:b].astype(np.uint8).tobytes() + c.mark[a:b].astype(np.uint8).tobytes() + c.least_id[a:b].astype(np.int64).tobytes()
+    blob = heads + shard.data[at].tobytes()
     return np.int64(b - a).tobytes() + np.int64(len(blob)).tobytes() + zstandard.ZstdCompressor(level=3).compress(blob)
 
 
-def unpacked_contexts(blob: bytes) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    n, size = np.frombuffer(blob[:16], np.int64)
-    raw = zstandard.ZstdDecompressor().decompress(blob[16:], max_output_size=int(size) + 1)
-    strings = np.frombuffer(raw[:n], np.uint8).astype(np.int64)
-    ids = np.frombuffer(raw[n : 9 * n], np.int64)
-    data = np.frombuffer(raw[9 * n :], np.uint8)
-    return strings, ids, np.split(data, np.cumsum(strings + STRING - 1)[:-1])
+def unpacked_contexts(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    n, size = (int(x) for x in np.frombuffer(blob[:16], np.int64))
+    raw = zstandard.ZstdDecompressor().decompress(blob[16:], max_output_size=size + 1)
+    strings, marks = np.frombuffer(raw[:n], np.uint8).astype(np.int64), np.frombuffer(raw[n : 2 * n], np.uint8).astype(np.int64)
+    return strings, marks, np.frombuffer(raw[2 * n : 10 * n], np.int64), np.frombuffer(raw[10 * n :], np.uint8)
 
 
 def row_batch(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
@@ -321,7 +378,7 @@ def _merge_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def shard_contexts(row: dict, buckets: int) -> tuple[Shard, Contexts]:
     shard = opened(row)
-    keys, _ = key_runs(shard)
+    keys, counts = key_runs(shard)
     cuts = bucket_cuts(keys, buckets)
     flags = {f["bucket"]: f["run"] for f in row["flags"]}
     shared, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
@@ -331,7 +388,7 @@ def shard_contexts(row: dict, buckets: int) -> tuple[Shard, Contexts]:
         half = len(bits) // 2
         shared[cuts[b] : cuts[b + 1]] = np.unpackbits(bits[:half], count=n)
         hot[cuts[b] : cuts[b + 1]] = np.unpackbits(bits[half:], count=n)
-    return shard, contexts(shard, shared, hot)
+    return shard, contexts(shard, keys, counts, shared, hot)
 
 
 def _context_rows(key_buckets: int, buckets: int):
@@ -349,7 +406,7 @@ def _context_rows(key_buckets: int, buckets: int):
 def _merge_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for bucket, rows in buckets_of(batches):
         parts = [unpacked_contexts(row["run"]) for row in rows]
-        flags = earliest([t for p in parts for t in p[2]], np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+        flags = decided(*(np.concatenate([p[i] for p in parts]) for i in range(4)))
         ends = np.cumsum([len(p[0]) for p in parts])
         for row, own in zip(rows, np.split(flags, ends[:-1])):
             yield row_batch({"bucket": [bucket], "shard": [row["shard"]], "run": [zstandard.ZstdCompressor().compress(own.tobytes())]}, RUNS)
@@ -404,7 +461,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     strings have equal marks. The sorted mark keys of all shards are merged by binary search, which tells the marks that
     occur in more than one shard. Only their contexts (the strings of a mark overlap, so a context is little longer than one
     string) are dealt by mark, and there suffix arrays and common prefixes find equal strings and their
-    smallest ids, part by part, with the parts' runs merged by binary search. Marks that occur very often are dealt
+    smallest ids, part by part, with the parts' runs merged by binary search (equal contexts go in once, and not at all
+    where a mark has only one). Marks that occur very often are dealt
     string by string, so a passage in any share of the documents is spread. Shards are stored bucketed and joined with
     the answers without moving their texts again.
 
