@@ -111,3 +111,6 @@ ASSET_FAILURES = {
     "embedded_list": "landing page does not contain media for the requested audio ID",
     "first_link": "no allowlisted media URL found",
 }
+
+# Review reason of an item with a similar earlier one.
+SIMILARITY_REASON = "activity_similarity_candidate"

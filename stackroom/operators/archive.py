@@ -17,7 +17,9 @@ from stackroom.fixed_values import (
     PENDING_STATES,
     PILOT_SIZE,
     REASON_CHARS,
+    SIMILARITY_REASON,
 )
+from stackroom.functions.dates import metadata_year
 from stackroom.functions.urls import host_allowed
 from stackroom.operators.dedup import media_candidates
 from stackroom.plans.order import latest_per_key, ranked_per_key
@@ -150,10 +152,12 @@ def discover_new(
     domains: Sequence[str],
     refill: bool = False,
     url_columns: Sequence[str] = ("object_url", "source_urls", "landing_url", "url"),
+    date_columns: Sequence[str] = ("date",),
 ) -> DataFrame:
     """Discovery rows per collection: the first ``quota`` records, less known, unusable and unlisted ones.
 
-    Known records use up quota, as they do in a page of search results; ``refill`` drops them first.
+    Known records use up quota, as they do in a page of search results; ``refill`` drops them first. The stratum of
+    a row is its collection and the year that its dates state.
     """
     quotas = quotas or {"": 0}
     known = events.select(F.col("record_id").cast("string").alias("id")).distinct()
@@ -179,6 +183,9 @@ def discover_new(
             "title",
             F.col("source").alias("source_url"),
             F.lit(0).cast("bigint").alias("retry_count"),
+            F.struct(
+                F.col("primary_collection").alias("collection"), metadata_year(*[F.col(c) for c in date_columns]).alias("year")
+            ).alias("pilot_stratum"),
         )
     )
 
@@ -216,9 +223,16 @@ def review_reasons(quality_flags: Column, sensitive_signals: Column) -> Column:
 
 
 def review_queue(
-    items: DataFrame, quality: str = "quality_flags", sensitive: str = "sensitive_review_signals"
+    items: DataFrame,
+    quality: str = "quality_flags",
+    sensitive: str = "sensitive_review_signals",
+    similar: str | None = None,
 ) -> DataFrame:
+    """Reasons and review state of items; ``similar`` names a flag of items with a similar earlier one."""
     reasons = review_reasons(F.col(quality), F.col(sensitive))
+    if similar is not None:
+        found = F.when(F.coalesce(F.col(similar), F.lit(False)), F.lit(SIMILARITY_REASON))
+        reasons = F.concat(reasons, F.array_compact(F.array(found)))
     needed = F.size("reasons") > 0
     return items.withColumn("reasons", reasons).withColumns(
         {"required": needed, "status": F.when(needed, "pending").otherwise("not_required")}

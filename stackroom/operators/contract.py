@@ -133,3 +133,14 @@ def asset_audit(items: DataFrame, files: DataFrame, speakers: DataFrame) -> Data
         "record_id", F.lit("non_anonymous_speaker").alias("problem"), F.col("speaker").alias("detail")
     )
     return missing.unionByName(drift).unionByName(no_list).unionByName(open_labels)
+
+
+def verified_items(items: DataFrame, files: DataFrame, speakers: DataFrame) -> DataFrame:
+    """Rows of items without a problem: ``record_id, duration, outputs``, the counterpart of :func:`asset_audit`.
+
+    ``outputs`` lists the required files that are present, in order; their number per item is fixed.
+    """
+    clean = items.join(asset_audit(items, files, speakers).select("record_id").distinct(), "record_id", "left_anti")
+    wanted = files.filter(F.col("length") > 0).filter(F.col("name").isin(*REQUIRED_ITEM_FILES))
+    outputs = wanted.groupBy("record_id").agg(F.array_sort(F.collect_set("name")).alias("outputs"))
+    return clean.join(outputs, "record_id").select("record_id", F.col("actual_duration").alias("duration"), "outputs")

@@ -30,8 +30,10 @@ def exact_duplicates(
 ) -> DataFrame:
     """Add ``duplicate_of``: the record of the earliest prior row with equal content and another record.
 
-    The first two records per content decide every row, so nothing is windowed over a content group.
+    The first two records per content decide every row, so nothing is windowed over a content group. The rows
+    are written once, as several steps read them: a digest in ``content`` is computed once per row.
     """
+    processed = materialised(processed)
     sightings = processed.filter(F.col(content).isNotNull()).groupBy(content, record).agg(
         F.min(pos).alias("_seen"), F.count(F.lit(1)).alias("_rows")
     )

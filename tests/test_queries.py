@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from workload import ORACLES, QUERIES
 from workload.compare import difference, ordered, sql_rows
 
-NO_SQL = {"file_checksum", "fuzzy_search", "sequence_similarity"}
+NO_SQL = {"fuzzy_search", "sequence_similarity"}
 
 
 def test_every_query_has_sql_but_the_stated_ones():

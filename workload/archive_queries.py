@@ -140,11 +140,14 @@ known AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS id FROM events)"""
     sql(RECORDS, DISCOVERED, """ranked AS (
       SELECT r.*, q.quota, row_number() OVER (PARTITION BY primary_collection ORDER BY pos) AS rank FROM records r JOIN quotas q ON r.primary_collection = q.name)""",
         """SELECT id AS record_id, pos, 'discovered' AS event, primary_collection AS collection, title, object_url[1] AS source_url,
-             CAST(0 AS BIGINT) AS retry_count FROM ranked WHERE rank <= quota AND id NOT IN (SELECT id FROM known)"""),
+             CAST(0 AS BIGINT) AS retry_count, primary_collection || ':' || coalesce(nullif(regexp_extract(array_to_string(coalesce(date, []), ' '), '\\b((18|19|20)\\d{2})\\b', 1), ''), '') AS stratum
+           FROM ranked WHERE rank <= quota AND id NOT IN (SELECT id FROM known)"""),
 )
 def discover_new(spark, sf):
     quotas = archive.balanced_quotas(sum(QUOTAS.values()), list(QUOTAS))
-    return archive.discover_new(records(spark, sf), manifest_events(spark, sf), quotas, DOMAINS, url_columns=["object_url"])
+    found = archive.discover_new(records(spark, sf), manifest_events(spark, sf), quotas, DOMAINS, url_columns=["object_url"])
+    year = F.coalesce(F.col("pilot_stratum.year").cast("string"), F.lit(""))
+    return found.withColumn("stratum", F.concat("pilot_stratum.collection", F.lit(":"), year)).drop("pilot_stratum")
 
 
 @query(
@@ -200,6 +203,22 @@ def review_queue(spark, sf):
     return archive.review_queue(events).select("event_id", F.array_join("reasons", ",").alias("reasons"), "required", "status")
 
 
+@query(
+    "review_queue_similar",
+    sql(EVENTS, REASONS.replace("AS sensitive FROM", "AS sensitive, pos % 5 = 0 AS alike FROM"), """
+      SELECT event_id, array_to_string(list_concat(list_transform(quality, lambda x: 'quality:' || x), CASE WHEN alike THEN ['activity_similarity_candidate'] ELSE [] END), ',') AS reasons,
+        len(quality) > 0 OR alike AS required FROM review"""),
+)
+def review_queue_similar(spark, sf):
+    events = manifest_events(spark, sf).select(
+        "event_id",
+        flags((F.col("retry_count") >= 3, "many_retries"), (F.col("duration_seconds") < 5, "short")).alias("quality_flags"),
+        F.array().cast("array<string>").alias("sensitive_review_signals"),
+        (F.col("pos") % 5 == 0).alias("similar"),
+    )
+    return archive.review_queue(events, similar="similar").select("event_id", F.array_join("reasons", ",").alias("reasons"), "required")
+
+
 @query(
     "record_review",
     sql(EVENTS, LATEST, """
@@ -256,14 +275,15 @@ def with_pilot_fields(events):
     "pilot_report",
     sql(EVENTS, LATEST, """SELECT record_id, 'item ' || record_id AS title,
       CASE WHEN pos % 2 = 0 THEN 'stratum ' || CAST(pos % 3 AS VARCHAR) ELSE 'general' END AS collection, 1990 + pos % 20 AS year,
-      duration_seconds, 'en' AS language, pos % 4 AS speaker_count, pos % 8 / 8.0 AS speech_coverage, review_required, CAST(0 AS INT) AS flags
+      duration_seconds, 'en' AS language, pos % 4 AS speaker_count, pos % 8 / 8.0 AS overlap_seconds, pos % 8 / 8.0 AS speech_coverage,
+      pos % 8 / 8.0 AS average_word_confidence, pos % 8 / 8.0 AS rms_dbfs, pos % 8 / 8.0 AS clipped_sample_ratio, review_required, CAST(0 AS INT) AS flags
       FROM latest WHERE event = 'processed'"""),
 )
 def pilot_report(spark, sf):
     report = archive.pilot_report(with_pilot_fields(manifest_events(spark, sf)))
     return report.select(
-        "record_id", "title", "collection", "year", "duration_seconds", "language", "speaker_count", "speech_coverage",
-        "review_required", F.size("quality_flags").alias("flags"),
+        "record_id", "title", "collection", "year", "duration_seconds", "language", "speaker_count", "overlap_seconds",
+        "speech_coverage", "average_word_confidence", "rms_dbfs", "clipped_sample_ratio", "review_required", F.size("quality_flags").alias("flags"),
     )
 
 
@@ -362,6 +382,30 @@ required AS (SELECT record_id, turns, unnest([{FILES}]) AS name, unnest(range(1,
       UNION ALL SELECT record_id, 'non_anonymous_speaker', 'KNOWN_PERSON' FROM items WHERE named"""),
 )
 def asset_audit(spark, sf):
+    return contract.asset_audit(*audited(spark, sf))
+
+
+@query(
+    "verified_items",
+    f"""WITH talks AS (SELECT conv_id, count(*) AS turns, CAST(sum(length(text)) AS DOUBLE) AS chars FROM conversations GROUP BY 1)
+      SELECT CAST(conv_id AS VARCHAR) AS record_id, chars / 16 + turns % 5 / 2.0 AS duration, array_to_string(list_sort([{FILES}]), ',') AS outputs
+      FROM talks WHERE conv_id % 4 <> 0 AND conv_id % 7 <> 0 AND turns % 5 <= 2""",
+)
+def verified_items(spark, sf):
+    """An item per conversation; some lack a file, differ in duration or name a speaker."""
+    turns = table(spark, sf, "conversations").withColumn("record_id", F.col("conv_id").cast("string"))
+    talks = turns.groupBy("record_id", "conv_id").agg(F.count(F.lit(1)).alias("turns"), F.sum(F.length("text")).alias("chars"))
+    names = talks.select("record_id", "conv_id", F.explode(F.lit(list(REQUIRED_ITEM_FILES))).alias("name"))
+    lost = (F.col("conv_id") % 4 == 0) & (F.col("name") == REQUIRED_ITEM_FILES[-1])
+    files = names.select("record_id", "name", F.when(lost, 0).otherwise(1).alias("length"))
+    seconds = F.col("chars") / 16
+    items = talks.select("record_id", seconds.alias("expected_duration"), (seconds + F.col("turns") % 5 / 2).alias("actual_duration"))
+    speaker = F.when(F.col("conv_id") % 7 == 0, "KNOWN_PERSON").otherwise("SPEAKER_03")
+    found = contract.verified_items(items, files, turns.select("record_id", speaker.alias("speaker")))
+    return found.withColumn("outputs", F.array_join("outputs", ","))
+
+
+def audited(spark, sf):
     """An item per customer; the conversation of the same number gives its files, durations and speakers."""
     turns = table(spark, sf, "conversations").withColumn("record_id", F.col("conv_id").cast("string"))
     talks = turns.groupBy("record_id").agg(F.count(F.lit(1)).alias("turns"), F.sum(F.length("text")).alias("chars"))
@@ -376,7 +420,7 @@ def asset_audit(spark, sf):
         .select("record_id", seconds.alias("expected_duration"), (seconds + F.col("turns") / 4).alias("actual_duration"))
     )
     speaker = F.when(F.col("role") == "user", "KNOWN_PERSON").otherwise("SPEAKER_03")
-    return contract.asset_audit(items, files, turns.select("record_id", speaker.alias("speaker")))
+    return items, files, turns.select("record_id", speaker.alias("speaker"))
 
 
 def folded_words(text: str) -> str:

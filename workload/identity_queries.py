@@ -8,6 +8,7 @@ from stackroom.functions.arrays import positional_similarity
 from stackroom.functions.dates import metadata_year, year_from_digits
 from stackroom.functions.urls import host_allowed, https_host
 from stackroom.operators import archive, dedup
+from stackroom.runtime import scratch_path
 from stackroom.sources.tables import file_checksum, read_pages
 from workload.catalog import exact, query
 from workload.views import (
@@ -139,9 +140,16 @@ def distinct_entities(spark, sf):
     return dedup.distinct_entities(rows)
 
 
-@query("file_checksum")
+@query(
+    "file_checksum",
+    "SELECT CAST(item_id AS VARCHAR) AS name, CAST(strlen(text) + 1 AS BIGINT) AS length, sha256(text || chr(10)) AS sha256 FROM benchmark",
+)
 def checksum(spark, sf):
-    return file_checksum(spark, sf, "*.parquet").select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "length", "sha256")
+    """Files that are written from the benchmark passages, one per passage."""
+    path = scratch_path(spark, "passages")
+    table(spark, sf, "benchmark").select("item_id", "text").write.partitionBy("item_id").text(path)
+    files = file_checksum(spark, path, "part-*")
+    return files.select(F.regexp_extract("path", "item_id=([^/]+)/", 1).alias("name"), "length", "sha256")
 
 
 HOST = r"lower(regexp_extract(url, '^[Hh][Tt][Tt][Pp][Ss]://(?:[^/?#@]*@)?([^/:?#]+)', 1))"
