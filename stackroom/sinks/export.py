@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stackroom.fixed_values import MAX_PAGE_SIZE
+from stackroom.fixed_values import ENRICHMENT_LIMITATIONS, MAX_PAGE_SIZE
+from stackroom.operators import enrichment
 from stackroom.operators.search import SearchQuery
 from stackroom.plans.order import row_index
 from stackroom.runtime import materialised
@@ -189,3 +190,20 @@ def nested_documents(
         empty = F.array().cast(rows.schema[name].dataType)
         documents = documents.join(rows, [key, "part"], "left").withColumn(name, F.coalesce(name, empty))
     return documents
+
+
+def enrichment_documents(segments: DataFrame, part_rows: int = 50_000) -> DataFrame:
+    """The enrichment document of every recording: its five lists nested in order, and the fixed limitations.
+
+    Long lists go on in further parts, see :func:`nested_documents`.
+    """
+    entities = enrichment.entity_candidates(segments).withColumn("_order", F.struct("start", "text"))
+    ordered = {
+        "language_review_signals": enrichment.language_signals(segments).withColumn("_order", F.col("segment")),
+        "entity_candidates": entities,
+        "search_entries": enrichment.search_entries(segments).withColumn("_order", F.col("segment")),
+        "chapter_summaries": enrichment.chapter_summaries(segments).withColumn("_order", F.col("chapter")),
+        "orthographic_corrections": enrichment.corrections(segments).withColumn("_order", F.col("segment")),
+    }
+    report = segments.select("recording_id").distinct().withColumn("limitations", F.lit(list(ENRICHMENT_LIMITATIONS)))
+    return nested_documents(report, {name: (rows, "_order") for name, rows in ordered.items()}, part_rows=part_rows)

@@ -15,7 +15,7 @@ from stackroom.streaming import log
 from workload.catalog import query
 from workload.media_queries import CITED
 from workload.search_queries import FACETS, RANKED, facet_sql
-from workload.transcript_queries import LAGGED, OPENINGS
+from workload.transcript_queries import ENTITIES, FIXED, LAGGED, MAORI_HIT, OPENINGS, PACIFIC_HIT, SUMMARIES
 from workload.views import (
     EVENTS,
     LATEST,
@@ -161,6 +161,36 @@ def analysis_documents(spark, sf):
     return documents.select("recording_id", F.array_join(places, " ").alias("chapters"))
 
 
+@query(
+    "enrichment_documents",
+    sql(SEGMENTS, SPOKEN, LAGGED, OPENINGS, SUMMARIES, ENTITIES, FIXED, f"""lists AS (
+      SELECT recording_id, 'signals' AS list, string_agg(CAST(segment AS VARCHAR), ' ' ORDER BY segment) AS held FROM segments WHERE {MAORI_HIT} OR {PACIFIC_HIT} GROUP BY 1
+      UNION ALL SELECT recording_id, 'entities', string_agg(text, '|' ORDER BY start, text) FROM entities GROUP BY 1
+      UNION ALL SELECT recording_id, 'entries', string_agg(CAST(segment AS VARCHAR), ' ' ORDER BY segment) FROM segments GROUP BY 1
+      UNION ALL SELECT recording_id, 'chapters', string_agg(CAST(segment AS VARCHAR), ' ' ORDER BY chapter) FROM cited GROUP BY 1
+      UNION ALL SELECT recording_id, 'corrections', string_agg(corrected, '|' ORDER BY segment) FROM fixed WHERE corrected <> original GROUP BY 1)""",
+        """SELECT r.recording_id, coalesce(any_value(held) FILTER (list = 'signals'), '') AS signals, coalesce(any_value(held) FILTER (list = 'entities'), '') AS entities,
+             coalesce(any_value(held) FILTER (list = 'entries'), '') AS entries, coalesce(any_value(held) FILTER (list = 'chapters'), '') AS chapters,
+             coalesce(any_value(held) FILTER (list = 'corrections'), '') AS corrections
+           FROM (SELECT DISTINCT recording_id FROM segments) r LEFT JOIN lists l ON l.recording_id = r.recording_id GROUP BY 1"""),
+)
+def enrichment_documents(spark, sf):
+    """The nested documents, each list told by what identifies its rows."""
+    found = export.enrichment_documents(segments(spark, sf))
+
+    def listed(name, value, separator):
+        return F.array_join(F.transform(name, value), separator)
+
+    return found.select(
+        "recording_id",
+        listed("language_review_signals", lambda x: x["segment"].cast("string"), " ").alias("signals"),
+        listed("entity_candidates", lambda x: x["text"], "|").alias("entities"),
+        listed("search_entries", lambda x: x["segment"].cast("string"), " ").alias("entries"),
+        listed("chapter_summaries", lambda x: F.element_at(x["cited_segments"], 1).cast("string"), " ").alias("chapters"),
+        listed("orthographic_corrections", lambda x: x["corrected"], "|").alias("corrections"),
+    )
+
+
 def saved_pages(spark, sf) -> str:
     """Search answers of 100 records, one page per line, with unknown keys and facets."""
     path = scratch_path(spark, "pages")

@@ -151,6 +151,24 @@ def quality_flags(spark, sf):
     return found.select("recording_id", F.array_join("quality_flags", ",").alias("quality_flags"))
 
 
+AUDIO_FLAGS = FLAG_LIST.replace(
+    "'maori_language_or_names_review_recommended' END]",
+    """'maori_language_or_names_review_recommended' END, CASE WHEN recording_id % 3 = 2 THEN 'clipping_detected' END,
+  CASE WHEN recording_id % 5 = 4 THEN 'mostly_near_silence' END]""",
+)
+
+
+@query("quality_flags_audio", sql(*PARTS, f"SELECT recording_id, {AUDIO_FLAGS} AS quality_flags FROM report"))
+def quality_flags_audio(spark, sf):
+    """Flags with sample measures, which follow from the recording's number."""
+    lengths, number = durations(spark, sf), F.col("recording_id")
+    audio = lengths.select(
+        "recording_id", (number % 3 / 1000).alias("clipped_sample_ratio"), (number % 5 / 5 + 0.15).alias("near_silence_ratio")
+    )
+    found = transcript.quality_flags(segments(spark, sf), lengths, diarization(spark, sf), audio)
+    return found.select("recording_id", F.array_join("quality_flags", ",").alias("quality_flags"))
+
+
 @query(
     "analysis_report",
     sql(*PARTS, f"""SELECT recording_id, {exact('coverage', 6)} AS speech_coverage, {exact('confidence', 6)} AS average_word_confidence,
@@ -239,6 +257,17 @@ def corrected(column: str) -> str:
     return column
 
 
+def applied(column: str) -> str:
+    """The dictionary entries found, each in the text as the entries before it left it."""
+    found = []
+    for source, target in CORRECTIONS.items():
+        pattern = f"(^|[^\\p{{L}}\\p{{N}}_])(?i:{source})($|[^\\p{{L}}\\p{{N}}_])"
+        found.append(f"CASE WHEN regexp_matches({column}, '{pattern}') THEN '{source}' END")
+        for _ in range(2):
+            column = f"regexp_replace({column}, '{pattern}', '\\1{target}\\2', 'g')"
+    return f"array_to_string(list_filter([{', '.join(found)}], lambda x: x IS NOT NULL), ',')"
+
+
 FIXED = f"""fixed AS (
   SELECT recording_id, segment, start_s AS start, end_s AS "end", trim(text) AS original, {corrected('trim(text)')} AS corrected FROM segments)"""
 NAME = "[A-ZĀĒĪŌŪ](?:[\\p{L}\\p{N}_]|[''-])+"
@@ -255,10 +284,12 @@ def entity_candidates(spark, sf):
 @query(
     "corrections",
     sql(SEGMENTS, FIXED,
-        "SELECT * FROM fixed WHERE corrected <> original"),
+        f"SELECT *, {applied('original')} AS applied, 'review_required' AS confidence FROM fixed WHERE corrected <> original"),
 )
 def corrections(spark, sf):
-    return enrichment.corrections(segments(spark, sf)).drop("corrections", "confidence")
+    found = enrichment.corrections(segments(spark, sf))
+    sources = F.transform("corrections", lambda c: c["source"])
+    return found.withColumn("applied", F.array_join(sources, ",")).drop("corrections")
 
 
 FUZZY = "Wellington Radio"
