@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,9 +25,10 @@ K1, B, QUERY_TERMS = 1.2, 0.75, 16
 # Tokens of one index shard and of one partition.
 SHARD_TOKENS, PART_TOKENS = 1_000_000, 4_000_000
 # Words whose ids a task remembers, and new ones that are encoded in one run.
-REMEMBERED, PLAIN_RUN = 400_000, 4096
-# Letters that are their own normal form, with any marks behind them; and what ends the last token of a word.
-LETTERS_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+REMEMBERED, PLAIN_RUN = 700_000, 4096
+# Letters that are their own normal form, marks that may stand behind them, and what ends the last token of a word.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+MARKS = string.punctuation
 WORD_END = "</w>"
 
 
@@ -41,7 +44,8 @@ class Tokens:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
@@ -65,31 +69,49 @@ class Tokens:
 
     def learn(self, words: list[str]) -> None:
         """Remember new words; first the letters and the marks they are made of."""
-        made = {w: (m[1].lower(), m[2]) for w in words if (m := LETTERS_AND_MARKS.fullmatch(w))}
-        letters = sorted({base for base, _ in made.values()} - self.known.keys())
+        whole, bases, marks, others = [], [], [], {""}
+        for word in words:
+            base = word.rstrip(MARKS)
+            if base.isalpha() and (base.isascii() or LETTERS.fullmatch(base)):
+                whole.append(word)
+                bases.append(base.lower())
+                marks.append(word[len(base) :])
+            else:
+                others.add(word)
+        others.update(marks)
+        letters = list(set(bases).difference(self.known))
         for start in range(0, len(letters), PLAIN_RUN):
             part = letters[start : start + PLAIN_RUN]
             flat = np.array(self.plain.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
             ends = np.flatnonzero(self.ends_word[flat]) + 1
             self._add(part, flat, np.diff(ends, prepend=0))
-        others = sorted(({w for w in words if w not in made} | {marks for _, marks in made.values()} | {""}) - self.known.keys())
-        if others:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
-            self._add(others, np.array([i for one in ids for i in one], np.uint32), np.array(list(map(len, ids)), np.int64))
-        joined = [w for w in made if w not in self.known]
-        if joined:
-            rows = np.array([self.known[part] for w in joined for part in made[w]])
-            self._add(joined, self._gather(rows), self.sizes[rows].reshape(-1, 2).sum(axis=1))
-
-    def of(self, texts: list[str], end: int) -> list[np.ndarray]:
+        rest = list(others.difference(self.known))
+        if rest:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+            self._add(rest, np.array([i for one in ids for i in one], np.uint32), np.array(list(map(len, ids)), np.int64))
+        # Words that are such letters already are remembered by now.
+        new = np.flatnonzero(np.fromiter((w not in self.known for w in whole), bool, len(whole)))
+        if len(new):
+            rows = np.empty((len(whole), 2), np.int64)
+            rows[:, 0] = np.fromiter(map(self.known.__getitem__, bases), np.int64, len(whole))
+            rows[:, 1] = np.fromiter(map(self.known.__getitem__, marks), np.int64, len(whole))
+            rows = rows[new]
+            self._add([whole[i] for i in new], self._gather(rows.ravel()), self.sizes[rows].sum(axis=1))
+
+    def of(self, texts: pa.Array, end: int) -> list[np.ndarray]:
+        """Ids of each text and ``end``; words are told apart by Arrow, so that Python sees each of a part once."""
         if len(self.known) > REMEMBERED:
             self.clear()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*split).difference(self.known) if split else set()
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        new = [w for w in words if w not in self.known]
         if new:
-            self.learn(sorted(new))
-        words = [np.fromiter(map(self.known.__getitem__, w), np.int64, len(w)) for w in split]
-        return [np.append(self._gather(rows), np.uint32(end)) for rows in words]
+            self.learn(new)
+        rows = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy(zero_copy_only=False)]
+        ids, after = self._gather(rows), np.concatenate([[0], np.cumsum(self.sizes[rows])])
+        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+        return [np.append(ids[a:b], np.uint32(end)) for a, b in zip(after[offsets[:-1]], after[offsets[1:]])]
 
 
 def tokenized(docs: DataFrame, doc_id: str, text: str, path: str, end: int = END) -> DataFrame:
@@ -99,7 +121,7 @@ def tokenized(docs: DataFrame, doc_id: str, text: str, path: str, end: int = END
         tokens = Tokens(path)
         for whole in batches:
             for batch in parts_of(whole, 1):
-                ids = tokens.of([t or "" for t in batch.column(1).to_pylist()], end)
+                ids = tokens.of(pc.fill_null(batch.column(1), ""), end)
                 blobs = pa.array([x.astype("<u2" if x.max() < 1 << 16 else "<u4").tobytes() for x in ids], pa.binary())
                 sizes = pa.array([len(x) for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0), sizes, blobs], ["doc_id", "n", "ids"])
@@ -115,13 +137,17 @@ def document_frequencies(tokens: DataFrame) -> np.ndarray:
     """Documents per token id over all documents; as many numbers as the vocabulary has ids reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(0, np.int64)
+        counts, place = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             for n, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.unique(ids_of(blob, n))
-                if ids[-1] >= len(counts):
-                    counts = np.concatenate([counts, np.zeros(int(ids[-1]) + 1 - len(counts), np.int64)])
-                counts[ids] += 1
+                ids = ids_of(blob, n)
+                if (top := int(ids.max())) >= len(counts):
+                    counts = np.concatenate([counts, np.zeros(top + 1 - len(counts), np.int64)])
+                    place = np.zeros(len(counts), np.int64)
+                # One occurrence of each id: the one that was written last.
+                at = np.arange(n)
+                place[ids] = at
+                counts[ids[place[ids] == at]] += 1
         held = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array(counts[held], pa.int64())], ["id", "n"])
 
