@@ -23,6 +23,8 @@ SIZE, FILTERS = 4, 16
 TILE = 128
 # Documents that learn from per class, and passes over them.
 PER_CLASS, EPOCHS = 1500, 8
+# Steps that small samples take at least.
+LEAST_STEPS = 700
 
 
 @dataclass
@@ -109,7 +111,8 @@ def _slopes(net: Network, chunks: np.ndarray, counts: np.ndarray, labels: np.nda
 
 
 def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOCHS, batch: int = 32, rate: float = 0.01, seed: int = 11) -> Network:
-    """Train by gradient steps on small batches, in a seeded order."""
+    """Train by gradient steps on small batches, in a seeded order; a small sample is passed over more often."""
+    epochs = max(epochs, -(-LEAST_STEPS * batch // max(1, len(texts)))) if epochs > 1 else epochs
     random = np.random.default_rng(seed)
     net = Network(
         random.normal(0, 0.5, (256, SIZE)).astype(np.float32),
