@@ -24,8 +24,11 @@ STRING, GRAM = 50, 20
 WINDOW = STRING - GRAM + 1
 # Bytes of a document shard, of a suffix array's text, and of keys or contexts that meet in one bucket.
 SHARD_BYTES, ARRAY_BYTES, BUCKET_BYTES = 6_000_000, 2_000_000, 4_000_000
-# Marks that occur more often are dealt by their strings.
-HOT = 200
+# Marks that occur more often than this, or hold a larger share of all marks, are dealt by their strings.
+HOT, HOT_SHARE = 2000, 50_000
+# Bits of a mark's key beyond those that number all marks: one key in 2**16 is taken for another one, which costs a
+# context but decides nothing.
+SPARE_BITS = 16
 # Positions whose marks are found at once.
 SLICE = 1 << 16
 # Odd multipliers of the hashes.
@@ -85,8 +88,8 @@ class Shard:
     doc: np.ndarray
 
 
-def opened(row: dict) -> Shard:
-    """A shard with its marks; a mark stands for the strings low..high in whose first window it is the leftmost least one."""
+def opened(row: dict, bits: int) -> Shard:
+    """A shard with its marks, their keys cut to ``bits``; a mark stands for the strings low..high in whose first window it is the leftmost least one."""
     ids, sizes = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["sizes"], np.int64)
     data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["data"], max_output_size=int(sizes.sum()) + 1), np.uint8)
     ends = np.cumsum(sizes)
@@ -116,12 +119,12 @@ def opened(row: dict) -> Shard:
     low, high = np.maximum(low, first), np.minimum(high, ends[doc] - STRING if len(ids) else high)
     held = low <= high
     marks, low, high, doc = marks[held], low[held], high[held], doc[held]
-    return Shard(ids, ends, data, marks, low, high, mixed(value[held]), doc)
+    return Shard(ids, ends, data, marks, low, high, mixed(value[held]) >> np.uint64(64 - bits), doc)
 
 
-def bucket_cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
+def bucket_cuts(keys: np.ndarray, buckets: int, bits: int) -> np.ndarray:
     """Where sorted keys pass from bucket to bucket: equal ranges of the key space."""
-    bounds = [min(b * (1 << 64) // buckets, (1 << 64) - 1) for b in range(buckets)]
+    bounds = [min(b * (1 << bits) // buckets, (1 << bits) - 1) for b in range(buckets)]
     return np.append(np.searchsorted(keys, np.array(bounds, np.uint64)), len(keys))
 
 
@@ -175,7 +178,21 @@ def grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
-def contexts(shard: Shard, keys: np.ndarray, counts: np.ndarray, shared: np.ndarray, hot: np.ndarray) -> Contexts:
+def packed_keys(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Differences of sorted keys, byte by byte, and counts, compressed."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    raw = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes() + counts.tobytes()
+    return np.int64(len(keys)).tobytes() + zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def unpacked_keys(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(blob[:8], np.int64)[0])
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[8:], max_output_size=9 * n + 1), np.uint8)
+    steps = np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view("<u8").ravel()
+    return np.cumsum(steps, dtype=np.uint64), raw[8 * n :]
+
+
+def contexts(shard: Shard, keys: np.ndarray, counts: np.ndarray, shared: np.ndarray, hot: np.ndarray, bits: int) -> Contexts:
     """Contexts of the marks that occur elsewhere too; those of hot marks are cut into single strings.
 
     ``shared`` and ``hot`` are flags of the shard's distinct keys in order. A context's key is its mark's, or its string's.
@@ -194,7 +211,7 @@ def contexts(shard: Shard, keys: np.ndarray, counts: np.ndarray, shared: np.ndar
         none = np.zeros(0, np.int64)
         return Contexts(np.zeros(0, np.uint64), none, none, none, none, none, none, none, none)
     first, second = context_hashes(np.concatenate([shard.data, np.zeros(16, np.uint8)]), low, count)
-    key = np.concatenate([shard.key[whole], first[whole.sum() :]])
+    key = np.concatenate([shard.key[whole], first[whole.sum() :] >> np.uint64(64 - bits)])
     names = shard.ids[doc]
     order, new = grouped(key, first, second)
     of = np.empty(len(order), np.int64)
@@ -337,14 +354,14 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
 
 
-def _key_rows(buckets: int):
+def _key_rows(buckets: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
-            keys, counts = key_runs(opened(row))
-            cuts = bucket_cuts(keys, buckets)
+            keys, counts = key_runs(opened(row, bits))
+            cuts = bucket_cuts(keys, buckets, bits)
             for b in range(buckets):
                 part = slice(cuts[b], cuts[b + 1])
-                yield row_batch({"bucket": [b], "shard": [row["shard"]], "run": [keys[part].tobytes() + counts[part].tobytes()]}, RUNS)
+                yield row_batch({"bucket": [b], "shard": [row["shard"]], "run": [packed_keys(keys[part], counts[part])]}, RUNS)
 
     return run
 
@@ -361,41 +378,45 @@ def buckets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[di
         yield held[0]["bucket"], held
 
 
-def _merge_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Which keys of each run occur in another one, and which are hot, as two rows of bits."""
-    for bucket, rows in buckets_of(batches):
-        runs = []
-        for row in rows:
-            n = len(row["run"]) // 9
-            # Occurrences in the low part, shards that hold the key above.
-            runs.append((np.frombuffer(row["run"][: 8 * n], np.uint64), np.frombuffer(row["run"][8 * n :], np.uint8).astype(np.int64) + (1 << 40)))
-        every, seen = merge_runs(runs, np.add)
-        shared, hot = seen >= 2 << 40, (seen & ((1 << 40) - 1)) > HOT
-        for row, (keys, _) in zip(rows, runs):
-            at = present(every, keys)
-            yield row_batch({"bucket": [bucket], "shard": [row["shard"]], "run": [np.packbits(shared[at]).tobytes() + np.packbits(hot[at]).tobytes()]}, RUNS)
-
-
-def shard_contexts(row: dict, buckets: int) -> tuple[Shard, Contexts]:
-    shard = opened(row)
+def _merge_keys(hot_from: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Which keys of each run occur in another one, and which are hot, as two rows of bits."""
+        for bucket, rows in buckets_of(batches):
+            runs = []
+            for row in rows:
+                keys, counts = unpacked_keys(row["run"])
+                # Occurrences in the low part, shards that hold the key above.
+                runs.append((keys, counts.astype(np.int64) + (1 << 40)))
+            every, seen = merge_runs(runs, np.add)
+            shared, hot = seen >= 2 << 40, (seen & ((1 << 40) - 1)) > hot_from
+            for row, (keys, _) in zip(rows, runs):
+                at = present(every, keys)
+                flags = np.packbits(shared[at]).tobytes() + np.packbits(hot[at]).tobytes()
+                yield row_batch({"bucket": [bucket], "shard": [row["shard"]], "run": [flags]}, RUNS)
+
+    return run
+
+
+def shard_contexts(row: dict, buckets: int, bits: int) -> tuple[Shard, Contexts]:
+    shard = opened(row, bits)
     keys, counts = key_runs(shard)
-    cuts = bucket_cuts(keys, buckets)
+    cuts = bucket_cuts(keys, buckets, bits)
     flags = {f["bucket"]: f["run"] for f in row["flags"]}
     shared, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
     for b in range(buckets):
         n = cuts[b + 1] - cuts[b]
-        bits = np.frombuffer(flags[b], np.uint8)
-        half = len(bits) // 2
-        shared[cuts[b] : cuts[b + 1]] = np.unpackbits(bits[:half], count=n)
-        hot[cuts[b] : cuts[b + 1]] = np.unpackbits(bits[half:], count=n)
-    return shard, contexts(shard, keys, counts, shared, hot)
+        flag_bits = np.frombuffer(flags[b], np.uint8)
+        half = len(flag_bits) // 2
+        shared[cuts[b] : cuts[b + 1]] = np.unpackbits(flag_bits[:half], count=n)
+        hot[cuts[b] : cuts[b + 1]] = np.unpackbits(flag_bits[half:], count=n)
+    return shard, contexts(shard, keys, counts, shared, hot, bits)
 
 
-def _context_rows(key_buckets: int, buckets: int):
+def _context_rows(key_buckets: int, buckets: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
-            shard, found = shard_contexts(row, key_buckets)
-            cuts = bucket_cuts(found.key, buckets)
+            shard, found = shard_contexts(row, key_buckets, bits)
+            cuts = bucket_cuts(found.key, buckets, bits)
             for b in np.flatnonzero(np.diff(cuts)):
                 blob = packed_contexts(shard, found, cuts[b], cuts[b + 1])
                 yield row_batch({"bucket": [int(b)], "shard": [row["shard"]], "run": [blob]}, RUNS)
@@ -415,20 +436,20 @@ def _merge_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 SPANS = "doc_id long, n_bytes long, spans array<struct<start:bigint,end:bigint>>, kept binary"
 
 
-def _removed(key_buckets: int, buckets: int):
+def _removed(key_buckets: int, buckets: int, bits: int):
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
-            shard, found = shard_contexts(row, key_buckets)
-            cuts = bucket_cuts(found.key, buckets)
-            bits = np.zeros(len(found.key), np.uint32)
+            shard, found = shard_contexts(row, key_buckets, bits)
+            cuts = bucket_cuts(found.key, buckets, bits)
+            gone_bits = np.zeros(len(found.key), np.uint32)
             for f in row["answers"] or []:
                 part = slice(cuts[f["bucket"]], cuts[f["bucket"] + 1])
-                bits[part] = np.frombuffer(zstandard.ZstdDecompressor().decompress(f["run"], max_output_size=4 * (part.stop - part.start) + 1), np.uint32)
+                gone_bits[part] = np.frombuffer(zstandard.ZstdDecompressor().decompress(f["run"], max_output_size=4 * (part.stop - part.start) + 1), np.uint32)
             # Later documents of the shard lose every string of a context, its first one those that occur earlier elsewhere.
             later = shard.ids[found.doc] > found.least_id[found.of]
-            own = np.where(later, np.uint32(0xFFFFFFFF), bits[found.of])
+            own = np.where(later, np.uint32(0xFFFFFFFF), gone_bits[found.of])
             context = np.repeat(np.arange(len(own)), found.count)
             inside = np.arange(len(context)) - np.repeat(np.cumsum(found.count) - found.count, found.count)
             gone = (own[context] >> inside.astype(np.uint32) & np.uint32(1)).astype(bool)
@@ -480,24 +501,28 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     made.write.bucketBy(width, "shard").sortBy("shard").option("path", scratch_path(spark, "shards")).saveAsTable(name)
     shards = spark.table(name)
     marks = shards.agg(F.coalesce(F.sum(F.length("gaps")), F.lit(0)).alias("n")).first()["n"] // 2
+    bits = min(64, max(1, marks).bit_length() + SPARE_BITS)
+    hot_from = min(HOT, max(8, marks // HOT_SHARE))
     key_buckets = max(1, -(-marks * 9 // BUCKET_BYTES))
     runs = "bucket long, shard long, run binary"
 
     def dealt(rows: DataFrame, n: int) -> DataFrame:
-        return rows.repartition(min(n, 4096), "bucket").sortWithinPartitions("bucket", "shard")
+        # A bucket's number is its partition: no two buckets meet by chance of a hash while there are parts enough.
+        parts = min(n, 4096)
+        return rows.repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int")).sortWithinPartitions("bucket", "shard")
 
     def per_shard(rows: DataFrame, column: str) -> DataFrame:
         return rows.groupBy(F.col("shard").alias("of_shard")).agg(F.collect_list(F.struct("bucket", "run")).alias(column))
 
-    keys = dealt(shards.mapInArrow(_key_rows(key_buckets), runs), key_buckets)
-    flags = materialised(keys.mapInArrow(_merge_keys, runs))
+    keys = dealt(shards.mapInArrow(_key_rows(key_buckets, bits), runs), key_buckets)
+    flags = materialised(keys.mapInArrow(_merge_keys(hot_from), runs))
     flagged = shards.join(per_shard(flags, "flags"), F.col("shard") == F.col("of_shard")).drop("of_shard")
     # A shared mark's context takes some 40 bytes when compressed; a quarter of the marks is expected to be shared.
     buckets = max(1, -(-marks * 10 // BUCKET_BYTES))
-    met = dealt(flagged.mapInArrow(_context_rows(key_buckets, buckets), runs), buckets)
+    met = dealt(flagged.mapInArrow(_context_rows(key_buckets, buckets, bits), runs), buckets)
     answers = materialised(met.mapInArrow(_merge_contexts, runs))
     answered = flagged.join(per_shard(answers, "answers"), F.col("shard") == F.col("of_shard"), "left").drop("of_shard")
-    return answered.mapInArrow(_removed(key_buckets, buckets), SPANS).unionByName(alone)
+    return answered.mapInArrow(_removed(key_buckets, buckets, bits), SPANS).unionByName(alone)
 
 
 def digest(cleaned: DataFrame) -> DataFrame:

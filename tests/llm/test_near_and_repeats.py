@@ -104,10 +104,10 @@ def test_merged_runs():
     assert dict(zip(keys.tolist(), counts.tolist())) == Counter(np.concatenate(runs).tolist()) and list(keys) == sorted(keys)
 
 
-@pytest.mark.parametrize("sizes", [None, (60_000, 20_000, 15_000, 5)])
+@pytest.mark.parametrize("sizes", [None, (60_000, 20_000, 15_000, 5, 1)])
 def test_repeats_equal_brute_force(spark, sf, monkeypatch, sizes):
     if sizes:
-        for name, value in zip(("SHARD_BYTES", "ARRAY_BYTES", "BUCKET_BYTES", "HOT"), sizes):
+        for name, value in zip(("SHARD_BYTES", "ARRAY_BYTES", "BUCKET_BYTES", "HOT", "SPARE_BITS"), sizes):
             monkeypatch.setattr(suffix_dedup, name, value)
     seen, wanted = {}, {}
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
