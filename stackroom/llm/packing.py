@@ -20,8 +20,8 @@ from stackroom.runtime import materialised
 
 # Tokens of a full sequence, the id that ends a document, and its first number of bits per stored id.
 LENGTH, END = 2048, 1
-# Fixed values of BM25, and the terms of a seed that are looked up.
-K1, B, QUERY_TERMS = 1.2, 0.75, 16
+# Fixed values of BM25, and the share of a shard's documents from which a term's weights are kept as a whole row.
+K1, B, DENSE = 1.2, 0.75, 0.25
 # Tokens of one index shard and of one partition.
 SHARD_TOKENS, PART_TOKENS = 1_000_000, 4_000_000
 # Words whose ids a task remembers, and new ones that are encoded in one run.
@@ -178,25 +178,36 @@ class Index:
         weight = idf[term] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * lengths[doc] / mean_length))
         # Terms of each document, for it as a seed.
         self.first = np.searchsorted(doc, np.arange(len(remainders) + 1))
-        self.terms, self.weights = term, weight
         order = np.argsort(term, kind="stable")
         self.posting, self.posting_weight = doc[order], weight[order]
-        self.listed, at = np.unique(term[order], return_index=True)
-        self.term_first = np.append(at, len(order))
-        self.scores = np.zeros(len(remainders))
+        listed, self.terms = np.unique(term, return_inverse=True)
+        self.holders = np.bincount(self.terms, minlength=len(listed))
+        self.term_first = np.cumsum(self.holders) - self.holders
+        # Frequent terms have a row of weights, at most 1 / DENSE numbers per posting.
+        frequent = np.flatnonzero(self.holders >= DENSE * len(remainders))
+        self.row = np.full(len(listed), -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.rows = np.zeros((len(frequent), len(remainders)))
+        held = self.row[self.terms] >= 0
+        self.rows[self.row[self.terms[held]], doc[held]] = weight[held]
+
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 score of every document for all terms of the seed."""
+        terms = self.terms[self.first[seed] : self.first[seed + 1]]
+        rows = self.row[terms]
+        terms, rows = terms[rows < 0], rows[rows >= 0]
+        sizes = self.holders[terms]
+        at = np.arange(sizes.sum()) + np.repeat(self.term_first[terms] - (np.cumsum(sizes) - sizes), sizes)
+        found = np.bincount(self.posting[at], self.posting_weight[at], minlength=self.rows.shape[1]).astype(np.float64)
+        for row in rows:
+            found += self.rows[row]
+        return found
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share the seed's heaviest terms, best first, ties in shard order."""
-        a, b = self.first[seed], self.first[seed + 1]
-        terms = self.terms[a:b]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-self.weights[a:b], QUERY_TERMS)[:QUERY_TERMS]]
-        self.scores[:] = 0
-        for k in np.searchsorted(self.listed, np.sort(terms)):
-            part = slice(self.term_first[k], self.term_first[k + 1])
-            self.scores[self.posting[part]] += self.posting_weight[part]
-        found = np.flatnonzero((self.scores > 0) & unused)
-        return found[np.argsort(-self.scores[found], kind="stable")]
+        """Unused documents that share a term with the seed, best first, ties in shard order."""
+        scores = self.scores(seed)
+        found = np.flatnonzero((scores > 0) & unused)
+        return found[np.argsort(-scores[found], kind="stable")]
 
 
 def fill(pool: list[Piece], ids: list[np.ndarray], idf: np.ndarray, mean_length: float, length: int) -> tuple[list[list[Piece]], list[Piece]]:

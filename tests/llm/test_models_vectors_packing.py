@@ -126,3 +126,22 @@ def test_windows_hold_neighbours():
     pure = [len({p.doc % 2 for p in w}) == 1 for w in windows]
     assert len(windows) == 8 and np.mean(pure) >= 0.75 and not left
     assert all(sum(p.size for p in w) == 500 for w in windows)
+
+
+def test_all_terms_of_a_seed_count():
+    """Documents of many terms, a quarter of them frequent, against BM25 by definition."""
+    random = np.random.default_rng(7)
+    ids = [np.concatenate([random.integers(0, 40, 60), random.integers(40, 900, 80)]).astype(np.uint32) for _ in range(60)]
+    # Shares only the lightest terms of the first document.
+    idf = np.linspace(1.0, 3.0, 900)
+    ids.append(np.sort(np.unique(ids[0]))[:20])
+    index = packing.Index(ids, idf, 130.0)
+    unused = np.ones(len(ids), bool)
+    for seed in (0, 17, 60):
+        scores = []
+        for other in ids:
+            counts = {t: (other == t).sum() for t in set(ids[seed].tolist()) & set(other.tolist())}
+            norm = packing.K1 * (1 - packing.B + packing.B * len(other) / 130.0)
+            scores.append(sum(idf[t] * n * (packing.K1 + 1) / (n + norm) for t, n in counts.items()))
+        assert index.scores(seed) == pytest.approx(np.array(scores), abs=1e-9)
+        assert list(index.neighbours(seed, unused)) == [i for i in np.argsort(-np.array(scores), kind="stable") if scores[i] > 0]
