@@ -144,14 +144,18 @@ def _sign(params: NearCopies):
 
 
 def _sketch(words: int):
-    """A bit of each of ``SKETCH`` registers, as 64-bit numbers: similar texts differ in few bits."""
+    """A bit of each of ``SKETCH`` registers, as 64-bit numbers: similar texts differ in few bits.
+
+    A shingle has another bit in each register, so the bits are independent however few shingles a text has.
+    """
+    own = mixed(np.arange(SKETCH, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in parts_of(whole, "text"):
                 texts = [normal(t) for t in batch.column("text").to_pylist()]
                 signature = signatures(*shingles(texts, words), len(texts), SKETCH)
-                bits = np.packbits((signature >> np.uint64(40) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+                bits = np.packbits((mixed(signature ^ own) >> np.uint64(40) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(bits.ravel()), SKETCH // 64).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["text_id", "bits"])
 

@@ -72,6 +72,22 @@ def test_a_group_whose_copies_differ_more_from_each_other(spark):
     assert {found[i] for i in [*range(40), 100]} == {0} and found[200] == found[201] == 200
 
 
+def test_short_texts_of_one_crowded_bucket(spark):
+    """Pairs of similarity 0.8 with few shingles, in a bucket whose first text is like none of them."""
+    texts = [(0, "a text of other words")]
+    for n in range(120):
+        words = [f"w{n}x{k}" for k in range(9 + n % 2 * 5)]
+        short = words[:8] if len(words) == 9 else words[:12]
+        texts += [(2 * n + 1, " ".join(short)), (2 * n + 2, " ".join(words))]
+    profiles = {i: profile(t) for i, t in texts}
+    similar = {(i + 1, i) for i in range(1, 240, 2) if probability_jaccard(profiles[i], profiles[i + 1]) >= 0.8 - 1e-12}
+    crowded = spark.createDataFrame([(1, 0, i) for i, _ in texts], "bucket long, pivot long, text_id long")
+    tested = spark.createDataFrame([(i, 0, 0.0) for i, _ in texts[1:]], "a long, b long, similarity double")
+    classes = spark.createDataFrame([], "id long, component long")
+    met = minhash._other_pairs(crowded, tested, classes, spark.createDataFrame(texts, "doc_id long, text string"), minhash.NearCopies())
+    assert len(similar) == 120 and similar <= {(r["a"], r["b"]) for r in met.collect()}
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i + 1, i) for i in range(60)] + [(1000 + i, 500) for i in range(50)]
     found = {r["id"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
