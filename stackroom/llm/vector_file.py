@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,8 +15,10 @@ from stackroom.runtime import materialised
 
 # Whole numbers per unit, cells per component, and exact vectors read at first per query.
 SCALE, CELLS, FIRST_READ = 256, 64, 32
-# Larger components could overflow a score.
+# Whole numbers of vectors in the files; scores of others are worked out without a bound on their size.
 LARGEST = 1 << 26
+# Vectors per block of those.
+WIDE_ROWS = 512
 # Queries whose bounds are held at once.
 QUERY_ROWS = 256
 
@@ -88,8 +92,45 @@ def best_of_block(k: int):
     return run
 
 
+def plain(ids: np.ndarray, matrix: np.ndarray) -> dict[str, bytes]:
+    return {"ids": ids.astype(np.int64).tobytes(), "data": matrix.astype(np.float64).tobytes()}
+
+
+def unbounded(matrix: np.ndarray) -> np.ndarray:
+    """``whole_numbers`` as Python's integers; doubles from 2**53 on are whole already."""
+    whole = [int(x) * SCALE if abs(x) >= 2.0**53 else math.floor(x * SCALE) for x in matrix.ravel().tolist()]
+    return np.array(whole, object).reshape(matrix.shape)
+
+
+def best_of_wide_block(k: int):
+    """The k best candidates of a block per query among those whose score is a long, ties to smaller ids."""
+
+    def run(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        size = row["size"]
+        ids, query_ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["q_ids"], np.int64)
+        exact, queries = (np.frombuffer(row[c], np.float64).reshape(-1, size) for c in ("data", "q_data"))
+        # One more for rounding down.
+        reach = (int(np.abs(exact).max()) + 1) * (int(np.abs(queries).max()) + 1) * SCALE * SCALE * size
+        fits = reach < 1 << 63
+        exact, queries = (whole_numbers(exact), whole_numbers(queries)) if fits else (unbounded(exact), unbounded(queries))
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for own, q in zip(query_ids, queries):
+            score, keep = exact @ q, ids != own
+            if not fits:
+                keep &= np.array([-(1 << 63) <= s < 1 << 63 for s in score], bool)
+            score, other = score[keep].astype(np.int64), ids[keep]
+            # Not the negative of a score, which may not be a long.
+            order = np.lexsort((other, ~score))[:k]
+            found.append((np.full(len(order), own), other[order], score[order]))
+        return tuple(np.concatenate([f[i] for f in found]).astype(np.int64) if found else np.zeros(0, np.int64) for i in range(3))
+
+    return run
+
+
 def in_reach(vector: Column) -> Column:
-    return F.forall(vector, lambda x: F.abs(x * SCALE) < LARGEST)
+    """Scores of any two such vectors are far from the ends of a long."""
+    most = F.least(F.lit(float(LARGEST)), F.sqrt(F.lit(2.0**62) / F.size(vector)))
+    return F.forall(vector, lambda x: F.abs(x * SCALE) < most)
 
 
 def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -100,14 +141,24 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str =
     block of candidates is a vector-approximation file that is scanned for every query; only the k best per
     query and block are shuffled. Results are exact.
 
-    Vectors that are null, empty, hold null or non-finite components or components of 2**18 and more (whose scores may
-    not fit a long) take no part, nor do null ids. Rows that share an id count once, with their smallest
-    vector. An empty table gives no rows.
+    Vectors that are null, empty, or hold null or non-finite components take no part, nor do null ids. Rows that share an
+    id count once, with their smallest vector. An empty table gives no rows.
+
+    Pairs with a vector of components so large (2**18 and more) that a score may not fit a long are scored one by one in
+    whole numbers of any size; only a pair whose score is not a long is left out.
     """
-    usable = materialised(usable_vectors(vectors, vec_id, vector, in_reach))
-    candidates = blocked(usable, approximate, ["ids", "data", "cells", "bounds"])
-    queries = blocked(usable.filter(is_query), encode_queries, ["ids", "data"])
+    usable = materialised(usable_vectors(vectors, vec_id, vector, lambda v: F.lit(True)))
+    small, wide = usable.filter(in_reach(F.col("v"))), usable.filter(~in_reach(F.col("v")))
+    candidates = blocked(small, approximate, ["ids", "data", "cells", "bounds"])
+    queries = blocked(small.filter(is_query), encode_queries, ["ids", "data"])
     best = searched(met(candidates, queries), best_of_block(k), "long")
+    if wide.limit(1).count():
+
+        def pairs(candidates: DataFrame, queries: DataFrame) -> DataFrame:
+            sides = [blocked(rows, plain, ["ids", "data"], WIDE_ROWS) for rows in (candidates, queries.filter(is_query))]
+            return searched(met(*sides), best_of_wide_block(k), "long")
+
+        best = best.unionByName(pairs(usable, wide)).unionByName(pairs(wide, small))
     order = [F.col("score").desc(), F.col("vec_id")]
     top = top_per_key(best, ["query_id"], order, k)
     return top.select("query_id", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)).alias("rank"), "vec_id", "score")

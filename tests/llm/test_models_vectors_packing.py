@@ -1,12 +1,16 @@
+import math
+import operator
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stackroom.llm import packing, projected, quality, toxicity
+from stackroom.llm import packing, projected, quality, toxicity, vector_file
 from stackroom.llm.queries import QUERIES
 
 LARGER = "/root/testdata/sf0.01"
@@ -92,6 +96,23 @@ def test_search_of_a_block_stops_early():
     assert set(ids) <= set(range(40)) and list(scores) == sorted(scores) and scores[-1] <= np.sort(distance)[14]
 
 
+def test_large_components_take_part(spark):
+    """Components beyond 2**18 in queries and candidates, up to scores that are no long."""
+    random = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in random.normal(size=4) * 2.0 ** (0, 0, 18.5, 21, 27, 60, 900, 1013)[i % 8]]) for i in range(64)]
+    rows += [(64, [0.0, 0.0, 0.0, 1.0]), (65, [1e300, -1e300, 2.0**300, 0.5]), (66, [-(2.0**27), 0.0, 0.0, 0.0]), (67, [2.0**20, 0.0, 0.0, 0.0])]
+    whole = {i: [math.floor(Fraction(x) * 256) for x in v] for i, v in rows}
+    wanted = set()
+    for i, v in whole.items():
+        scores = sorted((-sum(map(operator.mul, v, w)), j) for j, w in whole.items() if i != j)
+        inside = [(-s, j) for s, j in scores if -(1 << 63) <= -s < 1 << 63][:5]
+        wanted |= {(i, rank, j, s) for rank, (s, j) in enumerate(inside, 1)}
+    # The least long is a score.
+    assert sum(map(operator.mul, whole[66], whole[67])) == -(1 << 63)
+    found = vector_file.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.lit(True))
+    assert {tuple(r) for r in found.collect()} == wanted
+
+
 def test_chi_square_closed_form():
     draws = (np.random.default_rng(4).normal(size=(200_000, 8)) ** 2).sum(axis=1)
     for x in (2.0, 8.0, 15.0):
