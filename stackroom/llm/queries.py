@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.llm import licenses, line_chunks, minhash, mixing, packing, projected, quality, suffix_dedup, toxicity, vector_file
+from stackroom.llm import conversation_repair, licenses, line_chunks, minhash, mixing, packing, projected, quality, suffix_dedup, toxicity, vector_file
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -18,6 +18,10 @@ def labels(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/labels.parquet")
 
 
+def conversations(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/conversations.parquet")
+
+
 def embeddings(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/embeddings.parquet")
 
@@ -66,6 +70,12 @@ def op10_projected_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return projected.nearest(embeddings(spark, sf), F.col("vec_id") % 100 == 0)
 
 
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    talks = conversations(spark, sf)
+    rows = conversation_repair.damaged(talks)
+    return conversation_repair.digest(talks, rows, conversation_repair.repaired(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_copies": op1_near_copies,
     "op2_quality_network": op2_quality_network,
@@ -77,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_retrieval_packing": op8_retrieval_packing,
     "op9_toxicity": op9_toxicity,
     "op10_projected_neighbours": op10_projected_neighbours,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
