@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.llm import conversation_repair, licenses, line_chunks, minhash, mixing, packing, projected, quality, suffix_dedup, toxicity, vector_file
+from stackroom.llm import conversation_repair, licenses, line_chunks, minhash, mixing, packing, phrases, projected, quality, suffix_dedup, toxicity, vector_file, window_dedup
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,12 +70,20 @@ def op10_projected_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return projected.nearest(embeddings(spark, sf), F.col("vec_id") % 100 == 0)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.phrases(documents(spark, sf))
+
+
 def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     talks = conversations(spark, sf)
     rows = conversation_repair.damaged(talks)
     return conversation_repair.digest(talks, rows, conversation_repair.repaired(rows))
 
 
+def op13_window_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return window_dedup.digest(window_dedup.without_repeats(documents(spark, sf)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_copies": op1_near_copies,
     "op2_quality_network": op2_quality_network,
@@ -87,7 +95,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_retrieval_packing": op8_retrieval_packing,
     "op9_toxicity": op9_toxicity,
     "op10_projected_neighbours": op10_projected_neighbours,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_window_dedup": op13_window_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -95,4 +105,6 @@ ORACLES: dict[str, str] = {
     "op5_line_dedup": line_chunks.line_sql(),
     "op6_source_mixing": mixing.mix_sql(),
     "op7_vector_file": vector_file.top_k_sql(),
+    "op11_phrase_collocations": phrases.phrases_sql(),
+    "op13_window_dedup": window_dedup.windows_sql(),
 }

@@ -13,8 +13,8 @@ def test_query_equals_sql(spark, sf, name):
     assert difference(ordered(df.columns, rows), ordered(*sql_rows(sf, ORACLES[name]))) is None
 
 
-def test_ten_operators():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op3_license_scan", "op5_line_dedup"])
