@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stackroom.llm.common import LOWER, UPPER
+from stackroom.llm.hashing import mixed
 from stackroom.plans.order import row_index, top_per_key
 from stackroom.runtime import materialised
 
@@ -24,6 +25,8 @@ SHARE, SCALE = 80, 2_000_000
 PART_BYTES = 8_000_000
 # Ids along the side of a tile, and the share of its cells from which a tile's pairs are counted densely.
 TILE, DENSE = 256, 1 / 16
+# Words per bucket of pairs, and the fewest buckets.
+BUCKET_WORDS, BUCKETS = 1_000_000, 64
 # Shares of a language's phrases that are ranked side by side before the last ranking.
 SALTS = 64
 # What ends a piece, what divides its words, and what stands for the end of a piece among words.
@@ -62,7 +65,7 @@ def tile_counts(a: np.ndarray, b: np.ndarray, side: int = TILE) -> tuple[np.ndar
 
 def _worded(part_bytes: int):
     """Parts of one language each: its distinct words, their counts, and the text as places in them (-1 ends a piece)."""
-    names = ["part", "lang", "words", "counts", "ids"]
+    names = ["part", "lang", "words", "counts", "size", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -83,8 +86,8 @@ def _worded(part_bytes: int):
                 ids = place[coded.indices.to_numpy()]
                 ids = ids[ids > -2]
                 counts = np.bincount(ids[ids >= 0], minlength=len(real))
-                row = [[part], [lang], [real], [counts.tolist()], [ids.astype("<i4").tobytes()]]
-                kinds = [pa.int64(), pa.string(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.binary()]
+                row = [[part], [lang], [real], [counts.tolist()], [len(ids)], [packed(ids)]]
+                kinds = [pa.int64(), pa.string(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds)], names)
                 part += 1
 
@@ -101,62 +104,124 @@ def _worded(part_bytes: int):
     return run
 
 
-def _ids(blob: bytes, wide: bool) -> np.ndarray:
-    return np.frombuffer(blob, "<i8" if wide else "<i4").astype(np.int64)
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers of one length, four bytes each where they fit, compressed byte by byte."""
+    values = np.concatenate(columns)
+    width = 4 if not len(values) or max(int(values.max()), -int(values.min())) < 1 << 31 else 8
+    planes = values.astype(f"<i{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+    return bytes([width]) + pa.compress(planes, codec="zstd", asbytes=True)
 
 
-LEVEL = ["part", "lang", "ids", "wide", "a", "b", "n"]
-LEVEL_SCHEMA = "part long, lang string, ids binary, wide boolean, a long, b long, n long"
+def unpacked(blob: bytes, n: int, columns: int = 1) -> np.ndarray:
+    width = blob[0]
+    planes = np.frombuffer(pa.decompress(blob[1:], n * columns * width, codec="zstd", asbytes=True), np.uint8)
+    return planes.reshape(width, -1).T.copy().view(f"<i{width}").ravel().astype(np.int64).reshape(columns, n)
 
 
-def _counted(part: int, lang: str, ids: np.ndarray) -> pa.Table:
-    """A row with the ids by place (-1 where none starts), and a row per pair of neighbouring ids with its count."""
-    wide = bool(len(ids)) and int(ids.max()) >= 1 << 31
+LEVEL = ["part", "lang", "bucket", "size", "blob"]
+LEVEL_SCHEMA = "part long, lang string, bucket long, size long, blob binary"
+
+
+def _counted(part: int, lang: str, ids: np.ndarray, buckets: int) -> pa.Table:
+    """A row with the ids by place (-1 where none starts), and a row per bucket with its pairs of neighbouring ids and their counts."""
     left, right = ids[:-1], ids[1:]
     both = (left >= 0) & (right >= 0)
     a, b, n = tile_counts(left[both], right[both])
-    rows = len(a)
-    columns = [
-        pa.array([part] * (rows + 1), pa.int64()),
-        pa.array([lang] * (rows + 1), pa.string()),
-        pa.array([ids.astype("<i8" if wide else "<i4").tobytes()] + [None] * rows, pa.binary()),
-        pa.array([wide] + [None] * rows, pa.bool_()),
-        pa.chunked_array([pa.nulls(1, pa.int64()), pa.array(a, pa.int64())]).combine_chunks(),
-        pa.chunked_array([pa.nulls(1, pa.int64()), pa.array(b, pa.int64())]).combine_chunks(),
-        pa.chunked_array([pa.nulls(1, pa.int64()), pa.array(n, pa.int64())]).combine_chunks(),
-    ]
-    return pa.table(columns, LEVEL)
-
-
-def _word_ids(parts: pa.Table, named: pa.Table) -> pa.Table:
+    bucket = (mixed(a.astype(np.uint64) ^ mixed(b.astype(np.uint64))) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((b, a, bucket))
+    a, b, n, bucket = a[order], b[order], n[order], bucket[order]
+    cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1), len(a)] if len(a) else [0]
+    blobs = [packed(np.diff(a[s:e], prepend=0), b[s:e], n[s:e]) for s, e in zip(cuts, cuts[1:])]
+    rows = len(blobs) + 1
+    columns = [[part] * rows, [lang] * rows, [None, *bucket[cuts[:-1]].tolist()], [len(ids), *np.diff(cuts).tolist()], [packed(ids), *blobs]]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], LEVEL)
+
+
+MERGED_SCHEMA = "part long, a array<long>, b array<long>, id array<long>, n array<long>, lang array<string>"
+
+
+def _merged(least: int, buckets: int):
+    """The frequent pairs of a bucket with their counts, languages and new ids, and for each part those that it has.
+
+    New ids follow the frequency in the bucket; buckets take turns, and as pairs are dealt to them by hash, the ids follow
+    the frequency over all.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        parts, langs, blobs = table.column("part").to_pylist(), table.column("lang").to_pylist(), table.column("blob")
+        sizes = table.column("size").to_pylist()
+        cells = [unpacked(blob.as_py(), n, 3) for n, blob in zip(sizes, blobs)]
+        a, b, n = np.concatenate([c[0].cumsum() for c in cells]), np.concatenate([c[1] for c in cells]), np.concatenate([c[2] for c in cells])
+        row = np.repeat(np.arange(len(parts)), sizes)
+        order = np.lexsort((b, a))
+        a, b, n, row = a[order], b[order], n[order], row[order]
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        first = np.flatnonzero(new)
+        total = np.add.reduceat(n, first)
+        often = np.flatnonzero(total >= least)
+        ranked = often[np.lexsort((b[first[often]], a[first[often]], -total[often]))]
+        ids = np.full(len(first), -1, np.int64)
+        ids[ranked] = np.arange(len(ranked)) * buckets + table.column("bucket")[0].as_py()
+        own = ids[np.cumsum(new) - 1]
+        held = own >= 0
+        at = np.argsort(row[held], kind="stable")
+        held_a, held_b, held_id = a[held][at], b[held][at], own[held][at]
+        cuts = np.searchsorted(row[held][at], np.arange(len(parts) + 1))
+        spans = [(s, e) for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        names = [langs[r] for r in row[first[ranked]].tolist()]
+        columns = [
+            [None, *parts],
+            [a[first[ranked]], *[held_a[s:e] for s, e in spans]],
+            [b[first[ranked]], *[held_b[s:e] for s, e in spans]],
+            [ids[ranked], *[held_id[s:e] for s, e in spans]],
+            [total[ranked], *[None] * len(parts)],
+            [names, *[None] * len(parts)],
+        ]
+        kinds = [pa.int64(), *[pa.list_(pa.int64())] * 4, pa.list_(pa.string())]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "a", "b", "id", "n", "lang"])
+
+    return run
+
+
+def _word_ids(buckets: int):
     """Places in a part's words become ids of frequent words, -1 for others."""
-    places = np.frombuffer(parts.column("ids")[0].as_py(), "<i4")
-    of = np.full(int(places.max(initial=-1)) + 2, -1, np.int64)
-    of[named.column("_place").to_numpy()] = named.column("_id").to_numpy()
-    return _counted(parts.column("part")[0].as_py(), parts.column("lang")[0].as_py(), of[places])
 
+    def run(parts: pa.Table, named: pa.Table) -> pa.Table:
+        places = unpacked(parts.column("ids")[0].as_py(), parts.column("size")[0].as_py())[0]
+        of = np.full(int(places.max(initial=-1)) + 2, -1, np.int64)
+        of[named.column("_place").to_numpy()] = named.column("_id").to_numpy()
+        return _counted(parts.column("part")[0].as_py(), parts.column("lang")[0].as_py(), of[places], buckets)
+
+    return run
 
-def _pair_ids(parts: pa.Table, named: pa.Table) -> pa.Table:
+
+def _pair_ids(buckets: int):
     """Neighbouring ids become the id of their pair where it is frequent, else -1."""
-    ids = _ids(parts.column("ids")[0].as_py(), parts.column("wide")[0].as_py())
-    held, rank = np.unique(ids, return_inverse=True)
-    keys = rank[:-1] * len(held) + rank[1:]
-    wanted = np.searchsorted(held, named.column("_a").to_numpy()) * len(held) + np.searchsorted(held, named.column("_b").to_numpy())
-    order = np.argsort(wanted)
-    wanted, new = wanted[order], named.column("_id").to_numpy()[order]
-    out = np.full(len(keys), -1, np.int64)
-    if len(wanted):
-        at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
-        out = np.where(wanted[at] == keys, new[at], -1)
-    return _counted(parts.column("part")[0].as_py(), parts.column("lang")[0].as_py(), out)
+
+    def run(parts: pa.Table, named: pa.Table) -> pa.Table:
+        ids = unpacked(parts.column("blob")[0].as_py(), parts.column("size")[0].as_py())[0]
+        a, b, new = (named.column(c).combine_chunks().flatten().to_numpy().astype(np.int64) for c in ("_a", "_b", "_id"))
+        held, rank = np.unique(ids, return_inverse=True)
+        keys = rank[:-1] * len(held) + rank[1:]
+        wanted = np.searchsorted(held, a) * len(held) + np.searchsorted(held, b)
+        order = np.argsort(wanted)
+        wanted, new = wanted[order], new[order]
+        out = np.full(len(keys), -1, np.int64)
+        if len(wanted):
+            at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
+            out = np.where(wanted[at] == keys, new[at], -1)
+        return _counted(parts.column("part")[0].as_py(), parts.column("lang")[0].as_py(), out, buckets)
+
+    return run
 
 
 def _renamed(parts: DataFrame, named: DataFrame, name) -> DataFrame:
-    """The next level's table: every part with its own frequent ids, a row per id and part."""
-    left = parts.filter(F.col("ids").isNotNull())
+    """The next level's table: every part with its own frequent ids, and its pairs by bucket."""
     # New names, as both sides may come from one table.
     own = named.toDF(*[f"_{c}" for c in named.columns])
-    return materialised(left.groupBy("part").cogroup(own.groupBy("_part")).applyInArrow(name, LEVEL_SCHEMA))
+    return materialised(parts.groupBy("part").cogroup(own.groupBy("_part")).applyInArrow(name, LEVEL_SCHEMA))
 
 
 def _lengthened(pairs: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -191,35 +256,37 @@ def phrases(
     ``n`` counts all words of the language.
 
     Words that occur often enough get ids in the order of their frequency. Pairs of neighbouring ids are counted per part in tiles
-    and summed by a shuffle with one row per pair and part, so a pair that is everywhere is no larger than another one.
-    Frequent pairs get ids in the same way, and pairs of overlapping pairs are the phrases of one word more: a phrase
-    occurs no more often than its parts. Ids go back to a part as a row per distinct pair; no list is broadcast.
+    and dealt to buckets by hash, where the counts of all parts are added up; a part sends a pair once, so one that is everywhere
+    is no larger than another, and buckets grow in number with the words. Frequent pairs get ids again, which go back to the parts
+    that have them, and pairs of overlapping pairs are the phrases of one word more: a phrase occurs no more often than its
+    parts. No list is broadcast.
 
     A phrase of one word more holds all longer ones' occurrences, so only those decide what is left out. Null texts are empty, a
     null language is ``und``, rows are not told apart by ids, an empty table gives no rows.
     """
     read = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"))
-    schema = "part long, lang string, words array<binary>, counts array<long>, ids binary"
+    schema = "part long, lang string, words array<binary>, counts array<long>, size long, ids binary"
     parts = materialised(read.mapInArrow(_worded(part_bytes), schema))
+    buckets = max(BUCKETS, parts.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"] // BUCKET_WORDS)
     listed = parts.select("part", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "_w"))
     listed = listed.select("part", "lang", "place", F.col("_w.words").alias("word"), F.col("_w.counts").alias("n"))
     words = listed.groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     words = materialised(row_index(words, ["lang", F.col("n").desc(), "word"], "id"))
     named = listed.join(words.select("lang", "word", "id"), ["lang", "word"]).select("part", "place", "id")
-    level = _renamed(parts, named, _word_ids)
+    level = _renamed(parts.select("part", "lang", "size", "ids"), named, _word_ids(buckets))
     word = F.col("word").cast("string")
     none = F.array().cast("array<bigint>")
     shorter = words.select("id", "lang", "n", word.alias("phrase"), word.alias("last"), none.alias("heads"), none.alias("tails"))
     levels = []
     for size in range(2, longest + 1):
-        counted = level.filter(F.col("ids").isNull()).select("part", "lang", "a", "b", "n")
-        pairs = counted.groupBy("lang", "a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        pairs = materialised(row_index(pairs, ["lang", F.col("n").desc(), "a", "b"], "id"))
+        merged = materialised(level.filter(F.col("bucket").isNotNull()).groupBy("bucket").applyInArrow(_merged(least, buckets), MERGED_SCHEMA))
+        often = F.explode(F.arrays_zip("lang", "a", "b", "n", "id")).alias("_p")
+        pairs = merged.filter(F.col("part").isNull()).select(often).select("_p.*")
         shorter = materialised(_lengthened(pairs, shorter))
         levels.append(shorter)
         if size < longest:
-            named = counted.select("part", "a", "b").join(pairs.select("a", "b", "id"), ["a", "b"])
-            level = _renamed(level, named, _pair_ids)
+            named = merged.filter(F.col("part").isNotNull()).select("part", "a", "b", "id")
+            level = _renamed(level.filter(F.col("bucket").isNull()), named, _pair_ids(buckets))
     kept = []
     for here, longer in zip(levels, [*levels[1:], None]):
         scored = _scored(here)
