@@ -6,6 +6,7 @@ import json
 from collections.abc import Iterable
 from functools import cache, reduce
 from html.entities import html5
+from zlib import crc32
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from stackroom.fixed_values import MEDIA_EXTENSIONS
 from stackroom.functions.numbers import let
 
 REFERENCE = r"^(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]{1,40});"
+# Small maps that the names of character references are spread over.
+NAME_BUCKETS = 1024
 HTTPS_HOST = r"^(?i:https)://(?:[^/?#@]*@)?([^/:?#]+)"
 
 
@@ -47,8 +50,9 @@ def unescaped(text: Column) -> Column:
     Unknown names stay. Numbers that are no character give the replacement character, and those of the Windows
     control block give that block's characters.
     """
-    # A constant for the optimizer: it is parsed once per query.
-    known = F.from_json(F.lit(json.dumps(_references())), "map<string,string>")
+    # A constant for the optimizer: it is parsed once per query. Maps are searched from front to back, so the names are
+    # spread over many small ones.
+    known = F.from_json(F.lit(json.dumps(_buckets())), "array<map<string,string>>")
 
     def character(code: Column) -> Column:
         valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
@@ -59,7 +63,8 @@ def unescaped(text: Column) -> Column:
         digits = F.regexp_extract(reference, "^#[xX]?(.*)$", 1)
         code = F.when(reference.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
         name = F.when(F.startswith(reference, F.lit("#")), F.concat(F.lit("#"), code.cast("string"))).otherwise(reference)
-        stated = F.coalesce(F.try_element_at(known, name), F.when(code.isNotNull() & F.startswith(reference, F.lit("#")), character(code)))
+        own = F.get(known, F.pmod(F.crc32(name.cast("binary")), F.lit(NAME_BUCKETS)).cast("int"))
+        stated = F.coalesce(F.try_element_at(own, name), F.when(code.isNotNull() & F.startswith(reference, F.lit("#")), character(code)))
         return F.when((reference == "") | stated.isNull(), F.concat(F.lit("&"), piece)).otherwise(
             F.concat(stated, F.substr(piece, F.length(reference) + 2))
         )
@@ -69,6 +74,15 @@ def unescaped(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(text)
 
 
+@cache
+def _buckets() -> list[dict[str, str]]:
+    """The names by crc32 modulo ``NAME_BUCKETS``."""
+    buckets: list[dict[str, str]] = [{} for _ in range(NAME_BUCKETS)]
+    for name, value in _references().items():
+        buckets[crc32(name.encode()) % NAME_BUCKETS][name] = value
+    return buckets
+
+
 @cache
 def _references() -> dict[str, str]:
     """Values by name, and by ``#number`` for the Windows control block."""

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stackroom.fixed_values import (
     CHILD_ID_INFIX,
@@ -23,8 +25,15 @@ from stackroom.functions.dates import metadata_year
 from stackroom.functions.urls import host_allowed
 from stackroom.operators.dedup import media_candidates
 from stackroom.plans.order import latest_per_key, ranked_per_key
+from stackroom.runtime import materialised
+from stackroom.sources.commits import Commits
 
 EVENT_KEYS = ("record_id", "event", "rights_basis")
+# Marks of the highest number that stay beside a log.
+KEPT_MARKS = 10
+# Fields of a record that may state its year and its media, first ones first.
+DATE_FIELDS = ("date", "display_date", "created", "syndication_date")
+URL_FIELDS = ("object_url", "source_urls", "landing_url", "url")
 
 
 def _hex_id() -> Column:
@@ -44,16 +53,46 @@ def new_events(events: DataFrame) -> DataFrame:
     return events.withColumn("event_id", _hex_id()).withColumn("timestamp", _now()).withColumn("rejected", reason)
 
 
+def _claimed(log: DataFrame | None, marks: Commits, numbers: int) -> int:
+    """First of so many numbers that no other writer of the log gets."""
+    start: list[int] = []
+
+    def mark(state: dict, _: int) -> dict:
+        if not state and not start:
+            # Only a log without marks is read, once.
+            last = None if log is None else log.agg(F.max("seq").alias("n")).first()["n"]
+            start.append(0 if last is None else last + 1)
+        return {"next": state.get("next", start[0] if start else 0) + numbers}
+
+    _, state = marks.update(mark)
+    marks.forget(KEPT_MARKS)
+    return state["next"] - numbers
+
+
 def append_events(log: DataFrame | None, events: DataFrame, path: str) -> DataFrame:
-    """Append valid events as JSON lines after the rows of ``log``; returns the rejected rows.
+    """Append valid events as JSON lines to the log at ``path``; returns the rejected rows.
 
-    ``seq`` continues the log: the events' own order (column ``pos``) on top of the highest ``seq``.
+    ``seq`` continues the log: the events' own order (column ``pos``, from 0) on top of all numbers given so far. A mark
+    beside the log holds the next free number. An append claims its numbers by making the next mark, which only one
+    writer can; ``log`` is read for the highest ``seq`` only where there is no mark yet. The lines are written
+    aside and get their names in the log when they are whole, named by their numbers, so file order is log order and
+    writers don't touch each other's files. The numbers of an append that dies stay unused.
     """
-    stamped = new_events(events)
+    spark = events.sparkSession
+    stamped = materialised(new_events(events))
     fit = stamped.filter(F.col("rejected").isNull()).drop("rejected", "seq")
-    top = 0 if log is None else F.coalesce(log.agg(F.max("seq")).scalar(), F.lit(-1)) + 1
-    fit.withColumn("seq", F.col("pos") + top).drop("pos").write.mode("append").json(path)
-    return stamped.filter(F.col("rejected").isNotNull())
+    rejected = stamped.filter(F.col("rejected").isNotNull())
+    path = path.rstrip("/")
+    marks = Commits(spark, f"{path}_marks")
+    last = fit.agg(F.max("pos").alias("n")).first()["n"]
+    first = _claimed(log, marks, 0 if last is None else last + 1)
+    staged = f"{path}/_staged-{uuid.uuid4().hex}"
+    fit.withColumn("seq", F.col("pos") + first).orderBy("seq").drop("pos").write.json(staged)
+    if last is not None:
+        for no, name in enumerate(sorted(n for n in marks.files.names(staged) if n.startswith("part-"))):
+            marks.files.rename(f"{staged}/{name}", f"{path}/part-{first:020d}-{no:08d}{name[name.index('.'):]}")
+    marks.files.delete(staged)
+    return rejected
 
 
 def latest_by_record(events: DataFrame) -> DataFrame:
@@ -139,6 +178,14 @@ def quota_table(labels: DataFrame, total: int, place: str = "place") -> DataFram
     return labels.withColumn("quota", share)
 
 
+def _lists(records: DataFrame, names: Sequence[str] | None, usual: Sequence[str]) -> list[Column]:
+    """The named columns as lists of texts; without names those of the usual ones that the table has."""
+    if names is None:
+        names = [name for name in usual if name in records.columns]
+    several = {f.name for f in records.schema.fields if isinstance(f.dataType, T.ArrayType)}
+    return [F.col(n).cast("array<string>") if n in several else F.array(F.col(n).cast("string")) for n in names]
+
+
 def allowlisted_source(urls: Column, domains: Sequence[str]) -> Column:
     """First candidate URL on the allow-list."""
     allowed = F.filter(urls, lambda u: F.coalesce(host_allowed(u, domains), F.lit(False)))
@@ -151,13 +198,14 @@ def discover_new(
     quotas: dict[str, int],
     domains: Sequence[str],
     refill: bool = False,
-    url_columns: Sequence[str] = ("object_url", "source_urls", "landing_url", "url"),
-    date_columns: Sequence[str] = ("date",),
+    url_columns: Sequence[str] | None = None,
+    date_columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Discovery rows per collection: the first ``quota`` records, less known, unusable and unlisted ones.
 
     Known records use up quota, as they do in a page of search results; ``refill`` drops them first. The stratum of
-    a row is its collection and the year that its dates state.
+    a row is its collection and the year that its dates state: null where no date, or no date column, is there. Unless
+    they are named, the columns of dates and of addresses are those that the table has, lists or single values.
     """
     quotas = quotas or {"": 0}
     known = events.select(F.col("record_id").cast("string").alias("id")).distinct()
@@ -169,7 +217,8 @@ def discover_new(
     )
     chosen = ranked_per_key(usable, "primary_collection", ["pos"], "_rank", max(quotas.values(), default=0))
     chosen = chosen.filter(F.col("_rank") <= quota).drop("_rank")
-    source = allowlisted_source(media_candidates(*[F.col(c) for c in url_columns]), domains)
+    source = allowlisted_source(media_candidates(F.array().cast("array<string>"), *_lists(records, url_columns, URL_FIELDS)), domains)
+    year = metadata_year(F.array().cast("array<string>"), *_lists(records, date_columns, DATE_FIELDS))
     return (
         chosen.filter(F.trim("id") != "")
         .join(known, "id", "left_anti")
@@ -183,19 +232,17 @@ def discover_new(
             "title",
             F.col("source").alias("source_url"),
             F.lit(0).cast("bigint").alias("retry_count"),
-            F.struct(
-                F.col("primary_collection").alias("collection"), metadata_year(*[F.col(c) for c in date_columns]).alias("year")
-            ).alias("pilot_stratum"),
+            F.struct(F.col("primary_collection").alias("collection"), year.alias("year")).alias("pilot_stratum"),
         )
     )
 
 
 def discover_one(
     records: DataFrame, events: DataFrame, record: str, collections: Sequence[str], domains: Sequence[str],
-    reprocess: bool = False, url_columns: Sequence[str] = ("object_url", "source_urls", "landing_url", "url"),
+    reprocess: bool = False, url_columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Discovery row of one approved record; empty when it is known, unless it is to be reprocessed."""
-    source = allowlisted_source(media_candidates(*[F.col(c) for c in url_columns]), domains)
+    source = allowlisted_source(media_candidates(F.array().cast("array<string>"), *_lists(records, url_columns, URL_FIELDS)), domains)
     wanted = records.filter((F.col("id") == record) & F.col("primary_collection").isin(*collections))
     found = wanted.withColumn("source", source).filter(F.col("source").isNotNull())
     if not reprocess:

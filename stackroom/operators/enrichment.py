@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections import Counter
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,12 +36,14 @@ from stackroom.functions.text import (
 )
 from stackroom.operators.transcript import chapters, chapters_with_text, disordered_recordings
 from stackroom.plans.blocks import with_next
-from stackroom.plans.intervals import first_in_spans
+from stackroom.plans.intervals import least_in_spans
 from stackroom.runtime import materialised
 
 KEY = "recording_id"
 # Recording ids that may be shipped to every task; more of them meet the segments in a shuffle.
 SHIPPED_KEYS = 100_000
+# Characters of a query whose order is followed by the bits of one number.
+PART_CHARS = 60
 WORD = r"[\p{L}\p{N}_]"
 # One possessive class: a repeated group of alternatives would take a stack frame per character of a long word.
 NAME = r"[A-ZĀĒĪŌŪ][\p{L}\p{N}_'-]++"
@@ -90,8 +93,11 @@ def chapter_summaries(segments: DataFrame) -> DataFrame:
     """First segment with text, in list order, that starts inside each chapter.
 
     Where segments start in list order, that is the chapter's own first segment. The recordings where they
-    do not are found first; only those are searched by time.
+    do not are found first; only those are searched by time. The segments are read once, for a narrow table of their
+    times and the openings of their texts.
     """
+    opening = F.substring(stripped(F.col("text")), 1, SUMMARY_CHARS).alias("text")
+    segments = materialised(segments.select(KEY, "segment", "start_s", "end_s", opening).filter(F.col("text") != ""))
     disordered = materialised(disordered_recordings(segments))
     count = disordered.count()
     own = chapters_with_text(segments, SUMMARY_CHARS).select(
@@ -105,13 +111,12 @@ def chapter_summaries(segments: DataFrame) -> DataFrame:
 
 
 def _summaries_by_time(segments: DataFrame) -> DataFrame:
-    entries = segments.select(KEY, "segment", F.col("start_s").alias("at"), stripped(F.col("text")).alias("text"))
-    entries = entries.filter(F.col("text") != "")
+    entries = segments.select(KEY, "segment", F.col("start_s").alias("at"), "text")
     starts = materialised(chapters(segments).select(KEY, "chapter", "start"))
     spans = with_next(starts, KEY, "chapter", {"start": F.col("start")}).select(
         KEY, "chapter", "start", F.col("next.start").alias("end")
     )
-    cited = first_in_spans(spans, entries, KEY, "chapter", "start", "end", "at", "segment")
+    cited = least_in_spans(spans, entries, KEY, "chapter", "start", "end", "at", "segment")
     return cited.join(entries, [KEY, "segment"]).select(
         KEY, "chapter", *_summary("start", F.col("text"), "segment")
     )
@@ -148,29 +153,72 @@ def corrections(
     )
 
 
-def fuzzy_matches(entries: DataFrame, query: str) -> DataFrame:
+def shared_characters(wanted: str, text: Column) -> Column:
+    """Characters of a text that also stand in ``wanted``, each as often as in both: as many as can be matched at most."""
+    counts = Counter(wanted)
+    return sum(
+        (F.least(F.lit(n), F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))) for c, n in sorted(counts.items())),
+        F.lit(0),
+    )
+
+
+def common_characters(wanted: str, text: Column) -> Column:
+    """Most characters of a text that stand in ``wanted`` in the same order, or somewhat more.
+
+    The longest common subsequence, by the bits of a whole number per part of ``wanted``: a bit is cleared where a longer
+    one ends. Parts are added up, which can only be more. Matched blocks stand in order, so no more can be matched.
+    """
+    total = F.lit(0)
+    for start in range(0, len(wanted), PART_CHARS):
+        part = wanted[start : start + PART_CHARS]
+        bits: dict[str, int] = {}
+        for i, c in enumerate(part):
+            bits[c] = bits.get(c, 0) | 1 << i
+        known = F.create_map(*[x for c, mask in bits.items() for x in (F.lit(c), F.lit(mask).cast("long"))])
+        full = F.lit((1 << len(part)) - 1).cast("long")
+
+        def step(v: Column, c: Column, known: Column = known, full: Column = full) -> Column:
+            own = v.bitwiseAND(F.coalesce(F.try_element_at(known, c), F.lit(0).cast("long")))
+            return (v + own).bitwiseOR(v - own).bitwiseAND(full)
+
+        total = total + len(part) - F.bit_count(F.aggregate(F.split(text, ""), full, _two(step)))
+    return total
+
+
+def _two(step: Callable[..., Column]) -> Callable[[Column, Column], Column]:
+    """A function of two columns, whatever else the step knows."""
+    return lambda v, c: step(v, c)
+
+
+def fuzzy_matches(entries: DataFrame, query: str, threshold: float = FUZZY_THRESHOLD) -> DataFrame:
     """All entries that match exactly, by sound, or by sequence ratio, with kind and score.
 
-    Entries that cannot match, by the length bound of the ratio, are dropped first; of the others only those
-    that neither match exactly nor by sound reach Python.
+    Entries that cannot match, by the lengths of the texts, by the characters that they share, or by how many of these stand in
+    one order, are dropped first; of the others only those that neither match exactly nor by sound reach Python.
     """
-    wanted = folded(F.lit(query))
-    # The sound keys of the query are computed once, as a subquery.
-    sounds = entries.sparkSession.range(1).select(phonetic_terms(F.lit(query))).scalar()
-    usable = wanted != ""
-    near = let(
-        F.col("normalized"),
-        lambda n: F.contains(n, wanted) | (ratio_bound(wanted, n) >= FUZZY_THRESHOLD),
-    )
-    by_sound = F.arrays_overlap("phonetic_terms", sounds)
-    judged = entries.filter((usable & near) | by_sound).withColumns(
-        {"_exact": usable & F.contains("normalized", wanted), "_sound": by_sound}
-    )
-    open_case = usable & ~F.col("_exact") & ~F.col("_sound")
-    ratio = sequence_ratio(F.when(open_case, wanted), F.when(open_case, F.col("normalized")))
+    # The normal form and the sound keys of the query are worked out once.
+    forms = entries.sparkSession.range(1).select(folded(F.lit(query)).alias("wanted"), phonetic_terms(F.lit(query)).alias("sounds")).first()
+    wanted, usable = F.lit(forms["wanted"]), bool(forms["wanted"])
+    by_sound = F.arrays_overlap("phonetic_terms", F.lit(list(forms["sounds"]))) if forms["sounds"] else F.lit(False)
+    by_sound = F.coalesce(by_sound, F.lit(False))
+    if not usable:
+        exact, open_case = F.lit(False), F.lit(False)
+    else:
+        exact = F.contains("normalized", wanted)
+
+        def alike(n: Column) -> Column:
+            least = (threshold - 1e-9) * (F.length(n) + len(forms["wanted"]))
+            shared = (ratio_bound(wanted, n) >= threshold) & (2.0 * shared_characters(forms["wanted"], n) >= least)
+            # The order of the characters is only looked at where there are enough of them.
+            return F.when(shared, 2.0 * common_characters(forms["wanted"], n) >= least).otherwise(False)
+
+        open_case = ~exact & ~by_sound & let(F.col("normalized"), alike)
+    judged = entries.withColumns({"_exact": exact, "_sound": by_sound, "_open": open_case})
+    judged = judged.filter(F.col("_exact") | F.col("_sound") | F.col("_open"))
+    ratio = sequence_ratio(F.when(F.col("_open"), wanted), F.when(F.col("_open"), F.col("normalized")))
     scored = judged.withColumn("_ratio", ratio)
     return (
-        scored.filter(F.col("_exact") | F.col("_sound") | (F.col("_ratio") >= FUZZY_THRESHOLD))
+        scored.filter(F.col("_exact") | F.col("_sound") | (F.col("_ratio") >= threshold))
         .withColumn("match", F.when(F.col("_exact"), "exact").when(F.col("_sound"), "phonetic").otherwise("fuzzy"))
         .withColumn(
             "score",
@@ -182,9 +230,14 @@ def fuzzy_matches(entries: DataFrame, query: str) -> DataFrame:
     )
 
 
+def best_matches(matches: DataFrame, limit: int = FUZZY_LIMIT) -> DataFrame:
+    """The best rows of :func:`fuzzy_matches` by score, then start, then list order."""
+    return matches.orderBy(F.desc("score"), "start", KEY, "segment").limit(limit)
+
+
 def fuzzy_search(entries: DataFrame, query: str, limit: int = FUZZY_LIMIT) -> DataFrame:
     """Best matches by score, then start, then list order."""
-    return fuzzy_matches(entries, query).orderBy(F.desc("score"), "start", KEY, "segment").limit(limit)
+    return best_matches(fuzzy_matches(entries, query), limit)
 
 
 def enrichment_report(segments: DataFrame) -> DataFrame:

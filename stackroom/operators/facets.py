@@ -19,7 +19,7 @@ from stackroom.fixed_values import (
 from stackroom.plans.order import ranked_per_key, top_per_key
 
 
-def _terms(df: DataFrame, name: str) -> Column:
+def record_terms(df: DataFrame, name: str) -> Column:
     """Distinct non-null terms of a record's field as an array of text."""
     if isinstance(df.schema[name].dataType, T.ArrayType):
         return F.array_distinct(F.array_compact(F.col(name).cast("array<string>")))
@@ -30,7 +30,7 @@ def facet_counts(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Records per (field, term), all fields in one pass over the data."""
     if not fields:
         return df.sparkSession.createDataFrame([], "field string, term string, count bigint")
-    per_field = F.array(*[F.struct(F.lit(f).alias("field"), _terms(df, f).alias("terms")) for f in fields])
+    per_field = F.array(*[F.struct(F.lit(f).alias("field"), record_terms(df, f).alias("terms")) for f in fields])
     return (
         df.select(F.inline(per_field))
         .select("field", F.explode("terms").alias("term"))
@@ -67,7 +67,7 @@ def deep_harvest(
     All years are planned, or the ``years`` most frequent ones. Records without a planned year are not returned, as
     each year is fetched on its own.
     """
-    hits = df.withColumn("harvest_year", F.explode(_terms(df, name)))
+    hits = df.withColumn("harvest_year", F.explode(record_terms(df, name)))
     if years is not None:
         # At most ``years`` rows, which the caller bounds.
         planned = year_density(df, name, years).select(F.col("year").alias("harvest_year"))
@@ -79,7 +79,7 @@ def deep_harvest(
 
 def rights_summary(df: DataFrame) -> DataFrame:
     """Records per (partner, collection, usage) with the total of the collection's rows."""
-    partner = F.explode(_terms(df, "content_partner")).alias("content_partner")
+    partner = F.explode(record_terms(df, "content_partner")).alias("content_partner")
     counts = (
         df.select(partner, "primary_collection", "usage")
         .groupBy("content_partner", "primary_collection", "usage")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,18 +13,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stackroom.functions.arrays import cosine_similarity
-from stackroom.plans.order import row_index, top_per_key
+from stackroom.plans.order import top_per_key
 from stackroom.plans.skew import join_per_key
+from stackroom.runtime import materialised
 
-# Queries held by every task at once: 64 MB of doubles.
-QUERY_BYTES = 64 << 20
 # Scores are compared at this precision, so that equal vectors tie and the id decides.
 SCORE_DIGITS = 9
 # Longest result list that every task keeps for itself.
 HEAP_ROWS = 10_000
-# Vectors scored by one task against one block of queries when the queries are too many to ship.
-SLICE_ROWS = 100_000
+# Pivots per embedding length, and bytes of all pivots, which every task holds.
+PIVOTS, PIVOT_BYTES = 1024, 32 << 20
+# Vectors, and bytes of queries as doubles, that meet in one task.
+SLICE_ROWS, QUERY_BYTES = 50_000, 64 << 20
+# Slack of bounds in radians, for the rounding of angles and scores.
+SLACK = 1e-6
 BEST_SCHEMA = "query_id string, record_id string, score double"
+# Length that stands for vectors and queries without a direction.
+NO_DIRECTION = -1
 
 
 def vector_get(vectors: DataFrame, record: str, pos: str = "pos") -> DataFrame:
@@ -41,18 +47,13 @@ def vector_insert(vectors: DataFrame, new: DataFrame, pos: str = "pos") -> DataF
 def vector_top_k(vectors: DataFrame, query: Sequence[float], limit: int) -> DataFrame:
     """Best cosine scores over the whole table, ties by record id.
 
-    The scan multiplies Arrow batches and keeps ``limit`` rows per task; a very long list is scored and
-    sorted by the engine instead.
+    The scan multiplies Arrow batches and keeps ``limit`` rows per task; for a very long list all rows are
+    scored, by the same function, and sorted by the engine.
     """
     found = vectors.select(F.col("record_id").cast("string").alias("record_id"), "embedding")
-    order = [F.desc("score"), F.col("record_id")]
-    if 0 < limit <= HEAP_ROWS:
-        scored = _scored(found, _by_width([""], [list(query)]), limit).select("record_id", "score")
-    else:
-        wanted = F.array(*[F.lit(float(x)) for x in query])
-        score = F.round(cosine_similarity(wanted, F.col("embedding")), SCORE_DIGITS)
-        scored = found.select("record_id", score.alias("score"))
-    return scored.orderBy(*order).limit(max(limit, 0))
+    kept = limit if limit <= HEAP_ROWS else None
+    scored = _scored(found, _by_width([""], [list(query)]), kept).select("record_id", "score")
+    return scored.orderBy(F.desc("score"), F.col("record_id")).limit(max(limit, 0))
 
 
 def _scores(queries: np.ndarray, lists: pa.Array) -> np.ndarray:
@@ -82,24 +83,161 @@ def _best(scores: np.ndarray, ids: np.ndarray, limit: int) -> tuple[np.ndarray,
 def vector_top_k_batch(vectors: DataFrame, queries: DataFrame, limit: int) -> DataFrame:
     """Exact best scores per query: ``query_id, record_id, score``.
 
-    A task multiplies Arrow batches of vectors with the queries and passes on its best ``limit`` rows per
-    query, so no pair table arises. Queries of at most ``QUERY_BYTES`` are shipped to the tasks that scan the
-    vectors; larger sets are cut into blocks that meet slices of the vectors in a shuffle.
+    A sample of the vectors are pivots; every vector is put once into the cluster of its nearest pivot, whose radius is the
+    largest angle in it. The angle between directions is a metric, so no member of a cluster is nearer to a query than
+    the pivot's angle less the radius. A query first meets its nearest clusters, as many as hold ``limit`` vectors;
+    then those whose bound does not rule out a score as good as its ``limit``-th best so far. Clusters and their
+    queries meet in blocks of a bounded size; the vectors are read from one table and only copied where a block
+    has more than ``QUERY_BYTES`` of queries.
+
+    Vectors of another length than the query and those without a direction score 0, as all do for a query without one.
     """
-    wanted = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("embedding").cast("array<double>"))
-    found = vectors.select(F.col("record_id").cast("string").alias("record_id"), "embedding")
-    width = F.coalesce(F.max(F.size("embedding")), F.lit(0))
-    size = wanted.agg(F.count(F.lit(1)).alias("rows"), width.alias("width")).first()
-    row_bytes = 8 * max(size["width"], 1)
     if limit <= 0:
         return vectors.sparkSession.createDataFrame([], BEST_SCHEMA)
-    if size["rows"] * row_bytes <= QUERY_BYTES:
-        scored = _scored_by_broadcast(found, wanted, limit)
-    else:
-        scored = _scored_by_blocks(found, wanted, limit, max(1, QUERY_BYTES // row_bytes))
+    wanted = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    wanted = materialised(wanted.withColumn("width", _width()))
+    found = vectors.select(F.col("record_id").cast("string").alias("record_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    found = materialised(found.withColumn("width", _width()))
+    widths = [r["width"] for r in wanted.select("width").distinct().collect()]
+    nothing = _without_direction(found, widths, limit)
+    zeros = wanted.select("query_id", "width").join(nothing, "width").select("query_id", "record_id", F.lit(0.0).alias("score"))
+    pivots = _pivots(found, [w for w in widths if w != NO_DIRECTION])
+    if not pivots:
+        return top_per_key(zeros, ["query_id"], [F.desc("score"), F.col("record_id")], limit)
+    held = found.sparkSession.sparkContext.broadcast(pivots)
+    schema = "record_id string, embedding array<double>, width int, cluster int, angle double"
+    placed = materialised(found.filter(F.col("width").isin(list(pivots))).mapInArrow(_clustered(held), schema))
+    stats = placed.groupBy("width", "cluster").agg(F.count(F.lit(1)).alias("rows"), F.max("angle").alias("radius")).collect()
+    clusters = {(r["width"], r["cluster"]): (r["rows"], r["radius"]) for r in stats}
+    known = found.sparkSession.sparkContext.broadcast(clusters)
+    visit = "query_id string, embedding array<double>, width int, cluster int"
+    directed = wanted.filter(F.col("width").isin(list(pivots)))
+    near = materialised(directed.withColumn("least", F.lit(None).cast("double")).mapInArrow(_visits(held, known, limit), visit))
+    first = materialised(_best_of_visits(placed, near, clusters, limit))
+    best = top_per_key(first, ["query_id"], [F.desc("score"), F.col("record_id")], limit)
+    least = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("_rows"), F.min("score").alias("least")).filter(F.col("_rows") >= limit)
+    # A query with fewer rows has met all its clusters.
+    more = materialised(directed.join(least.select("query_id", "least"), "query_id").select("query_id", "embedding", "width", "least").mapInArrow(_visits(held, known, limit), visit))
+    rest = _best_of_visits(placed, more, clusters, limit)
+    scored = first.unionByName(rest).unionByName(zeros)
     return top_per_key(scored, ["query_id"], [F.desc("score"), F.col("record_id")], limit)
 
 
+def _width() -> Column:
+    """Length of an embedding that has a direction, else ``NO_DIRECTION``."""
+    squares = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x * x)
+    return F.when((squares > 0) & (squares < float("inf")), F.size("embedding")).otherwise(NO_DIRECTION)
+
+
+def _without_direction(found: DataFrame, widths: list[int], limit: int) -> DataFrame:
+    """For each length of queries the first ids of the vectors that score 0 with them."""
+    ids = materialised(top_per_key(found.select("width", "record_id"), ["width"], ["record_id"], limit))
+    parts = [ids.filter((F.col("width") != w) | (F.lit(w) == NO_DIRECTION)).select(F.lit(w).alias("width"), "record_id") for w in widths]
+    none = ids.limit(0).select("width", "record_id")
+    return top_per_key(reduce(DataFrame.unionByName, parts, none), ["width"], ["record_id"], limit)
+
+
+def _pivots(found: DataFrame, widths: list[int]) -> dict[int, np.ndarray]:
+    """Unit vectors per length: those with the smallest hashes of their ids, at most ``PIVOT_BYTES`` in all."""
+    pivots = {}
+    for width in widths:
+        rows = max(1, min(PIVOTS, PIVOT_BYTES // (8 * width * len(widths))))
+        own = found.filter(F.col("width") == width).select("embedding", F.xxhash64("record_id", "embedding").alias("_h")).distinct()
+        matrix = np.array([r["embedding"] for r in own.orderBy("_h").limit(rows).collect()], dtype="float64")
+        if len(matrix):
+            pivots[width] = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+    return pivots
+
+
+def _units(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a batch with embeddings of a length, and their unit vectors."""
+    rows = np.flatnonzero(batch.column("width").to_numpy(zero_copy_only=False) == width)
+    flat = batch.column("embedding").take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return rows, flat / np.linalg.norm(flat, axis=1, keepdims=True)
+
+
+def _angles(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(units @ pivots.T, -1.0, 1.0))
+
+
+def _clustered(pivots):
+    """Rows with their nearest pivot and the angle to it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nearest, angle = np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows)
+            for width, matrix in pivots.value.items():
+                rows, units = _units(batch, width)
+                if len(rows):
+                    angles = _angles(units, matrix)
+                    nearest[rows], angle[rows] = angles.argmin(axis=1), angles.min(axis=1)
+            columns = [batch.column("record_id"), batch.column("embedding"), batch.column("width"), pa.array(nearest), pa.array(angle)]
+            yield pa.RecordBatch.from_arrays(columns, ["record_id", "embedding", "width", "cluster", "angle"])
+
+    return run
+
+
+def _visits(pivots, clusters, limit: int):
+    """Clusters that a query has to meet, a row each.
+
+    Without a ``least`` score these are the nearest ones that hold ``limit`` vectors together. With one they are the
+    others whose bound reaches it.
+    """
+    names = ["query_id", "embedding", "width", "cluster"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes = {}
+        for width in pivots.value:
+            nos = np.array(sorted(c for w, c in clusters.value if w == width), np.int64)
+            shapes[width] = nos, *(np.array([clusters.value[width, c][i] for c in nos.tolist()]) for i in (0, 1))
+        for batch in batches:
+            least = batch.column("least").to_pylist()
+            found_rows, found_clusters = [], []
+            for width, matrix in pivots.value.items():
+                nos, sizes, radii = shapes[width]
+                rows, units = _units(batch, width)
+                if not len(rows) or not len(nos):
+                    continue
+                bounds = np.maximum(0.0, _angles(units, matrix[nos]) - radii - SLACK)
+                for row, bound in zip(rows.tolist(), bounds):
+                    order = np.argsort(bound, kind="stable")
+                    first = int(np.searchsorted(np.cumsum(sizes[order]), limit)) + 1
+                    chosen = order[:first]
+                    if least[row] is not None:
+                        rest = order[first:]
+                        chosen = rest[np.cos(bound[rest]) >= least[row] - 10.0**-SCORE_DIGITS]
+                    found_rows += [row] * len(chosen)
+                    found_clusters += nos[chosen].tolist()
+            own = batch.select(["query_id", "embedding", "width"]).take(pa.array(found_rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(found_clusters, pa.int32())], names)
+
+    return run
+
+
+def _best_of_visits(placed: DataFrame, visits: DataFrame, clusters: dict, limit: int) -> DataFrame:
+    """Best rows per query and block of its clusters."""
+    crowds = {(r["width"], r["cluster"]): r["rows"] for r in visits.groupBy("width", "cluster").agg(F.count(F.lit(1)).alias("rows")).collect()}
+    shape = [(w, c, -(-clusters[w, c][0] // SLICE_ROWS), -(-n * 8 * w // QUERY_BYTES)) for (w, c), n in crowds.items()]
+    # One row per visited cluster, at most as many as there are pivots.
+    shapes = placed.sparkSession.createDataFrame(shape, "width int, cluster int, parts int, crowds int")
+    on, keys = ["width", "cluster"], ["width", "cluster", "part", "crowd"]
+    part, crowd = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.explode(F.sequence(F.lit(0), F.col("crowds") - 1)).alias("crowd")
+    own_part = F.pmod(F.xxhash64("record_id"), F.col("parts")).cast("int").alias("part")
+    own_crowd = F.pmod(F.xxhash64("query_id"), F.col("crowds")).cast("int").alias("crowd")
+    left = visits.join(shapes, on).select(*on, "query_id", "embedding", part, own_crowd)
+    right = placed.join(shapes, on).select(*on, "record_id", "embedding", own_part, crowd)
+
+    def best_of_pair(block: pa.Table, rows: pa.Table) -> pa.Table:
+        best: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        if block.num_rows and rows.num_rows:
+            groups = _by_width(block.column("query_id").to_pylist(), block.column("embedding").to_pylist())
+            ids = np.array(rows.column("record_id").to_pylist(), dtype=str)
+            _merge(best, groups, ids, rows.column("embedding").combine_chunks(), limit)
+        return _best_table(best)
+
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(best_of_pair, BEST_SCHEMA)
+
+
 def _by_width(names: list[str], lists: list[list[float] | None]) -> list[tuple[list[str], np.ndarray]]:
     """Query names and matrix per embedding length."""
     groups: dict[int, tuple[list[str], list[list[float]]]] = {}
@@ -124,49 +262,23 @@ def _merge(best: dict, groups: list, ids: np.ndarray, lists: pa.Array, limit: in
             best[name] = _best(np.concatenate([scores, row]), np.concatenate([kept, ids]), limit)
 
 
-def _scored_by_broadcast(vectors: DataFrame, queries: DataFrame, limit: int) -> DataFrame:
-    """Best rows per query and partition; the queries are within ``QUERY_BYTES``."""
-    rows = queries.collect()
-    return _scored(vectors, _by_width([r["query_id"] for r in rows], [r["embedding"] for r in rows]), limit)
-
-
-def _scored(vectors: DataFrame, groups: list[tuple[list[str], np.ndarray]], limit: int) -> DataFrame:
-    """Best rows per query and partition."""
+def _scored(vectors: DataFrame, groups: list[tuple[list[str], np.ndarray]], limit: int | None) -> DataFrame:
+    """Best rows per query and partition, or all rows without a limit."""
     shared = vectors.sparkSession.sparkContext.broadcast(groups)
 
     def best_of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            _merge(best, shared.value, np.array(batch.column(0).to_pylist(), dtype=str), batch.column(1), limit)
+            ids = np.array(batch.column(0).to_pylist(), dtype=str)
+            _merge(best, shared.value, ids, batch.column(1), batch.num_rows if limit is None else limit)
+            if limit is None:
+                yield from _best_table(best).to_batches()
+                best = {}
         yield from _best_table(best).to_batches()
 
     return vectors.mapInArrow(best_of_partition, BEST_SCHEMA)
 
 
-def _scored_by_blocks(vectors: DataFrame, queries: DataFrame, limit: int, block_rows: int) -> DataFrame:
-    """Best rows per query and vector slice; every query block meets every slice once."""
-    placed = row_index(queries, ["query_id"], "_place").withColumn("block", F.floor(F.col("_place") / block_rows))
-    blocks = placed.agg(F.coalesce(F.max("block"), F.lit(-1))).first()[0] + 1
-    slices = max(1, -(-vectors.count() // SLICE_ROWS))
-    spread = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slices - 1).cast("bigint"))).alias("slice")
-    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block")
-    left = placed.select("block", "query_id", "embedding", spread)
-    # The running number inside each task, so that slices are even whatever the rows hold.
-    slice_no = F.pmod(F.monotonically_increasing_id(), F.lit(slices))
-    right = vectors.withColumn("slice", slice_no).select("slice", "record_id", "embedding", copies)
-
-    def best_of_pair(block: pa.Table, part: pa.Table) -> pa.Table:
-        best: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        if block.num_rows and part.num_rows:
-            groups = _by_width(block.column("query_id").to_pylist(), block.column("embedding").to_pylist())
-            ids = np.array(part.column("record_id").to_pylist(), dtype=str)
-            _merge(best, groups, ids, part.column("embedding").combine_chunks(), limit)
-        return _best_table(best)
-
-    keys = ["block", "slice"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(best_of_pair, BEST_SCHEMA)
-
-
 def embed_column(embed: Callable[[str], Sequence[float]]) -> Callable[[Column], Column]:
     """Column function around a user's text embedder; the embedder is called once per row in Arrow batches."""
 

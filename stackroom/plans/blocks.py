@@ -12,7 +12,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stackroom.plans.order import row_index
+
 BLOCK_ROWS = 200_000
+# Rows per block of a running peak.
+PEAK_ROWS = 20_000
 EARLIER = (Window.unboundedPreceding, -1)
 
 
@@ -93,13 +97,18 @@ def with_position(
 
 
 def with_peak_before(
-    df: DataFrame, key: str, start: str, end: str, name: str, cell_seconds: float = 600.0
+    df: DataFrame, key: str, start: str, end: str, name: str, cell_seconds: float | None = None, block_rows: int = PEAK_ROWS
 ) -> DataFrame:
     """Add the greatest ``end`` among the rows of the key that precede in (start, end) order.
 
-    Rows must be distinct in (key, start, end).
+    Rows must be distinct in (key, start, end). Blocks hold as many rows each, however close together the rows of a key
+    lie: the peak within a block and the peak of the blocks before it, of which one row each is ordered per key, make up
+    the whole. With ``cell_seconds`` blocks are spans of time instead, for rows that are known to be spread over it.
     """
-    cells = df.withColumn("_cell", F.floor(F.col(start) / cell_seconds))
+    if cell_seconds is None:
+        cells = row_index(df, [key, start, end], "_place").withColumn("_cell", F.floor(F.col("_place") / block_rows)).drop("_place")
+    else:
+        cells = df.withColumn("_cell", F.floor(F.col(start) / cell_seconds))
     inside = Window.partitionBy(key, "_cell").orderBy(start, end).rowsBetween(*EARLIER)
     peaks = cells.groupBy(key, "_cell").agg(F.max(end).alias("_peak"))
     across = Window.partitionBy(key).orderBy("_cell").rowsBetween(*EARLIER)

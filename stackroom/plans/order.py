@@ -28,6 +28,12 @@ def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(F.max_by(row, F.col(order)).alias("_row")).select("_row.*")
 
 
+def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
+    """Row with the smallest ``order`` per key; partially aggregated before the shuffle."""
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return df.groupBy(key).agg(F.min_by(row, F.col(order)).alias("_row")).select("_row.*")
+
+
 def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_index") -> DataFrame:
     """Add a 0-based global position in the given order without a single-task window.
 

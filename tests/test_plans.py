@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stackroom.plans.bands import similar_codes
 from stackroom.plans.blocks import long_keys, with_next, with_peak_before, with_position, with_previous
-from stackroom.plans.intervals import first_in_spans, points_near
+from stackroom.plans.intervals import first_in_spans, least_in_spans, points_near
 from stackroom.plans.order import latest_per_key, ranked_per_key, row_index, top_per_key
 from stackroom.plans.skew import join_per_key
 
@@ -153,3 +153,39 @@ def test_first_and_latest_rows(spark):
     df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 3, "z")], "k string, p int, v string")
     assert sorted(map(tuple, top_per_key(df, ["k"], ["p"]).collect())) == [("a", 1, "y"), ("b", 3, "z")]
     assert sorted(map(tuple, latest_per_key(df, "k", "p").collect())) == [("a", 2, "x"), ("b", 3, "z")]
+
+
+def test_least_in_overlapping_spans(spark):
+    """Nested, empty and open spans, points on their edges, and one key with most of the points."""
+    rng = random.Random(8)
+    for most in (3, 40, 700):
+        spans = [(rng.choice(["a", "b", None]), c % 9, float(rng.randrange(60)), rng.choice([None, *map(float, range(0, 70, 3))])) for c in range(60)]
+        points = [(rng.choice(["a"] * 8 + ["b", None, "c"]), rng.choice([None, float(rng.randrange(65))]), rng.randrange(1000)) for _ in range(most)]
+        got = least_in_spans(
+            spark.createDataFrame(spans, "k string, c int, s double, e double"),
+            spark.createDataFrame(points, "k string, t double, i bigint"),
+            "k", "c", "s", "e", "t", "i",
+        )
+        want = {}
+        for k, c, s, e in spans:
+            inside = [i for q, t, i in points if q == k and t is not None and s <= t and (e is None or t < e)]
+            if inside:
+                want[k, c, s] = min([want.get((k, c, s), 10**9), *inside])
+        assert {(r["k"], r["c"], r["s"]): r["i"] for r in got.collect()} == want
+
+
+def test_running_peak_of_one_crowded_cell(spark):
+    """All turns of a recording start within a second: they are dealt to blocks of equal row counts."""
+    rng = random.Random(4)
+    rows = list({("hot", rng.randrange(1000) / 1000, round(rng.random() * 600, 3)) for _ in range(20_000)})
+    rows += [(k, 0.0, float(n)) for k in ("b", "c") for n in range(3)]
+    df = spark.createDataFrame(rows, "k string, s double, e double")
+    got = with_peak_before(df, "k", "s", "e", "m", block_rows=500)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in plan and "_cell" in plan
+    want, peak, last = {}, None, None
+    for k, s, e in sorted(rows):
+        peak = None if k != last else peak
+        want[k, s, e] = peak
+        peak, last = e if peak is None else max(peak, e), k
+    assert {(r["k"], r["s"], r["e"]): r["m"] for r in got.collect()} == want

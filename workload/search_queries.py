@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stackroom.operators import facets, search
+from stackroom.operators.facet_rollup import FacetRollup
+from stackroom.operators.places import bbox_of_layout, write_by_place
 from stackroom.operators.search import SearchQuery
+from stackroom.operators.text_index import TextIndex
 from stackroom.runtime import scratch_path
 from stackroom.sinks.digest import collections_page, facet_table
 from stackroom.sources.tables import read_collections_export, read_usage_export
@@ -24,6 +27,22 @@ def search_text(spark, sf):
     return search.search_text(records(spark, sf), "The tion").select("id", "n_chars")
 
 
+@query(
+    "search_text_index",
+    sql(RECORDS, "SELECT id, n_chars FROM records WHERE contains(lower(concat_ws(' ', title, description)), 'the') "
+        "AND contains(lower(concat_ws(' ', title, description)), 'tion') AND pos % 5 <> 0"),
+)
+def search_text_index(spark, sf):
+    """The search by an index that took the records with other texts first, then as they are, and gave up every fifth."""
+    index = TextIndex(spark, scratch_path(spark, "text-index"))
+    rows = records(spark, sf)
+    index.add(rows.withColumn("description", F.concat(F.reverse("description"), F.lit(" the station"))))
+    index.add(rows.filter(F.col("pos") % 3 != 0))
+    index.add(rows.filter(F.col("pos") % 3 == 0))
+    index.remove(rows.filter(F.col("pos") % 5 == 0))
+    return index.search(rows, "The tion", ["id", "n_chars"])
+
+
 @query("filter_and", sql(RECORDS, "SELECT id FROM records WHERE list_contains(category, 'en') AND list_contains(category, 'src1')"))
 def filter_and(spark, sf):
     return search.filter_and(records(spark, sf), "category", ["en", "src1"]).select("id")
@@ -54,6 +73,14 @@ def geo_bbox_antimeridian(spark, sf):
     return search.geo_bbox(records(spark, sf), -10, 150, -60, -160).select("id", "lat", "lon")
 
 
+@query("geo_bbox_layout", sql(RECORDS, "SELECT id, lat, lon FROM records WHERE lat BETWEEN -60 AND -10 AND (lon >= 150 OR lon <= -160)"))
+def geo_bbox_layout(spark, sf):
+    """The box across the antimeridian, out of records written along the curve."""
+    path = scratch_path(spark, "places")
+    write_by_place(records(spark, sf).select("id", "lat", "lon"), path)
+    return bbox_of_layout(spark.read.parquet(path), -10, 150, -60, -160)
+
+
 @query("select_fields", sql(RECORDS, "SELECT id, title, usage FROM records"))
 def select_fields(spark, sf):
     return search.select_fields(records(spark, sf), ["id", "title", "usage"])
@@ -121,6 +148,21 @@ def facet_counts(spark, sf):
     return facets.facet_counts(records(spark, sf), FACETS)
 
 
+@query(
+    "facet_counts_rollup",
+    sql(RECORDS, "kept AS (SELECT * FROM records WHERE pos % 7 <> 0)", facet_sql("kept"), "SELECT * FROM facets"),
+)
+def facet_counts_rollup(spark, sf):
+    """Counts kept up over a first load with other terms, replacements and removals."""
+    rows = records(spark, sf)
+    rollup = FacetRollup(spark, scratch_path(spark, "facets"), FACETS)
+    rollup.add(rows.withColumn("category", F.array(F.lit("old"), F.col("usage"))))
+    rollup.add(rows.filter(F.col("pos") % 2 == 0))
+    rollup.remove(rows.filter(F.col("pos") % 7 == 0))
+    rollup.add(rows.filter((F.col("pos") % 2 == 1) & (F.col("pos") % 7 != 0)))
+    return rollup.counts()
+
+
 @query("facet_page", sql(RECORDS, f"found AS ({COMBINED})", facet_sql("found"), RANKED, "SELECT field, term, count, rank FROM ranked WHERE rank BETWEEN 4 AND 6"))
 def facet_page(spark, sf):
     return combined().facet(*FACETS, page=2, size=3).facets(records(spark, sf))

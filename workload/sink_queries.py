@@ -278,8 +278,9 @@ def taken(spark, rows, name: str):
 def stream_discover(spark, sf):
     """New record ids of the stream; customers with a positive balance stand for the known records."""
     known = table(spark, sf, "customer").filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").cast("string").alias("record_id"))
-    new = log.unseen_records(log.without_known(event_stream(spark, sf), known)).select("record_id")
-    return taken(spark, new, "new")
+    seen = scratch_path(spark, "seen")
+    log.write_unseen(event_stream(spark, sf), seen, scratch_path(spark, "seen-log"), known).awaitTermination()
+    return log.read_unseen(spark, seen).select("record_id")
 
 
 @query("stream_event_dedup", "SELECT event_id, event_type FROM events")
