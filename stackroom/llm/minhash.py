@@ -22,6 +22,8 @@ from stackroom.runtime import materialised
 PART_CHARS = 2_000_000
 # Registers of the sketches of crowded buckets, one bit each.
 SKETCH = 2048
+# Rounds in which open buckets get one more pivot.
+HUB_ROUNDS = 3
 # Profiles kept by a verifying task.
 PROFILES = 64
 
@@ -138,7 +140,8 @@ def _sign(params: NearCopies):
                 keys = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), params.bands).cast(pa.list_(pa.int64()))
                 digests = pa.array([blake2b(t.encode(), digest_size=16).digest() for t in texts], pa.binary())
                 blank = pa.array([not t for t in texts])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), digests, blank, keys], ["doc_id", "digest", "blank", "bands"])
+                columns = [batch.column("doc_id"), batch.column("text_hash"), digests, blank, keys]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "digest", "blank", "bands"])
 
     return run
 
@@ -219,48 +222,100 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", par
     ``params.similarity``, and ``kept`` marks the document that has that id.
 
     Every distinct text is verified against the first text of each of its buckets. Buckets whose texts then
-    belong to one class are done. In the others, texts outside the largest class meet all texts of other classes,
+    belong to one class are done. In the others a few more texts are verified against all that are not yet in the class of such
+    a pivot: those that stand in most crowded buckets, which are the likeliest originals of many copies. What is
+    still open after ``HUB_ROUNDS`` of that meets pair by pair: texts outside a bucket's largest class and texts of its other classes,
     unless their similarities to the first text (the distance is a metric) or their sketches rule them out. So no
-    bucket has a cap, and a bucket of one class costs one pair per text. Buckets are counted by partial
+    bucket has a cap, and a bucket of one class costs about one pair per text. Buckets are counted by partial
     aggregates and joined by shuffles that may be split.
 
     Texts without words are copies of each other; null texts are empty. Rows without an id are left alone
-    (null ``text_id`` and ``class_id``, kept). Rows that share an id share its smallest class. An empty table
-    gives no rows; only the two named columns are read.
+    (null ``text_id`` and ``class_id``, kept). An id that stands on several rows links their texts, so its rows share one class. An empty
+    table gives no rows; only the two named columns are read.
     """
     read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
-    ided = read.filter(F.col("doc_id").isNotNull())
-    signed = materialised(ided.mapInArrow(_sign(params), "doc_id long, digest binary, blank boolean, bands array<long>"))
-    # Tables, so that the joins by digest below may be split where many documents are copies of one.
-    owners = materialised(signed.groupBy("digest").agg(F.min("doc_id").alias("text_id")))
-    distinct = materialised(signed.join(owners.withColumnRenamed("digest", "_digest"), (F.col("digest") == F.col("_digest")) & (F.col("doc_id") == F.col("text_id"))))
-    # Rows that share an id may hold several texts; the id then stands for each of them.
-    members = distinct.filter(~F.col("blank")).select(F.explode("bands").alias("bucket"), "text_id").distinct()
+    ided = read.filter(F.col("doc_id").isNotNull()).withColumn("text_hash", F.xxhash64("text"))
+    signed = materialised(ided.mapInArrow(_sign(params), "doc_id long, text_hash long, digest binary, blank boolean, bands array<long>"))
+    # Each distinct text has a number, in the order of written rows, and one row of the input that holds it.
+    owner = F.min(F.struct("doc_id", "text_hash")).alias("_own")
+    owners = materialised(signed.groupBy("digest").agg(owner).select("digest", F.col("_own.doc_id").alias("text_id"), F.col("_own.text_hash").alias("text_hash")))
+    owners = materialised(owners.withColumn("no", F.monotonically_increasing_id()))
+    named = materialised(signed.select("doc_id", "digest").join(owners.select("digest", "no", "text_id"), "digest").select("doc_id", "no", "text_id"))
+    own_rows = owners.select("no", F.col("digest").alias("_digest"), F.col("text_id").alias("_first"), F.col("text_hash").alias("_hash"))
+    holds = (F.col("digest") == F.col("_digest")) & (F.col("doc_id") == F.col("_first")) & (F.col("text_hash") == F.col("_hash"))
+    members = signed.filter(~F.col("blank")).join(own_rows, holds).select(F.explode("bands").alias("bucket"), F.col("no").alias("text_id")).distinct()
+    members = materialised(members)
     shared = members.groupBy("bucket").agg(F.min("text_id").alias("pivot"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    shared = materialised(shared.select("bucket", "pivot"))
-    crowded = materialised(members.join(shared, "bucket"))
-    stars = materialised(crowded.filter(F.col("text_id") != F.col("pivot")).select(F.col("text_id").alias("a"), F.col("pivot").alias("b")).distinct())
-    wanted = crowded.select(F.col("text_id").alias("doc_id")).distinct()
-    texts = materialised(read.join(wanted, "doc_id").dropDuplicates(["doc_id"]))
-    tested = materialised(verified(stars, texts, params.words))
+    # From here on a text is named by its number.
+    crowded = materialised(members.join(shared.select("bucket", "pivot"), "bucket"))
+    wanted = crowded.select(F.col("text_id").alias("no")).distinct().join(owners, "no").select("no", F.col("text_id").alias("doc_id"), "text_hash")
+    texts = materialised(ided.join(wanted, ["doc_id", "text_hash"]).select(F.col("no").alias("doc_id"), "text").dropDuplicates(["doc_id"]))
     similar = F.col("similarity") >= params.similarity - 1e-12
+    stars = crowded.filter(F.col("text_id") != F.col("pivot")).select(F.col("text_id").alias("a"), F.col("pivot").alias("b")).distinct()
+    tested = materialised(verified(materialised(stars), texts, params.words))
     links = tested.filter(similar).select("a", "b")
+    # Texts that stand under one id.
+    several = named.groupBy("doc_id").agg(F.min("no").alias("b"), F.max("no").alias("_last")).filter(F.col("b") < F.col("_last"))
+    links = links.unionByName(named.join(several, "doc_id").filter(F.col("no") > F.col("b")).select(F.col("no").alias("a"), "b").distinct())
     classes = components(links)
-    rest = _other_pairs(crowded, tested, classes, texts, params)
-    more = materialised(verified(rest, texts, params.words)).filter(similar).select("a", "b")
+    pivots = crowded.select("bucket", "pivot").distinct()
+    met = tested.select("a", "b")
+    for _ in range(HUB_ROUNDS):
+        hubs = materialised(_hubs(crowded, classes, pivots))
+        stars = materialised(_hub_pairs(crowded, classes, pivots, hubs).join(met, ["a", "b"], "left_anti"))
+        pivots = pivots.unionByName(hubs)
+        if not stars.limit(1).count():
+            break
+        more = materialised(verified(stars, texts, params.words))
+        met = met.unionByName(more.select("a", "b"))
+        found = more.filter(similar).select("a", "b")
+        if found.limit(1).count():
+            links = links.unionByName(found)
+            classes = components(links)
+    rest = _other_pairs(crowded, tested, classes, texts, params).join(met, ["a", "b"], "left_anti")
+    more = materialised(verified(materialised(rest), texts, params.words)).filter(similar).select("a", "b")
     if more.limit(1).count():
         classes = components(links.unionByName(more))
-    named = owners.join(classes, F.col("text_id") == F.col("id"), "left")
-    named = materialised(named.select("digest", "text_id", F.coalesce("component", "text_id").alias("class_id")))
-    grouped = signed.select("doc_id", "digest").join(named, "digest").select("doc_id", "text_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    placed = owners.join(classes, F.col("no") == F.col("id"), "left").select("no", "text_id", F.coalesce("component", "no").alias("component"))
+    class_ids = placed.groupBy("component").agg(F.min("text_id").alias("class_id"))
+    placed = materialised(placed.join(class_ids, "component").select("no", "class_id"))
+    grouped = named.join(placed, "no").select("doc_id", "text_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
     left_alone = read.filter(F.col("doc_id").isNull()).select("doc_id", F.col("doc_id").alias("text_id"), F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"))
     return grouped.unionByName(left_alone)
 
 
+def _classed(crowded: DataFrame, classes: DataFrame) -> DataFrame:
+    return crowded.join(classes, F.col("text_id") == F.col("id"), "left").select("bucket", "pivot", "text_id", F.coalesce("component", "text_id").alias("class"))
+
+
+def _open_rows(crowded: DataFrame, classes: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Rows (bucket, text_id, class) of texts that are in the class of none of their bucket's pivots."""
+    rows = _classed(crowded, classes).select("bucket", "text_id", "class")
+    seen = pivots.select("bucket", F.col("pivot").alias("text_id")).join(rows, ["bucket", "text_id"]).select("bucket", "class").distinct()
+    return rows.join(seen, ["bucket", "class"], "left_anti")
+
+
+def _hubs(crowded: DataFrame, classes: DataFrame, pivots: DataFrame) -> DataFrame:
+    """One more pivot per bucket with open texts: the one that is open in the most and largest buckets."""
+    rows = materialised(_open_rows(crowded, classes, pivots))
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    weights = rows.join(sizes, "bucket").groupBy("text_id").agg(F.sum("n").alias("weight"))
+    best = F.max(F.struct(F.col("weight"), (-F.col("text_id")).alias("_no"))).alias("_best")
+    return rows.join(weights, "text_id").groupBy("bucket").agg(best).select("bucket", (-F.col("_best._no")).alias("pivot"))
+
+
+def _hub_pairs(crowded: DataFrame, classes: DataFrame, pivots: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Pairs of new pivots with the texts of their buckets that are of other classes."""
+    rows = _classed(crowded, classes).select("bucket", "text_id", "class")
+    hub_rows = hubs.select("bucket", F.col("pivot").alias("text_id")).join(rows, ["bucket", "text_id"]).select("bucket", F.col("text_id").alias("hub"), F.col("class").alias("_class"))
+    pairs = rows.join(hub_rows, "bucket").filter(F.col("class") != F.col("_class"))
+    return pairs.select(F.greatest("text_id", "hub").alias("a"), F.least("text_id", "hub").alias("b")).distinct()
+
+
 def _other_pairs(crowded: DataFrame, tested: DataFrame, classes: DataFrame, texts: DataFrame, params: NearCopies) -> DataFrame:
     """Pairs that share a bucket and may be similar, but were neither tested nor found in one class."""
     near = tested.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "similarity")
-    labelled = crowded.join(classes, F.col("text_id") == F.col("id"), "left").select("bucket", "pivot", "text_id", F.coalesce("component", "text_id").alias("class"))
+    labelled = _classed(crowded, classes)
     sizes = labelled.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "class")).alias("_most"), F.count(F.lit(1)).alias("_classes")).filter(F.col("_classes") > 1)
     # The first text has met all others already.

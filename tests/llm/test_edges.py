@@ -62,6 +62,31 @@ def test_copies_and_null_ids(docs):
     assert [r[1:] for r in rows if r[0] is None] == [(None, None, True)] * 2
 
 
+def test_texts_of_one_id_are_linked(spark):
+    """Copies of either text of an id that stands on two rows are in its class, also in another order of the rows."""
+    a, b = COPY, LONG[:2000]
+    rows = [(1, a), (1, b), (2, a), (3, b), (4, b + " and more"), (5, "something else altogether, for once")]
+    for given in (rows, rows[::-1]):
+        found = {(r["doc_id"], r["class_id"], r["kept"]) for r in minhash.near_copies(spark.createDataFrame(given, "doc_id long, text string")).collect()}
+        assert found == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 1, False), (5, 5, True)}
+
+
+def test_group_around_a_late_original(spark):
+    """Copies that are like their original, which has the largest id, but not like each other; a stranger comes first."""
+    words = [f"w{n}" for n in range(400)]
+    texts = [(100, " ".join(words))]
+    for k in range(40):
+        own = words.copy()
+        for j in range(7):
+            own[(k * 9 + j * 53) % 400] = f"x{k}-{j}"
+        texts.append((k + 1, " ".join(own)))
+    texts.append((0, " ".join(words[:200] + [f"y{n}" for n in range(200)])))
+    found = {r["doc_id"]: r["class_id"] for r in minhash.near_copies(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    profiles = {i: minhash.shingles([minhash.normal(t)], 5)[1:] for i, t in texts}
+    near = [i for i in range(1, 41) if minhash.probability_jaccard(profiles[i], profiles[100]) >= 0.8]
+    assert len(near) == 40 and {found[i] for i in [*near, 100]} == {1} and found[0] == 0
+
+
 def test_repeats_of_short_alphabet(docs):
     rows = {r["doc_id"]: r for r in suffix_dedup.digest(suffix_dedup.remove_repeats(docs)).collect() if r["doc_id"] is not None}
     assert rows[11]["n_removed"] == 0 and rows[12]["n_removed"] == 600 and rows[12]["n_spans"] == 1
