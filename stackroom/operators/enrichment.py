@@ -96,7 +96,11 @@ def chapter_summaries(segments: DataFrame) -> DataFrame:
     do not are found first; only those are searched by time. The segments are read once, for a narrow table of their
     times and the openings of their texts.
     """
-    opening = F.substring(stripped(F.col("text")), 1, SUMMARY_CHARS).alias("text")
+    # A mark behind a cut keeps a space at the end of the opening from being stripped.
+    opening = let(
+        stripped(F.col("text")),
+        lambda t: F.when(F.length(t) > SUMMARY_CHARS, F.concat(F.substring(t, 1, SUMMARY_CHARS), F.lit("."))).otherwise(t),
+    ).alias("text")
     segments = materialised(segments.select(KEY, "segment", "start_s", "end_s", opening).filter(F.col("text") != ""))
     disordered = materialised(disordered_recordings(segments))
     count = disordered.count()
