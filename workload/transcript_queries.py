@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stackroom.fixed_values import (
+    ANALYSIS_LIMITATIONS,
     CORRECTIONS,
     MAORI_TERMS,
     PACIFIC_TERMS,
@@ -184,6 +185,24 @@ def analysis_report(spark, sf):
     )
 
 
+LIMITS = "|".join(ANALYSIS_LIMITATIONS)
+
+
+@query(
+    "analysis_document",
+    sql(*PARTS, "voices AS (SELECT recording_id, count(DISTINCT nullif(speaker, '')) AS n FROM diarization GROUP BY 1)",
+        f"""SELECT recording_id, coalesce(n, 0) AS speaker_count, {text(LIMITS)} AS limitations, chapter_count, {FLAG_LIST} AS quality_flags
+        FROM report LEFT JOIN voices USING (recording_id)"""),
+)
+def analysis_document(spark, sf):
+    """The report's number of voices and its fixed sentences."""
+    report = transcript.analysis_report(segments(spark, sf), durations(spark, sf), diarization(spark, sf))
+    return report.select(
+        "recording_id", "speaker_count", F.array_join("limitations", "|").alias("limitations"), "chapter_count",
+        F.array_join("quality_flags", ",").alias("quality_flags"),
+    )
+
+
 def groups_of(letters: str) -> str:
     return f"translate({letters}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '01230120022455012623010202')"
 
