@@ -23,7 +23,7 @@ PART_CHARS = 2_000_000
 # Registers of the sketches of crowded buckets, one bit each.
 SKETCH = 2048
 # Rounds in which open buckets get one more pivot.
-HUB_ROUNDS = 3
+HUB_ROUNDS = 1
 # Profiles kept by a verifying task.
 PROFILES = 64
 
@@ -222,9 +222,9 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", par
     ``params.similarity``, and ``kept`` marks the document that has that id.
 
     Every distinct text is verified against the first text of each of its buckets. Buckets whose texts then
-    belong to one class are done. In the others a few more texts are verified against all that are not yet in the class of such
-    a pivot: those that stand in most crowded buckets, which are the likeliest originals of many copies. What is
-    still open after ``HUB_ROUNDS`` of that meets pair by pair: texts outside a bucket's largest class and texts of its other classes,
+    belong to one class are done. In the others another text is verified against all of other classes: the one that
+    stands in most crowded buckets, the likeliest original of many copies. What is still open then meets pair by
+    pair, once for all common buckets: texts outside a bucket's largest class and texts of its other classes,
     unless their similarities to the first text (the distance is a metric) or their sketches rule them out. So no
     bucket has a cap, and a bucket of one class costs about one pair per text. Buckets are counted by partial
     aggregates and joined by shuffles that may be split.
@@ -324,10 +324,13 @@ def _other_pairs(crowded: DataFrame, tested: DataFrame, classes: DataFrame, text
     open_rows = materialised(open_rows.select("bucket", "text_id", "class", "main", "similarity"))
     wanted = texts.join(open_rows.select(F.col("text_id").alias("doc_id")).distinct(), "doc_id")
     sketches = materialised(wanted.mapInArrow(_sketch(params.words), "text_id long, bits array<long>"))
-    open_rows = materialised(open_rows.join(sketches, "text_id"))
+    # A pair meets in the first of its common buckets only.
+    own = open_rows.groupBy("text_id").agg(F.collect_set("bucket").alias("buckets"))
+    open_rows = materialised(open_rows.join(sketches, "text_id").join(own, "text_id"))
     x, y = open_rows.filter(F.col("class") != F.col("main")).alias("x"), open_rows.alias("y")
     once = (F.col("y.class") == F.col("y.main")) | (F.col("x.text_id") < F.col("y.text_id"))
     close = F.abs(F.col("x.similarity") - F.col("y.similarity")) <= 1 - params.similarity + 1e-9
     apart = reduce(add, [F.bit_count(F.get("x.bits", F.lit(i)).bitwiseXOR(F.get("y.bits", F.lit(i)))) for i in range(SKETCH // 64)])
-    met = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.class") != F.col("y.class")) & once & close & (apart <= params.most_bits_apart))
+    first = F.array_min(F.array_intersect("x.buckets", "y.buckets")) == F.col("x.bucket")
+    met = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.class") != F.col("y.class")) & once & close & (apart <= params.most_bits_apart) & first)
     return materialised(met.select(F.greatest("x.text_id", "y.text_id").alias("a"), F.least("x.text_id", "y.text_id").alias("b")).distinct())
