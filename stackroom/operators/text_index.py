@@ -1,18 +1,21 @@
 """Inverted index of the words of records: text search without reading texts.
 
 A search token has no white space, so it occurs in a text exactly when it occurs in one of its words. The index
-keeps, per word, the records that hold it as sorted lists in blocks of record numbers. A search finds the words that
+keeps, per word, the records that hold it as sorted lists in blocks of record numbers. Each part of the added texts makes
+its lists in one task, so that lists and not single words are shuffled. A search finds the words that
 contain a token in a small table of words and marks the records in their lists.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.functions.text import SPACE
 from stackroom.operators.search import select_fields
 from stackroom.plans.levels import GENERATION, LeveledTables
 from stackroom.runtime import materialised
@@ -24,8 +27,11 @@ SHARDS = 64
 NAMED_WORDS = 1000
 # Bits of a long that stand for tokens.
 TOKEN_BITS = 62
+# Bytes of texts whose words are listed together, at least one text; places that are unpacked together, at least one list.
+PART_BYTES, PART_PLACES = 32_000_000, 1_000_000
 
-LISTS = "word string, block long, places array<int>"
+# Places in lists of words are packed as 16-bit numbers.
+LISTS = "word string, block long, places binary"
 WORDS = "word string"
 TOUCHED = "removed boolean, block long, places array<int>"
 
@@ -35,8 +41,63 @@ def search_tokens(text: str) -> list[str]:
     return [] if text.strip() in ("", "*") else sorted(set(text.lower().split()))
 
 
-def _words(text: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(F.lower(text), rf"(?U){SPACE}+"), lambda w: w != ""))
+def _packed(places: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Lists of places, cut at ``cuts``, as bytes."""
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((2 * cuts).astype(np.int32)), pa.py_buffer(places.astype("<u2"))])
+
+
+def _with_packed_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lists = batch.column("places")
+        cuts = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
+        yield batch.set_column(batch.schema.get_field_index("places"), "places", _packed(lists.flatten().to_numpy(), cuts))
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per place of the lists: the other columns and the record's number."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column("places")).to_numpy().astype(np.int64) // 2
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // PART_PLACES)) + 1
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+            part, of_row = batch.slice(a, b - a), np.repeat(np.arange(b - a), sizes[a:b])
+            places = np.frombuffer(b"".join(part.column("places").to_pylist()), "<u2")
+            number = (part.column("block").to_numpy()[of_row] << BLOCK_BITS) + places
+            rows = part.drop_columns(["block", "places"]).take(pa.array(of_row))
+            yield rows.append_column("number", pa.array(number))
+
+
+def _word_numbers(lists: DataFrame, *columns: str) -> DataFrame:
+    """Record numbers of lists of words."""
+    kinds = ", ".join(f"{c} {lists.schema[c].dataType.simpleString()}" for c in columns)
+    return lists.select(*columns, "block", "places").mapInArrow(_unpacked, f"{kinds}, number long")
+
+
+def _part_lists(numbers: np.ndarray, texts: pa.Array) -> pa.RecordBatch:
+    """Lists of a part of the records, whose texts are in lower case: a row per word and block."""
+    split = pc.utf8_split_whitespace(texts)
+    words = split.flatten().dictionary_encode()
+    records, rank = np.unique(numbers, return_inverse=True)
+    # A word and a record as one number: equal ones fall together and are in the order of the lists.
+    met = words.indices.to_numpy().astype(np.int64) * len(records) + np.repeat(rank, pc.list_value_length(split).to_numpy())
+    met = np.sort(met[(pc.binary_length(words.dictionary).to_numpy() > 0)[words.indices.to_numpy()]])
+    word, place = np.divmod(met[np.diff(met, prepend=-1) != 0], len(records))
+    number = records[place]
+    block = number >> BLOCK_BITS
+    first = np.ones(len(word), bool)
+    first[1:] = (np.diff(word) != 0) | (np.diff(block) != 0)
+    at = np.flatnonzero(first)
+    lists = _packed(number & ((1 << BLOCK_BITS) - 1), np.append(at, len(word)))
+    return pa.RecordBatch.from_arrays([words.dictionary.take(pa.array(word[at])), pa.array(block[at]), lists], ["word", "block", "places"])
+
+
+def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(1)).to_numpy().astype(np.int64)
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // PART_BYTES)) + 1
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if b > a:
+                part = batch.slice(a, b - a)
+                yield _part_lists(part.column(0).to_numpy(), part.column(1))
 
 
 def _block(number: Column) -> Column:
@@ -70,8 +131,8 @@ def _newest(tables: Mapping[str, DataFrame], oldest: bool) -> Mapping[str, DataF
     """Merged folders: of each record only the lists of its newest addition; nothing else is left of removed records."""
     touched = _numbers(tables["touched"], "removed", GENERATION)
     newest = touched.groupBy("number").agg(F.max(GENERATION).alias(GENERATION), F.max_by("removed", GENERATION).alias("removed"))
-    live = _numbers(tables["lists"], "word", GENERATION).join(newest.select("number", GENERATION), ["number", GENERATION], "left_semi")
-    lists = materialised(_in_order(_listed(live, "word")))
+    live = _word_numbers(tables["lists"], "word", GENERATION).join(newest.select("number", GENERATION), ["number", GENERATION], "left_semi")
+    lists = materialised(_in_order(_listed(live, "word").mapInArrow(_with_packed_places, LISTS)))
     # Behind the oldest rows there are none that a removal could still hide.
     kept = newest.filter(~F.col("removed")) if oldest else newest
     return {"lists": lists, "words": lists.select("word").distinct(), "touched": _listed(kept, "removed")}
@@ -92,9 +153,10 @@ class TextIndex:
         """Index records, or index them again with their new texts."""
         text = F.concat_ws(" ", *[F.col(t) for t in texts])
         read = records.select(F.col(number).cast("long").alias("number"), text.alias("text")).filter(F.col("number").isNotNull())
-        lists = materialised(_in_order(_listed(read.select("number", F.explode(_words(F.col("text"))).alias("word")), "word")))
+        # A word has a list per part and block here; merged folders have one per block.
+        lists = materialised(read.select("number", F.lower("text").alias("text")).mapInArrow(_word_lists, LISTS))
         touched = read.withColumn("removed", F.lit(False))
-        self.tables.add(lists=lists, words=lists.select("word").distinct(), touched=_listed(touched, "removed"))
+        self.tables.add(lists=_in_order(lists), words=lists.select("word").distinct(), touched=_listed(touched, "removed"))
 
     def remove(self, records: DataFrame, number: str = "pos") -> None:
         """Take records out of the index."""
@@ -123,7 +185,7 @@ class TextIndex:
         lists = self.tables.read("lists", state)
         few = [r["word"] for r in words.limit(NAMED_WORDS + 1).collect()]
         lists = lists.filter(F.col("word").isin(few)) if len(few) <= NAMED_WORDS else lists.join(words, "word", "left_semi")
-        marked = _numbers(lists.select("*", *masks), GENERATION, *names)
+        marked = _word_numbers(lists.select("*", *masks), GENERATION, *names)
         # Tokens of a record are gathered as bits, in each task first.
         held = marked.groupBy("number", GENERATION).agg(*[F.bit_or(n).alias(n) for n in names])
         for name, group in zip(names, groups):

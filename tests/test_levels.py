@@ -3,10 +3,12 @@
 import json
 import threading
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stackroom.operators import archive, search
+from stackroom.operators import archive, search, text_index
 from stackroom.operators.text_index import TextIndex
 from stackroom.plans.levels import GENERATION, LeveledTables
 from stackroom.sources.commits import Commits
@@ -217,3 +219,31 @@ def test_index_of_many_tokens(spark, tmp_path):
     index = TextIndex(spark, str(tmp_path / "index"))
     index.add(rows)
     assert [r["number"] for r in index.found(" ".join(words)).collect()] == [0]
+
+
+def test_lists_of_a_part():
+    """One list per word and block before any shuffle, from texts with all white space, repeated numbers and blanks."""
+    spaces = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    texts = ["b".join(spaces), "a a b", "", " \t", "c\u200bd a", "é a"]
+    numbers = [7, 65_536, 3, 4, 7, 65_541]
+    wanted = {}
+    for number, text in zip(numbers, texts):
+        for word in text.split():
+            wanted.setdefault((word, number >> 16), set()).add(number & 0xFFFF)
+    found = text_index._part_lists(np.array(numbers), pa.array(texts))
+    rows = list(zip(*(c.to_pylist() for c in found.columns)))
+    assert len(rows) == len(wanted)
+    assert {(w, b): np.frombuffer(p, "<u2").tolist() for w, b, p in rows} == {k: sorted(v) for k, v in wanted.items()}
+    long = pa.record_batch([pa.array([1] * 3), pa.array([0, 1, 2]), text_index._packed(np.arange(9) % 4, np.array([0, 4, 4, 9]))], ["m", "block", "places"])
+    assert [n for b in text_index._unpacked([long]) for n in b.column("number").to_pylist()] == [0, 1, 2, 3, *((2 << 16) + k for k in (0, 1, 2, 3, 0))]
+
+
+def test_lists_are_shuffled_not_words(spark, tmp_path):
+    """Records of one part have a row per word in the index, and merged lists have the same numbers."""
+    rows = spark.createDataFrame([(n, f"w{n % 3} same", None) for n in range(60)], "pos long, title string, description string").coalesce(1)
+    index = TextIndex(spark, str(tmp_path / "index"))
+    index.add(rows)
+    index.add(rows.filter("pos < 6"))
+    index.compact()
+    lists = {r["word"]: np.frombuffer(r["places"], "<u2").tolist() for r in index.tables.rows("lists").collect()}
+    assert lists == {"same": list(range(60)), **{f"w{k}": list(range(k, 60, 3)) for k in range(3)}}
