@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stackroom.llm.hashing import mixed, run_hashes
-from stackroom.runtime import materialised
+from stackroom.runtime import materialised, materialised_by
 
 # Words of a window, about as many words as a part of the documents has, and words per bucket of repeated windows.
 WORDS, PART_WORDS, BUCKET_WORDS = 13, 500_000, 1_000_000
@@ -285,7 +285,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     don't either from each other. An empty table gives no rows; only the two named columns are read.
     """
     read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").cast("binary").alias("text"))
-    parts = materialised(read.mapInArrow(_parted(part_words), "part long, ids array<long>, words long, size long, texts binary"))
+    # Texts meet their answers twice: dealt by part once, they are never shuffled.
+    parts = materialised_by(read.mapInArrow(_parted(part_words), "part long, ids array<long>, words long, size long, texts binary"), "part")
     total = parts.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("n")).first()["n"]
     cells, buckets = Cells(total), max(BUCKETS, total // BUCKET_WORDS)
     sketch = parts.select("part", "size", "texts").mapInArrow(_sketched(cells, words), "part long, slice long, n long, cells binary")

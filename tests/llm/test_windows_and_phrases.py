@@ -6,12 +6,13 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from stackroom.llm import phrases, window_dedup
 from stackroom.llm.queries import op11_phrase_collocations, op13_window_dedup
-from stackroom.runtime import materialised
+from stackroom.runtime import materialised, materialised_by
 
 SCHEMA = "doc_id long, text string, lang string, n long, part long, window string, id long"
 
@@ -166,3 +167,14 @@ def test_tiles_count_like_a_list():
     assert (np.bincount(a // 32 * 200 + b // 32) >= 64).any()
     assert dict(zip(zip(x.tolist(), y.tolist()), n.tolist())) == Counter(zip(a.tolist(), b.tolist()))
     assert len(x) == len(set(zip(x.tolist(), y.tolist())))
+
+
+def test_parts_are_dealt_once(spark):
+    """Parts meet their answers where they lie: only the answers are shuffled, and the table's name is gone."""
+    parts = materialised_by(spark.range(40).selectExpr("id AS part", "CAST(id AS STRING) AS texts"), "part")
+    answers = spark.range(80).selectExpr("id % 50 AS part", "id AS n")
+    met = window_dedup._with(parts, answers, lambda a, b: pa.table({"part": a.column("part"), "n": [b.num_rows] * a.num_rows}), "part long, n long")
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1, plan
+    assert sorted(tuple(r) for r in met.collect()) == [(k, 2 if k < 30 else 1) for k in range(40)]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("stackroom_")]
