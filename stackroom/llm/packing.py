@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import re
 import string
+import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +27,21 @@ LENGTH, END = 2048, 1
 K1, B, DENSE = 1.2, 0.75, 0.25
 # Tokens of one index shard and of one partition.
 SHARD_TOKENS, PART_TOKENS = 1_000_000, 4_000_000
-# Words whose ids a task remembers, and new ones that are encoded in one run.
-REMEMBERED, PLAIN_RUN = 700_000, 4096
+# Words whose ids a Python worker remembers, new ones that are encoded in one run, and characters of texts split together.
+REMEMBERED, PLAIN_RUN, PART_CHARS = 1_000_000, 4096, 8_000_000
 # Letters that are their own normal form, marks that may stand behind them, and what ends the last token of a word.
 LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-MARKS = string.punctuation
+PLAIN = rf"^(?P<letters>{LETTERS.pattern})(?P<marks>[{re.escape(string.punctuation)}]*)$"
 WORD_END = "</w>"
+# Name under which a Python worker keeps its tokenizer.
+HELD = "_stackroom_tokens"
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` that the rows name, in order."""
+    size = sizes[rows]
+    after = np.cumsum(size)
+    return flat[np.arange(size.sum()) + np.repeat(starts[rows] - (after - size), size)]
 
 
 class Tokens:
@@ -37,8 +49,9 @@ class Tokens:
 
     The tokenizer drops white space before it splits and merges nothing across it, so a text's ids are those of
     its parts between spaces and line ends in order. Likewise letters and the marks behind them are split before
-    any merge. Most new words are such letters, which need no normal form but lower case: they are encoded in one
-    run without the regular expressions, and cut where an id ends a word. All else takes the whole tokenizer.
+    any merge. Most words are such letters, which need no normal form but lower case: letters and marks are told apart by
+    Arrow and remembered by themselves. New letters are encoded in one run without the regular expressions, and cut
+    where an id ends a word. All else takes the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -57,70 +70,69 @@ class Tokens:
         self.known: dict[str, int] = {}
         self.flat, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _add(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
-
-    def _gather(self, rows: np.ndarray) -> np.ndarray:
-        sizes = self.sizes[rows]
-        after = np.cumsum(sizes)
-        return self.flat[np.arange(sizes.sum()) + np.repeat(self.starts[rows] - (after - sizes), sizes)]
-
     def learn(self, words: list[str]) -> None:
-        """Remember new words; first the letters and the marks they are made of."""
-        whole, bases, marks, others = [], [], [], {""}
+        """Remember new words: letters in lower case, and others."""
+        letters, others = [], []
         for word in words:
-            base = word.rstrip(MARKS)
-            if base.isalpha() and (base.isascii() or LETTERS.fullmatch(base)):
-                whole.append(word)
-                bases.append(base.lower())
-                marks.append(word[len(base) :])
-            else:
-                others.add(word)
-        others.update(marks)
-        letters = list(set(bases).difference(self.known))
+            (letters if word.isalpha() and word.islower() and (word.isascii() or LETTERS.fullmatch(word)) else others).append(word)
+        flats, sizes = [self.flat], [self.sizes]
         for start in range(0, len(letters), PLAIN_RUN):
-            part = letters[start : start + PLAIN_RUN]
-            flat = np.array(self.plain.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
-            ends = np.flatnonzero(self.ends_word[flat]) + 1
-            self._add(part, flat, np.diff(ends, prepend=0))
-        rest = list(others.difference(self.known))
-        if rest:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
-            self._add(rest, np.array([i for one in ids for i in one], np.uint32), np.array(list(map(len, ids)), np.int64))
-        # Words that are such letters already are remembered by now.
-        new = np.flatnonzero(np.fromiter((w not in self.known for w in whole), bool, len(whole)))
-        if len(new):
-            rows = np.empty((len(whole), 2), np.int64)
-            rows[:, 0] = np.fromiter(map(self.known.__getitem__, bases), np.int64, len(whole))
-            rows[:, 1] = np.fromiter(map(self.known.__getitem__, marks), np.int64, len(whole))
-            rows = rows[new]
-            self._add([whole[i] for i in new], self._gather(rows.ravel()), self.sizes[rows].sum(axis=1))
+            flat = np.array(self.plain.encode(" ".join(letters[start : start + PLAIN_RUN]), add_special_tokens=False).ids, np.uint32)
+            flats.append(flat)
+            sizes.append(np.diff(np.flatnonzero(self.ends_word[flat]) + 1, prepend=0))
+        if others:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+            flats.append(np.array([i for one in ids for i in one], np.uint32))
+            sizes.append(np.array(list(map(len, ids)), np.int64))
+        self.known.update(zip(letters + others, range(len(self.known), len(self.known) + len(words))))
+        self.flat, self.sizes = np.concatenate(flats), np.concatenate(sizes)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def _rows(self, words: pa.Array) -> np.ndarray:
+        """Row of each word in the memory."""
+        coded = words.dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [w for w in names if w not in self.known]
+        if new:
+            self.learn(new)
+        return np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))[coded.indices.to_numpy()]
 
     def of(self, texts: pa.Array, end: int) -> list[np.ndarray]:
-        """Ids of each text and ``end``; words are told apart by Arrow, so that Python sees each of a part once."""
+        """Ids of each text and ``end``; words are told apart by Arrow, so that Python sees the letters of a part once."""
         if len(self.known) > REMEMBERED:
             self.clear()
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        new = [w for w in words if w not in self.known]
-        if new:
-            self.learn(new)
-        rows = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy(zero_copy_only=False)]
-        ids, after = self._gather(rows), np.concatenate([[0], np.cumsum(self.sizes[rows])])
+        parted = pc.extract_regex(coded.dictionary, PLAIN)
+        letters = pc.if_else(parted.is_valid(), pc.utf8_lower(pc.struct_field(parted, "letters")), coded.dictionary)
+        rows = np.stack([self._rows(letters), self._rows(pc.fill_null(pc.struct_field(parted, "marks"), ""))], axis=1)
+        # The ids of each word of the part, then those of its texts.
+        flat, sizes = _gathered(self.flat, self.starts, self.sizes, rows.ravel()), self.sizes[rows].sum(axis=1)
+        place = coded.indices.to_numpy()
+        ids, after = _gathered(flat, np.cumsum(sizes) - sizes, sizes, place), np.concatenate([[0], np.cumsum(sizes[place])])
         offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
         return [np.append(ids[a:b], np.uint32(end)) for a, b in zip(after[offsets[:-1]], after[offsets[1:]])]
 
 
+def tokens_at(path: str) -> Tokens:
+    """The tokenizer of a file with its memory, kept by the Python worker for its next tasks.
+
+    Functions that travel with the job have new globals in each task, so the worker's own list of modules holds it.
+    """
+    held = sys.modules.setdefault(HELD, ModuleType(HELD)).__dict__
+    key = path, os.stat(path).st_mtime_ns
+    if held.get("key") != key:
+        held.update(key=key, tokens=Tokens(path))
+    return held["tokens"]
+
+
 def tokenized(docs: DataFrame, doc_id: str, text: str, path: str, end: int = END) -> DataFrame:
     """A table (doc_id, n, ids) with 32-bit ids, each document ended by ``end``; a null text has only that id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(path)
+        tokens = tokens_at(path)
         for whole in batches:
-            for batch in parts_of(whole, 1):
+            for batch in parts_of(whole, 1, PART_CHARS):
                 ids = tokens.of(pc.fill_null(batch.column(1), ""), end)
                 blobs = pa.array([x.astype("<u2" if x.max() < 1 << 16 else "<u4").tobytes() for x in ids], pa.binary())
                 sizes = pa.array([len(x) for x in ids], pa.int64())

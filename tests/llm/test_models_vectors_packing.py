@@ -6,6 +6,7 @@ from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -166,3 +167,20 @@ def test_all_terms_of_a_seed_count():
             scores.append(sum(idf[t] * n * (packing.K1 + 1) / (n + norm) for t, n in counts.items()))
         assert index.scores(seed) == pytest.approx(np.array(scores), abs=1e-9)
         assert list(index.neighbours(seed, unused)) == [i for i in np.argsort(-np.array(scores), kind="stable") if scores[i] > 0]
+
+
+def test_ids_of_words_by_parts():
+    """Letters and marks apart, cases, scripts, blanks and other words: the ids of the whole tokenizer, new or remembered."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, tokens = Tokenizer.from_file(path), packing.Tokens(path)
+    texts = ["", " ", "Über ÜBER über,", "straße STRASSE! ÿ Ÿ", "a-b it's (x) ...", "x² ﬁne Ⅷ ı İ ª º", "日本 кот КОТ é e\u0301", "a\nb\r\nc\td", "w1 Zz]]^\\ `q~ $5", "!?", "\x00a a\u00a0b", "ÀÖØß÷×", "aB" * 300]
+    for _ in range(2):
+        assert [x.tolist() for x in tokens.of(pa.array(texts), 1)] == [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+
+
+def test_worker_keeps_its_tokenizer():
+    """A Python worker's next tasks take the words it has learned, and other files their own."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    held = packing.tokens_at(path)
+    held.of(pa.array(["one two, three"]), 1)
+    assert packing.tokens_at(path) is held and {"one", "two", ","} <= held.known.keys()
