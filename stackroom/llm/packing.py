@@ -28,7 +28,7 @@ K1, B, DENSE = 1.2, 0.75, 0.25
 # Tokens of one index shard and of one partition.
 SHARD_TOKENS, PART_TOKENS = 1_000_000, 4_000_000
 # Words whose ids a Python worker remembers, new ones that are encoded in one run, and characters of texts split together.
-REMEMBERED, PLAIN_RUN, PART_CHARS = 1_000_000, 4096, 8_000_000
+REMEMBERED, PLAIN_RUN, PART_CHARS = 500_000, 4096, 4_000_000
 # Letters that are their own normal form, marks that may stand behind them, and what ends the last token of a word.
 LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 PLAIN = rf"^(?P<letters>{LETTERS.pattern})(?P<marks>[{re.escape(string.punctuation)}]*)$"
@@ -126,17 +126,25 @@ def tokens_at(path: str) -> Tokens:
     return held["tokens"]
 
 
+def forget_tokens() -> None:
+    """Give back the worker's tokenizer with its memory and what Arrow has freed: its next tasks are of other steps."""
+    sys.modules.pop(HELD, None)
+    pa.default_memory_pool().release_unused()
+
+
 def tokenized(docs: DataFrame, doc_id: str, text: str, path: str, end: int = END) -> DataFrame:
     """A table (doc_id, n, ids) with 32-bit ids, each document ended by ``end``; a null text has only that id."""
 
+    def encoded(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = tokens_at(path).of(pc.fill_null(batch.column(1), ""), end)
+        blobs = pa.array([x.astype("<u2" if x.max() < 1 << 16 else "<u4").tobytes() for x in ids], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in ids], pa.int64()), blobs], ["doc_id", "n", "ids"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = tokens_at(path)
         for whole in batches:
             for batch in parts_of(whole, 1, PART_CHARS):
-                ids = tokens.of(pc.fill_null(batch.column(1), ""), end)
-                blobs = pa.array([x.astype("<u2" if x.max() < 1 << 16 else "<u4").tobytes() for x in ids], pa.binary())
-                sizes = pa.array([len(x) for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0), sizes, blobs], ["doc_id", "n", "ids"])
+                yield encoded(batch)
+        pa.default_memory_pool().release_unused()
 
     return materialised(docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(run, "doc_id long, n long, ids binary"))
 
@@ -145,25 +153,27 @@ def ids_of(blob: bytes, n: int) -> np.ndarray:
     return np.frombuffer(blob, "<u2" if len(blob) == 2 * n else "<u4").astype(np.uint32)
 
 
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of a task per id; all texts have their ids by now, so the worker needs its tokenizer no more."""
+    forget_tokens()
+    counts, place = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for batch in batches:
+        for n, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ids = ids_of(blob, n)
+            if (top := int(ids.max())) >= len(counts):
+                counts = np.concatenate([counts, np.zeros(top + 1 - len(counts), np.int64)])
+                place = np.zeros(len(counts), np.int64)
+            # One occurrence of each id: the one that was written last.
+            at = np.arange(n)
+            place[ids] = at
+            counts[ids[place[ids] == at]] += 1
+    held = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array(counts[held], pa.int64())], ["id", "n"])
+
+
 def document_frequencies(tokens: DataFrame) -> np.ndarray:
     """Documents per token id over all documents; as many numbers as the vocabulary has ids reach the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, place = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
-            for n, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = ids_of(blob, n)
-                if (top := int(ids.max())) >= len(counts):
-                    counts = np.concatenate([counts, np.zeros(top + 1 - len(counts), np.int64)])
-                    place = np.zeros(len(counts), np.int64)
-                # One occurrence of each id: the one that was written last.
-                at = np.arange(n)
-                place[ids] = at
-                counts[ids[place[ids] == at]] += 1
-        held = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array(counts[held], pa.int64())], ["id", "n"])
-
-    rows = tokens.select("n", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = tokens.select("n", "ids").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(max((r["id"] for r in rows), default=-1) + 1, np.int64)
     for r in rows:
         out[r["id"]] = r["n"]

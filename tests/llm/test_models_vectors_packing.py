@@ -1,5 +1,6 @@
 import math
 import operator
+import sys
 import zlib
 from collections import defaultdict
 from fractions import Fraction
@@ -184,3 +185,14 @@ def test_worker_keeps_its_tokenizer():
     held = packing.tokens_at(path)
     held.of(pa.array(["one two, three"]), 1)
     assert packing.tokens_at(path) is held and {"one", "two", ","} <= held.known.keys()
+
+
+def test_later_steps_do_not_carry_the_words():
+    """Once all texts have their ids, a worker gives back its tokenizer and the words it has learned."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    held = packing.tokens_at(path)
+    held.of(pa.array(["one two, three"]), 1)
+    batch = pa.RecordBatch.from_arrays([pa.array([3]), pa.array([np.array([7, 9, 7], "<u2").tobytes()])], ["n", "ids"])
+    assert [b.to_pylist() for b in packing._counts(iter([batch]))] == [[{"id": 7, "n": 1}, {"id": 9, "n": 1}]]
+    assert packing.HELD not in sys.modules
+    assert packing.tokens_at(path) is not held

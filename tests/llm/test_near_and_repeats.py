@@ -1,8 +1,10 @@
 import hashlib
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stackroom.llm import minhash, suffix_array, suffix_dedup
@@ -141,3 +143,16 @@ def test_repeats_equal_brute_force(spark, sf, monkeypatch, sizes):
         wanted[row["doc_id"]] = (len(raw), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest())
     found = QUERIES["op4_suffix_dedup"](spark, sf).collect()
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found} == wanted
+
+
+def test_sketches_of_many_short_texts_take_little_memory():
+    """A sketch has as many registers for a short text as for a long one, so parts are bounded by texts too."""
+    texts = [" ".join(f"{n % 97}{k}" for k in range(100)) + f" {n}" for n in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1500)), pa.array(texts)], ["doc_id", "text"])
+    tracemalloc.start()
+    found = [row for out in minhash._sketch(5)(iter([batch])) for row in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [row["text_id"] for row in found] == list(range(1500))
+    assert found[700:703] == [row for out in minhash._sketch(5)(iter([batch.slice(700, 3)])) for row in out.to_pylist()]
+    assert peak < 60e6
