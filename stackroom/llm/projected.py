@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stackroom.llm.vector_blocks import blocked, met, searched, usable_vectors
+from stackroom.llm.vector_blocks import Best, asked, blocked, met, searched, usable_vectors
 from stackroom.plans.order import top_per_key
 from stackroom.runtime import materialised
 
@@ -71,16 +71,16 @@ def near_in_block(k: int, confidence: float):
     the block ends when that is small.
     """
 
-    def run(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def run(row: dict, best_rows: Best | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         size = row["size"]
         ids, query_ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["q_ids"], np.int64)
+        best_rows = best_rows or Best(len(query_ids), k, np.float64)
         data = np.frombuffer(row["data"]).reshape(len(ids), size)
         queries = np.frombuffer(row["q_data"]).reshape(len(query_ids), size)
         starts = np.frombuffer(row["starts"], np.int64)
         boxes = np.frombuffer(row["boxes"]).reshape(len(starts) - 1, 2, DIMENSIONS)
         centres = queries @ projection(size)
-        found = []
-        for own, query, centre in zip(query_ids, queries, centres):
+        for i, (own, query, centre) in enumerate(zip(query_ids, queries, centres)):
             gaps = np.maximum(np.maximum(boxes[:, 0] - centre, centre - boxes[:, 1]), 0)
             reach = np.einsum("ld,ld->l", gaps, gaps)
             leaves = np.argsort(reach, kind="stable")
@@ -97,8 +97,8 @@ def near_in_block(k: int, confidence: float):
                 all_best = np.concatenate([best, np.sqrt(np.einsum("rd,rd->r", difference, difference))])
                 order = np.lexsort((all_ids, all_best))[:k]
                 best_ids, best = all_ids[order], all_best[order]
-            found.append((np.full(len(best), own), best_ids, best))
-        return tuple(np.concatenate([f[i] for f in found]) if found else np.zeros(0, kind) for i, kind in enumerate((np.int64, np.int64, np.float64)))
+            best_rows.add(np.full(len(best), i), best_ids, best)
+        return best_rows.rows(query_ids)
 
     return run
 
@@ -107,7 +107,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "ve
     """About the k nearest rows by Euclidean distance for every query row: (query_id, rank, vec_id, score).
 
     Every row is indexed: blocks of vectors are projected to ``DIMENSIONS`` random directions and ordered by a kd-tree. Blocks
-    are searched for all queries, and only the k nearest per query and block are shuffled. ``score`` is the true
+    are searched for all queries, and only the k nearest per query and task are shuffled. ``score`` is the true
     distance in double precision; ties go to the smaller id; fewer than k candidates are all returned. The
     chance to miss a neighbour is below 1 - ``confidence`` per neighbour.
 
@@ -117,8 +117,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "ve
     """
     usable = materialised(usable_vectors(vectors, vec_id, vector, lambda v: F.exists(v, lambda x: x != 0)))
     candidates = blocked(usable, index_block, ["ids", "data", "starts", "boxes"], TREE_ROWS)
-    queries = blocked(usable.filter(is_query), encode_queries, ["ids", "data"])
-    close = searched(met(candidates, queries), near_in_block(k, confidence), "double")
+    queries = asked(usable.filter(is_query), encode_queries)
+    close = searched(met(candidates, queries), near_in_block(k, confidence), k, "double")
     order = [F.col("score"), F.col("vec_id")]
     top = top_per_key(close, ["query_id"], order, k)
     return top.select("query_id", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)).alias("rank"), "vec_id", "score")

@@ -13,6 +13,10 @@ from stackroom.runtime import materialised
 
 # Vectors per block.
 BLOCK_ROWS = 4096
+# Components of the queries that are dealt to a block, and blocks of candidates that a task searches, on average.
+QUERY_CELLS, TASK_BLOCKS = 1 << 20, 128
+# Tasks per core that a search of few blocks is cut into.
+TASKS_PER_CORE = 4
 
 
 def finite(vector: Column) -> Column:
@@ -28,8 +32,8 @@ def usable_vectors(rows: DataFrame, vec_id: str, vector: str, holds: Callable[[C
     return read.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
-def block_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, matrix) of at most ``rows`` vectors of one length, in the order of their ids within a block."""
+def block_batches(batches: Iterator[pa.RecordBatch], rows: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, matrix) of some ``rows`` vectors of one length, or twice ``QUERY_CELLS`` components, in the order of their ids."""
     held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
     def out(size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -45,15 +49,16 @@ def block_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tupl
         for size in np.unique(sizes):
             at = np.flatnonzero(sizes == size)
             matrix = flat[starts[at][:, None] + np.arange(size)]
-            for a in range(0, len(at), rows):
-                held.setdefault(int(size), []).append((all_ids[at][a : a + rows], matrix[a : a + rows]))
-                if sum(len(p[0]) for p in held[int(size)]) >= rows:
+            most = rows or max(1, 2 * QUERY_CELLS // int(size))
+            for a in range(0, len(at), most):
+                held.setdefault(int(size), []).append((all_ids[at][a : a + most], matrix[a : a + most]))
+                if sum(len(p[0]) for p in held[int(size)]) >= most:
                     yield out(int(size))
     for size in list(held):
         yield out(size)
 
 
-def blocked(vectors: DataFrame, encode: Callable[[np.ndarray, np.ndarray], dict[str, bytes]], columns: list[str], rows: int = BLOCK_ROWS) -> DataFrame:
+def blocked(vectors: DataFrame, encode: Callable[[np.ndarray, np.ndarray], dict[str, bytes]], columns: list[str], rows: int | None = BLOCK_ROWS) -> DataFrame:
     """A table with one row per block: its vector length and what ``encode`` makes of (ids, matrix)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,24 +70,78 @@ def blocked(vectors: DataFrame, encode: Callable[[np.ndarray, np.ndarray], dict[
     return materialised(vectors.select("vec_id", "v").mapInArrow(run, schema))
 
 
-def met(candidates: DataFrame, queries: DataFrame) -> DataFrame:
-    """Each block of candidates with each block of queries of the same vector length.
+def asked(queries: DataFrame, encode: Callable[[np.ndarray, np.ndarray], dict[str, bytes]]) -> DataFrame:
+    """Blocks of queries with their ids and data.
 
-    Candidate blocks are dealt over cells and move once; query blocks go to every cell.
+    Queries are a few of the rows in every file; they are dealt anew, so that blocks are few and full.
     """
-    cells = int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = candidates.withColumn("cell", F.pmod(F.xxhash64("ids"), F.lit(cells)).cast("int"))
-    sent = queries.select(F.col("size").alias("q_size"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("q_cell"))
-    return dealt.join(sent, (F.col("cell") == F.col("q_cell")) & (F.col("size") == F.col("q_size"))).drop("q_size", "q_cell", "cell")
+    rows = materialised(queries.select("vec_id", "v"))
+    cells = rows.agg(F.sum(F.size("v"))).first()[0] or 0
+    return blocked(rows.repartition(max(1, -(-cells // QUERY_CELLS))), encode, ["ids", "data"], None)
 
 
-def searched(pairs: DataFrame, search: Callable[[dict], tuple[np.ndarray, np.ndarray, np.ndarray]], score: str) -> DataFrame:
-    """Best rows of every pair of blocks: (query_id, vec_id, score)."""
+def met(candidates: DataFrame, queries: DataFrame) -> DataFrame:
+    """Each block of candidates with each block of queries of the same vector length.
+
+    Each task reads some blocks of either table where they lie: nothing is shuffled, copied or sent to the driver. The hint also
+    keeps Spark from a broadcast, which would be chosen by the size of compressed files.
+    """
+    cores = candidates.sparkSession.sparkContext.defaultParallelism
+    groups = max(-(-candidates.count() // TASK_BLOCKS), -(-TASKS_PER_CORE * cores // max(1, queries.count())), 1)
+    sent = queries.select(F.col("size").alias("q_size"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
+    return candidates.coalesce(groups).hint("shuffle_replicate_nl").join(sent, F.col("size") == F.col("q_size")).drop("q_size")
+
+
+class Best:
+    """The k best rows of each query so far, ties to smaller ids: whole scores from the largest, distances from the least."""
+
+    def __init__(self, queries: int, k: int, kind: type):
+        self.k, self.count = k, np.zeros(queries, np.int64)
+        self.ids, self.scores = np.zeros((queries, k), np.int64), np.zeros((queries, k), kind)
+
+    def last(self, none: float) -> np.ndarray:
+        """The kth score of each query, ``none`` where there are fewer."""
+        return np.where(self.count == self.k, self.scores[:, -1], none)
+
+    def add(self, at: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Rows, none of which was added before, for the queries ``at``."""
+        if not len(at):
+            return
+        own = np.unique(at)
+        held = np.arange(self.k) < self.count[own][:, None]
+        at = np.concatenate([np.repeat(own, self.count[own]), at])
+        ids = np.concatenate([self.ids[own][held], ids])
+        scores = np.concatenate([self.scores[own][held], scores])
+        # Not the negative of a score, which may not be a long.
+        order = np.lexsort((ids, ~scores if scores.dtype == np.int64 else scores, at))
+        at = at[order]
+        first = np.searchsorted(at, own)
+        rank = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+        keep = rank < self.k
+        self.ids[at[keep], rank[keep]] = ids[order][keep]
+        self.scores[at[keep], rank[keep]] = scores[order][keep]
+        self.count[own] = np.minimum(np.diff(np.append(first, len(at))), self.k)
+
+    def rows(self, query_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        held = np.arange(self.k) < self.count[:, None]
+        return np.repeat(query_ids, self.count), self.ids[held], self.scores[held]
+
+
+def searched(pairs: DataFrame, search: Callable[[dict, Best], object], k: int, score: str) -> DataFrame:
+    """Best rows of every query over the blocks of a task: (query_id, vec_id, score).
+
+    ``search`` adds the rows of a pair of blocks; rows beyond the kth that a query has already may be left out.
+    """
+    kind = {"long": np.int64, "double": np.float64}[score]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[bytes, Best] = {}
         for batch in batches:
             for i in range(batch.num_rows):
-                found = search({name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)})
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["query_id", "vec_id", "score"])
+                row = {name: batch.column(c)[i] for c, name in enumerate(batch.schema.names)}
+                row = {name: x.as_py() if name in ("size", "q_ids") else x.as_buffer() for name, x in row.items()}
+                search(row, best.setdefault(row["q_ids"], Best(len(row["q_ids"]) // 8, k, kind)))
+        for ids, found in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found.rows(np.frombuffer(ids, np.int64))], ["query_id", "vec_id", "score"])
 
     return pairs.mapInArrow(run, f"query_id long, vec_id long, score {score}")

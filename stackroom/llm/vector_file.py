@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stackroom.llm.vector_blocks import blocked, met, searched, usable_vectors
+from stackroom.llm.vector_blocks import Best, asked, blocked, met, searched, usable_vectors
 from stackroom.plans.order import top_per_key
 from stackroom.runtime import materialised
 
@@ -19,75 +19,84 @@ SCALE, CELLS, FIRST_READ = 256, 64, 32
 LARGEST = 1 << 26
 # Vectors per block of those.
 WIDE_ROWS = 512
-# Queries whose bounds are held at once.
-QUERY_ROWS = 256
+# Queries whose bounds are held at once, and components of the exact vectors that are.
+QUERY_ROWS, READ_CELLS = 256, 1 << 22
 
 
 def whole_numbers(matrix: np.ndarray) -> np.ndarray:
     return np.floor(matrix * SCALE).astype(np.int64)
 
 
+def narrow(values: np.ndarray) -> bytes:
+    """Whole numbers of ``LARGEST`` at most in the fewest bytes that hold them all."""
+    return values.astype(np.int16 if np.abs(values).max(initial=0) < 1 << 15 else np.int32).tobytes()
+
+
+def widened(data: bytes, rows: int, size: int) -> np.ndarray:
+    return np.frombuffer(data, f"i{len(data) // (rows * size)}").reshape(rows, size)
+
+
 def approximate(ids: np.ndarray, matrix: np.ndarray) -> dict[str, bytes]:
     """A block of the file: ids, exact vectors, and the quantised cell of every component between the block's bounds."""
     values = whole_numbers(matrix)
     low = values.min(axis=0)
     spread = values.max(axis=0) - low + 1
     cells = ((values - low) * CELLS // spread).astype(np.uint8)
-    return {"ids": ids.astype(np.int64).tobytes(), "data": values.astype(np.int32).tobytes(), "cells": cells.tobytes(), "bounds": np.stack([low, spread]).tobytes()}
+    return {"ids": ids.astype(np.int64).tobytes(), "data": narrow(values), "cells": cells.tobytes(), "bounds": np.stack([low, spread]).tobytes()}
 
 
 def encode_queries(ids: np.ndarray, matrix: np.ndarray) -> dict[str, bytes]:
-    return {"ids": ids.astype(np.int64).tobytes(), "data": whole_numbers(matrix).astype(np.int32).tobytes()}
+    return {"ids": ids.astype(np.int64).tobytes(), "data": narrow(whole_numbers(matrix))}
 
 
 def best_of_block(k: int):
-    """The k best candidates of a block per query, ties to smaller ids.
+    """The k best candidates per query over blocks, ties to smaller ids.
 
-    The scan turns cells into an upper bound of each score. Exact vectors are then read in the order of the bounds, and
-    more of them until the next bound lies below the kth exact score; an equal bound is read too, as it may
-    hold a smaller id.
+    The scan turns cells into an upper bound of each score. Exact vectors are read where the bound reaches the kth exact
+    score so far; an equal bound is read too, as its row may have a smaller id. A query without k rows yet takes the
+    kth score of those with the largest bounds.
     """
 
-    def run(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def run(row: dict, best: Best | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         size = row["size"]
         ids, query_ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["q_ids"], np.int64)
-        exact = np.frombuffer(row["data"], np.int32).reshape(len(ids), size)
-        queries = np.frombuffer(row["q_data"], np.int32).reshape(len(query_ids), size).astype(np.int64)
+        best = best or Best(len(query_ids), k, np.int64)
+        exact = widened(row["data"], len(ids), size)
+        queries = widened(row["q_data"], len(query_ids), size).astype(np.int64)
         cells = np.frombuffer(row["cells"], np.uint8).reshape(len(ids), size).astype(np.int64)
         low, spread = np.frombuffer(row["bounds"], np.int64).reshape(2, size)
         lower, upper = low - (-cells * spread // CELLS), low - (-(cells + 1) * spread // CELLS) - 1
-        reach = int(np.abs(queries).max(initial=1)) * int(max(np.abs(lower).max(initial=1), np.abs(upper).max(initial=1))) * size
+        # Twice the bound is the product with the sum of a cell's ends and, with the widest cell's width, a number per query.
+        both, width = lower + upper, (upper - lower).max(axis=0)
+        reach = int(np.abs(queries).sum(axis=1).max()) * int(np.abs(both).max(initial=1))
         # Sums of whole numbers are exact in a float type that holds the largest of them.
         kind = np.float32 if reach < 1 << 24 else np.float64 if reach < 1 << 53 else np.int64
-        lower, upper = lower.astype(kind).T, upper.astype(kind).T
-        none = np.iinfo(np.int64).min if kind is np.int64 else -np.inf
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        scanned, held = np.ascontiguousarray(both.astype(kind).T), np.empty((min(QUERY_ROWS, len(queries)), len(ids)), kind)
+        none, read = np.iinfo(np.int64).min, max(FIRST_READ, k + 1)
+        last = best.last(none)
         for start in range(0, len(queries), QUERY_ROWS):
             q, own = queries[start : start + QUERY_ROWS], query_ids[start : start + QUERY_ROWS]
-            bound = np.maximum(q, 0).astype(kind) @ upper + np.minimum(q, 0).astype(kind) @ lower
-            bound[ids[None, :] == own[:, None]] = none
-            todo, read = np.arange(len(q)), FIRST_READ
-            while len(todo):
-                read = min(read, len(ids))
-                part = bound[todo]
-                if read < len(ids):
-                    at = np.argpartition(-part, read, axis=1)
-                    rest = part[np.arange(len(todo)), at[:, read]]
-                    at = at[:, :read]
-                else:
-                    at, rest = np.broadcast_to(np.arange(len(ids)), part.shape), None
-                score = np.einsum("qrd,qd->qr", exact[at].astype(np.int64), q[todo]) if read < len(ids) else q[todo] @ exact.T.astype(np.int64)
-                score = np.where(np.take_along_axis(part, at, 1) == none, np.iinfo(np.int64).min, score)
-                if rest is None:
-                    certain = np.ones(len(todo), bool)
-                else:
-                    certain = (rest < np.sort(score, axis=1)[:, -k]) if read >= k else np.zeros(len(todo), bool)
-                for j in np.flatnonzero(certain):
-                    keep = score[j] > np.iinfo(np.int64).min
-                    order = np.lexsort((ids[at[j]][keep], -score[j][keep]))[:k]
-                    found.append((np.full(len(order), own[todo[j]]), ids[at[j]][keep][order], score[j][keep][order]))
-                todo, read = todo[~certain], read * 4
-        return tuple(np.concatenate([f[i] for f in found]).astype(np.int64) if found else np.zeros(0, np.int64) for i in range(3))
+            floor = last[start : start + QUERY_ROWS]
+            if kind is np.int64:
+                bound = np.maximum(q, 0) @ upper.T + np.minimum(q, 0) @ lower.T
+            else:
+                bound = np.matmul(q.astype(kind), scanned, out=held[: len(q)])
+            todo = np.flatnonzero(floor == none)
+            if len(todo) and read < len(ids):
+                at = np.argpartition(-bound[todo], read, axis=1)[:, :read]
+                score = np.einsum("qrd,qd->qr", exact[at].astype(np.int64), q[todo])
+                floor[todo] = np.sort(np.where(ids[at] == own[todo][:, None], none, score), axis=1)[:, -k]
+            # No bound lies beyond the reach; within it, the number is exact in a float type.
+            least = floor if kind is np.int64 else np.clip(2 * np.clip(floor, -(1 << 61), 1 << 61) - np.abs(q) @ width, -reach, reach + 1).astype(kind)
+            some = np.flatnonzero(bound.max(axis=1) >= least)
+            pairs, most = np.flatnonzero(bound[some] >= least[some][:, None]), max(1, READ_CELLS // size)
+            for a in range(0, len(pairs), most):
+                i, r = np.divmod(pairs[a : a + most], len(ids))
+                i = some[i]
+                score = np.einsum("pd,pd->p", exact[r].astype(np.int64), q[i])
+                keep = (ids[r] != own[i]) & (score >= floor[i])
+                best.add(start + i[keep], ids[r[keep]], score[keep])
+        return best.rows(query_ids)
 
     return run
 
@@ -103,26 +112,26 @@ def unbounded(matrix: np.ndarray) -> np.ndarray:
 
 
 def best_of_wide_block(k: int):
-    """The k best candidates of a block per query among those whose score is a long, ties to smaller ids."""
+    """The k best candidates per query over blocks among those whose score is a long, ties to smaller ids."""
 
-    def run(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def run(row: dict, best: Best | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         size = row["size"]
         ids, query_ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["q_ids"], np.int64)
+        best = best or Best(len(query_ids), k, np.int64)
         exact, queries = (np.frombuffer(row[c], np.float64).reshape(-1, size) for c in ("data", "q_data"))
         # One more for rounding down.
         reach = (int(np.abs(exact).max()) + 1) * (int(np.abs(queries).max()) + 1) * SCALE * SCALE * size
         fits = reach < 1 << 63
         exact, queries = (whole_numbers(exact), whole_numbers(queries)) if fits else (unbounded(exact), unbounded(queries))
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for own, q in zip(query_ids, queries):
+        for i, (own, q) in enumerate(zip(query_ids, queries)):
             score, keep = exact @ q, ids != own
             if not fits:
                 keep &= np.array([-(1 << 63) <= s < 1 << 63 for s in score], bool)
             score, other = score[keep].astype(np.int64), ids[keep]
             # Not the negative of a score, which may not be a long.
             order = np.lexsort((other, ~score))[:k]
-            found.append((np.full(len(order), own), other[order], score[order]))
-        return tuple(np.concatenate([f[i] for f in found]).astype(np.int64) if found else np.zeros(0, np.int64) for i in range(3))
+            best.add(np.full(len(order), i), other[order], score[order])
+        return best.rows(query_ids)
 
     return run
 
@@ -139,7 +148,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str =
     Components are floor(256 * x). ``is_query`` is a condition on ``vec_id`` that states the queries; all other ids of the same
     vector length are candidates, ties go to the smaller id, and fewer than k candidates are all returned. Each
     block of candidates is a vector-approximation file that is scanned for every query; only the k best per
-    query and block are shuffled. Results are exact.
+    query and task are shuffled. Results are exact.
 
     Vectors that are null, empty, or hold null or non-finite components take no part, nor do null ids. Rows that share an
     id count once, with their smallest vector. An empty table gives no rows.
@@ -150,13 +159,13 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str =
     usable = materialised(usable_vectors(vectors, vec_id, vector, lambda v: F.lit(True)))
     small, wide = usable.filter(in_reach(F.col("v"))), usable.filter(~in_reach(F.col("v")))
     candidates = blocked(small, approximate, ["ids", "data", "cells", "bounds"])
-    queries = blocked(small.filter(is_query), encode_queries, ["ids", "data"])
-    best = searched(met(candidates, queries), best_of_block(k), "long")
+    queries = asked(small.filter(is_query), encode_queries)
+    best = searched(met(candidates, queries), best_of_block(k), k, "long")
     if wide.limit(1).count():
 
         def pairs(candidates: DataFrame, queries: DataFrame) -> DataFrame:
-            sides = [blocked(rows, plain, ["ids", "data"], WIDE_ROWS) for rows in (candidates, queries.filter(is_query))]
-            return searched(met(*sides), best_of_wide_block(k), "long")
+            files = blocked(candidates, plain, ["ids", "data"], WIDE_ROWS)
+            return searched(met(files, asked(queries.filter(is_query), plain)), best_of_wide_block(k), k, "long")
 
         best = best.unionByName(pairs(usable, wide)).unionByName(pairs(wide, small))
     order = [F.col("score").desc(), F.col("vec_id")]
