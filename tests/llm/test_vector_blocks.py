@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stackroom.llm import vector_file
+from stackroom.llm import projected, vector_file
 from stackroom.llm.vector_blocks import Best, asked, blocked, met
 
 
@@ -60,3 +60,48 @@ def test_blocks_with_what_others_found_are_exact(scale):
     scores = whole[asking] @ whole.T
     wanted = [(q, j, scores[i, j]) for i, q in enumerate(asking) for j in sorted(set(range(600)) - {q}, key=lambda j: (-scores[i, j], j))[:6]]
     assert list(zip(*found)) == wanted
+
+
+def test_no_copies_of_queries_of_neighbours_reach_the_driver(spark):
+    frame = projected.nearest(table(spark, unit_vectors(300, 8, 1)), F.col("vec_id") % 50 == 0)
+    assert "Broadcast" not in plan_of(frame) and "Generate" not in plan_of(frame)
+    assert frame.count() == 6 * 10
+
+
+def crowded(random):
+    return np.repeat(unit_vectors(40, 6, 7), 50, axis=0)[random.permutation(2000)]
+
+
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda random: unit_vectors(2000, 24, 6),
+        lambda random: np.round(random.normal(size=(2000, 3)), 1),
+        lambda random: random.normal(0, 3, (30, 12))[random.integers(0, 30, 2000)] + random.normal(0, 0.01, (2000, 12)),
+        lambda random: unit_vectors(2000, 8, 6) * 0.01 + 1e4,
+        lambda random: random.normal(size=(2000, 5)) * 2.0 ** random.integers(-30, 30, (2000, 1)),
+        crowded,
+    ],
+)
+def test_products_find_what_the_leaves_do(make, monkeypatch):
+    """The same rows and distances as with the leaves opened one after the other, block by block."""
+    matrix = make(np.random.default_rng(6))
+    asking = np.arange(0, 2000, 9)
+    sent = projected.encode_queries(asking, matrix[asking])
+    blocks = [{**projected.index_block(ids, matrix[ids]), "size": matrix.shape[1], "q_ids": sent["ids"], "q_data": sent["data"]} for ids in np.array_split(np.arange(2000), 3)]
+
+    def searched():
+        best = Best(len(asking), 10, np.float64)
+        for row in blocks:
+            found = projected.near_in_block(10, 0.97)(row, best)
+        return list(zip(*(x.tolist() for x in found)))
+
+    fast = searched()
+    monkeypatch.setattr(projected, "products", lambda data, queries: (data, queries, np.zeros(len(queries)), np.full(len(queries), np.inf), 1.0))
+    assert fast == searched() and len(fast) == 10 * len(asking)
+
+
+def test_ring_of_a_confidence():
+    ring = projected.ring_of(0.97)
+    assert projected.chi_square(ring, projected.DIMENSIONS) >= 0.97 > projected.chi_square(np.nextafter(ring, 0), projected.DIMENSIONS)
+    assert projected.ring_of(2) == np.inf
