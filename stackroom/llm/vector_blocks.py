@@ -14,7 +14,7 @@ from stackroom.runtime import materialised
 # Vectors per block.
 BLOCK_ROWS = 4096
 # Components of the queries that are dealt to a block, and blocks of candidates that a task searches, on average.
-QUERY_CELLS, TASK_BLOCKS = 1 << 20, 128
+QUERY_CELLS, TASK_BLOCKS = 1 << 19, 128
 # Tasks per core that a search of few blocks is cut into.
 TASKS_PER_CORE = 4
 
@@ -141,6 +141,8 @@ def searched(pairs: DataFrame, search: Callable[[dict, Best], object], k: int, s
                 row = {name: batch.column(c)[i] for c, name in enumerate(batch.schema.names)}
                 row = {name: x.as_py() if name in ("size", "q_ids") else x.as_buffer() for name, x in row.items()}
                 search(row, best.setdefault(row["q_ids"], Best(len(row["q_ids"]) // 8, k, kind)))
+            # Else these stay while the next are read.
+            batch = row = None
         for ids, found in best.items():
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in found.rows(np.frombuffer(ids, np.int64))], ["query_id", "vec_id", "score"])
 
